@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("views",)
+SECTIONS = ("functions", "classify", "views")
 
 
 def load() -> None:

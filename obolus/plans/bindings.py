@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obolus.functions.money import MONEY, format_amount_eu
-from obolus.plans.views import TABLES, Release
+from obolus.plans.views import Release
 
 c = F.col
 
@@ -52,6 +52,27 @@ def line_amount(factor: Column) -> Column:
     return F.round(money(c("l_extendedprice")) * factor, 2).cast(MONEY)
 
 
+# declared schemas: no footer is read to plan a query
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 class Star:
     """The parquet tables of one scale factor."""
 
@@ -61,7 +82,9 @@ class Star:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
 class Bound:
@@ -73,8 +96,7 @@ class Bound:
 
     @cached_property
     def release(self) -> Release:
-        return Release({t: getattr(self, t) for t in TABLES if t != "counterparty"}
-                       | {"counterparty": self.counterparty}, home=HOME)
+        return Release(lambda name: getattr(self, name), home=HOME)
 
     @cached_property
     def customer(self) -> DataFrame:

@@ -36,16 +36,17 @@ def total(amount: str, when: Column | None = None) -> Column:
 
 
 class Release:
-    """The tables of one release (attribute access) and the views over them (``view(name)``)."""
+    """The tables of one release (attribute access) and the views over them (``view(name)``).
+    ``table`` gives a table by name when a view first asks for it."""
 
-    def __init__(self, tables: dict[str, DataFrame], home: str = "1"):
-        self._tables = tables
+    def __init__(self, table: Callable[[str], DataFrame], home: str = "1"):
+        self._table = table
         self.home = home  # uid of the body whose revenue the grants are set against
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_") or name not in self._tables:
+        if name not in TABLES:
             raise AttributeError(name)
-        return self._tables[name]
+        return self._table(name)
 
     def view(self, name: str) -> DataFrame:
         return VIEWS[name](self)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("functions", "classify", "views", "reports", "relational")
+SECTIONS = ("functions", "classify", "views", "reports", "relational", "landing")
 
 
 def load() -> None:

@@ -232,10 +232,12 @@ def _(b):
     return net.join(whole, "ref").select("ref", "afm", F.try_divide(c("net").cast("double"), c("total").cast("double")).alias("share"))
 
 
-@query("wn09_section_ids", pick("o_custkey:i ada section:i", "(SELECT o_custkey, ada, sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY date, ada) AS section FROM decisions)"))
+@query("wn09_section_ids", """SELECT doc_id, CAST(line AS BIGINT) AS line, CAST(sum(CASE WHEN length(content) < 60 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line) AS BIGINT) AS section
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS content, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents)""")
 def _(b):
     from obolus.plans.documents import running_sections
-    return running_sections(b.decisions, ["o_custkey"], ["date", "ada"], c("o_orderpriority") == "1-URGENT").select("o_custkey", "ada", "section")
+    lines = b.star.documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "content")).withColumn("line", c("p") + 1)
+    return running_sections(lines, ["doc_id"], ["line"], F.length("content") < 60).select("doc_id", "line", "section")
 
 
 # ---- rankings and set operations ---------------------------------------------------------------------

@@ -97,7 +97,7 @@ def words_to_cents(words: Column, folded: bool = False) -> Column:
         hundred = F.lit(None).cast("int")
         for stem, v in fv.NUMBER_HUNDREDS.items():
             hundred = F.when(t.startswith(stem), F.lit(v)).otherwise(hundred)
-        return F.coalesce(F.when(t.rlike(r"^\d+$"), t.try_cast("int")), F.try_element_at(units, t), hundred)
+        return F.coalesce(F.try_element_at(units, t), hundred, F.when(t.rlike(r"^\d+$"), t.try_cast("int")))
 
     typed = F.transform(
         F.filter(number_tokens(text), lambda t: ~t.isin("&", "ΚΑΙ")),

@@ -11,6 +11,7 @@ from obolus.functions.codes import as_list, code_major, code_scheme, distinct_so
 from obolus.functions.money import MONEY
 from obolus.functions.text import civil_date, record_type, utc_ts
 from obolus.operators.classify import is_natural_person, is_reversal, mask_person
+from obolus.operators.shape import once
 from obolus.sources.documents import KAE_LINE, PARTY, SPONSOR
 
 c = F.col
@@ -186,13 +187,13 @@ def payee_rows(records: DataFrame) -> DataFrame:
     stated. Sums are taken inside the record's own list."""
     d = c("doc")
     objs = F.filter(_objects(d), lambda o: F.trim(F.coalesce(o["vatNo"], F.lit(""))) != "")
-    ids = F.array_distinct(F.transform(objs, lambda o: F.trim(o["vatNo"])))
+    ids = F.array_distinct(F.transform(c("_objs"), lambda o: F.trim(o["vatNo"])))
     zero = F.lit(0).cast("decimal(28,2)")
     net = lambda items: F.aggregate(items, zero, lambda a, o: (a + F.coalesce(o["costWithoutVAT"], F.lit(0).cast(MONEY))).cast("decimal(28,2)"))
     parts = F.transform(ids, lambda i: F.struct(
         i.alias("afm"), net(F.filter(c("_objs"), lambda o: F.trim(o["vatNo"]) == i)).alias("net"),
         F.get(F.filter(c("_objs"), lambda o: F.trim(o["vatNo"]) == i), F.lit(0)).alias("o")))
-    rows = (records.filter(c("endpoint") == "payment").withColumn("_objs", objs)
+    rows = (once(records.filter(c("endpoint") == "payment"), "_objs", objs)
             .withColumns({"_parts": parts, "_net": net(c("_objs"))})
             .select(*_record_base(), d["totalCostWithVAT"].alias("gross"), "_net", F.size("_parts").alias("_n"), F.explode("_parts").alias("p")))
     share = F.when(c("_net") != 0, (c("gross") * c("p.net")).cast("decimal(38,6)") / c("_net")).otherwise(c("gross") / c("_n"))

@@ -60,52 +60,61 @@ def counterparty_sources(payments: DataFrame) -> DataFrame:
 def counterparties(payments: DataFrame) -> DataFrame:
     """One row per tax id over non-payroll lines; names are never merged by likeness.
 
-    Modal values are counted per (id, value) first and the winner chosen among the counts, ties
-    by first line. The variants and documents of an id may be many, so they stay in long form
-    (``counterparty_names``, ``counterparty_sources``); their number and digest are here. The
-    only array is ``entities``, at most as long as the registry."""
+    One pass: each line gives a row per facet (class, entity, name), counted per (id, facet,
+    value) with map-side combine, and the modal values are chosen among the counts, ties by first
+    line. The variants and documents of an id may be many, so they stay in long form
+    (``counterparty_names``, ``counterparty_sources``); their number and digest are here. The only
+    array is ``entities``, at most as long as the registry."""
     c = F.col
-    lines = _identified(payments).withColumnRenamed("counterparty_afm", "afm")
     counted = (c("act_status") == "PUBLISHED") & ~c("amount_suspect")
     amount = F.coalesce(c("amount"), F.lit(0).cast(MONEY))
-    line = F.struct("date", "source_ada", "line_no")
-    base = lines.groupBy("afm").agg(
-        F.min("counterparty_afm_type").alias("afm_type"),
-        F.min_by(F.struct(c("counterparty_afm_type").alias("t")), line).alias("_first_type"),
-        F.min_by("source_ada", F.when(counted, F.struct(-amount, c("date"), c("source_ada")))).alias("largest_payment_ada"),
-        F.min("date").alias("first_seen"), F.max("date").alias("last_seen"),
-        F.sum(F.when(counted, amount).otherwise(0)).cast(MONEY).alias("total_received"),
-        F.sum(F.when(counted & (c("payee_class") == "supplier"), amount).otherwise(0)).cast(MONEY).alias("total_received_supplier"),
-        F.count_if(counted).alias("n_payments"),
-        F.count_if(c("act_status") != "PUBLISHED").alias("n_payments_revoked"),
-        F.count_if(c("amount_suspect")).alias("n_payments_suspect"),
-        F.bool_and("is_remittance").alias("is_remittance_payee"),
-    )
-    classes = (lines.groupBy("afm", "payee_class").agg(F.count("*").alias("n"), F.min(line).alias("first"))
-               .groupBy("afm").agg(F.min_by("payee_class", F.struct(-c("n"), c("first"))).alias("payee_class")))
-    entities = lines.select("afm", "entity").distinct().groupBy("afm").agg(F.array_sort(F.collect_set("entity")).alias("entities"))
-    names = counterparty_names(payments)
-    spelled = names.groupBy("afm", normalise_name(c("name")).alias("norm")).agg(
-        F.count("*").alias("v"), F.min_by("name", F.struct(-c("n"), c("first"))).alias("name"),
-        F.min(F.struct(-c("n"), c("first"))).alias("o"))
-    resolved = spelled.groupBy("afm").agg(
-        F.sum("v").alias("n_name_variants"), F.count("*").alias("n_name_variants_normalised"),
-        F.min_by("name", "o").alias("canonical_name"))
-    person = (names.join(base.select("afm", c("_first_type.t").alias("_t")), "afm")
-              .groupBy("afm").agg(F.bool_or(is_natural_person(c("name"), c("afm"), c("_t"))).alias("_natural")))
-    digest = group_digest(lines, ["afm"], "source_sha256", "source_digest") if "source_sha256" in payments.columns else None
-    out = base.join(classes, "afm").join(entities, "afm").join(resolved, "afm", "left").join(person, "afm", "left")
-    out = out.join(digest, "afm") if digest is not None else out
-    natural = F.coalesce(c("_natural"), F.lit(False))
+    facet = lambda name, value: F.struct(F.lit(name).alias("k"), value.alias("v"))
+    name = F.when(F.length("counterparty_name_raw") > 0, c("counterparty_name_raw"))
+    lines = _identified(payments).select(
+        c("counterparty_afm").alias("afm"), c("counterparty_afm_type").alias("t"), F.struct("date", "source_ada", "line_no").alias("line"),
+        counted.alias("ok"), (c("act_status") != "PUBLISHED").alias("revoked"), c("amount_suspect").alias("suspect"), "is_remittance",
+        amount.alias("amount"), (c("payee_class") == "supplier").alias("supplier"),
+        F.explode(F.array(facet("class", c("payee_class")), facet("entity", c("entity")), facet("name", name))).alias("f"))
+    main = c("f.k") == "class"  # money and dates are taken from one facet only
+    zero = F.lit(0).cast(MONEY)
+    cells = lines.filter(c("f.v").isNotNull() | main).groupBy("afm", c("f.k").alias("k"), c("f.v").alias("v")).agg(
+        F.count("*").alias("n"), F.min("line").alias("first"), F.max("line.date").alias("last_date"), F.min("t").alias("t"),
+        F.min(F.struct("line", "t")).alias("first_line"),
+        F.min(F.when(main & c("ok"), F.struct((-c("amount")).alias("a"), c("line.date").alias("d"), c("line.source_ada").alias("ada")))).alias("largest"),
+        F.sum(F.when(main & c("ok"), c("amount")).otherwise(zero)).alias("eur"),
+        F.sum(F.when(main & c("ok") & c("supplier"), c("amount")).otherwise(zero)).alias("supplier_eur"),
+        F.count_if(main & c("ok")).alias("n_ok"), F.count_if(main & c("revoked")).alias("n_revoked"),
+        F.count_if(main & c("suspect")).alias("n_suspect"), F.bool_and("is_remittance").alias("remittance"))
+    is_name = c("k") == "name"
+    cells = cells.withColumns({
+        "norm": F.when(is_name, normalise_name(c("v"))),
+        "greek_person": is_name & is_natural_person(c("v"), c("afm"), F.lit("EL")),
+        "other_person": is_name & is_natural_person(c("v"), c("afm"), F.lit("-")),
+    })
+    order = F.struct(-c("n"), c("first"))
+    out = cells.groupBy("afm").agg(
+        F.min("t").alias("afm_type"), F.min("first_line").alias("_first"), F.min("largest").alias("_largest"),
+        F.min("first.date").alias("first_seen"), F.max("last_date").alias("last_seen"),
+        F.sum("eur").cast(MONEY).alias("total_received"), F.sum("supplier_eur").cast(MONEY).alias("total_received_supplier"),
+        F.sum("n_ok").alias("n_payments"), F.sum("n_revoked").alias("n_payments_revoked"), F.sum("n_suspect").alias("n_payments_suspect"),
+        F.bool_and("remittance").alias("is_remittance_payee"),
+        F.min_by("v", F.when(c("k") == "class", order)).alias("payee_class"),
+        F.min_by("v", F.when(is_name, order)).alias("canonical_name"),
+        F.array_sort(F.collect_set(F.when(c("k") == "entity", c("v")))).alias("entities"),
+        F.count_if(is_name).alias("n_name_variants"), F.count_distinct("norm").alias("n_name_variants_normalised"),
+        F.bool_or("greek_person").alias("_greek"), F.bool_or("other_person").alias("_other"))
+    greek = F.coalesce(c("_first.t"), F.lit("")).isin("", "EL")
     reasons = F.array_compact(F.array(F.when(~c("afm").rlike(fv.TAX_ID), F.lit("afm_format")),
                                       F.when(c("n_name_variants_normalised") > 1, F.lit("name_variants"))))
     out = out.withColumns({
-        "is_natural_person": natural,
-        "display_name": mask_person(c("canonical_name"), natural),
-        "n_name_variants": F.coalesce("n_name_variants", F.lit(0)),
-        "n_name_variants_normalised": F.coalesce("n_name_variants_normalised", F.lit(0)),
+        "largest_payment_ada": c("_largest.ada"),
+        "is_natural_person": F.when(greek, c("_greek")).otherwise(c("_other")),
         "n_entities": F.size("entities"),
         "needs_review": F.size(reasons) > 0,
         "review_reason": F.when(F.size(reasons) > 0, F.array_join(reasons, ",")),
-    })
-    return out.drop("_first_type", "_natural")
+    }).withColumn("display_name", mask_person(c("canonical_name"), c("is_natural_person")))
+    out = out.drop("_first", "_largest", "_greek", "_other")
+    if "source_sha256" in payments.columns:
+        digest = group_digest(_identified(payments).withColumnRenamed("counterparty_afm", "afm"), ["afm"], "source_sha256", "source_digest")
+        out = out.join(digest, "afm")
+    return out

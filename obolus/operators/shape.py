@@ -11,6 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds ``value`` computed once per row, however many later expressions read it: adjacent
+    projections are merged and would repeat it, a generator is not merged into."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Column, largest: bool = True) -> DataFrame:
     """One row per key: the one with the largest (or smallest) ``order``. A hash aggregate with
     map-side combine, not a window over the whole group."""

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obolus import fixed_values as fv
+from obolus.operators.shape import once
 
 c = F.col
 
@@ -56,8 +57,8 @@ def binary_files(spark: SparkSession, folder: str, glob: str = "*.json") -> Data
 
 def typed(files: DataFrame, schema: str) -> DataFrame:
     """(path, sha256 of the exact bytes, doc). Bytes that are no such document give a null doc."""
-    return files.select("path", F.sha2("content", 256).alias("sha256"),
-                        F.from_json(F.decode("content", "UTF-8"), schema).alias("doc"))
+    doc = F.from_json(F.decode("content", "UTF-8"), schema)
+    return once(files, "doc", doc).select("path", F.sha2("content", 256).alias("sha256"), "doc")
 
 
 def scan_documents(files: DataFrame) -> DataFrame:
@@ -85,8 +86,7 @@ def scan_records_first_capture(files: DataFrame) -> DataFrame:
 def scan_decisions_first_capture(files: DataFrame) -> DataFrame:
     """First captures of third-party decisions; the issuer is the last folder."""
     kept = files.filter(is_first_capture(c("path")))
-    return kept.select("path", F.sha2("content", 256).alias("sha256"), F.from_json(F.decode("content", "UTF-8"), DECISION).alias("doc"),
-                       F.regexp_extract("path", r"/([^/]+)/[^/]+\.json$", 1).alias("issuer"))
+    return typed(kept, DECISION).withColumn("issuer", F.regexp_extract("path", r"/([^/]+)/[^/]+\.json$", 1))
 
 
 def search_pages(files: DataFrame) -> DataFrame:

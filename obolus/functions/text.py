@@ -48,7 +48,9 @@ def _accent_map() -> tuple[str, str]:
 
 def strip_accents(c: Column) -> Column:
     source, target = _accent_map()
-    return F.translate(F.coalesce(c, F.lit("")), source, target)
+    plain = F.coalesce(c, F.lit(""))
+    # ASCII text (as many bytes as characters) has no accents and skips the table
+    return F.when(F.octet_length(plain) == F.length(plain), plain).otherwise(F.translate(plain, source, target))
 
 
 def collapse(c: Column) -> Column:

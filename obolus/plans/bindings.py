@@ -73,6 +73,17 @@ SCHEMAS = {
 }
 
 
+FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "pages": "page_id",
+             "conversations": "conv_id"}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table in fewer files than there are cores is spread over them by its key, so that the work
+    on its rows is shared. A table of many files is left as it is: its scan is parallel already."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 class Star:
     """The parquet tables of one scale factor."""
 
@@ -84,7 +95,8 @@ class Star:
             raise AttributeError(name)
         if name not in SCHEMAS:
             raise AttributeError(name)
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        return spread(df, FACT_KEYS[name]) if name in FACT_KEYS else df
 
 
 class Bound:

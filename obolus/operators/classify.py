@@ -10,6 +10,7 @@ from obolus.functions.codes import code_major, code_scheme
 from obolus.functions.money import cents_eu
 from obolus.functions.text import fold, upper_plain
 from obolus.operators.rules import first_match
+from obolus.operators.shape import once
 
 
 def _true(c: Column) -> Column:
@@ -21,10 +22,10 @@ def is_reversal(subject: Column, recalled: Column | None = None) -> Column:
     return named if recalled is None else named | _true(recalled)
 
 
-def is_natural_person(name: Column, tax_id: Column, id_type: Column) -> Column:
+def is_natural_person(name: Column, tax_id: Column, id_type: Column, plain: Column | None = None) -> Column:
     """The register's double-comma form, an imprest holder, or a personal-range id on a short
-    name with no legal-form word."""
-    plain = upper_plain(name)
+    name with no legal-form word. ``plain`` is the name already without accents, upper case."""
+    plain = upper_plain(name) if plain is None else plain
     by_form = name.contains(fv.PERSON_FORM) | plain.rlike(fv.IMPREST)
     personal_id = (tax_id.rlike(fv.TAX_ID) & (F.coalesce(id_type, F.lit("")).isin("", "EL"))
                    & tax_id.rlike("^[0-3]") & ~tax_id.rlike("^0[89]"))
@@ -33,32 +34,37 @@ def is_natural_person(name: Column, tax_id: Column, id_type: Column) -> Column:
     return _true((F.length(name) > 0) & (by_form | (_true(personal_id) & short)))
 
 
-def payroll_kind(name: Column, subject: Column, tax_id: Column, id_type: Column, code: Column) -> Column:
+def payroll_kind(name: Column, subject: Column, natural: Column, code: Column, plain: Column | None = None,
+                 plain_subject: Column | None = None) -> Column:
     """'batch', 'named' or 'personnel_kae'; null for a supplier line."""
+    plain = upper_plain(name) if plain is None else plain
+    plain_subject = upper_plain(subject) if plain_subject is None else plain_subject
     scheme, major = code_scheme(code), code_major(code)
     personnel = F.lit(False)
     for s, m in fv.PERSONNEL_MAJOR.items():
         personnel = personnel | ((scheme == s) & (major == m))
-    return (F.when(upper_plain(name).rlike(fv.BATCH_NAME), F.lit("batch"))
-            .when(_true(name.contains(fv.PERSON_FORM)) & upper_plain(subject).rlike(fv.PAYROLL_SUBJECT), F.lit("named"))
-            .when(is_natural_person(name, tax_id, id_type) & _true(personnel), F.lit("personnel_kae")))
+    return (F.when(plain.rlike(fv.BATCH_NAME), F.lit("batch"))
+            .when(_true(name.contains(fv.PERSON_FORM)) & plain_subject.rlike(fv.PAYROLL_SUBJECT), F.lit("named"))
+            .when(natural & _true(personnel), F.lit("personnel_kae")))
 
 
-def is_remittance(subject: Column, code: Column) -> Column:
+def is_remittance(subject: Column, code: Column, plain_subject: Column | None = None) -> Column:
     scheme, major = code_scheme(code), code_major(code)
     by_code = (scheme.isin("old", "bare") & (major == fv.REMITTANCE_MAJOR)) | \
               ((scheme == "new") & (major == fv.REMITTANCE_MAJOR_NEW))
-    return _true(by_code) | upper_plain(subject).rlike(fv.WITHHOLDING)
+    plain_subject = upper_plain(subject) if plain_subject is None else plain_subject
+    return _true(by_code) | plain_subject.rlike(fv.WITHHOLDING)
 
 
-def payee_class(name: Column, subject: Column, code: Column, remittance: Column, family: Column) -> Column:
+def payee_class(name: Column, subject: Column, code: Column, remittance: Column, family: Column, plain: Column | None = None,
+                plain_subject: Column | None = None) -> Column:
     """internal_transfer, remittance, tax, debt_service, other_public_body or supplier: first
     that applies. ``family`` says whether the payee's id is one of our own bodies'."""
-    n, major = upper_plain(name), code_major(code)
+    n, major = upper_plain(name) if plain is None else plain, code_major(code)
+    s = upper_plain(subject) if plain_subject is None else plain_subject
     return (F.when(_true(family), F.lit("internal_transfer"))
             .when(_true(remittance), F.lit("remittance"))
-            .when(_true(major == fv.TAX_MAJOR) | n.rlike(fv.TAX_PAYEE) | upper_plain(subject).rlike(fv.TAX_SUBJECT),
-                  F.lit("tax"))
+            .when(_true(major == fv.TAX_MAJOR) | n.rlike(fv.TAX_PAYEE) | s.rlike(fv.TAX_SUBJECT), F.lit("tax"))
             .when(_true(major == fv.DEBT_MAJOR) | n.rlike(fv.DEBT_PAYEE), F.lit("debt_service"))
             .when(n.rlike(fv.PUBLIC_BODY), F.lit("other_public_body"))
             .otherwise(F.lit("supplier")))
@@ -83,24 +89,26 @@ def classify_payment_lines(lines: DataFrame, family_ids: DataFrame, suspect_abov
     broadcasts it by its measured size. The person goes before the class is decided, so a masked
     employee is never a family id."""
     c = F.col
-    kind = payroll_kind(c("name"), c("subject"), c("afm"), c("afm_type"), c("kae"))
-    natural = is_natural_person(c("name"), c("afm"), c("afm_type"))
-    out = lines.withColumns({"payroll_kind": kind, "_natural": natural, "kae_scheme": code_scheme(c("kae")),
-                             "kae_major": code_major(c("kae"))})
+    # the folded name and subject are computed once; every rule below reads them
+    out = once(once(lines, "_n", upper_plain(c("name"))), "_s", upper_plain(c("subject")))
+    n, s = c("_n"), c("_s")
+    out = once(out, "_natural", is_natural_person(c("name"), c("afm"), c("afm_type"), n))
+    out = once(out, "payroll_kind", payroll_kind(c("name"), c("subject"), c("_natural"), c("kae"), n, s))
     payroll = c("payroll_kind").isNotNull()
     out = out.withColumns({
+        "kae_scheme": code_scheme(c("kae")), "kae_major": code_major(c("kae")),
         "is_payroll": payroll,
         "counterparty_afm": F.when(~payroll, c("afm")),
         "counterparty_afm_type": F.when(~payroll, c("afm_type")),
         "counterparty_name_raw": F.when(~payroll, c("name")),
-        "is_remittance": ~payroll & is_remittance(c("subject"), c("kae")),
+        "is_remittance": ~payroll & is_remittance(c("subject"), c("kae"), s),
     })
     ids = family_ids.select(c("afm").alias("_family_afm"), F.lit(True).alias("_family"))
     out = out.join(ids, c("counterparty_afm") == c("_family_afm"), "left")
-    klass = payee_class(c("counterparty_name_raw"), c("subject"), c("kae"), c("is_remittance"), c("_family"))
+    klass = payee_class(c("counterparty_name_raw"), c("subject"), c("kae"), c("is_remittance"), c("_family"), n, s)
+    out = once(out, "payee_class", F.when(payroll, F.lit("payroll")).otherwise(klass))
     reason = suspect_reason(c("amount"), c("doc_mismatch"), c("duplicate"), suspect_above)
     out = out.withColumns({
-        "payee_class": F.when(payroll, F.lit("payroll")).otherwise(klass),
         "payee_class_rule": F.lit("line"),
         "counterparty_display": mask_person(c("counterparty_name_raw"), c("_natural"), payroll),
         "suspect_reason": reason,
@@ -108,7 +116,7 @@ def classify_payment_lines(lines: DataFrame, family_ids: DataFrame, suspect_abov
     return out.withColumns({
         "is_internal_transfer": c("payee_class") == "internal_transfer",
         "amount_suspect": c("suspect_reason").isNotNull(),
-    }).drop("_family_afm", "_family", "_natural", "afm", "afm_type", "name", "doc_mismatch", "duplicate")
+    }).drop("_n", "_s", "_family_afm", "_family", "_natural", "afm", "afm_type", "name", "doc_mismatch", "duplicate")
 
 
 def apply_line_corrections(lines: DataFrame, corrections: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("functions", "classify", "views", "reports", "relational", "landing", "dedupe", "streams")
+SECTIONS = ("functions", "classify", "views", "reports", "relational", "landing", "dedupe", "streams", "documents")
 
 
 def load() -> None:

@@ -1,13 +1,396 @@
-"""Document text -> validated amounts, as jobs over lines."""
+"""Document text -> validated amounts, as jobs over lines.
+
+One row per line; what a line is, is a regular expression; where it stands, is a running window
+inside its document (a partition is one document and as long as it); whether the document may be
+used, is a sum per document. Every job gives rows and refusals. Amounts are cents."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obolus import fixed_values as fv
+from obolus.functions.money import cents_eu, format_amount_eu, words_to_cents, words_to_cents_lenient
+from obolus.functions.text import collapse, flat_fold, fold, letter_tokens, symbol_repair, upper_plain
+from obolus.operators.rules import first_match
+from obolus.operators.shape import latest_per_key, once
+
+c = F.col
+A = fv.AMOUNT_EU
+
 
 def running_sections(df: DataFrame, keys: list[str], order: list[str], boundary: Column, name: str = "section") -> DataFrame:
     """Running count of boundary rows: the section each row stands in. A partition is one
     document, so it is as long as the document and no longer."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(name, F.sum(F.when(boundary, 1).otherwise(0)).over(w))
+
+
+def document_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, line, raw), symbols repaired."""
+    rest = [x for x in docs.columns if x not in (text,)]
+    return docs.select(*rest, F.posexplode(F.split(symbol_repair(c(text)), r"\r?\n", -1)).alias("line", "raw"))
+
+
+# ---- execution statements ---------------------------------------------------------------------------
+ROW = rf"^\s*(\d{{4}})\s+(.*?)\s+({A})\s+({A})\s+({A})\s*$"
+SIDE_TOTAL = rf"ΣΥΝΟΛΟ (ΕΣΟΔΩΝ|ΕΞΟΔΩΝ)\s+({A})\s+({A})\s+({A})"
+GRAND_TOTAL = rf"ΓΕΝΙΚΟ ΣΥΝΟΛΟ\s+({A})\s+({A})\s+({A})"
+PERIOD = r"Περίοδος:\s*(\S+)\s+(\d{4})"
+SECTION = r"ΚΑΤΑΣΤΑΣΗ ΕΚΤΕΛΕΣΗΣ ΠΡΟΫΠΟΛΟΓΙΣΜΟΥ (ΕΣΟΔΩΝ|ΔΑΠΑΝΩΝ) ΕΩΣ (\d{1,2})/(\d{1,2})/(\d{4})"
+REVENUE_START = r"^(\d{4})\s"
+SPENDING_START = r"^(?:(\d{2})-)?(\d{4})\s"
+CHART_START = r"^(\d{3})\.(\d{7}(?:\d{3})?)\s"
+
+
+def detect_layout(text: Column) -> Column:
+    """'standard', 'cumulative', 'sections' (2025 and 2026) or null."""
+    t = symbol_repair(text)
+    period = t.rlike(PERIOD)
+    return (F.when(t.contains("Στοιχεία Εκτέλεσης Προϋπολογισμού") & period, F.lit("standard"))
+            .when(t.contains("ΑΠΟΛΟΓΙΣΤΙΚΑ ΣΤΟΙΧΕΙΑ") & period, F.lit("cumulative"))
+            .when(t.rlike(SECTION), F.lit("sections")))
+
+
+def _period_of(text: Column) -> Column:
+    """Last day of the month the document names; null for an unknown month."""
+    t = symbol_repair(text)
+    month = F.array_position(F.array(*[F.lit(m) for m in fv.MONTHS]), F.regexp_extract(t, PERIOD, 1)).cast("int")
+    return F.when(month > 0, F.last_day(F.make_date(F.regexp_extract(t, PERIOD, 2).try_cast("int"), month, F.lit(1))))
+
+
+def _side_of(code: Column) -> Column:
+    return F.when(F.substring(code, 1, 1).isin(*"012345"), F.lit("revenue")).otherwise(F.lit("spending"))
+
+
+AMOUNTS = ("budgeted", "assessed_or_warranted", "collected_or_paid")
+OUT = ("doc_id", "layout", "period_end", "side", "service", "kae", "description", *AMOUNTS)
+LINE = f"struct<side:string,service:string,kae:string,description:string,{','.join(a + ':bigint' for a in AMOUNTS)}>"
+TOTAL = "struct<side:string,t0:bigint,t1:bigint,t2:bigint>"
+
+
+def _line(side: Column, service: Column, kae: Column, description: Column, values: list[Column]) -> Column:
+    return F.struct(side.alias("side"), service.alias("service"), kae.alias("kae"), description.alias("description"),
+                    *[v.alias(a) for v, a in zip(values, AMOUNTS)]).cast(LINE)
+
+
+def _total(side: Column, values: list[Column]) -> Column:
+    return F.struct(side.alias("side"), *[v.alias(f"t{i}") for i, v in enumerate(values)]).cast(TOTAL)
+
+
+def _printed(raw: Column, pattern: str, first: int) -> list[Column]:
+    return [cents_eu(F.regexp_extract(raw, pattern, first + i)) for i in range(3)]
+
+
+def _text_lines(docs: DataFrame) -> DataFrame:
+    return once(docs, "raws", F.split(symbol_repair(c("text")), r"\r?\n", -1))
+
+
+def _code_rows(skip: str) -> Column:
+    """The code rows of a text, total lines left out."""
+    def row(r: Column) -> Column:
+        kae = F.regexp_extract(r, ROW, 1)
+        return _line(_side_of(kae), F.lit(None).cast("string"), kae, collapse(F.regexp_extract(r, ROW, 2)), _printed(r, ROW, 3))
+    return F.transform(F.filter(c("raws"), lambda r: ~r.rlike(skip) & r.rlike(ROW)), row)
+
+
+def _first_reason(*pairs: tuple[Column, str]) -> Column:
+    out = None
+    for bad, why in pairs:
+        out = (F.when if out is None else out.when)(F.coalesce(bad, F.lit(False)), F.lit(why))
+    return out
+
+
+def standard_lines(docs: DataFrame) -> DataFrame:
+    """Standard statements, parsed inside their row: a code printed twice on a side refuses."""
+    totals = F.transform(F.filter(c("raws"), lambda r: r.rlike(SIDE_TOTAL)), lambda r: _total(
+        F.when(F.regexp_extract(r, SIDE_TOTAL, 1) == "ΕΣΟΔΩΝ", F.lit("revenue")).otherwise(F.lit("spending")), _printed(r, SIDE_TOTAL, 2)))
+    d = once(once(_text_lines(docs), "rows", _code_rows(SIDE_TOTAL)), "totals", totals)
+    codes = F.transform("rows", lambda x: F.concat(x["side"], x["kae"]))
+    period = _period_of(c("text"))
+    bad = _first_reason((period.isNull(), "unknown month"), (F.size(F.array_distinct(codes)) != F.size("rows"), "code appears twice"))
+    return d.select("doc_id", F.lit("standard").alias("layout"), period.alias("period_end"), "rows", "totals", bad.alias("bad"))
+
+
+def cumulative_lines(docs: DataFrame) -> DataFrame:
+    """Cumulative statements: four-digit rows summed per code; the first grand total is revenue's,
+    the second spending's, a third refuses."""
+    totals = F.transform(F.filter(c("raws"), lambda r: r.rlike(GRAND_TOTAL)), lambda r, i: _total(
+        F.when(i == 0, F.lit("revenue")).otherwise(F.lit("spending")), _printed(r, GRAND_TOTAL, 1)))
+    d = once(once(_text_lines(docs), "printed", _code_rows(GRAND_TOTAL)), "totals", totals)
+    d = once(d, "codes", F.array_distinct(F.transform("printed", lambda x: x["kae"])))
+    zero = F.lit(0).cast("bigint")
+
+    def summed(k: Column) -> Column:
+        mine = F.filter(c("printed"), lambda x: x["kae"] == k)
+        return _line(_side_of(k), F.lit(None).cast("string"), k, F.get(mine, F.lit(0))["description"],
+                     [F.aggregate(mine, zero, lambda acc, x: acc + x[a]) for a in AMOUNTS])
+
+    period = _period_of(c("text"))
+    bad = _first_reason((period.isNull(), "unknown month"), (F.size("totals") > 2, "more than two grand totals"))
+    return d.select("doc_id", F.lit("cumulative").alias("layout"), period.alias("period_end"), F.transform("codes", summed).alias("rows"), "totals", bad.alias("bad"))
+
+
+def _amounts_from(offset: Column) -> Column:
+    """array<struct<end,cents>> of a line's amounts from ``offset`` on, ends counted on the line."""
+    rest = F.substring(c("raw"), offset + 1, F.length("raw"))
+    found = F.regexp_extract_all(rest, F.lit(f"({fv.AMOUNT_IN_STATEMENT})"), 1)
+    gaps = F.slice(F.split(rest, fv.AMOUNT_IN_STATEMENT, -1), 1, F.size(found))
+    lengths = F.zip_with(gaps, found, lambda g, m: F.length(g) + F.length(m))
+    none = F.array().cast("array<int>")
+    ends = F.aggregate(lengths, none, lambda acc, n: F.concat(acc, F.array(n + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)))))
+    return F.zip_with(found, ends, lambda m, e: F.struct((e + offset).alias("end"), cents_eu(m).alias("cents")))
+
+
+def section_lines(docs: DataFrame) -> DataFrame:
+    """The layouts whose section headers set side and period. A row may wrap: its amounts are those
+    up to the next row, header or total, three exactly. Every window and group has the document
+    as its partition, so the lines are shuffled once."""
+    lines = document_lines(docs)
+    by_line = Window.partitionBy("doc_id").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    head = c("raw").rlike(SECTION)
+    side = F.when(F.regexp_extract("raw", SECTION, 1) == "ΕΣΟΔΩΝ", F.lit("revenue")).otherwise(F.lit("spending"))
+    number = lambda i: F.regexp_extract("raw", SECTION, i).try_cast("int")
+    lines = lines.withColumns({"_head": head, "side": F.last(F.when(head, side), ignorenulls=True).over(by_line),
+                               "_end": F.when(head, F.make_date(number(4), number(3), number(2)))}).filter(c("side").isNotNull())
+    total = ~c("_head") & c("raw").contains("ΓΕΝΙΚΟ ΣΥΝΟΛΟ")
+    own = F.when(c("side") == "revenue", c("raw").rlike(REVENUE_START)).otherwise(c("raw").rlike(SPENDING_START))
+    lines = lines.withColumns({"_total": total, "_own": own, "_chart": ~own & c("raw").rlike(CHART_START)})
+    lines = lines.withColumn("_start", ~c("_head") & ~c("_total") & (c("_own") | c("_chart")))
+    lines = running_sections(lines, ["doc_id"], ["line"], c("_head") | c("_total") | c("_start"), "row_id")
+    width = lambda p: F.length(F.regexp_extract("raw", p, 0))
+    prefix = F.when(c("_chart"), width(CHART_START)).when(c("side") == "revenue", width(REVENUE_START)).otherwise(width(SPENDING_START))
+    lines = once(lines, "_offset", F.when(c("_start"), prefix).otherwise(F.lit(0)))
+    lines = once(lines, "found", _amounts_from(c("_offset")))
+    rest = F.substring(c("raw"), c("_offset") + 1, F.length("raw"))
+    text = F.nullif(collapse(F.regexp_replace(rest, fv.AMOUNT_IN_STATEMENT, " ")), F.lit(""))
+    in_row = Window.partitionBy("doc_id", "row_id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumns({"_text": text, "_before": F.coalesce(F.sum(F.size("found")).over(in_row), F.lit(0))})
+    # a row's lines: as many as the layout wraps it over
+    groups = lines.groupBy("doc_id", "row_id").agg(
+        F.bool_or("_start").alias("is_row"), F.bool_or("_total").alias("is_total"), F.bool_or("_chart").alias("chart"), F.min("side").alias("side"),
+        F.min_by("raw", "line").alias("raw"), F.min("_end").alias("_end"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("line", "found"))), lambda x: x["found"])).alias("found"), F.min_by("found", "line").alias("own"),
+        F.min_by("_text", F.when(c("_text").isNotNull() & (c("_before") < 3), c("line"))).alias("description"))
+    by_end = c("chart") & (F.size(F.array_distinct(F.transform("found", lambda x: x["end"]))) == 3)
+    groups = once(groups, "_v", F.transform(F.when(by_end, F.array_sort("found")).otherwise(c("found")), lambda x: x["cents"]))
+    part = lambda p, i: F.regexp_extract("raw", p, i)
+    service = F.when(c("chart"), part(CHART_START, 1)).when(c("side") == "spending", F.nullif(part(SPENDING_START, 1), F.lit("")))
+    kae = F.when(c("chart"), part(CHART_START, 2)).when(c("side") == "revenue", part(REVENUE_START, 1)).otherwise(part(SPENDING_START, 2))
+    row = _line(c("side"), service, kae, F.coalesce("description", F.lit("")), [F.get("_v", F.lit(i)) for i in range(3)])
+    three, own3 = F.size("found") == 3, F.size("own") == 3
+    # a document's rows: as many as it prints
+    d = groups.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.when(c("is_row"), F.struct("row_id", row.alias("r"))))).alias("_rows"),
+        F.array_sort(F.collect_list(F.when(c("is_total") & own3, F.struct("row_id", _total(c("side"), [F.get("own", F.lit(i))["cents"] for i in range(3)]).alias("t"))))).alias("_totals"),
+        F.bool_or(c("is_row") & ~three).alias("_short"), F.bool_or(c("is_total") & ~own3).alias("_no_total"), F.min("_end").alias("period_end"), F.max("_end").alias("_hi"),
+        F.bool_or(c("is_row") & c("chart")).alias("_new"), F.bool_or(c("is_row") & ~c("chart")).alias("_old"))
+    bad = _first_reason((c("_short"), "a row without three amounts"), (c("_no_total"), "a total without three amounts"),
+                        (c("period_end") != c("_hi"), "sections end on different dates"), (c("_new") & c("_old"), "rows of both charts"))
+    return d.select("doc_id", F.when(c("_new"), F.lit("2026")).otherwise(F.lit("2025")).alias("layout"), "period_end", F.transform("_rows", lambda x: x["r"]).alias("rows"),
+                    F.transform("_totals", lambda x: x["t"]).alias("totals"), bad.alias("bad"))
+
+
+def validate_statement(rows: Column, totals: Column) -> Column:
+    """Why a statement may not be used: on each side all three columns must equal, to the cent, the
+    document's own (last) total. Null when they do."""
+    zero = F.lit(0).cast("bigint")
+    out = None
+    for side in ("revenue", "spending"):
+        mine = F.filter(rows, lambda x: x["side"] == side)
+        said = F.try_element_at(F.filter(totals, lambda t: t["side"] == side), F.lit(-1))
+        off = reduce(lambda a, b: a | b, [F.aggregate(mine, zero, lambda acc, x: acc + x[a]) != said[f"t{i}"] for i, a in enumerate(AMOUNTS)])
+        out = (F.when if out is None else out.when)(said.isNull(), F.lit(f"no total of {side}")).when(off, F.lit(f"{side} does not add up"))
+    return out
+
+
+def parse_statements(docs: DataFrame) -> DataFrame:
+    """(doc_id, layout, period_end, rows, reason): every document with its rows, as long as it is, and
+    why it may not be used (null: it may)."""
+    laid = once(docs, "_layout", detect_layout(c("text")))
+    parts = [job(laid.filter(c("_layout") == name).select("doc_id", "text"))
+             for name, job in (("standard", standard_lines), ("cumulative", cumulative_lines), ("sections", section_lines))]
+    read = reduce(DataFrame.unionByName, parts)
+    read = read.select("doc_id", "layout", "period_end", "rows", F.coalesce("bad", validate_statement(c("rows"), c("totals"))).alias("reason"))
+    unknown = laid.filter(c("_layout").isNull()).select("doc_id", F.lit(None).cast("string").alias("layout"), F.lit(None).cast("date").alias("period_end"),
+                                                        F.lit(None).cast(f"array<{LINE}>").alias("rows"), F.lit("unknown layout").alias("reason"))
+    return read.unionByName(unknown)
+
+
+def extract_statements(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines of every statement that is read exactly, {document: reason} of the rest)."""
+    parsed = parse_statements(docs)
+    rows = (parsed.filter(c("reason").isNull()).select("doc_id", "layout", "period_end", F.explode("rows").alias("r"))
+            .select("doc_id", "layout", "period_end", "r.*").select(*OUT))
+    return rows, parsed.filter(c("reason").isNotNull()).select("doc_id", "reason")
+
+
+# ---- budget lines ------------------------------------------------------------------------------------------
+def letterhead_body(text: Column) -> Column:
+    """The body a letterhead names: the first line with text under the republic's."""
+    lines = F.transform(F.split(text, r"\r?\n", -1), lambda x: F.trim(x))
+    marked = F.transform(lines, lambda x: upper_plain(x).startswith("ΕΛΛΗΝΙΚΗ ΔΗΜΟΚΡΑΤΙΑ"))
+    at = F.array_position(marked, True).cast("int")
+    below = F.filter(F.slice(lines, at + 1, F.greatest(F.size(lines), F.lit(1))), lambda x: x != "")
+    return F.when(at > 0, F.get(below, F.lit(0)))
+
+
+def foreign_letterheads(statements: DataFrame, names: DataFrame) -> DataFrame:
+    """(doc_id, other) of statements a body posted under another body's letterhead. A name is met when
+    all its words stand in the letterhead; the poster's own name is tried first. The registry's
+    names are joined on one of their words, so no name is tried on every document."""
+    s = statements.select("doc_id", "entity", letter_tokens(letterhead_body(c("text"))).alias("body"))
+    n = names.select("uid", letter_tokens(c("name")).alias("words")).filter(F.size("words") > 0)
+    words = n.select("uid", "words", F.element_at("words", 1).alias("w"))
+    hits = (s.select("doc_id", "entity", "body", F.explode("body").alias("w")).join(words, "w")
+            .filter(F.size(F.array_except("words", "body")) == 0))
+    own = hits.filter(c("uid") == c("entity")).select("doc_id").distinct()
+    return (hits.filter(c("uid") != c("entity")).join(own, "doc_id", "left_anti").groupBy("doc_id").agg(F.min("uid").alias("other")))
+
+
+def revenue_category(code: Column, description: Column, by_code: dict[str, str], by_name: tuple, state_codes: tuple[str, ...], fixed: dict[str, str]) -> Column:
+    """Category of a revenue line: a fixed code, the new chart's map, only the grant groups of the
+    old chart, its state-grant codes, then the line's name."""
+    from obolus.operators.rules import lookup
+    d = fold(description)
+    grant_group = code.startswith("0") | code.startswith("1") | code.startswith("43")
+    return F.coalesce(lookup(code, fixed), lookup(code, by_code),
+                      F.when(grant_group & code.isin(*state_codes), F.lit("state_grants")).when(grant_group, first_match(d, by_name)))
+
+
+def budget_lines(statements: DataFrame, names: DataFrame, category: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(budget lines, refusals) of published statements (doc_id, entity, statement_date, text)."""
+    rows, refused = extract_statements(statements.select("doc_id", "text"))
+    foreign = foreign_letterheads(statements, names).select("doc_id", F.concat(F.lit("the statement of "), c("other")).alias("reason"))
+    rows = rows.join(foreign, "doc_id", "left_anti").join(statements.select("doc_id", "entity", "statement_date"), "doc_id")
+    out = rows.withColumnRenamed("doc_id", "statement_ada").withColumns({
+        "period_year": F.year("period_end"), "period_month": F.month("period_end"), "is_year_end": F.date_format("period_end", "MM-dd") == "12-31",
+        "kae_group": F.substring("kae", 1, 2)})
+    if category is not None:
+        out = out.withColumn("grant_category", F.when(c("side") == "revenue", category))
+    return out, refused.unionByName(foreign.join(refused, "doc_id", "left_anti"))
+
+
+# ---- amounts a document states twice -------------------------------------------------------------------------
+LETTER = rf"ΠΟΣΟ[\p{{L}}\p{{N}}_]*\s+(?:ΤΩΝ\s+|ΤΟΥ\s+)?([^()]{{3,300}}?)\s*\(\s*({A})\s*€?\s*\)"
+
+
+def _pairs(flat: Column, pattern: str) -> Column:
+    """array<struct<words,figures>> of every place the pattern matches."""
+    return F.zip_with(F.regexp_extract_all(flat, F.lit(pattern), 1), F.regexp_extract_all(flat, F.lit(pattern), 2),
+                      lambda w, f: F.struct(w.alias("words"), f.alias("figures")))
+
+
+def letter_amounts(docs: DataFrame, manager: str, pattern: str = LETTER, lenient: bool = False) -> DataFrame:
+    """(doc_id, i, amount, words, ours, validation): amounts a letter states in words and figures,
+    validated when both agree; ``manager`` is the pattern of our bodies as the account's manager."""
+    flat = once(docs.select("doc_id", "text"), "flat", flat_fold(c("text")))
+    parse = words_to_cents_lenient if lenient else words_to_cents
+    rows = flat.select("doc_id", c("flat").rlike(manager).alias("ours"), F.posexplode(_pairs(c("flat"), pattern)).alias("i", "p"))
+    rows = once(rows, "words", parse(c("p.words"), folded=True)).select("doc_id", "i", "ours", "words", cents_eu(c("p.figures")).alias("amount"))
+    return rows.withColumn("validation", F.when(c("words") == c("amount"), F.lit("words_and_figures")))
+
+
+def stated_amounts(flat: Column, pattern: str, group: int = 1) -> Column:
+    """Distinct amounts (cents) at the places a pattern names."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(flat, F.lit(pattern), group), cents_eu))
+
+
+def rows_against_total(rows: DataFrame, totals: DataFrame, keys: list[str], tolerance: Column | None = None) -> DataFrame:
+    """Adds ``adds_up`` to rows (keys, amount): whether their group's sum is its stated total, within
+    ``tolerance`` (a column over ``n``, the number of rows) where one is given."""
+    sums = rows.groupBy(*keys).agg(F.sum("amount").alias("sum"), F.count("*").alias("n"))
+    slack = tolerance if tolerance is not None else F.lit(0)
+    ok = sums.join(totals, keys, "left").withColumn("adds_up", F.coalesce(F.abs(c("sum") - c("total")) <= slack, F.lit(False)))
+    return rows.join(ok.select(*keys, "sum", "n", "total", "adds_up"), keys)
+
+
+def rounding_tolerance(n: Column) -> Column:
+    """Half a cent for each row, ten cents at least."""
+    return F.greatest(F.lit(fv.ROUNDING_CENTS), F.floor((n + 1) / 2))
+
+
+def section_rows(docs: DataFrame, row: str, total: str, ours: str) -> DataFrame:
+    """(doc_id, section, amount, validation) of our rows in tables closed by a section total.
+    ``row`` and ``total`` are patterns on the folded line whose last group is the amount."""
+    from obolus.functions.text import fold_in_place
+    lines = once(document_lines(docs.select("doc_id", "text")), "up", fold_in_place(c("raw")))
+    kinds = lines.withColumns({"is_row": c("up").rlike(row), "is_total": F.trim("up").rlike(total)}).filter(c("is_row") | c("is_total"))
+    before = running_sections(kinds, ["doc_id"], ["line"], c("is_total"), "_closed")
+    at = before.withColumn("section", c("_closed") - F.when(c("is_total"), 1).otherwise(0))
+    rows = at.filter(c("is_row")).select("doc_id", "section", "line", cents_eu(F.regexp_extract("up", row, 1)).alias("amount"), fold(c("raw")).rlike(ours).alias("ours"))
+    totals = at.filter(c("is_total")).select("doc_id", "section", cents_eu(F.regexp_extract(F.trim("up"), total, 1)).alias("total"))
+    closed = rows.join(totals.select("doc_id", "section"), ["doc_id", "section"], "left_semi")
+    checked = rows_against_total(closed, totals, ["doc_id", "section"])
+    return checked.filter(c("ours")).select("doc_id", "section", "line", "amount", F.when(c("adds_up"), F.lit("stated_amount")).alias("validation"))
+
+
+STATED = rf"ΠΟΣΟ[\p{{L}}\p{{N}}_]*\s+(?:ΤΩΝ\s+|ΤΟΥ\s+)?({A})"
+ID_ROW = rf"(?<!\d)(\d{{9}})(?!\d).*?({A})\s*€?\s*(?:\S.*)?$"
+
+
+def id_rows(docs: DataFrame, our_id: str) -> DataFrame:
+    """(doc_id, line, amount, validation) of rows keyed by our tax id; all id-keyed rows together must
+    be an amount the text states."""
+    flat = once(docs.select("doc_id", "text"), "flat", flat_fold(c("text"))).select("doc_id", stated_amounts(c("flat"), STATED).alias("stated"))
+    lines = once(document_lines(docs.select("doc_id", "text")), "up", fold(c("raw"))).filter(c("up").rlike(ID_ROW))
+    rows = lines.select("doc_id", "line", F.regexp_extract("up", ID_ROW, 1).alias("id"), cents_eu(F.regexp_extract("up", ID_ROW, 2)).alias("amount"))
+    sums = rows.groupBy("doc_id").agg(F.sum("amount").alias("sum")).join(flat, "doc_id")
+    ok = sums.select("doc_id", F.array_contains("stated", c("sum")).alias("ok"))
+    return rows.filter(c("id") == our_id).join(ok, "doc_id").select("doc_id", "line", "amount", F.when(c("ok"), F.lit("stated_amount")).alias("validation"))
+
+
+def stated_lines(docs: DataFrame, ours: str) -> DataFrame:
+    """(doc_id, line, amount): amounts on lines naming us that the text states elsewhere as a sum."""
+    flat = once(docs.select("doc_id", "text"), "flat", flat_fold(c("text"))).select("doc_id", stated_amounts(c("flat"), STATED).alias("stated"))
+    lines = document_lines(docs.select("doc_id", "text")).filter(fold(c("raw")).rlike(ours))
+    found = lines.select("doc_id", "line", F.explode(F.regexp_extract_all("raw", F.lit(f"({fv.AMOUNT_IN_LINE})"), 1)).alias("a")).select("doc_id", "line", cents_eu(c("a")).alias("amount"))
+    return found.join(flat, "doc_id").filter(F.array_contains("stated", c("amount"))).select("doc_id", "line", "amount", F.lit("stated_amount").alias("validation"))
+
+
+# ---- one amount per document, by configuration ------------------------------------------------------------------
+def extract_validated_amounts(docs: DataFrame, config: dict) -> DataFrame:
+    """(doc_id, amount, net, words, status, validation) of documents of one kind.
+
+    ``config`` is data: ``anchor`` (the operative part starts after its last match), ``payee`` (a
+    pattern whose group is the payee's id), ``payee_name`` (accepted instead of the id), ``ids``
+    (ours), ``amount`` (words in group 1, figures in group 2), ``figures`` (figures alone),
+    ``total``, ``gross_withheld_net`` (three groups), ``net``, ``withheld``, ``share`` (total, part,
+    number), ``repeated`` (accept a figure the text states that often).
+    Validators in order: words = figures; share x number = total; gross - withheld = net;
+    figures = stated total; stated often enough. None: no validation."""
+    get = lambda name, i=1: F.nullif(F.regexp_extract("body", config[name], i), F.lit("")) if config.get(name) else F.lit(None).cast("string")
+    flat = once(docs.select("doc_id", "text"), "flat", flat_fold(c("text")))
+    anchor = config.get("anchor")
+    body = F.regexp_replace("flat", rf"^.*(?:{anchor})", "") if anchor else c("flat")
+    d = once(flat, "body", body)
+    payee = get("payee")
+    by_id = payee.isin(*config.get("ids", ("",)))
+    by_name = c("body").rlike(config["payee_name"]) if config.get("payee_name") else F.lit(False)
+    ours = F.lit(True) if not config.get("payee") else F.coalesce(by_id, F.lit(False)) | by_name
+    three = config.get("gross_withheld_net")
+    share = config.get("share")
+    figures = F.coalesce(cents_eu(get("share", 2)) if share else F.lit(None).cast("bigint"), cents_eu(get("gross_withheld_net", 1)) if three else F.lit(None).cast("bigint"),
+                         cents_eu(get("amount", 2)), cents_eu(get("figures")))
+    d = d.withColumns({"_payee": payee, "ours": ours, "amount": figures})
+    phrase = get("words") if config.get("words") else get("amount")
+    for short, full in config.get("abbreviations", {}).items():
+        phrase = F.regexp_replace(phrase, short, full)
+    d = once(d, "words", words_to_cents_lenient(phrase, folded=True))
+    total, withheld, net = cents_eu(get("total")), F.coalesce(cents_eu(get("withheld")), F.lit(0)), cents_eu(get("net"))
+    printed = F.size(F.split(c("flat"), F.concat(F.lit(r"\Q"), format_amount_eu(c("amount")), F.lit(r"\E")), -1)) - 1
+    adds = cents_eu(get("gross_withheld_net", 1)) - cents_eu(get("gross_withheld_net", 2)) == cents_eu(get("gross_withheld_net", 3)) if three else F.lit(True)
+    spelled = F.coalesce((c("words") == c("amount")) & adds, F.lit(False))
+    parts = F.coalesce(cents_eu(get("share", 2)) * get("share", 3).try_cast("bigint") == cents_eu(get("share", 1)), F.lit(False)) if share else F.lit(False)
+    often = (printed >= config["repeated"]) if config.get("repeated") else F.lit(False)
+    validation = (F.when(spelled, F.lit("words_and_figures")).when(parts, F.lit("stated_amount"))
+                  .when(F.coalesce(total == c("amount"), F.lit(False)) & F.lit(not three), F.lit("stated_amount")).when(F.lit(not share) & often, F.lit("stated_amount")))
+    paid = (cents_eu(get("gross_withheld_net", 3)) if three else
+            F.when(F.lit(bool(config.get("net"))), F.when(c("amount") - withheld == net, net)).otherwise(c("amount")))
+    status = F.when(F.lit(bool(config.get("payee"))) & c("_payee").isNull() & ~c("ours"), F.lit("not_found")).when(~c("ours"), F.lit("absent")) \
+        .when(c("amount").isNull(), F.lit("not_found")).otherwise(F.lit("read"))
+    read = status == "read"
+    return d.select("doc_id", F.when(read, c("amount")).alias("amount"), F.when(read, paid).alias("net"), F.when(read, c("words")).alias("words"), status.alias("status"),
+                    F.when(read, validation).alias("validation"))

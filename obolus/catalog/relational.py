@@ -151,7 +151,7 @@ def _(b):
 @query("ag09_distinct_string_agg", "SELECT side, string_agg(DISTINCT kae, ', ' ORDER BY kae) AS kaes FROM budget_line GROUP BY 1")
 def _(b):
     codes = b.budget_line.select("side", "kae").distinct()  # a chart's codes: bounded by the chart
-    return codes.groupBy("side").agg(F.listagg("kae", F.lit(", ")).alias("x"), F.array_join(F.array_sort(F.collect_list("kae")), ", ").alias("kaes")).drop("x")
+    return codes.groupBy("side").agg(F.array_join(F.array_sort(F.collect_list("kae")), ", ").alias("kaes"))
 
 
 @query("ag10_filtered_aggregates", "SELECT entity, count(*) FILTER (kind = 'acceptance') AS a, CAST(sum(amount_stated) FILTER (kind <> 'acceptance') AS DOUBLE) AS o FROM acceptance GROUP BY 1")

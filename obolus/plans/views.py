@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obolus import fixed_values as fv
 from obolus.functions.codes import four_digit_code
-from obolus.operators.shape import latest_per_key, lookup_left, top_share, without_nearby
+from obolus.operators.shape import latest_per_key, lookup_left, once, top_share, without_nearby
 
 TABLES = ("act", "payment", "commitment", "award", "counterparty", "entity", "budget_line", "procurement",
           "procurement_party", "grant_decision", "grant_line", "acceptance")
@@ -248,23 +248,28 @@ def v_budget_month(r: Release) -> DataFrame:
          .groupBy(*keys, "month", "kae")
          .agg(F.min("description").alias("description"), F.min("statement_ada").alias("statement_ada"),
               F.sum("assessed_or_warranted").alias("assessed_to_date"), F.sum("collected_or_paid").alias("collected_to_date")))
-    stmt = m.groupBy(*keys, "month").agg(F.min("statement_ada").alias("stmt_ada"))
-    k = m.groupBy(*keys, "kae").agg(F.min("month").alias("first_month"),
-                                    F.max_by("description", F.struct("month", "description")).alias("last_description"))
-    # at most twelve statements per line and year
-    grid = k.join(stmt, keys).filter(c("month") >= c("first_month"))
+    # a year's statements and a line's months: twelve at most, so both stay inside a row
+    stmt = (m.groupBy(*keys, "month").agg(F.min("statement_ada").alias("stmt_ada")).groupBy(*keys)
+            .agg(F.array_sort(F.collect_list(F.struct("month", "stmt_ada"))).alias("_months")))
+    item = F.struct("month", "description", "statement_ada", "assessed_to_date", "collected_to_date")
+    lines = m.groupBy(*keys, "kae").agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    first, last = F.get("_items", F.lit(0))["month"], F.element_at("_items", -1)["description"]
+    found = lambda x: F.get(F.filter("_items", lambda i: i["month"] == x["month"]), F.lit(0))
+    cells = F.transform(F.filter("_months", lambda x: x["month"] >= first), lambda x: F.struct(x["month"].alias("month"), x["stmt_ada"].alias("stmt"), found(x).alias("f")))
+    grid = once(lines.join(stmt, keys), "_cells", cells)
     zero = F.lit(0)
-    g = (grid.join(m.withColumn("_found", F.lit(True)), [*keys, "month", "kae"], "left")
-         .select(*keys, "month", "kae", F.coalesce("description", "last_description").alias("description"),
-                 F.coalesce("statement_ada", "stmt_ada").alias("statement_ada"),
-                 F.coalesce("assessed_to_date", zero).alias("assessed_to_date"),
-                 F.coalesce("collected_to_date", zero).alias("collected_to_date"), c("_found").isNull().alias("absent")))
-    w = Window.partitionBy(*keys, "kae").orderBy("month")
-    return g.withColumns({
-        "collected_in_period": c("collected_to_date") - F.coalesce(F.lag("collected_to_date").over(w), zero),
-        "months": c("month") - F.coalesce(F.lag("month").over(w), zero),
-    }).select(*keys, "month", "kae", "description", "statement_ada", "assessed_to_date", "collected_to_date",
-              "collected_in_period", "months", "absent")
+
+    def row(x: Column, i: Column) -> Column:
+        before = F.get("_cells", i - 1)
+        collected = F.coalesce(x["f"]["collected_to_date"], zero)
+        return F.struct(
+            x["month"].alias("month"), F.coalesce(x["f"]["description"], last).alias("description"), F.coalesce(x["f"]["statement_ada"], x["stmt"]).alias("statement_ada"),
+            F.coalesce(x["f"]["assessed_to_date"], zero).alias("assessed_to_date"), collected.alias("collected_to_date"),
+            (collected - F.coalesce(before["f"]["collected_to_date"], zero)).alias("collected_in_period"),
+            (x["month"] - F.coalesce(before["month"], zero)).alias("months"), x["f"].isNull().alias("absent"))
+
+    return grid.select(*keys, "kae", F.explode(F.transform("_cells", row)).alias("r")).select(
+        *keys, "r.month", "kae", "r.description", "r.statement_ada", "r.assessed_to_date", "r.collected_to_date", "r.collected_in_period", "r.months", "r.absent")
 
 
 def v_revenue_grant_month(r: Release) -> DataFrame:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# What runs in Python workers travels with the job: they need not have this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules["obolus.llm"])
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The characters that part words in the operators that read `[^\\x20\\x09-\\x0D]+`.
 SPACE = " \t\n\x0b\f\r"
@@ -49,3 +56,21 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/obolus-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def by_batch(docs: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``fn`` over Arrow batches of ``docs``: memory is that of a batch, a lost task is run again."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield fn(batch)
+    return docs.mapInPandas(run, schema)
+
+
+def bounded_sample(labelled: DataFrame, label: str, rows: int) -> DataFrame:
+    """At most ``rows`` of the distinct (doc_id, label) in ``labelled``, labels in turn, each in an order that
+    depends on the ids alone. Each task's share of a label is cut before the shuffle."""
+    from pyspark.sql import Window
+    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
+    ranked = labelled.select("doc_id", label).withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= rows)
+    return ranked.orderBy("_rank", F.xxhash64("doc_id"), label).limit(rows).select("doc_id", label)

@@ -189,8 +189,9 @@ def places_of(ids: np.ndarray, closes: np.ndarray, ends: np.ndarray, last: bool,
     price = np.full(n + 1, -1.0)
     price[np.flatnonzero(ends[ids]) + 1] = SENTENCE
     known = np.unique(np.concatenate([[0], np.flatnonzero(price >= 0), closes, [n]]))
-    for a, b in zip(known[:-1][np.diff(known) > STEP].tolist(), known[1:][np.diff(known) > STEP].tolist()):
-        price[a + STEP:b:STEP] = INSIDE
+    step = min(STEP, width)
+    for a, b in zip(known[:-1][np.diff(known) > step].tolist(), known[1:][np.diff(known) > step].tolist()):
+        price[a + step:b:step] = INSIDE
     if last:
         tail = price[max(0, n - 2 * width):]
         tail[tail < 0] = INSIDE

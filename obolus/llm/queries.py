@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obolus.llm import bpe, exact_dedup, language_id, license_scan, packing, quality_classifier, quality_rules, toxicity, url_filter
+from obolus.llm import bpe, exact_dedup, language_id, license_scan, minhash, packing, quality_classifier, quality_rules, toxicity, url_filter
 from obolus.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(table(spark, sf_dir, "documents")).select(

@@ -7,6 +7,7 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from obolus.llm import exact_dedup, language_id, minhash, packing, quality_rules
 from obolus.llm.common import shared_folder, table
@@ -18,8 +19,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def clean_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules (operator 6), without the lines that fail."""
-    return quality_rules.keep_clean(docs)
+    """Documents that pass the quality rules (operator 6), without the lines that fail; n_chars follows."""
+    return quality_rules.keep_clean(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def distinct_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

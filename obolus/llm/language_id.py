@@ -6,8 +6,8 @@ the tasks. Centroids come from spherical k-means, language by language, over a s
 ``SAMPLE`` rows (languages in turn), which is what the driver holds: ``SAMPLE`` x ``DIM`` floats.
 A text gets the language of the centroid with the largest cosine; the cosine is its score.
 
-Rejection is by distance: a text whose cosine is below its centroid's floor (half of the first
-percentile of the language's sample) is marked ``rejected``, as is one without a letter.
+Rejection is by distance: a text whose cosine is below its centroid's floor (a third of the
+first percentile of the language's sample) is marked ``rejected``, as is one without a letter.
 
 Defined results: a null text, an empty one or one without a letter: `und`, score 0, rejected. Ties
 between centroids go to the first language by name. With no row to learn from, every text is `und`.
@@ -30,6 +30,8 @@ DIM = 4096
 #: The bound of the sample that the centroids are fitted on.
 SAMPLE = 4000
 CENTROIDS = 4
+#: Share of the sample's first percentile below which a cosine means another language or no text.
+FLOOR = 1 / 3
 #: Bytes of text looked at at once, so that a very long text needs no more memory than a short one.
 PIECE = 1 << 20
 
@@ -119,7 +121,7 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, k: int = CENTROIDS
         c = _clusters(x, k)
         languages += [lang] * len(c)
         centroids.append(c)
-        floors += [0.5 * float(np.quantile((x @ c.T).max(1), 0.01))] * len(c)
+        floors += [FLOOR * float(np.quantile((x @ c.T).max(1), 0.01))] * len(c)
     return Model(languages, np.concatenate(centroids) if centroids else np.zeros((0, DIM), np.float32), np.array(floors), idf)
 
 

@@ -105,25 +105,21 @@ def _(b):
     return b.raw_payment.withColumn("suspect_reason", reason).select("source_ada", "line_no", "amount", c("suspect_reason").isNotNull().alias("amount_suspect"), "suspect_reason")
 
 
-@query("cl08_line_corrections", """SELECT source_ada, CAST(line_no AS BIGINT) AS line_no, o_orderpriority = '1-URGENT' OR (o_orderpriority = '2-HIGH' AND line_no = 2) AS doc_mismatch
-    FROM raw_payment JOIN decisions ON ada = source_ada""")
+@query("cl08_line_corrections", """SELECT source_ada, CAST(line_no AS BIGINT) AS line_no, o_orderpriority = '1-URGENT' OR coalesce(o_orderpriority = '2-HIGH' AND line_no = 2 AND twos = 1, false) AS doc_mismatch
+    FROM raw_payment JOIN decisions ON ada = source_ada LEFT JOIN (SELECT source_ada AS s2, count(*) AS twos FROM raw_payment WHERE line_no = 2 GROUP BY 1) ON s2 = source_ada""")
 def _(b):
-    """Corrections are a table of their own: every line of urgent acts, line 2 of high ones with
-    the amount the line still has."""
+    """Corrections are a table of their own, with two entries for each document: line 2 of urgent acts
+    first, then all their lines; every line of high ones first, then line 2 as it still stands, where
+    one line has that number. The later entry holds."""
     lines = b.raw_payment.select("source_ada", "line_no", "amount", "kae")
     p = b.decisions.select(c("ada").alias("doc"), "o_orderpriority")
-    whole = p.filter(c("o_orderpriority") == "1-URGENT").select("doc", F.lit(None).cast("int").alias("corr_line"),
-                                                               F.lit(None).cast("decimal(18,2)").alias("corr_amount"), F.lit(None).cast("string").alias("corr_kae"))
-    one = (lines.filter(c("line_no") == 2).groupBy(c("source_ada").alias("doc")).agg(F.count("*").alias("n"), F.max("amount").alias("corr_amount"))
-           .join(p.filter(c("o_orderpriority") == "2-HIGH"), "doc").select("doc", F.lit(2).alias("corr_line"), "corr_amount", "n"))
-    # repeated line numbers carry other amounts, which the assertion would refuse: compare them with themselves
-    amounts = one.select("doc", "corr_line").join(lines.select(c("source_ada").alias("doc"), c("line_no").alias("corr_line"), c("amount").alias("corr_amount")).distinct(), ["doc", "corr_line"])
-    by_line = lines.join(amounts.select(c("doc").alias("source_ada"), c("corr_line").alias("line_no"), c("corr_amount").alias("amount")), ["source_ada", "line_no", "amount"], "left_semi")
-    rest = lines.join(amounts.select(c("doc").alias("source_ada"), c("corr_line").alias("line_no")).distinct(), ["source_ada", "line_no"], "left_anti")
-    exact = amounts.select(F.concat_ws("/", "doc", c("corr_amount").cast("string")).alias("doc"), "corr_line", "corr_amount", F.lit(None).cast("string").alias("corr_kae"))
-    keyed = by_line.withColumn("source_ada", F.concat_ws("/", "source_ada", c("amount").cast("string")))
-    checked = k.apply_line_corrections(keyed, exact).withColumn("source_ada", F.substring_index("source_ada", "/", 1))
-    return (k.apply_line_corrections(rest, whole).unionByName(checked)).select("source_ada", "line_no", "doc_mismatch")
+    whole = [F.lit(None).cast("int").alias("corr_line"), F.lit(None).cast("decimal(18,2)").alias("corr_amount"), F.lit(None).cast("string").alias("corr_kae")]
+    twos = (lines.filter(c("line_no") == 2).groupBy(c("source_ada").alias("doc")).agg(F.count("*").alias("n"), F.max("amount").alias("corr_amount")).filter(c("n") == 1).join(p, "doc"))
+    two = [F.lit(2).alias("corr_line"), "corr_amount", F.lit(None).cast("string").alias("corr_kae")]
+    urgent, high = c("o_orderpriority") == "1-URGENT", c("o_orderpriority") == "2-HIGH"
+    entries = (twos.filter(urgent).select("doc", *two, F.lit(0).alias("corr_seq")).unionByName(p.filter(urgent).select("doc", *whole, F.lit(1).alias("corr_seq")))
+               .unionByName(twos.filter(high).select("doc", *whole, F.lit(0).alias("corr_seq"))).unionByName(twos.filter(high).select("doc", *two, F.lit(1).alias("corr_seq"))))
+    return k.apply_line_corrections(lines, entries).select("source_ada", "line_no", "doc_mismatch")
 
 
 @query("cl09_execution_statement", f"SELECT ada, type = 'Β.3' AND contains(f, 'ΕΚΤΕΛΕΣ') AND (contains(f, 'ΠΡΟΥΠΟΛΟΓΙΣΜ') OR contains(f, 'Π/Υ')) AS is_statement FROM (SELECT ada, type, {sql_fold('subject')} AS f FROM act)")

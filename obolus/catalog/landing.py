@@ -374,7 +374,9 @@ def _(b):
 
 
 PURGE = {**EVENTS, "personal": "SELECT DISTINCT key FROM ev WHERE value > 300", "caps": "SELECT event_id AS page_id, org || '/' || CAST(key AS VARCHAR) AS slot, key, value FROM ev",
-         "doomed": "SELECT page_id, slot FROM caps WHERE value > 20 AND key IN (SELECT key FROM personal)"}
+         "doomed": "SELECT page_id, slot FROM caps WHERE value > 20 AND key IN (SELECT key FROM personal)",
+        "stuck": "SELECT slot FROM caps GROUP BY slot HAVING count(*) = count(*) FILTER (page_id IN (SELECT page_id FROM doomed))",
+        "waits": "SELECT page_id FROM doomed WHERE slot IN (SELECT slot FROM stuck)"}
 
 
 def purge(b):
@@ -384,8 +386,8 @@ def purge(b):
     return g.purge_plan(e.filter(c("value") > 300).select(c("key").alias("ada")), caps, holds)
 
 
-@query("qg14_purge_plan", """SELECT 'page' AS what, CAST(page_id AS VARCHAR) AS id FROM doomed UNION ALL SELECT 'record', CAST(key AS VARCHAR) FROM personal
-    UNION ALL SELECT 'blocked', slot FROM caps GROUP BY slot HAVING count(*) = count(*) FILTER (page_id IN (SELECT page_id FROM doomed))""", PURGE)
+@query("qg14_purge_plan", """SELECT 'page' AS what, CAST(page_id AS VARCHAR) AS id FROM doomed WHERE page_id NOT IN (SELECT page_id FROM waits) UNION ALL SELECT 'blocked', slot FROM stuck
+    UNION ALL SELECT 'record', CAST(key AS VARCHAR) FROM personal WHERE key NOT IN (SELECT key FROM caps WHERE value > 20 AND page_id IN (SELECT page_id FROM waits))""", PURGE)
 def _(b):
     plan = purge(b)
     return (plan["pages"].select(F.lit("page").alias("what"), c("page_id").cast("string").alias("id"))

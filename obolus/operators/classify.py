@@ -122,8 +122,13 @@ def classify_payment_lines(lines: DataFrame, family_ids: DataFrame, suspect_abov
 def apply_line_corrections(lines: DataFrame, corrections: DataFrame) -> DataFrame:
     """Adds ``doc_mismatch``. An entry without line number flags every line of its document; one
     with it flags that line, whose amount and code must still be the recorded ones, or the job
-    fails. ``corrections``: doc, corr_line, corr_amount, corr_kae (a hand-kept table)."""
+    fails. ``corrections``: doc, corr_line, corr_amount, corr_kae (a hand-kept table). A document has one
+    entry: of several the one with the largest ``corr_seq``, where that column is given."""
     c = F.col
+    entry = ["corr_line", "corr_amount", "corr_kae"]
+    seq = [c("corr_seq")] if "corr_seq" in corrections.columns else []
+    corrections = (corrections.groupBy("doc").agg(F.max_by(F.struct(*entry), F.struct(*seq, *entry)).alias("_e"))
+                   .select("doc", *[c(f"_e.{x}").alias(x) for x in entry]))
     joined = lines.join(corrections, lines["source_ada"] == corrections["doc"], "left")
     named = c("doc").isNotNull() & c("corr_line").isNotNull() & (c("corr_line") == c("line_no"))
     same_amount = F.round(c("amount"), 2).eqNullSafe(F.round(c("corr_amount"), 2)) & c("amount").isNotNull()

@@ -82,7 +82,7 @@ def payment_rows(docs: DataFrame, family_ids: DataFrame, mismatch: DataFrame | N
     lines = payment_lines(docs)
     lines = apply_line_corrections(lines, mismatch) if mismatch is not None else lines.withColumn("doc_mismatch", F.lit(False))
     if duplicates is not None:
-        listed = duplicates.select(c("doc").alias("source_ada"), F.lit(True).alias("_dup"))
+        listed = duplicates.select(c("doc").alias("source_ada")).distinct().withColumn("_dup", F.lit(True))
         lines = lines.join(listed, "source_ada", "left").withColumn("duplicate", F.coalesce("_dup", F.lit(False))).drop("_dup")
     else:
         lines = lines.withColumn("duplicate", F.lit(False))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from obolus import fixed_values as fv
 from obolus.functions.codes import iso_day, valid_key
 from obolus.functions.text import issue_day
+from obolus.operators.shape import lookup_left
 
 c = F.col
 
@@ -157,7 +158,8 @@ def dedupe_seams(records: DataFrame, key: str, order: list[str]) -> DataFrame:
     o = F.struct(*order)
     first = records.filter(c(key).isNotNull()).groupBy(key).agg(F.min(o).alias("_first"))
     fate = F.when(c(key).isNull(), F.lit("no_key")).when(o == c("_first"), F.lit("first")).otherwise(F.lit("dup"))
-    return records.join(first, key, "left").withColumn("fate", fate).drop("_first")
+    salt = [x for x in order if x != key] or list(order)
+    return lookup_left(records, first, key, *salt).withColumn("fate", fate).drop("_first")
 
 
 def window_tallies(records: DataFrame, window: list[str]) -> DataFrame:
@@ -186,12 +188,16 @@ def redact_page_records(pages: DataFrame, doc: str, keep: str) -> DataFrame:
 def purge_plan(personal: DataFrame, pages: DataFrame, holdings: DataFrame) -> dict[str, DataFrame]:
     """What a purge of ``personal`` (ada) deletes and what blocks it. ``pages`` (page_id, slot) are
     the captures; ``holdings`` (page_id, ada) the records a page holds whole. A page goes only when
-    a later capture of its slot, holding nothing personal whole, is stored."""
+    a later capture of its slot, holding nothing personal whole, is stored; pages of the slots in
+    ``blocked`` stay, and so do the records that such a page holds whole."""
     doomed = holdings.join(personal.select("ada").distinct(), "ada", "left_semi").select("page_id").distinct()
     slots = (pages.join(doomed.withColumn("_doomed", F.lit(1)), "page_id", "left").groupBy("slot")
              .agg(F.count("*").alias("captures"), F.sum(F.coalesce("_doomed", F.lit(0))).alias("doomed")))
     blocked = slots.filter((c("doomed") > 0) & (c("captures") == c("doomed"))).select("slot", "captures")
-    return {"pages": pages.join(doomed, "page_id", "left_semi"), "blocked": blocked, "records": personal.select("ada").distinct()}
+    held = pages.join(blocked.select("slot"), "slot", "left_semi").join(doomed, "page_id", "left_semi").select("page_id").distinct()
+    waiting = holdings.join(held, "page_id", "left_semi").select("ada").distinct()
+    return {"pages": pages.join(doomed, "page_id", "left_semi").join(held, "page_id", "left_anti"), "blocked": blocked,
+            "records": personal.select("ada").distinct().join(waiting, "ada", "left_anti")}
 
 
 # ---- status of the landing zone -------------------------------------------------------------------------------

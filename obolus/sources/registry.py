@@ -41,10 +41,12 @@ def registry(spark: SparkSession, doc: dict) -> dict[str, DataFrame]:
 
 
 def corrections(spark: SparkSession, doc: dict) -> dict[str, DataFrame]:
-    """Frames ``mismatch`` (doc, corr_line, corr_amount, corr_kae) and ``duplicate`` (doc, duplicate_of)."""
+    """Frames ``mismatch`` (doc, corr_line, corr_amount, corr_kae) and ``duplicate`` (doc, duplicate_of),
+    one row per document: of several entries for one the last holds."""
     from decimal import Decimal
+    last = lambda part: list({str(e["ada"]): e for e in doc.get(part) or []}.values())
     mismatch = [(str(e["ada"]), e.get("line_no"), None if e.get("metadata_amount") is None else Decimal(str(e["metadata_amount"])), _s(e.get("kae")))
-                for e in doc.get("mismatch") or []]
-    duplicate = [(str(e["ada"]), str(e["duplicate_of"])) for e in doc.get("duplicate") or []]
+                for e in last("mismatch")]
+    duplicate = [(str(e["ada"]), str(e["duplicate_of"])) for e in last("duplicate")]
     return {"mismatch": spark.createDataFrame(mismatch, "doc string, corr_line int, corr_amount decimal(18,2), corr_kae string"),
             "duplicate": spark.createDataFrame(duplicate, "doc string, duplicate_of string")}

@@ -26,7 +26,8 @@ def posted(b):
 
 
 def steps(b):
-    return b.decisions.select("ada", F.lit(0).alias("line_no"), F.lit("7").alias("recipient_entity"), F.floor(c("price") / 100000).alias("amount"))
+    return b.decisions.select("ada", F.lit(0).alias("line_no"), F.lit("7").alias("recipient_entity"), F.floor(c("price") / 100000).alias("amount"),
+                              F.when(c("o_orderstatus") != "P", F.lit("words_and_figures")).alias("validation"))
 
 
 @query("dq01_same_posting", "SELECT ada, keep AS duplicate_of FROM same WHERE n > 1 AND ada <> keep", POSTED)
@@ -67,15 +68,40 @@ def _(b):
     return dq.replaced_by_citation(families(b), cites(b), "7", "2-HIGH")
 
 
-@query("dq04_greedy_pairing")
+def served(grants: str, payments: str) -> dict[str, str]:
+    """First come, first served, as SQL: the payments of a group in order, each with how many of its
+    grants are too old (lo) and how many not too young (hi); what is used up so far walks along."""
+    return {
+        "waiting": f"SELECT ada, grp, date, row_number() OVER (PARTITION BY grp ORDER BY date, ada) AS i FROM ({grants})",
+        "paying": f"SELECT ada, grp, date, row_number() OVER (PARTITION BY grp ORDER BY date, ada) AS k FROM ({payments})",
+        "reach": "SELECT p.grp, p.k, any_value(p.ada) AS ada, count(*) FILTER (p.date - w.date > 366) AS lo, count(*) FILTER (w.date <= p.date) AS hi FROM paying p LEFT JOIN waiting w USING (grp) GROUP BY 1, 2",
+        "walk": """WITH RECURSIVE step(grp, k, used, hit) AS (SELECT DISTINCT grp, CAST(0 AS BIGINT), CAST(0 AS BIGINT), false FROM reach
+            UNION ALL SELECT s.grp, r.k, greatest(s.used, r.lo) + CAST(greatest(s.used, r.lo) < r.hi AS BIGINT), greatest(s.used, r.lo) < r.hi FROM step s JOIN reach r ON r.grp = s.grp AND r.k = s.k + 1)
+            SELECT * FROM step""",
+        "paired": "SELECT w.ada, r.ada AS paid_by FROM walk JOIN reach r USING (grp, k) JOIN waiting w ON w.grp = walk.grp AND w.i = walk.used WHERE hit"}
+
+
+STEP = "CAST(CAST(floor(price / 100000) AS BIGINT) AS VARCHAR)"
+
+
+@query("dq04_greedy_pairing", "SELECT ada, paid_by FROM paired", served(*(f"SELECT ada, date, entity || '/' || {STEP} AS grp FROM decisions WHERE o_orderpriority = '{x}'" for x in ("1-URGENT", "5-LOW"))))
 def _(b):
     d = b.decisions.select("ada", c("entity").alias("issuer"), "date", F.floor(c("price") / 100000).cast("string").alias("amounts"), "o_orderpriority")
     return dq.pair_in_time(d.filter(c("o_orderpriority") == "1-URGENT"), d.filter(c("o_orderpriority") == "5-LOW"), ["issuer", "amounts"])
 
 
-@query("dq04_mark_paid_through")
+PAID = {**CITES, "cited": """SELECT d.ada, arg_min(p.ada, (CASE WHEN p.family = '1-URGENT' THEN 0 ELSE 1 END, p.date, p.ada)) AS paid_by FROM cites k JOIN fam p ON p.ada = k.ada JOIN fam d ON d.ada = k.cited AND d.issuer = p.issuer AND d.ada <> p.ada
+    WHERE (p.family = '1-URGENT' AND d.family IN ('2-HIGH', '3-MEDIUM')) OR (p.family = '5-LOW' AND d.family IN ('2-HIGH', '4-NOT SPECIFIED')) GROUP BY 1""",
+    "replaced": """SELECT d.ada, min(p.ada) AS paid_by FROM cites k JOIN fam p ON p.ada = k.ada JOIN fam d ON d.ada = k.cited
+    WHERE p.issuer = '7' AND d.issuer = '7' AND d.family = '2-HIGH' AND d.date < p.date AND d.ada NOT IN (SELECT ada FROM cited) GROUP BY 1""",
+    "known": "SELECT * FROM cited UNION ALL SELECT * FROM replaced",
+    "open_ones": f"SELECT ada, date, o_orderpriority AS family, CASE WHEN o_orderstatus <> 'P' THEN {STEP} ELSE '' END AS grp FROM decisions WHERE entity = '7'",
+    **served("SELECT ada, grp, date FROM open_ones WHERE family = '2-HIGH' AND ada NOT IN (SELECT ada FROM known)", "SELECT ada, grp, date FROM open_ones WHERE family = '5-LOW' AND ada NOT IN (SELECT paid_by FROM known)")}
+
+
+@query("dq04_mark_paid_through", "SELECT f.ada, f.issuer, f.family, coalesce(k.paid_by, x.paid_by) AS paid_by FROM fam f LEFT JOIN known k USING (ada) LEFT JOIN paired x USING (ada)", PAID)
 def _(b):
-    return dq.mark_paid_through(families(b), dq.document_amounts(steps(b)), cites(b), PAYS, "7", "2-HIGH", "5-LOW").select("ada", "issuer", "family", "paid_by")
+    return dq.mark_paid_through(families(b), dq.validated_amounts(steps(b)), cites(b), PAYS, "7", "2-HIGH", "5-LOW").select("ada", "issuer", "family", "paid_by")
 
 
 @query("dq05_suppress_counted", """SELECT g.ada, CASE WHEN p.paid_by IS NULL THEN g.category END AS category, CASE WHEN p.paid_by IS NOT NULL THEN g.validation || '; counted at ' || p.paid_by ELSE g.validation END AS detail, CAST(g.amount AS DOUBLE) AS amount
@@ -98,21 +124,23 @@ def _(b):
     return b.grant_decision.select("ada", dq.own_project(c("family"), F.size("found_by") > 1, c("subject"), "U.LD").alias("own"))
 
 
-# ---- privacy: people are the first two words of every turn, legal bodies the first five of every benchmark item --------------
+# ---- privacy: people are the lines of two or three words in turns, legal bodies those of three to eight in benchmark items ----
 TOKENS = "list_filter(string_split(translate({0}, 'ABEZHIKMNOPTXY', 'ΑΒΕΖΗΙΚΜΝΟΡΤΧΥ'), ' '), lambda t: t <> '')"
+SIGNED, TITLED = r"^\s*\S+\s+\S+(\s+\S+)?\s*$", r"^\s*\S+(\s+\S+){2,7}\s*$"
 
 
 def sql_tokens(x: str) -> str:
     return TOKENS.replace("{0}", sql_norm(x))
 
 
-WORDS2 = r"regexp_extract(text, '^\s*(\S+\s+\S+)', 1)"
-WORDS5 = r"regexp_extract(text, '^\s*((?:\S+\s+){5}\S+)', 1)"
 PRIVACY = {
-    "people": f"SELECT DISTINCT {sql_tokens(WORDS2)} AS t FROM conversations",
+    "signed": f"SELECT DISTINCT name FROM (SELECT unnest(string_split(text, chr(10))) AS name FROM conversations) WHERE regexp_matches(name, '{SIGNED}')",
+    "titled": f"SELECT DISTINCT name FROM (SELECT unnest(string_split(text, chr(10))) AS name FROM benchmark) WHERE regexp_matches(name, '{TITLED}')",
+    "people": f"SELECT DISTINCT {sql_tokens('name')} AS t FROM signed",
     "keys": "SELECT DISTINCT unnest([t[1] || ' ' || t[2], t[2] || ' ' || t[1]]) AS name_key FROM (SELECT list_filter(t, lambda x: length(x) >= 3 AND x NOT IN ('ΚΑΙ', 'ΤΟΥ', 'ΤΗΣ')) AS t FROM people) WHERE len(t) >= 2",
-    "legal": f"SELECT DISTINCT {sql_tokens(WORDS5)} AS n FROM benchmark WHERE len({sql_tokens(WORDS5)}) >= 3",
-    "corpus": "SELECT 'd' || doc_id AS path, text FROM documents UNION ALL SELECT 'b' || item_id, text FROM benchmark",
+    "legal": f"SELECT DISTINCT {sql_tokens('name')} AS n FROM titled WHERE len({sql_tokens('name')}) >= 3",
+    "corpus": """SELECT 'd' || doc_id AS path, text FROM documents UNION ALL SELECT 'b' || item_id, text FROM benchmark
+        UNION ALL SELECT 'p' || page_id, html FROM pages UNION ALL SELECT 'c' || conv_id || '/' || turn, text FROM conversations""",
     "corpus_lines": "SELECT path, unnest(string_split(text, chr(10))) AS content, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM corpus",
     "toks": f"SELECT path, line, {sql_tokens('content')} AS t FROM corpus_lines",
     "pairs": "SELECT path, line, j, t[j] || ' ' || t[j + 1] AS name_key FROM (SELECT *, unnest(generate_series(1, len(t) - 1)) AS j FROM toks WHERE len(t) >= 2)",
@@ -125,16 +153,17 @@ PRIVACY = {
 
 
 def people(b):
-    two = F.regexp_extract("text", r"^\s*(\S+\s+\S+)", 1)
-    six = F.regexp_extract("text", r"^\s*((?:\S+\s+){5}\S+)", 1)
-    persons = b.star.conversations.select(F.lit("123456789").alias("afm"), F.lit("EL").alias("afm_type"), two.alias("name")).filter(F.length("name") > 0)
-    bodies = b.star.benchmark.select(F.lit("999999999").alias("afm"), F.lit("EL").alias("afm_type"), six.alias("name")).filter(F.length("name") > 0)
-    return persons.unionByName(bodies)
+    def lines(df, pattern, afm, kind):
+        return df.select(F.lit(afm).alias("afm"), F.lit(kind).alias("afm_type"), F.explode(F.split("text", "\n")).alias("name")).filter(c("name").rlike(pattern)).distinct()
+    return lines(b.star.conversations, SIGNED, "123456789", "EL").unionByName(lines(b.star.benchmark, TITLED, "999999999", "EL"))
 
 
 def corpus(b):
-    return (b.star.documents.select(F.concat(F.lit("d"), "doc_id").alias("path"), "text")
-            .unionByName(b.star.benchmark.select(F.concat(F.lit("b"), "item_id").alias("path"), "text")))
+    """Every text that is published: documents, benchmark items, pages, turns."""
+    s = b.star
+    return (s.documents.select(F.concat(F.lit("d"), "doc_id").alias("path"), "text").unionByName(s.benchmark.select(F.concat(F.lit("b"), "item_id").alias("path"), "text"))
+            .unionByName(s.pages.select(F.concat(F.lit("p"), "page_id").alias("path"), c("html").alias("text")))
+            .unionByName(s.conversations.select(F.concat(F.lit("c"), "conv_id", F.lit("/"), "turn").alias("path"), "text")))
 
 
 @query("pv01_name_keys", "SELECT name_key FROM keys", PRIVACY)
@@ -170,10 +199,19 @@ def _(b):
     return pv.find_form_leaks(pv.lines_of(texts, "path", "text"))
 
 
-@query("pv05_scan_corpus", """SELECT kind, count(*) AS n, count(DISTINCT path) AS n_texts FROM (SELECT path, 'name' AS kind FROM leaks UNION ALL
-    SELECT path, 'person_form' FROM (SELECT path, unnest(regexp_extract_all(content, '\\p{L}+\\s*,,\\s*\\p{L}')) AS m FROM corpus_lines)) GROUP BY 1""", PRIVACY)
+MARKED = {**PRIVACY, **IDS, "corpus": PRIVACY["corpus"] + " UNION ALL SELECT path, text FROM numbered UNION ALL SELECT 'f' || doc_id, replace(text, ', ', ' ,, ') FROM documents"}
+
+
+@query("pv05_scan_corpus", r"""SELECT kind, count(*) AS n, count(DISTINCT path) AS n_texts FROM (SELECT path, 'name' AS kind FROM leaks UNION ALL
+    SELECT path, 'person_form' FROM (SELECT path, unnest(regexp_extract_all(content, '\p{L}+\s*,,\s*\p{L}')) AS m FROM corpus_lines) UNION ALL
+    SELECT path, 'afm' FROM numbered WHERE o_custkey IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT path, 'afm' FROM numbered WHERE o_orderkey IN (SELECT s_suppkey FROM supplier)) GROUP BY 1""", MARKED)
 def _(b):
-    leaks = pv.scan_corpus(corpus(b), "path", "text", pv.person_markers(people(b)))
+    """All kinds of leaks: names in published texts, ids in references, the form of two names."""
+    nine = lambda x: F.lpad(c(x).cast("string"), 9, "0")
+    refs = b.star.orders.select(F.concat(F.lit("A"), "o_orderkey").alias("path"), F.concat(F.lit("Ref "), nine("o_custkey"), F.lit(" x"), nine("o_custkey"), F.lit("\n"), nine("o_orderkey"), F.lit(",")).alias("text"))
+    forms = b.star.documents.select(F.concat(F.lit("f"), "doc_id").alias("path"), F.replace("text", F.lit(", "), F.lit(" ,, ")).alias("text"))
+    keys, _, legal = pv.person_markers(people(b))
+    leaks = pv.scan_corpus(corpus(b).unionByName(refs).unionByName(forms), "path", "text", (keys, b.star.supplier.select(nine("s_suppkey").alias("afm")), legal))
     return leaks.groupBy("kind", "path").agg(F.count("*").alias("k")).groupBy("kind").agg(F.sum("k").alias("n"), F.count("path").alias("n_texts"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obolus.catalog.registry import query
+from obolus.operators.shape import latest_per_key
 from obolus.plans.bindings import SCHEMAS
 from obolus.streaming import streams as st
 
@@ -17,9 +18,12 @@ c = F.col
 
 
 def scratch(b) -> str:
-    """A new folder below the session's shared checkpoint folder; a local one where it names none."""
+    """A new folder below the session's shared checkpoint folder; on one machine a local one where
+    the session names none."""
     shared = b.spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if not shared and not b.spark.conf.get("spark.master", "").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-")
 
 
 def stream(b, table: str) -> DataFrame:
@@ -34,9 +38,9 @@ def drained(b, df: DataFrame, mode: str) -> DataFrame:
         q = df.writeStream.outputMode("append").option("checkpointLocation", f"{base}/cp").trigger(availableNow=True).format("parquet").start(out)
     else:
         q = (df.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/cp").trigger(availableNow=True)
-             .foreachBatch(lambda d, _: d.write.mode("overwrite" if mode == "complete" else "append").parquet(out)).start())
+             .foreachBatch(lambda d, n: d.withColumn("_batch", F.lit(n)).write.mode("append").parquet(out)).start())
     q.awaitTermination()
-    return b.spark.read.schema(df.schema).parquet(out)
+    return b.spark.read.schema(df.schema if mode == "append" else df.schema.add("_batch", "long")).parquet(out)
 
 
 @query("st01_land_stream", "SELECT CAST(user_id AS VARCHAR) AS key, sha256(event_type) AS digest, min(event_id) AS seq FROM events GROUP BY 1, 2")
@@ -48,10 +52,11 @@ def _(b):
     return b.spark.read.schema("key string, digest string, seq bigint").parquet(f"{base}/landed")
 
 
-@query("st02_dedupe_stream", "SELECT count(DISTINCT user_id || '/' || event_type) AS n FROM events")
+@query("st02_dedupe_stream", "SELECT count(DISTINCT user_id || '/' || event_type || '/' || CAST(ts AS DATE)) AS n FROM events")
 def _(b):
-    e = stream(b, "events").select(F.concat_ws("/", c("user_id").cast("string"), "event_type").alias("key"), c("ts").cast("timestamp").alias("at"))
-    return drained(b, st.dedupe_stream(e, "key", "at", "40 days"), "append").agg(F.count("*").alias("n"))
+    """A sighting is repeated within its day."""
+    e = stream(b, "events").select(F.concat_ws("/", c("user_id").cast("string"), "event_type", c("ts").cast("date").cast("string")).alias("key"), c("ts").cast("timestamp").alias("at"))
+    return drained(b, st.dedupe_stream(e, "key", "at", "2 days"), "append").agg(F.count("*").alias("n"))
 
 
 @query("st03_gate_stream", "SELECT event_type <> 'error' AND value < 100 AS accepted, count(*) AS n FROM events GROUP BY 1")
@@ -79,15 +84,20 @@ def _(b):
 @query("st05_month_totals_stream", "SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus AS status, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1, 2")
 def _(b):
     lines = stream(b, "orders").select(c("o_orderdate").cast("timestamp").alias("at"), c("o_orderstatus").alias("status"), c("o_totalprice").cast("decimal(18,2)").alias("amount"))
-    daily = drained(b, st.month_totals_stream(lines, ["status"], "at", "amount", "3000 days"), "complete")
+    changed = drained(b, st.month_totals_stream(lines, ["status"], "at", "amount", "5 days"), "update")
+    daily = latest_per_key(changed, ["day", "status"], c("_batch"))
     return daily.groupBy("month", "status").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
-@query("st06_without_nearby_stream")
+@query("st06_without_nearby_stream", """SELECT r.o_orderkey, r.o_custkey, strftime(r.o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed FROM orders r
+    WHERE NOT EXISTS (SELECT 1 FROM orders l WHERE l.o_orderstatus = 'F' AND l.o_custkey = r.o_custkey AND abs(date_diff('day', l.o_orderdate, r.o_orderdate)) <= 10)""")
 def _(b):
     """Orders with no published order of their customer within ten days."""
     o = stream(b, "orders").select("o_orderkey", "o_custkey", c("o_orderdate").cast("timestamp").alias("placed"))
     paid = o.join(b.star.orders.filter(c("o_orderstatus") == "F").select(c("o_orderkey").alias("_k")), c("o_orderkey") == c("_k"), "left_semi") \
         .select("o_custkey", c("placed").alias("paid"))
     out = st.without_nearby_stream(o, paid, ["o_custkey"], "paid", "placed", 10, "5 days")
-    return drained(b, out, "append")
+    given = drained(b, out, "append")
+    batch = b.star.orders.select("o_orderkey", "o_custkey", c("o_orderdate").cast("timestamp").alias("placed"), "o_orderstatus")
+    left = batch.filter(c("o_orderstatus") == "F").select("o_custkey", c("placed").alias("paid"))
+    return st.finish_without_nearby(given, batch.drop("o_orderstatus"), left, ["o_custkey"], "paid", "placed", 10, 5)

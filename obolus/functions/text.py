@@ -7,6 +7,7 @@ patterns name Unicode classes (``\\p{L}``, ``\\p{N}``) instead.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -33,8 +34,10 @@ def _accent_map() -> tuple[str, str]:
     """(accented characters, their base letters) followed by the bare combining marks,
     which have no counterpart and are therefore dropped by ``translate``."""
     source, target, marks = [], [], []
-    for cp in range(0x80, 0x2200):
+    for cp in range(0x80, sys.maxunicode + 1):
         ch = chr(cp)
+        if 0xD800 <= cp <= 0xDFFF or 0xAC00 <= cp <= 0xD7A3:  # surrogates; Hangul syllables part into letters, none of them a mark
+            continue
         if unicodedata.category(ch) == "Mn":
             marks.append(ch)
             continue

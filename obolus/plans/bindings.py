@@ -78,10 +78,10 @@ FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table in fewer files than there are cores is spread over them by its key, so that the work
-    on its rows is shared. A table of many files is left as it is: its scan is parallel already."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    """The table as it is, or, where the session sets ``obolus.spread``, dealt out by its key to so many
+    partitions: for tables of one file with one row group, as on one machine. A cluster leaves it unset."""
+    parts = df.sparkSession.conf.get("obolus.spread", None)
+    return df.repartition(int(parts), key) if parts else df
 
 
 class Star:

@@ -104,10 +104,11 @@ def gap_counters(r: Release, act_type: str, year: int, entity: str) -> DataFrame
     payroll = r.payment.agg(F.count_if((c("act_status") == "PUBLISHED") & c("is_payroll")).alias("payroll_lines"))
     awards = r.award.agg(F.count_if((c("act_status") == "PUBLISHED") & c("amount").isNull()).alias("awards_without_amount"))
     bare = r.commitment.agg(F.count_if((c("act_status") == "PUBLISHED") & ~c("is_reversal") & ~c("has_kae_lines")).alias("commitments_without_lines"))
+    parts = (acts, payroll, awards, bare)
     out = acts
-    for one in (payroll, awards, bare):  # one-row frames
-        out = out.join(one, F.lit(True))
-    return out
+    for one in parts[1:]:
+        out = out.unionByName(one, allowMissingColumns=True)
+    return out.agg(*[F.sum(x).alias(x) for part in parts for x in part.columns])
 
 
 def reversal_years(r: Release, entity: str, since: int) -> DataFrame:

@@ -21,6 +21,7 @@ def local_session(cores: str = "*", app: str = "obolus", **extra: str) -> SparkS
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": os.environ.get("OBOLUS_DRIVER_MEMORY", "8g"),
+        "obolus.spread": cores if cores.isdigit() else "8",
         **extra,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -1,19 +1,22 @@
 """The same operators over streams: landing with versions, seam de-duplication, the gate with its
 quarantine, classification against static rules, totals with late edits, and the ±60-day check.
 
-Stateful queries carry a watermark, so state is bounded by the lateness allowed, not by the
-stream. Checkpoint folders are the caller's, on storage every executor can reach."""
+Stateful queries carry a watermark and run in append or update mode, so state is bounded by the
+lateness allowed, not by the stream. Checkpoint folders are the caller's, on storage every executor can reach."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from obolus.operators import gates
 from obolus.operators.classify import is_remittance, payee_class
+from obolus.operators.shape import without_nearby
 from obolus.sources.landing import land_versioned
 
 c = F.col
@@ -26,18 +29,21 @@ def land_stream(incoming: DataFrame, table: str, checkpoint: str, kind: str | No
         spark = df.sparkSession
         df = df.persist()
         try:
-            landed = spark.read.schema(df.schema).parquet(table) if _exists(spark, table) else df.limit(0)
-            rows = land_versioned(df, landed.select("key", "digest"), kind)
+            rows = land_versioned(df, _landed(spark, table, df), kind)
             rows.drop("outcome").write.mode("append").option("compression", "zstd").parquet(table)
         finally:
             df.unpersist()
     return incoming.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def _landed(spark, table: str, like: DataFrame) -> DataFrame:
+    """Keys and digests that are landed; none before the first batch."""
+    try:
+        return spark.read.schema(like.schema).parquet(table).select("key", "digest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return like.limit(0).select("key", "digest")
 
 
 def dedupe_stream(records: DataFrame, key: str, time: str, lateness: str) -> DataFrame:
@@ -68,7 +74,8 @@ def classify_stream(lines: DataFrame, family_ids: DataFrame) -> DataFrame:
 
 
 def month_totals_stream(lines: DataFrame, keys: list[str], time: str, amount: str, lateness: str) -> DataFrame:
-    """Totals by key and month. Late lines correct a month until the watermark has passed it."""
+    """Totals by key and day, with the month. Late lines correct a day until the watermark has passed
+    it. In update mode each batch gives the days it changed, and state is as long as ``lateness``."""
     month = F.date_format(F.trunc(time, "month"), "yyyy-MM")
     span = F.window(c(time), "1 day")
     daily = lines.withWatermark(time, lateness).groupBy(span, *keys, month.alias("month")).agg(F.count("*").alias("n"), F.sum(amount).alias("total"))
@@ -77,10 +84,24 @@ def month_totals_stream(lines: DataFrame, keys: list[str], time: str, amount: st
 
 def without_nearby_stream(right: DataFrame, left: DataFrame, keys: list[str], left_time: str, right_time: str, days: int, lateness: str) -> DataFrame:
     """Right rows with no left row of the same keys within ``days``. A row is given out when the
-    watermark says nothing that near can still come."""
+    watermark says nothing that near can still come; ``finish_without_nearby`` gives those that a
+    stream still holds when it is stopped."""
     l = left.withWatermark(left_time, lateness).select(*[c(k).alias(f"_l_{k}") for k in keys], c(left_time).alias("_l_time"))
     r = right.withWatermark(right_time, lateness)
     near: Column = c("_l_time").between(c(right_time) - F.expr(f"INTERVAL {days} DAYS"), c(right_time) + F.expr(f"INTERVAL {days} DAYS"))
     for k in keys:
         near = near & (c(k) == c(f"_l_{k}"))
     return r.join(l, near, "leftOuter").filter(c("_l_time").isNull()).select(*right.columns)
+
+
+def finish_without_nearby(given: DataFrame, right: DataFrame, left: DataFrame, keys: list[str], left_time: str, right_time: str, days: int, lateness_days: int) -> DataFrame:
+    """The whole answer once the input has ended: what the stream gave out up to its last watermark,
+    and the batch operator's answer for the rows after it. One date is read from the input."""
+    last = [df.agg(F.max(t)).first()[0] for df, t in ((left, left_time), (right, right_time))]
+    if None in last:
+        return right
+    horizon = min(last) - timedelta(days=days + lateness_days + 1)
+    near = left.filter(c(left_time) >= F.lit(horizon - timedelta(days=days + 1))).withColumn("_day", F.to_date(left_time))
+    late = right.filter(c(right_time) >= F.lit(horizon)).withColumn("_on", F.to_date(right_time))
+    rest = without_nearby(late, near, keys, "_day", "_on", days).drop("_on")
+    return given.filter(c(right_time) < F.lit(horizon)).unionByName(rest)

@@ -481,19 +481,22 @@ def _(b):
     return b.star.orders.select("o_orderkey", canonical_digest("o_orderkey", "o_custkey", "o_orderpriority").alias("digest"))
 
 
-@query("src13_register_release", """SELECT 'act' AS "table", count(*) AS n FROM act UNION ALL SELECT 'payment', count(*) FROM payment UNION ALL SELECT 'commitment', count(*) FROM commitment UNION ALL SELECT 'award', count(*) FROM award
+ROWS = """SELECT 'act' AS "table", count(*) AS n FROM act UNION ALL SELECT 'payment', count(*) FROM payment UNION ALL SELECT 'commitment', count(*) FROM commitment UNION ALL SELECT 'award', count(*) FROM award
     UNION ALL SELECT 'counterparty', count(DISTINCT counterparty_afm) FROM payment WHERE NOT is_payroll UNION ALL SELECT 'entity', count(*) FROM entity UNION ALL SELECT 'budget_line', count(*) FROM budget_line
     UNION ALL SELECT 'procurement', count(*) FROM procurement UNION ALL SELECT 'procurement_party', count(*) FROM procurement_party UNION ALL SELECT 'grant_decision', count(*) FROM grant_decision
-    UNION ALL SELECT 'grant_line', count(*) FROM grant_line UNION ALL SELECT 'acceptance', count(*) FROM acceptance""")
+    UNION ALL SELECT 'grant_line', count(*) FROM grant_line UNION ALL SELECT 'acceptance', count(*) FROM acceptance"""
+
+
+@query("src13_register_release", ROWS)
 def _(b):
     return ld.register_release(b.spark, b.release, prefix="bound_")
 
 
-@query("src14_build_manifest", """SELECT 'payment.payee_class' AS metric, payee_class AS key, CAST(count(*) AS VARCHAR) AS value FROM payment GROUP BY 2 UNION ALL SELECT 'payment.payroll_kind', coalesce(payroll_kind, 'none'), CAST(count(*) AS VARCHAR) FROM payment GROUP BY 2
+@query("src14_build_manifest", f"""SELECT 'rows' AS metric, "table" AS key, CAST(n AS VARCHAR) AS value FROM ({ROWS}) UNION ALL SELECT 'payment.payee_class' AS metric, payee_class AS key, CAST(count(*) AS VARCHAR) AS value FROM payment GROUP BY 2 UNION ALL SELECT 'payment.payroll_kind', coalesce(payroll_kind, 'none'), CAST(count(*) AS VARCHAR) FROM payment GROUP BY 2
     UNION ALL SELECT 'grant_line.validation', coalesce(validation, 'none'), CAST(count(*) AS VARCHAR) FROM grant_line GROUP BY 2 UNION ALL SELECT 'grant_decision.read_status', read_status, CAST(count(*) AS VARCHAR) FROM grant_decision GROUP BY 2
     UNION ALL SELECT 'procurement.endpoint', endpoint, CAST(count(*) AS VARCHAR) FROM procurement GROUP BY 2 UNION ALL SELECT 'procurement_party.role', role, CAST(count(*) AS VARCHAR) FROM procurement_party GROUP BY 2""")
 def _(b):
-    return ld.build_manifest(b.release).filter(c("metric") != "rows")
+    return ld.build_manifest(b.release)
 
 
 @query("src15_set_digest", "SELECT ada, sha256(array_to_string(list_sort(list_distinct([sha256(entity), sha256(c_mktsegment), sha256(entity)])), chr(10))) AS digest FROM decisions")

@@ -9,6 +9,7 @@ from obolus.catalog.landing import q
 from obolus.catalog.registry import query
 from obolus.plans import allocations as al
 from obolus.plans import readers as rd
+from obolus.plans import transfers as tr
 from obolus.plans.bindings import by_value
 
 c = F.col
@@ -91,3 +92,29 @@ def _(b):
     text = F.when(c("entity") == "3", F.lit("ΕΛΛΗΝΙΚΗ ΔΗΜΟΚΡΑΤΙΑ\n\n  ΜΟΥΣΕΙΟ ΧΑΛΚΙΝΟΥ ΑΛΟΓΟΥ\nx")).otherwise(F.lit("Ελληνική Δημοκρατία\n ΔΗΜΟΣ ΝΗΣΙΔΟΣ\n"))
     names = b.entity.select("uid", F.when(c("uid") == "9", F.lit("Μουσείο Χάλκινου Αλόγου")).when(c("uid") == "3", F.lit("Λιμενικό Ταμείο Νησίδος")).otherwise(F.lit("Δήμος Νησίδος")).alias("name"))
     return foreign_letterheads(b.decisions.select(c("ada").alias("doc_id"), "entity", text.alias("text")), names)
+
+
+TABLE_PAYEES = (tr.Payee("2", "800111222", r"Δ\.?Λ\.?Τ\.? ΝΗΣΙΔΟΣ"), tr.Payee("1", "999000111", "ΔΗΜΟ[ΣΥ]? ΝΗΣΙΔΟΣ", ("2019ΣΕ05510009",)))
+
+
+@query("ex25_transfer_rows", """SELECT doc_id, CAST(line AS BIGINT) AS line, amount, recipient, validation, how FROM (
+    SELECT doc_id, 1 AS line, x AS amount, '1' AS recipient, CASE WHEN NOT bad THEN 'stated_amount' END AS validation, 'the total''s column (±3)' AS how FROM x WHERE seg IN ('AUTOMOBILE', 'BUILDING')
+    UNION ALL SELECT doc_id, 3, x + 5, '2', CASE WHEN NOT bad THEN 'stated_amount' END, 'the total''s column (±3)' FROM x WHERE seg IN ('AUTOMOBILE', 'BUILDING')
+    UNION ALL SELECT doc_id, 0, x, '1', 'stated_amount', 'payment lines' FROM x WHERE seg = 'MACHINERY' AND NOT bad
+    UNION ALL SELECT doc_id, 1, x, '1', 'stated_amount', 'lines with a project code' FROM x WHERE seg = 'FURNITURE' AND NOT bad)""", X)
+def _(b):
+    """Tables in columns (also with English figures), payment lines, rows told by their codes alone. The
+    revoked orders' totals do not add up."""
+    x, seg = cents(), c("c_mktsegment")
+    off = F.when(c("o_orderstatus") == "P", 1).otherwise(0)
+    english = lambda v: F.translate(F.concat(F.format_string("%,d", F.floor(v / 100).cast("bigint")), F.lit(";"), F.lpad((v % 100).cast("string"), 2, "0")), ";", ".")
+
+    def table(show):
+        cell = lambda v: F.lpad(show(v), 18, " ")
+        return q("ΠΙΝΑΚΑΣ\n  1  2019ΣΕ05510001  ΔΗΜΟΣ ΝΗΣΙΔΟΣ   ", cell(x), "\n      συνέχεια του έργου\n  2  2019ΣΕ05510002  ΑΛΛΟΣ ΦΟΡΕΑΣ    ", cell(x + 5), "\n      ΑΦΜ 800111222\n  3  2019ΣΕ05510003  ΤΡΙΤΟΣ ΔΗΜΟΣ    ", cell(x),
+                 "\n     ΣΥΝΟΛΟ                          ", cell(x * 3 + 5 + off), "\nτέλος")
+
+    orders = q("79262223  ΔΗΜΟΣ ΝΗΣΙΔΟΣ  ", eu(x), "\n79262224  ΑΛΛΟΣ ΔΗΜΟΣ  ", eu(x), "\nσυνολικού ποσού ", eu(x * 2 + off), " ευρώ")
+    coded = q("ΠΙΝΑΚΑΣ προϋπολογισμού 1,00\n2019ΣΕ05510009 έργο ", eu(x), "\nάλλο ποσό 3,00 μεταξύ των γραμμών\n2019ΣΕ05510004 έργο ", eu(x), "\nΣΥΝΟΛΟ των έργων όλης της συλλογικής απόφασης αυτής ", eu(x * 2 + off))
+    text = F.when(seg == "AUTOMOBILE", table(english)).when(seg == "BUILDING", table(eu)).when(seg == "MACHINERY", orders).when(seg == "FURNITURE", coded).otherwise(F.lit("χωρίς πίνακα"))
+    return tr.transfer_rows(b.decisions.select(c("ada").alias("doc_id"), text.alias("text")), TABLE_PAYEES).withColumn("line", c("line").cast("bigint"))

@@ -70,6 +70,8 @@ def foundation_families(home: str) -> tuple[tuple[str, str], ...]:
     """A foundation's families; ``home`` is the home body's name as its subjects decline it."""
     return (
         ("foundation_water_bill", "ΥΔΡΕΥΣ|ΝΕΡΟΥ|ΑΠΟΧΕΤΕΥΣ|ΚΟΙΝΟΧΡΗΣΤ|ΤΕΛ(?:Η|ΩΝ) ΑΚΙΝΗΤΟΥ"),
+        # its grants to other bodies stand before its statutory one to the home body
+        ("foundation_to_others", rf"^(?!.*ΔΗΜΟ)(?=.*(?:ΙΤΗΠ|Ι\.ΤΗ\.Π|ΙΔΡΥΜΑ{_X} ΤΗΝΙΑΚΟΥ|ΜΗΤΡΟΠΟΛ|Μ\.Φ\.Η|ΜΦΗ|ΜΟΝΑΔΑ ΦΡΟΝΤΙΔΑΣ|ΜΕΓΑΛΟΧΑΡΗ|ΚΑΛΩΝ ΤΕΧΝΩΝ|ΑΠΟΣΤΟΛΙΚΗ|ΤΠΟΕΚΕ))"),
         ("foundation_statutory_grant", rf"ΤΑΚΤΙΚ{_X} (?:ΕΤΗΣΙΑΣ )?ΕΠΙΧΟΡΗΓ|ΘΕΣΜΟΘΕΤΗΜΕΝ|ΝΟΜΟΘΕΤΗΜΕΝ|ΕΤΗΣΙΑΣ ΕΠΙΧΟΡΗΓ|10% ΕΠΙ|ΕΠΙΧΟΡΗΓΗΣ{_X} ΔΗΜΟΥ {home} ΓΙΑ ΕΤΟΣ"),
         ("foundation_grant", "ΕΠΙΧΟΡΗΓ|ΚΑΤΑΒΟΛΗΣ? ΠΟΣ|ΕΙΣΦΟΡ"), ("in_kind", "ΧΡΗΣΙΔΑΝΕΙ"),
     )
@@ -93,6 +95,12 @@ CATEGORY_BY_YEAR = {
     ("covid", 2021): "state_grants", ("stray_animals", 2020): "state_grants", ("school_cleaners", 2020): "state_grants",
     ("school_cleaners", 2021): "state_grants", ("school_cleaners", 2022): "state_grants",
 }
+# ---- fixed values: what a document's text says of its family -------------------------------------------
+REGION_PURPOSE = r"ΓΙΑ:\s*(.{3,240}?)\s+ΕΝΤΕΛΛΟΜΕΝΟ ΠΟΣΟ"
+UTILITY = "ΥΔΡΕΥΣ|ΑΡΔΕΥΣ|ΑΔΡΕΥΣ|ΑΠΟΧΕΤΕΥΣ|ΥΔΡΟΜΕΤΡ|ΚΑΤΑΝΑΛΩΣΗ ΝΕΡΟΥ"
+TRANSFERRED_TO = "ΜΕΤΑΒΙΒΑΣΤΕΙ ΣΤΟ[ΝΙ]? (.{0,200})"
+DEVELOPMENT_FUND = r"^(?:Π\.? ?Τ\.? ?Α\.?|ΠΕΡΙΦΕΡΕΙΑΚΟ ΤΑΜΕΙΟ ΑΝΑΠΤΥΞΗΣ)"
+UNION_OWN_SPENDING = rf"ΣΥΝΔΙΟΡΓΑΝΩΣ|ΠΡΩΤΟΓΕΝ{_X} ΑΙΤΗΜΑ"
 ARREARS_CEILING = f"ΕΝΤΟΛ{_X} ΕΞΟΦΛΗΣΗΣ|ΚΑΘΑΡΟΥ ΠΟΣΟΥ ΠΡΟΣ ΤΟΥΣ ΤΕΛΙΚΟΥΣ ΔΙΚΑΙΟΥΧΟΥΣ"
 REVENUE_CATEGORIES = (
     ("kap_general", "ΚΑΠ ΓΙΑ (?:ΤΗΝ )?ΚΑΛΥΨΗ ΓΕΝΙΚΩΝ"), ("kap_investment", "ΚΑΠ ΕΠΕΝΔΥΤΙΚΩΝ|ΚΑΠ ΓΙΑ ΕΠΕΝΔΥΤΙΚΕΣ"), ("kap_schools", "ΚΑΠ ΓΙΑ ΤΗΝ ΚΑΛΥΨΗ ΤΩΝ ΛΕΙΤΟΥΡΓΙΚΩΝ"),
@@ -126,6 +134,29 @@ def refine_family(family: Column, text: Column) -> Column:
     return F.when((family == "arrears") & flat_fold(text).rlike(ARREARS_CEILING), F.lit("arrears_ceiling")).otherwise(family)
 
 
+def refine_region(family: Column, text: Column, fund_id: str | None = None) -> Column:
+    """What a region's document says of its family. A payment order's purpose: a utility bill is a sale
+    of the home body's, a payment under a programme agreement counts as one. A credit transferred
+    to the development fund (by name, or its id ``fund_id``) is counted where the fund pays."""
+    flat = flat_fold(text)
+    purpose, to = F.regexp_extract(flat, REGION_PURPOSE, 1), F.regexp_extract(flat, TRANSFERRED_TO, 1)
+    fund = DEVELOPMENT_FUND + (f"|{fund_id}" if fund_id else "")
+    return (F.when((family == "region_payment") & purpose.rlike(UTILITY), F.lit("region_utility_payment"))
+            .when((family == "region_payment") & purpose.contains("ΠΡΟΓΡΑΜΜΑΤΙΚ"), F.lit("region_agreement_payment"))
+            .when((family == "region_credit") & to.rlike(fund), F.lit("region_credit_via_fund")).otherwise(family))
+
+
+def refine_union(family: Column, subject: Column) -> Column:
+    """A union's grant for what it co-organises or procures itself is its own spending."""
+    return F.when((family == "ped_grant") & fold(subject).rlike(UNION_OWN_SPENDING), F.lit("ped_own_spending")).otherwise(family)
+
+
+def own_credit(family: Column, own: Column, read_as: Column, has_document: Column) -> Column:
+    """A credit for the region's own project (``own``: no body of ours is named or found) is not ours unless
+    its document, read, still says it is. ``read_as``: the family after reading."""
+    return F.when(own & (~has_document | (read_as != "region_credit")), F.lit("region_own_credit")).otherwise(read_as)
+
+
 def category_of(family: Column, year: Column) -> Column:
     """The revenue category of a family's money in a budget year; null when it is only listed."""
     by_year = lookup(F.concat_ws("/", family, year.cast("string")), {f"{f}/{y}": v for (f, y), v in CATEGORY_BY_YEAR.items()})

@@ -239,12 +239,15 @@ def letterhead_body(text: Column) -> Column:
 
 def foreign_letterheads(statements: DataFrame, names: DataFrame) -> DataFrame:
     """(doc_id, other) of statements a body posted under another body's letterhead. A name is met when
-    all its words stand in the letterhead; the poster's own name is tried first. The registry's
-    names are joined on one of their words, so no name is tried on every document."""
+    all its words stand in the letterhead; the poster's own name is tried first. A name is joined
+    on the one of its words that the fewest names have, so that the words all names share (the kind
+    of body) bring no name and document together."""
     s = statements.select("doc_id", "entity", letter_tokens(letterhead_body(c("text"))).alias("body"))
     n = names.select("uid", letter_tokens(c("name")).alias("words")).filter(F.size("words") > 0)
-    words = n.select("uid", "words", F.element_at("words", 1).alias("w"))
-    hits = (s.select("doc_id", "entity", "body", F.explode("body").alias("w")).join(words, "w")
+    each = n.select("uid", "words", F.explode(F.array_distinct("words")).alias("w"))
+    times = each.groupBy("w").agg(F.count("*").alias("times"))
+    words = each.join(times, "w").groupBy("uid", "words").agg(F.min_by("w", F.struct("times", "w")).alias("w"))
+    hits = (s.select("doc_id", "entity", "body", F.explode(F.array_distinct("body")).alias("w")).join(words, "w")
             .filter(F.size(F.array_except("words", "body")) == 0))
     own = hits.filter(c("uid") == c("entity")).select("doc_id").distinct()
     return (hits.filter(c("uid") != c("entity")).join(own, "doc_id", "left_anti").groupBy("doc_id").agg(F.min("uid").alias("other")))

@@ -71,12 +71,17 @@ def read_by_kind(docs: DataFrame, configs: dict[str, dict], kind: str = "kind")
 def under_agreement(payments: DataFrame, agreements: DataFrame) -> DataFrame:
     """(doc_id) of payments (doc_id, sub_project) whose sub-project, of three words or more, stands in the
     subject of an agreement. Inside the subject every word but the first and last of the
-    sub-project is a whole word, so its second word is the join key and containment the check."""
+    sub-project is a whole word: the one that the fewest agreements have is the join key. Ids of
+    agreements go through the join, their texts are fetched for the containment check."""
     clean = lambda x: F.trim(F.regexp_replace(F.regexp_replace(fold(x), "['\"]", " "), " +", " "))
-    p = payments.select("doc_id", clean(c("sub_project")).alias("sub")).filter(F.size(F.split("sub", " ")) >= 3).withColumn("w", F.get(F.split("sub", " "), F.lit(1)))
-    a = agreements.select(clean(c("subject")).alias("agreement")).distinct()
-    a = a.select("agreement", F.explode(F.array_distinct(F.split("agreement", " "))).alias("w"))
-    return p.join(a, "w").filter(F.contains("agreement", "sub")).select("doc_id").distinct()
+    a = once(agreements, "agreement", clean(c("subject"))).select("agreement").distinct().withColumn("id", F.xxhash64("agreement"))
+    words = a.select("id", F.explode(F.array_distinct(F.split("agreement", " "))).alias("w"))
+    times = words.groupBy("w").agg(F.count("*").alias("times"))
+    p = once(payments, "sub", clean(c("sub_project"))).select("doc_id", "sub", F.split("sub", " ").alias("parts")).filter(F.size("parts") >= 3)
+    inner = p.select("doc_id", "sub", F.posexplode(F.slice("parts", F.lit(2), F.size("parts") - 2)).alias("_i", "w"))
+    rare = inner.join(times, "w", "left").groupBy("doc_id", "sub").agg(F.min(F.struct(F.coalesce("times", F.lit(0).cast("bigint")).alias("times"), "w")).alias("k")).filter("k.times > 0")
+    met = rare.select("doc_id", "sub", c("k.w").alias("w")).join(words, "w").select("doc_id", "sub", "id")
+    return met.join(a, "id").filter(F.contains("agreement", "sub")).select("doc_id").distinct()
 
 
 # ---- decisions of several items -------------------------------------------------------------------------------------

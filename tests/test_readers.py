@@ -64,3 +64,20 @@ def test_a_table_of_two_purposes(spark):
     tables = al.read_tables(docs)
     got = rd.split_two_purpose(al.target_lines(tables, "58000"), tables, docs, "58000", "kap_supplementary").collect()
     assert {(r["amount"], r["family"], r["validation"]) for r in got} == {(12157034, None, "column_totals"), (11503159, "kap_supplementary", "column_totals")}
+
+
+def test_families_that_are_not_ours(spark):
+    from pyspark.sql import functions as F
+
+    from obolus import grant_rules as gr
+    rows = spark.createDataFrame([
+        ("foundation", "Τακτική επιχορήγηση στην Ιερά Μητρόπολη", "", "foundation_to_others"), ("foundation", "Τακτική επιχορήγηση του Δήμου Νησίδος", "", "foundation_statutory_grant"),
+        ("region", "ENTAΛMA ΠΛΗΡΩΜΗΣ", "Για: κατανάλωση νερού κτιρίου ΕΝΤΕΛΛΟΜΕΝΟ ΠΟΣΟ 5,00", "region_utility_payment"), ("region", "ENTAΛMA ΠΛΗΡΩΜΗΣ", "Για: προγραμματική σύμβαση ΕΝΤΕΛΛΟΜΕΝΟ ΠΟΣΟ 5,00", "region_agreement_payment"),
+        ("region", "ENTAΛMA ΠΛΗΡΩΜΗΣ", "Για: έργο ΕΝΤΕΛΛΟΜΕΝΟ ΠΟΣΟ 5,00", "region_payment"), ("region", "Έγκριση πίστωσης 70.000,00 € σε βάρος του έργου ΣΑΕ 055", "θα μεταβιβαστεί στο Περιφερειακό Ταμείο Ανάπτυξης", "region_credit_via_fund"),
+        ("region", "Έγκριση πίστωσης 70.000,00 € σε βάρος του έργου ΣΑΕ 055", "θα μεταβιβαστεί στο Δήμο", "region_credit"), ("union", "Αίτημα για συνδιοργάνωση εκδήλωσης", "", "ped_own_spending")], "kind string, subject string, text string, want string")
+    family = gr.family_of(F.col("subject"), F.col("kind"), "ΝΗΣΙΔΟΣ")
+    got = rows.withColumn("f", gr.refine_union(gr.refine_region(family, F.col("text")), F.col("subject"))).collect()
+    assert [(r["subject"], r["f"]) for r in got] == [(r["subject"], r["want"]) for r in got]
+    own = rows.limit(1).select(gr.own_credit(F.lit("region_credit"), F.lit(True), F.lit("region_credit"), F.lit(False)), gr.own_credit(F.lit("region_credit"), F.lit(True), F.lit("region_credit"), F.lit(True))).first()
+    assert list(own) == ["region_own_credit", "region_credit"]
+    assert rows.limit(1).select(gr.category_of(F.lit("foundation_to_others"), F.lit(2020))).first()[0] is None

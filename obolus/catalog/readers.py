@@ -118,3 +118,38 @@ def _(b):
     coded = q("ΠΙΝΑΚΑΣ προϋπολογισμού 1,00\n2019ΣΕ05510009 έργο ", eu(x), "\nάλλο ποσό 3,00 μεταξύ των γραμμών\n2019ΣΕ05510004 έργο ", eu(x), "\nΣΥΝΟΛΟ των έργων όλης της συλλογικής απόφασης αυτής ", eu(x * 2 + off))
     text = F.when(seg == "AUTOMOBILE", table(english)).when(seg == "BUILDING", table(eu)).when(seg == "MACHINERY", orders).when(seg == "FURNITURE", coded).otherwise(F.lit("χωρίς πίνακα"))
     return tr.transfer_rows(b.decisions.select(c("ada").alias("doc_id"), text.alias("text")), TABLE_PAYEES).withColumn("line", c("line").cast("bigint"))
+
+
+@query("ex21_other_grantors", """SELECT doc_id, CAST(CASE seg WHEN 'HOUSEHOLD' THEN NULL WHEN 'AUTOMOBILE' THEN 6000000 WHEN 'BUILDING' THEN CASE WHEN NOT bad THEN x + x + 5 END WHEN 'FURNITURE' THEN CASE WHEN NOT bad THEN x + 7 END ELSE x + 3 END AS BIGINT) AS amount,
+    CASE WHEN seg = 'HOUSEHOLD' OR (bad AND seg IN ('BUILDING', 'FURNITURE')) THEN NULL WHEN seg = 'AUTOMOBILE' THEN '2' WHEN seg = 'MACHINERY' THEN '1' ELSE '3' END AS recipient,
+    CASE WHEN seg = 'HOUSEHOLD' OR (bad AND seg IN ('BUILDING', 'FURNITURE')) THEN NULL WHEN seg = 'AUTOMOBILE' THEN CASE WHEN NOT bad THEN 'words_and_figures' END ELSE 'stated_amount' END AS validation,
+    CASE WHEN seg = 'AUTOMOBILE' OR seg = 'MACHINERY' OR (seg IN ('BUILDING', 'FURNITURE') AND NOT bad) THEN 'read' ELSE 'not_found' END AS status,
+    CASE WHEN seg = 'BUILDING' AND NOT bad THEN 'column' WHEN seg = 'FURNITURE' AND NOT bad THEN 'table' WHEN seg = 'MACHINERY' THEN 'rows' END AS how FROM x""", X)
+def _(b):
+    """A letter, a table with its total's column, a table stated as a whole, a run of rows, and nothing of ours;
+    the revoked orders' words or totals are off."""
+    x, seg = cents(), c("c_mktsegment")
+    bad = c("o_orderstatus") == "P"
+    off = F.when(bad, 1).otherwise(0)
+    cell = lambda v: F.lpad(eu(v), 18, " ")
+    letter = q("αποφασίζουμε την επιχορήγηση ύψους ", F.when(bad, F.lit("εξήντα μίας")).otherwise(F.lit("εξήντα")), " χιλιάδων ευρώ (60.000,00 €) στη Σχολική Επιτροπή")
+    column = q("Σας παρακαλούμε για το ΑΦΜ 800111222:\nτιμολόγιο 1 ", cell(x), "   9,99\nτιμολόγιο 2 ", cell(x + 5), "   8,88\n    ΣΥΝΟΛΟ  ", cell(x + x + 5 + off), "\nΥΠΟΛΟΙΠΟ 1,23")
+    table = q("Κατανέμουμε ποσό ", eu(x + 7 + off), " στο ΑΦΜ 800111222\n α ", eu(x), "\n β 0,04 και 0,03\n")
+    rows = q("Σας παρακαλούμε μεταφορά ποσού € ", eu(x + 3), " στο Δήμο Νησίδος\n α ", eu(x), "\n β 5,55 ακυρώθηκε, ισχύει 0,03\n γ ", eu(x), "\n")
+    text = F.when(seg == "AUTOMOBILE", letter).when(seg == "BUILDING", column).when(seg == "FURNITURE", table).when(seg == "MACHINERY", rows).otherwise(F.lit("αποφασίζουμε για άλλους ποσό 5,00"))
+    docs = b.decisions.select(c("ada").alias("doc_id"), F.lit(None).cast("string").alias("subject"), text.alias("text"))
+    return tr.other_grants(docs, (("2", "ΣΧΟΛΙΚ[Α-Ω]* ΕΠΙΤΡΟΠ"),), {"800111222": "3"}, BODY, "1").select("doc_id", "amount", "recipient", "validation", "status", "how")
+
+
+@query("ex26_transfer_letters", """SELECT doc_id, CAST(CASE WHEN seg = 'BUILDING' THEN x WHEN seg = 'AUTOMOBILE' THEN 6000000 END AS BIGINT) AS amount, CASE WHEN seg IN ('BUILDING', 'AUTOMOBILE') THEN '1' END AS recipient,
+    CASE seg WHEN 'BUILDING' THEN 'table' WHEN 'AUTOMOBILE' THEN 'letter' END AS method, CASE WHEN seg = 'BUILDING' AND NOT bad THEN 'stated_amount' WHEN seg = 'AUTOMOBILE' AND NOT bad THEN 'words_and_figures' END AS validation,
+    CASE WHEN seg IN ('BUILDING', 'AUTOMOBILE') THEN 'read' WHEN seg = 'MACHINERY' THEN 'not_found' ELSE 'absent' END AS status FROM x""", X)
+def _(b):
+    """A table, a letter to the account that the home body manages, one that names it without either, others'."""
+    x, seg = cents(), c("c_mktsegment")
+    bad = c("o_orderstatus") == "P"
+    table = q("  1  έργο ΔΗΜΟΣ ΝΗΣΙΔΟΣ ", F.lpad(eu(x), 18, " "), "\n     ΣΥΝΟΛΟ" + " " * 13, F.lpad(eu(x + F.when(bad, 1).otherwise(0)), 18, " "))
+    letter = q("μεταφορά ποσού ", F.when(bad, F.lit("εξήντα μίας")).otherwise(F.lit("εξήντα")), " χιλιάδων ευρώ (60.000,00 €) με υπόλογο διαχειριστή το Δήμο Νησίδος, ΑΦΜ 999000111")
+    text = F.when(seg == "BUILDING", table).when(seg == "AUTOMOBILE", letter).when(seg == "MACHINERY", F.lit("για το ΔΗΜΟ ΝΗΣΙΔΟΣ χωρίς ποσό")).otherwise(F.lit("άλλος φορέας ποσού 5,00"))
+    docs = b.decisions.select(c("ada").alias("doc_id"), F.lit(None).cast("string").alias("subject"), text.alias("text"))
+    return tr.read_transfers(docs, TABLE_PAYEES, r"ΥΠΟΛΟΓΟ[\p{L}]*.{0,3}ΔΙΑΧΕΙΡΙΣΤ[\p{L}]*.{0,80}?ΔΗΜΟ[\p{L}]* ΝΗΣΙΔΟΣ")

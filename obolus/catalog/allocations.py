@@ -49,6 +49,33 @@ def _(b):
     return al.target_lines(al.read_tables(tables(b)), "58000").select("doc_id", "layout", "amount", "net", "validation")
 
 
-@query("ex15_read_decision", f"SELECT doc_id, CAST({AMOUNT} AS BIGINT) AS amount, 'read' AS status, 'table' AS method FROM x", X)
+@query("ex08_named_tables", """SELECT doc_id, layout, CAST(amount AS BIGINT) AS amount, validation, CAST(n AS BIGINT) AS n_rows FROM (
+    SELECT doc_id, 'sum' AS layout, x + x + 7 AS amount, 'column_totals' AS validation, 2 AS n FROM x WHERE p IN ('1-URGENT', '2-HIGH')
+    UNION ALL SELECT doc_id, 'single', x, 'column_totals', 3 FROM x WHERE p = '3-MEDIUM' UNION ALL SELECT doc_id, 'single', x, NULL, 2 FROM x WHERE p = '4-NOT SPECIFIED')""", X)
 def _(b):
-    return al.read_decisions(tables(b), "58000", "ΔΙΑΧΕΙΡΙΣΤ[^.]{0,80}ΝΗΣΙΔΟΣ").select("doc_id", "amount", "status", "method")
+    """Names in capitals under a first table, numbered rows with an end that does not add up before the one
+    that does, a total that is off; the rest has no row of ours."""
+    x = (c("price") * 100).cast("bigint")
+    p = c("o_orderpriority")
+    caps = q("ΠΙΝΑΚΑΣ\nΣΥΝΟΛΟ 5,00\n ΑΛΦΑΣ ", eu(x), "  ", eu(x), "  ", eu(x + x), "\n ΝΗΣΙΔΟΣ ", eu(x), "  ", eu(x + 7), "  ", eu(x + x + 7), "\n Σημείωση ", eu(x), "  ", eu(x), "  ", eu(x), "\n ΣΥΝΟΛΟ ", eu(x + x), "  ", eu(x + x + 7), "  ", eu(x * 4 + 7), "\n")
+    numbered = q("1 50100 Άλφας ", eu(x), "\n2 58000 Νήσιδος ", eu(x), "\nΜΕΡΙΚΟ ΣΥΝΟΛΟ 1,00\n3 50300 Βήτα 7,00\nΣΥΝΟΛΟ ", eu(x + x + 700), "\n")
+    off = q(" ΑΛΦΑΣ ", eu(x), "\n ΝΗΣΙΔΟΣ ", eu(x), "\n ΣΥΝΟΛΟ ", eu(x + x + 1000), "\n")
+    text = F.when(p.isin("1-URGENT", "2-HIGH"), caps).when(p == "3-MEDIUM", numbered).when(p == "4-NOT SPECIFIED", off).otherwise(F.lit(" ΑΛΦΑΣ 5,00\n ΣΥΝΟΛΟ 5,00"))
+    docs = b.decisions.select(c("ada").alias("doc_id"), F.lit(None).cast("string").alias("subject"), text.alias("text"))
+    return al.target_lines(al.named_tables(docs, r"(?<!\p{L})ΝΗΣΙΔΟΣ(?!\p{L})", "58000"), "58000").select("doc_id", "layout", "amount", "validation", "n_rows")
+
+
+@query("ex15_read_decision", f"""SELECT doc_id, CAST(CASE WHEN p IN ('1-URGENT', '2-HIGH') THEN {AMOUNT} WHEN p = '3-MEDIUM' THEN 6000000 WHEN p = '4-NOT SPECIFIED' AND x % 2 = 0 THEN x + 1 WHEN p = '4-NOT SPECIFIED' THEN x END AS BIGINT) AS amount,
+    CASE WHEN p <> '5-LOW' THEN 'read' WHEN x % 2 = 0 THEN 'absent' ELSE 'not_found' END AS status, CASE WHEN p IN ('1-URGENT', '2-HIGH') THEN 'table' WHEN p = '3-MEDIUM' THEN 'letter' WHEN p = '4-NOT SPECIFIED' AND x % 2 = 0 THEN 'stated_line' WHEN p = '4-NOT SPECIFIED' THEN 'section' END AS method FROM x""", X)
+def _(b):
+    """Tables, letters, stated lines, section rows, a table without us, and nothing."""
+    x = (c("price") * 100).cast("bigint")
+    p, even = c("o_orderpriority"), x % 2 == 0
+    letter = F.lit("το ποσό των εξήντα χιλιάδων ευρώ (60.000,00 €) με υπόλογο διαχειριστή το ΔΗΜΟ ΝΗΣΙΔΟΣ")
+    stated = q("μεταφορά ποσού ", eu(x + 1), " για έργα\n  ΔΗΜΟΣ ΝΗΣΙΔΟΣ   ", eu(x + 1), "\n")
+    section = q("α. ΔΗΜΟΣ ΝΗΣΙΔΟΣ έργο ", eu(x), "\nβ. ΔΗΜΟΣ ΑΛΛΟΣ έργο ", eu(x), "\nΣΥΝΟΛΑ ", eu(x + x), "\n")
+    others = q("  1  50100  ΑΛΦΑΣ   ", F.lpad(eu(x), 18, " "), "\n  2  50200  ΒΗΤΑΣ   ", F.lpad(eu(x), 18, " "), "\n   ΣΥΝΟΛΟ  ", F.lpad(eu(x + x), 18, " "), "\n")
+    rest = F.when(p == "3-MEDIUM", letter).when((p == "4-NOT SPECIFIED") & even, stated).when(p == "4-NOT SPECIFIED", section).when((p == "5-LOW") & even, others).otherwise(F.lit("χωρίς ποσά"))
+    docs = tables(b).join(b.decisions.select(c("ada").alias("doc_id"), "o_orderpriority", "price"), "doc_id").withColumn("text", F.when(p.isin("1-URGENT", "2-HIGH"), c("text")).otherwise(rest)).select("doc_id", "subject", "text")
+    amount = r"(\d{1,3}(?:\.\d{3})*,\d{2})"
+    return al.read_decisions(docs, "58000", "ΔΙΑΧΕΙΡΙΣΤ[^.]{0,80}ΝΗΣΙΔΟΣ", "ΔΗΜΟΣ ΝΗΣΙΔΟΣ", (rf"^[ΑΒ]\. ΔΗΜΟΣ .* {amount}$", rf"^ΣΥΝΟΛΑ {amount}$")).select("doc_id", "amount", "status", "method")

@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obolus import fixed_values as fv
-from obolus.functions.money import amounts_at, amounts_in, cents_eu
-from obolus.functions.text import collapse, symbol_repair
+from obolus.functions.money import amounts_at, amounts_in, cents_eu, number_cents
+from obolus.functions.text import collapse, fold, symbol_repair
 from obolus.operators.shape import once
-from obolus.plans.documents import document_lines, letter_amounts
+from obolus.plans.documents import document_lines, letter_amounts, section_rows, stated_lines
 
 c = F.col
 # fixed values: shapes of rows, of total lines and of stated amounts
@@ -89,6 +89,45 @@ def allocation_tables(docs: DataFrame) -> DataFrame:
     return fill_blank_cells(t.select("doc_id", "table", c("t.rows").alias("rows"), c("t.totals").alias("totals")))
 
 
+# fixed values: any number is a column of a table keyed by names (whole euros, counts, amounts)
+NUMBER = r"\d{1,3}(?:\.\d{3})+(?:,\d{1,2})?|\d+(?:,\d{1,2})?"
+NAMED_ROW = rf"^\s*(?:(\d{{1,4}})\s+)?(?:(\d{{4,5}})\s+)?(\p{{L}}[^\d€]*?)\s+((?:(?:{NUMBER})\s*€?\s*)+)$"
+NUMBER_TOKEN = rf"(?<![\d.,])(?:{NUMBER})(?![\d.,%])"
+ENDS_TRIED = 3
+
+
+def named_tables(docs: DataFrame, name: str, code: str) -> DataFrame:
+    """(doc_id, table, rows, totals) and the columns of ``validate_tables``: the table of each document that
+    holds a row named ``name`` (a pattern on the folded name), read by name; that row gets ``code``.
+
+    Rows are lines that end in as many numbers as ours, numbered if ours is, else with a name in
+    capitals. The table starts after the total line before our row and ends at one of the three
+    after it: the first whose numbers the rows add up to, else the first."""
+    tokens = lambda x: F.transform(F.regexp_extract_all(x, F.lit(f"({NUMBER_TOKEN})"), 1), number_cents)
+    lines = document_lines(docs.select("doc_id", "text"))
+    part = lambda i: F.regexp_extract("raw", NAMED_ROW, i)
+    lines = once(lines, "m", F.struct(part(1).alias("number"), part(2).alias("code"), F.trim(part(3)).alias("name"), tokens(part(4)).alias("amounts")))
+    lines = lines.withColumns({"parsed": F.length("m.name") > 0, "summed": c("raw").contains(TOTAL_WORD)})
+    lines = lines.withColumn("closes", c("summed") & c("raw").rlike(NUMBER_TOKEN))
+    lines = once(lines, "ours", c("parsed") & fold(c("m.name")).rlike(name))
+    at = lines.filter("ours").groupBy("doc_id").agg(F.min(F.struct("line", F.size("m.amounts").alias("k"), (F.length("m.number") > 0).alias("numbered"))).alias("at"))
+    totals = lines.filter("closes").join(at, "doc_id").select("doc_id", "line", "at", tokens(F.substring_index("raw", TOTAL_WORD, -1)).alias("totals"))
+    # a document's total lines: as many as it prints
+    spans = totals.groupBy("doc_id").agg(F.max(F.when(c("line") < c("at.line"), c("line"))).alias("start"), F.array_sort(F.collect_list(F.when(c("line") > c("at.line"), F.struct("line", "totals")))).alias("ends"))
+    nothing = F.lit(None).cast("struct<line:int,totals:array<bigint>>")
+    ends = F.when(F.size("ends") > 0, F.slice("ends", 1, ENDS_TRIED)).otherwise(F.array(nothing))
+    tried = at.join(spans, "doc_id", "left").select("doc_id", "at", F.coalesce("start", F.lit(-1)).alias("start"), F.posexplode(ends).alias("try", "end"))
+    rows = lines.filter(c("parsed") & ~c("summed")).join(tried, "doc_id").filter((c("line") > c("start")) & (c("end").isNull() | (c("line") < c("end.line"))) & (F.size("m.amounts") == c("at.k"))
+                                                                               & F.when(c("at.numbered"), F.length("m.number") > 0).otherwise(c("m.name") == F.upper("m.name")))
+    row = F.struct(F.nullif(c("m.number"), F.lit("")).try_cast("int").alias("number"), F.when(c("line") == c("at.line"), F.lit(code)).otherwise(c("m.code")).alias("code"), c("m.name").alias("name"),
+                   c("m.amounts").alias("amounts"), F.array().cast("array<int>").alias("ends")).cast(R)
+    each = rows.groupBy("doc_id", "try").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", row.alias("row")))), lambda x: x["row"]).alias("rows"), F.first("end.totals").alias("totals"))
+    stated = docs.select("doc_id", F.concat(F.transform(F.regexp_extract_all(symbol_repair(c("text")), F.lit(STATED), 1), cents_eu), amounts_in(F.coalesce("subject", F.lit("")))).alias("stated"))
+    checked = validate_tables(each.withColumn("table", c("try")).join(stated, "doc_id"), "stated").drop("stated")
+    best = checked.groupBy("doc_id").agg(F.min(F.struct(c("validation").isNull().alias("bad"), c("try"))).alias("b")).select("doc_id", c("b.try").alias("try"))
+    return checked.join(best, ["doc_id", "try"], "left_semi").drop("try")
+
+
 def fill_blank_cells(tables: DataFrame) -> DataFrame:
     """Rows shorter than the table's usual width get their amounts placed by the right edges of the
     nearest complete row's columns; the other cells are zero."""
@@ -184,13 +223,20 @@ def read_tables(docs: DataFrame) -> DataFrame:
     return validate_tables(allocation_tables(docs).join(s, "doc_id"), "stated").drop("stated")
 
 
-def read_decisions(docs: DataFrame, code: str, manager: str) -> DataFrame:
-    """(doc_id, amount, net, method, validation, status): tables before letters; 'absent' where every
-    table is validated and none holds us, 'not_found' where nothing could be read."""
+def read_decisions(docs: DataFrame, code: str, manager: str, ours: str | None = None, sections: tuple[str, str] | None = None) -> DataFrame:
+    """(doc_id, amount, net, method, validation, status): tables before letters, then lines naming us (the
+    pattern ``ours``) whose amount the text states elsewhere, then our rows in tables closed by section
+    totals (``sections``: patterns of rows and totals); 'absent' where every table is validated and
+    none holds us, 'not_found' where nothing could be read."""
     tables = read_tables(docs)
-    ours = target_lines(tables, code).select("doc_id", F.lit(1).alias("rank"), "amount", "net", F.lit("table").alias("method"), "validation")
-    letters = letter_amounts(docs, manager).filter(c("ours")).select("doc_id", F.lit(2).alias("rank"), "amount", c("amount").alias("net"), F.lit("letter").alias("method"), "validation")
-    found = ours.unionByName(letters)
+    found = target_lines(tables, code).select("doc_id", F.lit(1).alias("rank"), "amount", "net", F.lit("table").alias("method"), "validation")
+    more = [(2, "letter", letter_amounts(docs, manager).filter(c("ours")))]
+    if ours:
+        more.append((3, "stated_line", stated_lines(docs, ours)))
+    if ours and sections:
+        more.append((4, "section", section_rows(docs, *sections, ours)))
+    for rank, method, df in more:
+        found = found.unionByName(df.select("doc_id", F.lit(rank).alias("rank"), "amount", c("amount").alias("net"), F.lit(method).alias("method"), "validation"))
     best = found.groupBy("doc_id").agg(F.min("rank").alias("rank"))
     read = found.join(best, ["doc_id", "rank"], "left_semi").drop("rank").withColumn("status", F.lit("read"))
     seen = tables.groupBy("doc_id").agg(F.bool_and(c("validation").isNotNull()).alias("all_valid"))

@@ -3,6 +3,7 @@ batch answer."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def scratch(b) -> str:
     """A new folder below the session's shared checkpoint folder; on one machine a local one where
     the session names none."""
     shared = b.spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not b.spark.conf.get("spark.master", "").startswith("local["):
+    if not shared and not re.fullmatch(r"local(\[.*\])?", b.spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-")
 

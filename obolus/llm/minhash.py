@@ -9,12 +9,15 @@ independent and equal odds (the Jaccard similarity) to agree. Four values make a
    bucket. A pivot with many members gets as many tasks as it needs, its set in each.
 3. What the pivot cannot show: a node x below the threshold with pivot p may still be linked to
    another member y. With a = what a node lacks of p and b = what it has beyond p, x and y share
-   |p| - |a_x u a_y| + |b_x n b_y|. If b_x and b_y are disjoint and |a_x n a_y| <= |b_y|, then y
-   shares no more with x than p does, and their union is no smaller: x and y are not linked. So
-   partners of x either share an added shingle with it, m_x = threshold |x| - |x n p| of them at
-   least, or, having lost more than they gained, share |b_y| + 1 lost ones. Both are found by joins on
-   single shingles with prefix filters (the rarest |b_x| - m_x + 1, and any |a_y| - |b_y|), and
-   counted on the full differences. Members that are all linked to their pivot need none of this.
+   |p| - |a_x u a_y| + |b_x n b_y|. A link shares threshold |x| or more, so the added shingles they
+   share are at least m_x = threshold |x| - |x n p|, and m_y. If b_x and b_y are disjoint (both m at most
+   0) and |a_x n a_y| <= |b_y|, then y shares no more with x than p does, and their union is no
+   smaller: x and y are not linked. So partners of x either share an added shingle with it, or, both
+   lying in p for the most part and y having lost more than it gained, |b_y| + 1 lost ones. Both are
+   found by joins on single shingles with prefix filters (the rarest |b_x| - m_x + 1, and any |a_y| -
+   |b_y|). Rows carry 256-bit maps of a and b: bits of one that the other lacks bound what the two can
+   share, within the join, and pairs that pass are counted on the full differences. Members that are
+   all linked to their pivot need none of this.
 4. Connected components of the links (``components``); the smallest doc_id reachable names each.
 
 A link between nodes that share no band is missed. Of two sets at the threshold 0.85 that happens
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obolus.llm.common import by_batch, stored
@@ -118,9 +121,18 @@ def roles(nodes: DataFrame) -> DataFrame:
     return own.unionByName(first)
 
 
+def _bitmap(s: np.ndarray | None) -> np.ndarray | None:
+    """256 bits as four integers: which low bytes occur in a set of hashes."""
+    if s is None:
+        return None
+    on = np.zeros(256, bool)
+    on[s & 255] = True
+    return np.packbits(on).view(np.int64)
+
+
 def compare(docs: DataFrame, asked: DataFrame, size: int, percent: int) -> DataFrame:
-    """(pivot, doc, n, n_pivot, linked, added, removed): each member against its pivot, on full sets.
-    The differences are there only where a pivot has more than one member."""
+    """(pivot, doc, n, n_pivot, linked, added, removed, and their bitmaps): each member against its
+    pivot, on full sets. The differences are there only where a pivot has more than one member."""
     texts = asked.join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc")
     dealt = texts.repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", F.col("first").cast("int").desc())
 
@@ -139,34 +151,50 @@ def compare(docs: DataFrame, asked: DataFrame, size: int, percent: int) -> DataF
                 shared = len(np.intersect1d(s, p, assume_unique=True))
                 linked = 100 * shared >= percent * (len(s) + len(p) - shared)
                 far = [np.setdiff1d(s, p, True).view(np.int64), np.setdiff1d(p, s, True).view(np.int64)] if many else [None, None]
-                out.append((pivot, doc, len(s), len(p), linked, *far))
+                out.append((pivot, doc, len(s), len(p), linked, *far, *[_bitmap(x) for x in far]))
             if out:
-                yield pd.DataFrame(out, columns=["pivot", "doc", "n", "n_pivot", "linked", "added", "removed"])
+                yield pd.DataFrame(out, columns=["pivot", "doc", "n", "n_pivot", "linked", "added", "removed", "added_bits", "removed_bits"])
     return dealt.select("pivot", "doc", "set", "first", "many", "text").mapInPandas(
-        run, "pivot long, doc long, n long, n_pivot long, linked boolean, added array<long>, removed array<long>").dropDuplicates(["pivot", "doc"])
+        run, "pivot long, doc long, n long, n_pivot long, linked boolean, added array<long>, removed array<long>, added_bits array<long>, removed_bits array<long>").dropDuplicates(["pivot", "doc"])
 
 
 def beyond_pivots(compared: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between two members of a pivot of which one at least is not linked to it."""
     some = compared.filter("added is not null")
     some = some.join(some.filter("not linked").select("pivot").distinct(), "pivot", "left_semi")
-    lost, won = F.size("removed"), F.size("added")
-    out = some.filter("not linked")
-    # shared additions: x gives the rarest that it cannot do without, y all
-    need = F.greatest(F.lit(1), F.ceil(F.lit(percent) * F.col("n") / 100) - (F.col("n_pivot") - lost))
-    x = out.select("pivot", F.col("doc").alias("x"), (won - need + 1).alias("give"), F.explode("added").alias("s"))
-    y = some.select("pivot", F.col("doc").alias("y"), F.explode("added").alias("s"))
-    common = y.groupBy("pivot", "s").agg(F.count("*").alias("times")).filter("times > 1")
-    ranked = x.join(common, ["pivot", "s"], "left").groupBy("pivot", "x").agg(F.max("give").alias("give"), F.array_sort(F.collect_list(F.struct(F.coalesce("times", F.lit(1).cast("long")).alias("times"), "s"))).alias("all"))
-    given = ranked.filter("give > 0").select("pivot", "x", F.explode(F.slice("all", 1, F.col("give").cast("int"))).alias("e")).filter("e.times > 1").select("pivot", "x", "e.s")
-    by_added = given.join(y, ["pivot", "s"]).filter("x != y").select("pivot", "x", "y").distinct()
+    some = some.withColumns({"lost": F.size("removed"), "won": F.size("added")})
+    some = some.withColumn("need", F.ceil(F.lit(percent) * F.col("n") / 100) - (F.col("n_pivot") - F.col("lost")))
+
+    def side(name: str) -> list:
+        """What the bound reads of a member, under its side's name."""
+        return [F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "lost", "won", "need", "added_bits", "removed_bits")]]
+
+    def near() -> Column:
+        """False only for pairs whose maps show that they share too little."""
+        beyond = lambda of, without, kind: sum(F.bit_count(F.element_at(f"{kind}_bits_{of}", i).bitwiseAND(F.bitwise_not(F.element_at(f"{kind}_bits_{without}", i)))) for i in range(1, 5))
+        gone = F.greatest(F.col("lost_x") + beyond("y", "x", "removed"), F.col("lost_y") + beyond("x", "y", "removed"))
+        both = F.least(F.col("won_x") - beyond("x", "y", "added"), F.col("won_y") - beyond("y", "x", "added"))
+        most = F.col("n_pivot") - gone + both
+        return (both >= F.greatest("need_x", "need_y")) & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))
+
+    # shared additions: of those that other members have too, x gives the rarest that it cannot do without, y all
+    won = some.select("pivot", "doc", F.explode("added").alias("s"))
+    common = won.groupBy("pivot", "s").agg(F.count("*").alias("times")).filter("times > 1")
+    shared = won.join(common, ["pivot", "s"]).groupBy("pivot", "doc").agg(F.array_sort(F.collect_list(F.struct("times", "s"))).alias("shared"))
+    with_shared = some.join(shared, ["pivot", "doc"]).withColumn("common", F.transform("shared", lambda e: e["s"]))
+    give = F.col("won") - F.greatest(F.lit(1), "need") + 1 - (F.col("won") - F.size("shared"))  # what only x has is the rarest and goes first
+    x = with_shared.filter("not linked").withColumn("given", F.slice("common", F.lit(1), F.greatest(give, F.lit(0)).cast("int"))).select("pivot", "n_pivot", "given", *side("x"), F.explode("given").alias("s"))
+    y = with_shared.select("pivot", "common", *side("y"), F.explode("common").alias("s"))
+    met = (x["pivot"] == y["pivot"]) & (x["s"] == y["s"]) & (F.col("x") != F.col("y")) & near()
+    once = F.array_min(F.array_intersect("given", "common")) == x["s"]  # a pair comes at the smallest shingle it shares
+    by_added = x.join(y, met & once).select(x["pivot"], "x", "y")
     # shared losses: y gives as many as it lost more than it gained, x all
-    gone = some.filter(lost > won).select("pivot", F.col("doc").alias("y"), F.explode(F.slice("removed", F.lit(1), lost - won)).alias("s"))
-    lacks = out.select("pivot", F.col("doc").alias("x"), F.explode("removed").alias("s"))
-    lean = lacks.join(gone, ["pivot", "s"]).filter("x != y").select("pivot", "x", "y")
-    pairs = by_added.unionByName(lean).distinct()
-    side = lambda name: some.select("pivot", F.col("doc").alias(name), F.col("n").alias(f"n_{name}"), F.col("added").alias(f"b_{name}"), F.col("removed").alias(f"a_{name}"), "n_pivot")
-    both = pairs.join(side("x"), ["pivot", "x"]).join(side("y").drop("n_pivot"), ["pivot", "y"])
+    gone = some.filter("lost > won and need <= 0").select("pivot", *side("y"), F.explode(F.slice("removed", F.lit(1), F.col("lost") - F.col("won"))).alias("s"))
+    lacks = some.filter("not linked and need <= 0").select("pivot", "n_pivot", *side("x"), F.explode("removed").alias("s"))
+    by_lost = lacks.join(gone, (lacks["pivot"] == gone["pivot"]) & (lacks["s"] == gone["s"]) & (F.col("x") != F.col("y")) & near()).select(lacks["pivot"], "x", "y")
+    pairs = by_added.unionByName(by_lost).distinct()
+    full = lambda name: some.select("pivot", F.col("doc").alias(name), F.col("n").alias(f"n_{name}"), F.col("added").alias(f"b_{name}"), F.col("removed").alias(f"a_{name}"), "n_pivot")
+    both = pairs.join(full("x"), ["pivot", "x"]).join(full("y").drop("n_pivot"), ["pivot", "y"])
     shared = (F.col("n_pivot") - F.size("a_x") - F.size("a_y") + F.size(F.array_intersect("a_x", "a_y")) + F.size(F.array_intersect("b_x", "b_y")))
     return both.filter(100 * shared >= percent * (F.col("n_x") + F.col("n_y") - shared)).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 

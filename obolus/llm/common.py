@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -41,9 +42,11 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a session that names none gets one of its own (as in tests)."""
+    """The cluster's checkpoint folder; a session on one machine that names none (as in tests) gets one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="obolus-checkpoints-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

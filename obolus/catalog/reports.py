@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from obolus.catalog.classify import REGISTRY_SQL, classified
 from obolus.catalog.oracle import pick
 from obolus.catalog.registry import query
@@ -10,6 +12,8 @@ from obolus.operators.resolve import counterparties
 from obolus.plans import reports as rp
 from obolus.plans.views import Release
 
+c = F.col
+
 # the registry over the bound payments, for the report queries that read it
 COUNTERPARTY = {**V, "ided": "SELECT *, counterparty_afm AS id FROM payment WHERE NOT is_payroll AND counterparty_afm IS NOT NULL",
     "cp": f"""SELECT id AS afm, min(counterparty_name_raw) AS display_name, coalesce(sum(amount) FILTER ({OK}), 0) AS total_received,
@@ -109,8 +113,16 @@ add("rp27_other_grantor_lines", """SELECT grantor, CAST(budget_year AS BIGINT) A
 add("rp28_subsidiaries_coverage", f"""SELECT s.entity, CAST(s.year AS BIGINT) AS year, CAST(s.paid AS DOUBLE) AS paid, CAST(coalesce(p.pub, 0) AS DOUBLE) AS published, CAST(coalesce(p.pub, 0) AS DOUBLE) / nullif(CAST(s.paid AS DOUBLE), 0) AS coverage
     FROM (SELECT entity, year, sum(paid_per_statement) AS paid FROM v_payment_coverage WHERE entity <> '7' GROUP BY 1, 2) s
     LEFT JOIN (SELECT entity, year, sum(amount) AS pub FROM payment WHERE {OK} AND amount IS NOT NULL GROUP BY 1, 2) p USING (entity, year)""", rp.subsidiaries_coverage)
-add("ag20_double_posted_lines", """SELECT entity, strftime(date, '%Y-%m-%d') AS date, kae, CAST(amount AS DOUBLE) AS amount, counterparty_afm, count(DISTINCT source_ada) AS n_acts, count(*) AS n_lines FROM payment
-    WHERE act_status = 'PUBLISHED' AND amount IS NOT NULL AND counterparty_afm IS NOT NULL GROUP BY ALL HAVING count(DISTINCT source_ada) > 1""", rp.double_posted_lines)
+
+
+def stepped(b) -> Release:
+    """The release with dates cut to months and amounts to steps of 20,000, so that lines coincide."""
+    lines = b.payment.withColumn("amount", (F.floor(c("amount") / 20000) * 20000).cast("decimal(18,2)")).withColumn("date", F.trunc("date", "month"))
+    return Release(lambda name: lines if name == "payment" else getattr(b, name), home="7")
+
+
+query("ag20_double_posted_lines", """SELECT entity, strftime(date_trunc('month', date), '%Y-%m-%d') AS date, kae, CAST(floor(amount / 20000) * 20000 AS DOUBLE) AS amount, counterparty_afm, count(DISTINCT source_ada) AS n_acts, count(*) AS n_lines FROM payment
+    WHERE act_status = 'PUBLISHED' AND amount IS NOT NULL AND counterparty_afm IS NOT NULL GROUP BY ALL HAVING count(DISTINCT source_ada) > 1""")(lambda b: rp.double_posted_lines(stepped(b)))
 add("ag20_same_day_payees", """SELECT entity, strftime(date, '%Y-%m-%d') AS date, counterparty_afm, count(DISTINCT source_ada) AS n_acts, count(*) AS n_lines FROM payment
     WHERE act_status = 'PUBLISHED' AND amount IS NOT NULL AND counterparty_afm IS NOT NULL GROUP BY ALL HAVING count(DISTINCT source_ada) > 1""",
     lambda r: rp.double_posted_lines(r, ["entity", "date", "counterparty_afm"]))

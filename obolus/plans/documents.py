@@ -120,17 +120,16 @@ def cumulative_lines(docs: DataFrame) -> DataFrame:
     totals = F.transform(F.filter(c("raws"), lambda r: r.rlike(GRAND_TOTAL)), lambda r, i: _total(
         F.when(i == 0, F.lit("revenue")).otherwise(F.lit("spending")), _printed(r, GRAND_TOTAL, 1)))
     d = once(once(_text_lines(docs), "printed", _code_rows(GRAND_TOTAL)), "totals", totals)
-    d = once(d, "codes", F.array_distinct(F.transform("printed", lambda x: x["kae"])))
-    zero = F.lit(0).cast("bigint")
-
-    def summed(k: Column) -> Column:
-        mine = F.filter(c("printed"), lambda x: x["kae"] == k)
-        return _line(_side_of(k), F.lit(None).cast("string"), k, F.get(mine, F.lit(0))["description"],
-                     [F.aggregate(mine, zero, lambda acc, x: acc + x[a]) for a in AMOUNTS])
+    # a code's rows are summed by (document, code); a document's codes, in the order of their first rows, are its lines
+    each = d.select("doc_id", F.posexplode("printed").alias("at", "x")).groupBy("doc_id", c("x.kae").alias("kae")).agg(
+        F.min("at").alias("at"), F.min_by("x.description", "at").alias("description"), *[F.sum(f"x.{a}").alias(a) for a in AMOUNTS])
+    line = _line(_side_of(c("kae")), F.lit(None).cast("string"), c("kae"), c("description"), [c(a) for a in AMOUNTS])
+    rows = each.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", line.alias("line")))), lambda x: x["line"]).alias("rows"))
+    d = d.join(rows, "doc_id", "left").withColumn("rows", F.coalesce("rows", F.array().cast(f"array<{LINE}>")))
 
     period = _period_of(c("text"))
     bad = _first_reason((period.isNull(), "unknown month"), (F.size("totals") > 2, "more than two grand totals"))
-    return d.select("doc_id", F.lit("cumulative").alias("layout"), period.alias("period_end"), F.transform("codes", summed).alias("rows"), "totals", bad.alias("bad"))
+    return d.select("doc_id", F.lit("cumulative").alias("layout"), period.alias("period_end"), "rows", "totals", bad.alias("bad"))
 
 
 def _amounts_from(offset: Column) -> Column:

@@ -66,12 +66,17 @@ KIND_FAMILIES = {
 }
 
 
-def foundation_families(home: str) -> tuple[tuple[str, str], ...]:
-    """A foundation's families; ``home`` is the home body's name as its subjects decline it."""
+#: Kinds of bodies a foundation also gives to; a registry adds their own names.
+FOUNDATION_OTHERS = ("ΜΗΤΡΟΠΟΛ", "ΜΟΝΑΔΑ ΦΡΟΝΤΙΔΑΣ", "ΚΑΛΩΝ ΤΕΧΝΩΝ", "ΑΠΟΣΤΟΛΙΚΗ")
+
+
+def foundation_families(home: str, others: tuple[str, ...] = FOUNDATION_OTHERS) -> tuple[tuple[str, str], ...]:
+    """A foundation's families; ``home`` is the home body's name as its subjects decline it, ``others`` patterns
+    of the other bodies it gives to."""
     return (
         ("foundation_water_bill", "ΥΔΡΕΥΣ|ΝΕΡΟΥ|ΑΠΟΧΕΤΕΥΣ|ΚΟΙΝΟΧΡΗΣΤ|ΤΕΛ(?:Η|ΩΝ) ΑΚΙΝΗΤΟΥ"),
         # its grants to other bodies stand before its statutory one to the home body
-        ("foundation_to_others", rf"^(?!.*ΔΗΜΟ)(?=.*(?:ΙΤΗΠ|Ι\.ΤΗ\.Π|ΙΔΡΥΜΑ{_X} ΤΗΝΙΑΚΟΥ|ΜΗΤΡΟΠΟΛ|Μ\.Φ\.Η|ΜΦΗ|ΜΟΝΑΔΑ ΦΡΟΝΤΙΔΑΣ|ΜΕΓΑΛΟΧΑΡΗ|ΚΑΛΩΝ ΤΕΧΝΩΝ|ΑΠΟΣΤΟΛΙΚΗ|ΤΠΟΕΚΕ))"),
+        ("foundation_to_others", rf"^(?!.*ΔΗΜΟ)(?=.*(?:{'|'.join(others)}))"),
         ("foundation_statutory_grant", rf"ΤΑΚΤΙΚ{_X} (?:ΕΤΗΣΙΑΣ )?ΕΠΙΧΟΡΗΓ|ΘΕΣΜΟΘΕΤΗΜΕΝ|ΝΟΜΟΘΕΤΗΜΕΝ|ΕΤΗΣΙΑΣ ΕΠΙΧΟΡΗΓ|10% ΕΠΙ|ΕΠΙΧΟΡΗΓΗΣ{_X} ΔΗΜΟΥ {home} ΓΙΑ ΕΤΟΣ"),
         ("foundation_grant", "ΕΠΙΧΟΡΗΓ|ΚΑΤΑΒΟΛΗΣ? ΠΟΣ|ΕΙΣΦΟΡ"), ("in_kind", "ΧΡΗΣΙΔΑΝΕΙ"),
     )
@@ -116,14 +121,14 @@ NEW_CHART_CATEGORIES = {"1310114": "state_grants", "1310189": "state_grants", "1
                         "1340102": "investment_programmes", "1340105": "investment_programmes", "1340189": "investment_programmes"}
 
 
-def family_of(subject: Column, kind: Column, home: str = "") -> Column:
+def family_of(subject: Column, kind: Column, home: str = "", others: tuple[str, ...] = FOUNDATION_OTHERS) -> Column:
     """Family of a decision by the kind of its issuer: the fund and the region have their own sets and
     nothing else; other kinds try their own set first, and only the administration and the
     ministry (any other kind) fall back on the ministry's."""
     s = fold(subject)
     ministry = first_match(s, FAMILIES, "other")
     out = F.when(kind == "region_fund", first_match(s, FUND_FAMILIES, "other")).when(kind == "region", first_match(s, REGION_FAMILIES, "other"))
-    for name, rules in {**KIND_FAMILIES, "foundation": foundation_families(home)}.items():
+    for name, rules in {**KIND_FAMILIES, "foundation": foundation_families(home, others)}.items():
         own = first_match(s, rules)
         out = out.when(kind == name, F.coalesce(own, ministry if name == "administration" else F.lit("other")))
     return out.otherwise(ministry)

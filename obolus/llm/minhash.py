@@ -4,9 +4,10 @@ independent and equal odds (the Jaccard similarity) to agree. Four values make a
 
 1. Signatures, and a hash of the whole set, in the tasks. Equal sets become one node: its smallest
    doc_id; copies are not linked one by one.
-2. Nodes that share a band are a bucket. Its pivot is the node with the most copies (then the
-   smallest id). Every other node is compared with the pivot only, on full sets: no pairs within the
-   bucket. A pivot with many members gets as many tasks as it needs, its set in each.
+2. Nodes that share a band are a bucket. Its pivot is the node that meets the most others in all its
+   buckets (then the smallest id), which is in the middle of its family. Every other node is compared
+   with the pivot only, on full sets: no pairs within the bucket. A pivot with many members gets as
+   many tasks as it needs, its set in each.
 3. What the pivot cannot show: a node x below the threshold with pivot p may still be linked to
    another member y. With a = what a node lacks of p and b = what it has beyond p, x and y share
    |p| - |a_x u a_y| + |b_x n b_y|. A link shares threshold |x| or more, so the added shingles they
@@ -17,7 +18,7 @@ independent and equal odds (the Jaccard similarity) to agree. Four values make a
    found by joins on single shingles with prefix filters (the rarest |b_x| - m_x + 1, and any |a_y| -
    |b_y|). Rows carry 256-bit maps of a and b: bits of one that the other lacks bound what the two can
    share, within the join, and pairs that pass are counted on the full differences. Members that are
-   all linked to their pivot need none of this.
+   all linked to their pivot, or that links to pivots have brought together, need none of this.
 4. Connected components of the links (``components``); the smallest doc_id reachable names each.
 
 A link between nodes that share no band is missed. Of two sets at the threshold 0.85 that happens
@@ -48,6 +49,8 @@ BANDS = 2 * PERMUTATIONS // BAND
 CHUNK = 512
 #: Shingles hashed at once, so that a very long text needs no more memory than its set.
 PIECE = 4096
+#: Columns of the bitmaps of what a member has beyond its pivot and lacks of it.
+ADDED_BITS, REMOVED_BITS = [f"added_{i}" for i in range(4)], [f"removed_{i}" for i in range(4)]
 #: Distinct words whose hashes a task remembers.
 KNOWN = 300_000
 
@@ -110,9 +113,13 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 def roles(nodes: DataFrame) -> DataFrame:
     """(doc, set, pivot, chunk, first, many): for each pivot its members, and itself (``first``) once
     for every chunk of them. ``many``: it has more than one member."""
-    banded = nodes.select("node", "set", "copies", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.count("*").alias("size"), F.max(F.struct("copies", (-F.col("node")).alias("node"))).alias("top")).filter("size > 1")
-    members = banded.join(buckets.select("band", (-F.col("top.node")).alias("pivot")), "band").filter("node != pivot").select("pivot", "node", "set").distinct()
+    banded = nodes.select("node", "set", F.explode("bands").alias("band"))
+    sizes = banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    met = stored(banded.join(sizes, "band"))
+    # the member that meets the most others stands in the middle of its family: the fewest are far from it
+    middle = met.groupBy("node").agg(F.sum("size").alias("meets"))
+    tops = met.select("band", "node").join(middle, "node").groupBy("band").agg(F.max(F.struct("meets", (-F.col("node")).alias("node"))).alias("top"))
+    members = met.join(tops.select("band", (-F.col("top.node")).alias("pivot")), "band").filter("node != pivot").select("pivot", "node", "set").distinct()
     counts = members.groupBy("pivot").agg(F.count("*").alias("members")).withColumn("chunks", F.ceil(F.col("members") / CHUNK))
     own = members.join(counts, "pivot").select(F.col("node").alias("doc"), "set", "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), F.lit(False).alias("first"),
                                               (F.col("members") > 1).alias("many"))
@@ -121,13 +128,12 @@ def roles(nodes: DataFrame) -> DataFrame:
     return own.unionByName(first)
 
 
-def _bitmap(s: np.ndarray | None) -> np.ndarray | None:
+def _bitmap(s: np.ndarray | None) -> list[int]:
     """256 bits as four integers: which low bytes occur in a set of hashes."""
-    if s is None:
-        return None
     on = np.zeros(256, bool)
-    on[s & 255] = True
-    return np.packbits(on).view(np.int64)
+    if s is not None:
+        on[s & 255] = True
+    return np.packbits(on).view(np.int64).tolist()
 
 
 def compare(docs: DataFrame, asked: DataFrame, size: int, percent: int) -> DataFrame:
@@ -151,31 +157,33 @@ def compare(docs: DataFrame, asked: DataFrame, size: int, percent: int) -> DataF
                 shared = len(np.intersect1d(s, p, assume_unique=True))
                 linked = 100 * shared >= percent * (len(s) + len(p) - shared)
                 far = [np.setdiff1d(s, p, True).view(np.int64), np.setdiff1d(p, s, True).view(np.int64)] if many else [None, None]
-                out.append((pivot, doc, len(s), len(p), linked, *far, *[_bitmap(x) for x in far]))
+                out.append((pivot, doc, len(s), len(p), linked, *far, *[b for x in far for b in _bitmap(x)]))
             if out:
-                yield pd.DataFrame(out, columns=["pivot", "doc", "n", "n_pivot", "linked", "added", "removed", "added_bits", "removed_bits"])
+                yield pd.DataFrame(out, columns=["pivot", "doc", "n", "n_pivot", "linked", "added", "removed", *ADDED_BITS, *REMOVED_BITS])
     return dealt.select("pivot", "doc", "set", "first", "many", "text").mapInPandas(
-        run, "pivot long, doc long, n long, n_pivot long, linked boolean, added array<long>, removed array<long>, added_bits array<long>, removed_bits array<long>").dropDuplicates(["pivot", "doc"])
+        run, "pivot long, doc long, n long, n_pivot long, linked boolean, added array<long>, removed array<long>, " + ", ".join(f"{b} long" for b in ADDED_BITS + REMOVED_BITS)).dropDuplicates(["pivot", "doc"])
 
 
 def beyond_pivots(compared: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links between two members of a pivot of which one at least is not linked to it."""
+    """(a, b): links between two members of a pivot of which one at least is not linked to it, and that
+    the links to pivots have not brought together (``part``: the component of a member by those)."""
     some = compared.filter("added is not null")
-    some = some.join(some.filter("not linked").select("pivot").distinct(), "pivot", "left_semi")
+    parted = some.groupBy("pivot").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.bool_and("linked").alias("all")).filter("lo != hi and not all")
+    some = some.join(parted.select("pivot"), "pivot", "left_semi")
     some = some.withColumns({"lost": F.size("removed"), "won": F.size("added")})
     some = some.withColumn("need", F.ceil(F.lit(percent) * F.col("n") / 100) - (F.col("n_pivot") - F.col("lost")))
 
     def side(name: str) -> list:
         """What the bound reads of a member, under its side's name."""
-        return [F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "lost", "won", "need", "added_bits", "removed_bits")]]
+        return [F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("part", "n", "lost", "won", *ADDED_BITS, *REMOVED_BITS)]]
 
     def near() -> Column:
-        """False only for pairs whose maps show that they share too little."""
-        beyond = lambda of, without, kind: sum(F.bit_count(F.element_at(f"{kind}_bits_{of}", i).bitwiseAND(F.bitwise_not(F.element_at(f"{kind}_bits_{without}", i)))) for i in range(1, 5))
-        gone = F.greatest(F.col("lost_x") + beyond("y", "x", "removed"), F.col("lost_y") + beyond("x", "y", "removed"))
-        both = F.least(F.col("won_x") - beyond("x", "y", "added"), F.col("won_y") - beyond("y", "x", "added"))
-        most = F.col("n_pivot") - gone + both
-        return (both >= F.greatest("need_x", "need_y")) & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))
+        """False only for pairs of one part, and those whose maps show that they share too little. Kept
+        short: the JVM compiles no method of more than 8,000 bytes of code."""
+        beyond = lambda of, without, bits: sum(F.bit_count(F.col(f"{b}_{of}").bitwiseAND(F.bitwise_not(F.col(f"{b}_{without}")))) for b in bits)
+        gone = F.greatest(F.col("lost_x") + beyond("y", "x", REMOVED_BITS), F.col("lost_y") + beyond("x", "y", REMOVED_BITS))
+        both = F.least(F.col("won_x") - beyond("x", "y", ADDED_BITS), F.col("won_y") - beyond("y", "x", ADDED_BITS))
+        return (F.col("part_x") != F.col("part_y")) & ((100 + percent) * (F.col("n_pivot") - gone + both) >= percent * (F.col("n_x") + F.col("n_y")))
 
     # shared additions: of those that other members have too, x gives the rarest that it cannot do without, y all
     won = some.select("pivot", "doc", F.explode("added").alias("s"))
@@ -185,13 +193,14 @@ def beyond_pivots(compared: DataFrame, percent: int) -> DataFrame:
     give = F.col("won") - F.greatest(F.lit(1), "need") + 1 - (F.col("won") - F.size("shared"))  # what only x has is the rarest and goes first
     x = with_shared.filter("not linked").withColumn("given", F.slice("common", F.lit(1), F.greatest(give, F.lit(0)).cast("int"))).select("pivot", "n_pivot", "given", *side("x"), F.explode("given").alias("s"))
     y = with_shared.select("pivot", "common", *side("y"), F.explode("common").alias("s"))
-    met = (x["pivot"] == y["pivot"]) & (x["s"] == y["s"]) & (F.col("x") != F.col("y")) & near()
-    once = F.array_min(F.array_intersect("given", "common")) == x["s"]  # a pair comes at the smallest shingle it shares
+    met = (x["pivot"] == y["pivot"]) & (x["s"] == y["s"]) & near()
+    # a pair comes at the smallest shingle it shares; inside a lambda, for the sake of that limit
+    once = F.exists(F.array(F.lit(True)), lambda _: F.array_min(F.array_intersect("given", "common")) == x["s"])
     by_added = x.join(y, met & once).select(x["pivot"], "x", "y")
     # shared losses: y gives as many as it lost more than it gained, x all
     gone = some.filter("lost > won and need <= 0").select("pivot", *side("y"), F.explode(F.slice("removed", F.lit(1), F.col("lost") - F.col("won"))).alias("s"))
     lacks = some.filter("not linked and need <= 0").select("pivot", "n_pivot", *side("x"), F.explode("removed").alias("s"))
-    by_lost = lacks.join(gone, (lacks["pivot"] == gone["pivot"]) & (lacks["s"] == gone["s"]) & (F.col("x") != F.col("y")) & near()).select(lacks["pivot"], "x", "y")
+    by_lost = lacks.join(gone, (lacks["pivot"] == gone["pivot"]) & (lacks["s"] == gone["s"]) & near()).select(lacks["pivot"], "x", "y")
     pairs = by_added.unionByName(by_lost).distinct()
     full = lambda name: some.select("pivot", F.col("doc").alias(name), F.col("n").alias(f"n_{name}"), F.col("added").alias(f"b_{name}"), F.col("removed").alias(f"a_{name}"), "n_pivot")
     both = pairs.join(full("x"), ["pivot", "x"]).join(full("y").drop("n_pivot"), ["pivot", "y"])
@@ -203,10 +212,11 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (the smallest id of each component).
     Two texts are linked when 100 * intersection >= percent * union of their sets of ``size``-word shingles."""
     signed = stored(signatures(docs, size))
-    nodes = stored(signed.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands")).filter("node is not null"))
+    nodes = stored(signed.filter("n > 0").groupBy("set").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")).filter("node is not null"))
     compared = stored(compare(docs, roles(nodes), size, percent))
-    links = compared.filter("linked").select(F.col("doc").alias("a"), F.col("pivot").alias("b")).unionByName(beyond_pivots(compared, percent))
-    roots = connected(links)
+    parts = connected(compared.filter("linked").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
+    compared = compared.join(parts.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("part", F.coalesce("root", "doc")).drop("root")
+    roots = connected(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(beyond_pivots(compared, percent)))
     named = nodes.select("set", "node").join(roots, "node", "left").select("set", F.coalesce("root", "node").alias("component_id"))
     some = signed.filter("n > 0").select("doc_id", "n", "set").join(named, "set", "left").select("doc_id", "n", "component_id")
     alone = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))

@@ -32,9 +32,9 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Characters of text whose words are encoded together.
-SLICE = 8_000_000
+SLICE = 6_000_000
 #: Distinct words that a task remembers between slices.
-KNOWN = 400_000
+KNOWN = 250_000
 NONE = 1 << 30
 
 
@@ -97,10 +97,10 @@ class Replay:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         tok = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
         ends = np.cumsum(sizes)
-        after, before = np.arange(1, len(tok) + 1), np.arange(-1, len(tok) - 1)
+        after, before = np.arange(1, len(tok) + 1, dtype=np.int32), np.arange(-1, len(tok) - 1, dtype=np.int32)
         after[ends - 1] = -1
         before[ends - sizes] = -1
-        word = np.repeat(np.arange(len(words)), sizes)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         index: dict[int, list[np.ndarray]] = {}
         ranks: list[int] = []
         again: set[int] = set()
@@ -122,7 +122,7 @@ class Replay:
                     index[r] = [places[i:j]]
                     heapq.heappush(ranks, r)
 
-        at = np.flatnonzero(after >= 0)
+        at = np.flatnonzero(after >= 0).astype(np.int32)
         post(at, self.rank(tok[at], tok[after[at]]))
         while ranks:
             r = heapq.heappop(ranks)
@@ -166,10 +166,12 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield part
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """One row per document: doc_id and ids (packed)."""
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, and_decode: bool = False) -> DataFrame:
+    """One row per document: doc_id and ids (packed); with ``and_decode`` also data, the bytes that the
+    ids stand for, in the same pass over the tasks."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         replay, split = Replay(ranks), regex.compile(pattern)
+        back = _bytes_of(ranks)
         seen: defaultdict = defaultdict()
         seen.default_factory = seen.__len__
         flat, lengths = np.zeros(0, "<u4"), np.zeros(0, np.int64)
@@ -177,7 +179,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
             if len(lengths) > KNOWN:
                 seen.clear()
                 flat, lengths = flat[:0], lengths[:0]
-            texts = [np.fromiter(map(seen.__getitem__, split.findall(t or "")), np.int64) for t in part["text"]]
+            texts = [np.fromiter(map(seen.__getitem__, split.findall(t or "")), np.int32) for t in part["text"]]
             if len(seen) > len(lengths):
                 new = list(seen)[len(lengths):]
                 more, n = replay.encode([w.encode("utf-8", "surrogatepass") for w in new])
@@ -188,14 +190,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
                 n = lengths[w]
                 ends = np.cumsum(n)
                 out.append(flat[np.repeat(starts[w] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].tobytes())
-            yield pd.DataFrame({"doc_id": part["doc_id"], "ids": out})
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids binary")
+            rows = pd.DataFrame({"doc_id": part["doc_id"], "ids": out})
+            yield rows.assign(data=[back(x) for x in out]) if and_decode else rows
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids binary" + ", data binary" * and_decode)
+
+
+def _bytes_of(ranks: dict[bytes, int]):
+    """A function from packed ids to the bytes that they stand for."""
+    token = {r: t for t, r in ranks.items()}.__getitem__
+    return lambda ids: b"".join(map(token, np.frombuffer(ids or b"", "<u4").tolist()))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """One row per document: doc_id, ids and data (the bytes that the ids stand for)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        token = {r: t for t, r in ranks.items()}.__getitem__
+        back = _bytes_of(ranks)
         for batch in batches:
-            yield batch.assign(data=[b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in batch["ids"]])
+            yield batch.assign(data=[back(x) for x in batch["ids"]])
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids binary, data binary")

@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obolus.llm.common import stored
+
 #: Filter words in one row of the filter's table.
 BLOCK = 1024
 
@@ -65,14 +67,25 @@ def possibly_repeated(df: DataFrame, h: str, max_words: int = 1 << 22, bits: int
     return joined.withColumn("_maybe", hit).drop("_block", "_i", "_mask", "words")
 
 
+#: Groups that get their result by a broadcast: those of more than so small a share of all rows, so there are no more of them.
+LARGE = 10_000
+
+
 def mark(docs: DataFrame, max_words: int = 1 << 22) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Groups larger than a ten-thousandth of all rows, at most ten thousand of them, are sent to the
+    rows; the rows of smaller groups meet theirs by a shuffle, so that no task gets a large group."""
     text = F.coalesce(F.col("text"), F.lit(""))
     df = possibly_repeated(docs.select("doc_id", F.sha2(text.cast("binary"), 256).alias("text_sha256"), F.xxhash64(text).alias("_h")), "_h", max_words).drop("_h")
     once = df.filter("not _maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     maybe = df.filter("_maybe").select("doc_id", "text_sha256")
-    groups = maybe.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    again = maybe.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    groups = stored(maybe.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
+    large = F.col("group_size") > docs.count() / LARGE
+    told = maybe.join(F.broadcast(groups.filter(large).withColumnRenamed("keep_id", "_keep").withColumnRenamed("group_size", "_size")), "text_sha256", "left")
+    in_large = told.filter("_size is not null").select("doc_id", F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"), "text_sha256")
+    in_small = told.filter("_size is null").select("doc_id", "text_sha256").join(groups.filter(~large), "text_sha256").select("doc_id", "keep_id", "group_size", "text_sha256")
+    again = in_large.unionByName(in_small).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return once.unionByName(again)
 
 

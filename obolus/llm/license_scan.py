@@ -14,8 +14,11 @@ meets the bound without comparing all pairs:
 The templates are a parameter of fixed size (the words of all together are a few hundred), so they
 and the words' counts may be sent to every task. Only DataFrame functions are used.
 
-Defined results: a null text counts as empty: no words, no block, score 0. A block's label
-is that of the template it holds most of; of equals the one of more words, then the last by name. Repeated rows get the same result each; other columns are not read.
+Defined results: a null text counts as empty: no words, no block, score 0. A block gets the label of
+every template that it holds enough of, but for a template that a better one explains: all words it
+shares with the block are shared by a template the block holds more of (of equals, by the one of more
+words, then the last by name), as cc-by-4.0 beside cc-by-nc. Repeated rows get the same result each;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -88,8 +91,8 @@ def word_counts(found: DataFrame) -> DataFrame:
 
 
 def match(found: DataFrame, templates: list[Template], counts: dict[str, int]) -> DataFrame:
-    """(doc_id, h, block, label, size, containment) of every block and template with enough words in
-    common.
+    """(doc_id, h, block, label, size, containment, shared) of every block and template with enough words
+    in common.
 
     ``counts`` has the vocabulary's words only, so its size is that of the templates."""
     spark = found.sparkSession
@@ -111,7 +114,13 @@ def match(found: DataFrame, templates: list[Template], counts: dict[str, int]) -
              .join(F.broadcast(body), "t"))
     shared = F.array_intersect("own", "body")
     pairs = pairs.filter((F.size(shared) >= F.col("need")) & (F.element_at(shared, 1) == F.col("word")))  # once: at the first common word
-    return pairs.select("doc_id", "h", "block", "label", "size", (F.size(shared) / F.col("size")).alias("containment"))
+    return pairs.select("doc_id", "h", "block", "label", "size", (F.size(shared) / F.col("size")).alias("containment"), shared.alias("shared"))
+
+
+def unexplained(found: Column) -> Column:
+    """Of the matches of a block (at most one a template) those whose shared words are not all shared by a better one."""
+    rank = lambda m: F.struct(m["containment"], m["size"], m["label"])
+    return F.filter(found, lambda a: ~F.exists(found, lambda b: (rank(b) > rank(a)) & (F.size(F.array_except(a["shared"], b["shared"])) == 0)))
 
 
 def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
@@ -122,8 +131,9 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
     found = blocks(keyed, sorted({w for t in known for w in t.words}))
     counts = {r["word"]: r["n"] for r in word_counts(found).collect()}  # the templates' words: a fixed number
-    per_block = match(found, known, counts).groupBy("doc_id", "h", "block").agg(F.max(F.struct("containment", "size", "label")).alias("m"))
-    best = per_block.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.collect_set("m.label").alias("more"), F.max("m.containment").alias("best"))
+    per_block = match(found, known, counts).groupBy("doc_id", "h", "block").agg(F.collect_set(F.struct("containment", "size", "label", "shared")).alias("ms"))
+    per_match = per_block.select("doc_id", "h", F.explode(unexplained(F.col("ms"))).alias("m"))
+    best = per_match.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.collect_set("m.label").alias("more"), F.max("m.containment").alias("best"))
 
     df = once(keyed.select("doc_id", "h", _spaced(F.col("text")).alias("s")), "s1", F.col("s")).drop("s")
     spaces = lambda c: F.length(c) - F.length(F.translate(c, " ", ""))

@@ -77,6 +77,13 @@ def test_labels_of_blocks(spark, folder):
     assert license_scan.templates_of([("a b c d e", "x")])[0].need == 4
 
 
+def test_all_licences_of_a_block(spark, docs):
+    rows = ["Licensed under the Apache License, Version 2.0, or released under the MIT license", "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0. All rights reserved.",
+            "This work is licensed under the GNU General Public License, version 2 or version 3."]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs(*enumerate(rows))).collect()}
+    assert got == {0: ("apache-2.0,mit", 1.0), 1: ("cc-by,cc-by-nc", 1.0), 2: ("cc-by,cc-by-sa,reserved", 1.0), 3: ("gpl,gpl-2,gpl-3", 1.0)}
+
+
 def test_kept_texts(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = exact_dedup.drop_copies(docs)

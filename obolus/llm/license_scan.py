@@ -1,24 +1,23 @@
-"""License scans: an exact set-similarity join of text blocks (lines) with licence templates.
+"""License scans: an exact set-similarity join of blocks of a text with licence templates.
 
-A block matches a template when it holds at least ``threshold`` of the template's distinct words.
-Words are ordered by how many blocks of the whole corpus hold them, the rarest first. The join
-meets the bound without comparing all pairs:
+A block is a window of as many words as the longest template has, wherever lines end; it matches a
+template when it holds at least ``threshold`` of the template's distinct words. Words are ordered by how
+many texts of the corpus hold them, the rarest first. The join meets the bound without comparing all pairs:
 
-- prefix: a block that reaches the overlap ``need = ceil(threshold * |T|)`` holds one of the first
-  ``|T| - need + 1`` words of T, so only blocks with such a word are looked at;
-- length: it has ``need`` words at least;
-- position: the first common word at place j of T and at place i of the block's own template words
+- prefix: a text with a block that reaches the overlap ``need = ceil(threshold * |T|)`` holds one of the
+  first ``|T| - need + 1`` words of T, so only texts with such a word are looked at;
+- position: the first common word at place j of T and at place i of the text's own template words
   leaves ``1 + min(|T| - j, |B| - i)`` words to share at the most;
-- the pairs left are counted on their full sets.
+- the texts left are counted on their full sets, and their windows that begin at a word of T one by one.
 
 The templates are a parameter of fixed size (the words of all together are a few hundred), so they
 and the words' counts may be sent to every task. Only DataFrame functions are used.
 
-Defined results: a null text counts as empty: no words, no block, score 0. A block gets the label of
-every template that it holds enough of, but for a template that a better one explains: all words it
-shares with the block are shared by a template the block holds more of (of equals, by the one of more
-words, then the last by name), as cc-by-4.0 beside cc-by-nc. Repeated rows get the same result each;
-other columns are not read.
+Defined results: a null text counts as empty: no words, no block, score 0. A text gets the label of
+every template that a block of it holds enough of, but for a match that a better one explains: all its
+words are words of a match that holds more of its template (of equals, of the one of more words, then the
+last by name), as cc-by-4.0 beside cc-by-nc, and it stands at most of their places.
+Repeated rows get the same result each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -75,24 +74,33 @@ def _spaced(text: Column) -> Column:
     return F.regexp_replace(F.concat(F.lit(" "), ascii_lower(text), F.lit(" ")), NOT_WORD, " ")
 
 
-def blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(doc_id, h, block, words, n): every line that holds a word of the vocabulary, with the distinct
-    words of the vocabulary that it holds and the number of its distinct words."""
+def texts_of(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(doc_id, h, all, words): every text that holds a word of the vocabulary, with its words in their
+    order and the distinct words of the vocabulary among them."""
     known = F.array(*[F.lit(w) for w in vocabulary])
-    df = docs.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("block", "line"))
-    df = df.select("doc_id", "h", "block", F.array_distinct(F.split(F.btrim(_spaced(F.col("line"))), " ")).alias("all"))
-    df = df.select("doc_id", "h", "block", F.array_intersect("all", known).alias("words"), F.size("all").alias("n"))
-    return df.filter(F.size("words") > 0)
+    df = docs.select("doc_id", "h", F.split(F.btrim(_spaced(F.col("text"))), " ").alias("all"))
+    return df.select("doc_id", "h", "all", F.array_intersect("all", known).alias("words")).filter(F.size("words") > 0)
 
 
 def word_counts(found: DataFrame) -> DataFrame:
-    """How many blocks hold each template word: one row for each word and task is shuffled."""
+    """How many texts hold each template word: one row for each word and task is shuffled."""
     return found.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def match(found: DataFrame, templates: list[Template], counts: dict[str, int]) -> DataFrame:
-    """(doc_id, h, block, label, size, containment, shared) of every block and template with enough words
-    in common.
+def windows(words: Column, body: Column, need: Column, label: Column, width: int) -> Column:
+    """The matches of a text's words with a template: one for each window of ``width`` words that begins at
+    a word of the template and holds enough; not those whose first word comes again before their last."""
+    places = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda p: F.array_contains(body, p["w"]))
+    cuts = F.transform(places, lambda p, k: F.filter(F.slice(places, k + 1, width), lambda q: q["i"] < p["i"] + width))
+    firsts = F.transform(cuts, lambda c: F.struct(c.alias("c"), F.filter(c, lambda q, x: F.array_position(c["w"], q["w"]) == x + 1).alias("f")))
+    again = lambda m: F.exists(m["c"], lambda q: (q["w"] == m["f"][0]["w"]) & (q["i"] > m["f"][0]["i"]) & (q["i"] < F.element_at(m["f"], -1)["i"]))
+    return F.transform(F.filter(firsts, lambda m: (F.size(m["f"]) >= need) & ~again(m)), lambda m: F.struct(
+        m["f"][0]["i"].alias("start"), (F.size(m["f"]) / F.size(body)).alias("containment"), F.size(body).alias("size"), label.alias("label"),
+        m["f"]["w"].alias("shared"), m["f"]["i"].alias("at")))
+
+
+def match(found: DataFrame, templates: list[Template], counts: dict[str, int], width: int) -> DataFrame:
+    """(doc_id, h, ms) of every text and template with enough words in common: the windows that match.
 
     ``counts`` has the vocabulary's words only, so its size is that of the templates."""
     spark = found.sparkSession
@@ -101,26 +109,28 @@ def match(found: DataFrame, templates: list[Template], counts: dict[str, int]) -
     index, bodies = [], []
     for k, t in enumerate(templates):
         words = sorted(t.words, key=rank.__getitem__)
-        bodies.append((k, t.label, words, t.need))
+        bodies.append((k, t.label, words))
         index += [(w, k, j, len(words), t.need) for j, w in enumerate(words[:len(words) - t.need + 1])]
     prefix = spark.createDataFrame(index, "word string, t int, j int, size int, need int")
-    body = spark.createDataFrame(bodies, "t int, label string, body array<string>, need_all int").drop("need_all")
+    body = spark.createDataFrame(bodies, "t int, label string, body array<string>")
     first = F.array(*[F.lit(w) for w in sorted({x[0] for x in index}, key=rank.__getitem__)])
     known = F.array(*[F.lit(w) for w in order])
     df = found.filter(F.arrays_overlap("words", first)).withColumn("own", F.array_intersect(known, F.col("words")))  # in the global order
-    df = df.select("doc_id", "h", "block", "n", "own", F.posexplode("own").alias("i", "word"))
+    df = df.select("doc_id", "h", "all", "own", F.posexplode("own").alias("i", "word"))
     pairs = (df.join(F.broadcast(prefix), "word")
-             .filter((F.col("n") >= F.col("need")) & (1 + F.least(F.col("size") - F.col("j") - 1, F.size("own") - F.col("i") - 1) >= F.col("need")))
+             .filter(1 + F.least(F.col("size") - F.col("j") - 1, F.size("own") - F.col("i") - 1) >= F.col("need"))
              .join(F.broadcast(body), "t"))
     shared = F.array_intersect("own", "body")
     pairs = pairs.filter((F.size(shared) >= F.col("need")) & (F.element_at(shared, 1) == F.col("word")))  # once: at the first common word
-    return pairs.select("doc_id", "h", "block", "label", "size", (F.size(shared) / F.col("size")).alias("containment"), shared.alias("shared"))
+    return pairs.select("doc_id", "h", windows(F.col("all"), F.col("body"), F.col("need"), F.col("label"), width).alias("ms"))
 
 
-def unexplained(found: Column) -> Column:
-    """Of the matches of a block (at most one a template) those whose shared words are not all shared by a better one."""
+def unexplained(found: Column, reach: int) -> Column:
+    """Of a text's matches in the order of their starts those that no better one explains; one that does is
+    at most ``reach`` places away."""
     rank = lambda m: F.struct(m["containment"], m["size"], m["label"])
-    return F.filter(found, lambda a: ~F.exists(found, lambda b: (rank(b) > rank(a)) & (F.size(F.array_except(a["shared"], b["shared"])) == 0)))
+    return F.filter(found, lambda a, x: ~F.exists(F.slice(found, F.greatest(x + 1 - reach, F.lit(1)), 2 * reach + 1), lambda b: (
+        (rank(b) > rank(a)) & (2 * F.size(F.array_except(a["at"], b["at"])) < F.size(a["at"])) & (F.size(F.array_except(a["shared"], b["shared"])) == 0))))
 
 
 def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
@@ -129,11 +139,12 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
     known = templates_of(templates, threshold)
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
-    found = blocks(keyed, sorted({w for t in known for w in t.words}))
+    found = texts_of(keyed, sorted({w for t in known for w in t.words}))
     counts = {r["word"]: r["n"] for r in word_counts(found).collect()}  # the templates' words: a fixed number
-    per_block = match(found, known, counts).groupBy("doc_id", "h", "block").agg(F.collect_set(F.struct("containment", "size", "label", "shared")).alias("ms"))
-    per_match = per_block.select("doc_id", "h", F.explode(unexplained(F.col("ms"))).alias("m"))
-    best = per_match.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.collect_set("m.label").alias("more"), F.max("m.containment").alias("best"))
+    width = max(len(t.split()) for t, _ in templates)
+    per_text = match(found, known, counts, width).groupBy("doc_id", "h").agg(F.array_sort(F.flatten(F.collect_set("ms"))).alias("ms"))
+    per_text = once(per_text, "kept", unexplained(F.col("ms"), width * len(known))).filter(F.size("kept") > 0)
+    best = per_text.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.array_distinct("kept.label").alias("more"), F.array_max("kept.containment").alias("best"))
 
     df = once(keyed.select("doc_id", "h", _spaced(F.col("text")).alias("s")), "s1", F.col("s")).drop("s")
     spaces = lambda c: F.length(c) - F.length(F.translate(c, " ", ""))

@@ -84,6 +84,16 @@ def test_all_licences_of_a_block(spark, docs):
     assert got == {0: ("apache-2.0,mit", 1.0), 1: ("cc-by,cc-by-nc", 1.0), 2: ("cc-by,cc-by-sa,reserved", 1.0), 3: ("gpl,gpl-2,gpl-3", 1.0)}
 
 
+def test_licences_do_not_depend_on_line_ends(spark, docs):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    gap = " and some other words that stand between the words of a notice in a long text of one line "
+    rows = [mit, mit.replace(" free", "\nfree").replace(" obtaining", "\n * obtaining"), "x " * 99 + mit.replace(" ", "\n"), gap.join(["released", "under", "the", "license"]),
+            "Text licensed under CC BY 4.0, images licensed\nunder CC BY-NC 4.0.", "Version of the text: this work is licensed under the GNU General\nPublic License, version 2.",
+            "Released under the\nMIT license. " * 300]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs(*enumerate(rows))).collect()}
+    assert got == {0: ("mit", 1.0), 1: ("mit", 1.0), 2: ("mit", 1.0), 3: ("", 0.0), 4: ("cc-by,cc-by-4.0,cc-by-nc", 1.0), 5: ("gpl,gpl-2", 1.0), 6: ("mit", 1.0)}
+
+
 def test_kept_texts(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = exact_dedup.drop_copies(docs)

@@ -5,8 +5,9 @@ sums of term weights cannot express.
 A text is the set of its hashed words and of their first ``STEM`` bytes, read to its end. The machine
 is fitted on the driver with AdaGrad over at most ``SAMPLE`` labelled rows of the learning folds
 (labels in turn); what the driver holds of a row is its buckets, at most ``DIM`` numbers. Only terms
-that the sample ties to the label (chi-squared of ``TIED``, in ``MIN_ROWS`` rows or more) get weights:
-the rare words of a few toxic texts would else be learned with them.
+that the sample ties to the label (chi-squared of ``TIED``, in ``MIN_ROWS`` rows or more), or ties to it in
+the rows that hold such a term, get weights: the rare words of a few toxic texts would else be learned
+with them. A pair of terms neither of which is tied by itself is not learned.
 
 Defined results: null and empty texts have no terms; their score is the machine's bias. Labels that
 are null teach nothing. With no labelled row, every score is 0. Repeated rows get equal scores.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -33,6 +35,7 @@ MIN_ROWS = 4
 STEM = 4
 #: Chi-squared with one degree of freedom that chance exceeds in one term of a thousand.
 TIED = 10.83
+TIED_CHANCE = 0.001
 EPOCHS = 12
 #: How much more a toxic row weighs than another: a missed one costs more than one too many.
 HEAVY = 3.0
@@ -86,12 +89,35 @@ def _tied(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return (seen >= MIN_ROWS) & (apart > TIED * np.maximum(seen * (n - seen) * yes * (n - yes), 1e-9))
 
 
+def _tied_beside(rows: list[np.ndarray], labels: np.ndarray, tied: np.ndarray) -> np.ndarray:
+    """Which buckets the labels depend on in the rows that hold a tied one, by the G-test of the 2 x 2 table
+    there, at a chance that all these tests share."""
+    more = np.zeros(DIM, bool)
+    beside: dict[int, list[int]] = {}
+    for i, r in enumerate(rows):
+        for b in r[tied[r]]:
+            beside.setdefault(int(b), []).append(i)
+    often = (np.bincount(np.concatenate(rows), minlength=DIM) >= MIN_ROWS).sum()
+    bound = NormalDist().inv_cdf(1 - TIED_CHANCE / max(len(beside) * often, 1) / 2) ** 2
+    log = lambda part, of: part * np.log(np.maximum(part, 1e-9) / np.maximum(of, 1e-9))
+    for at in beside.values():
+        n, yes = len(at), labels[at].sum()
+        seen = np.bincount(np.concatenate([rows[i] for i in at]), minlength=DIM)
+        some = np.flatnonzero((seen >= MIN_ROWS) & (n - seen >= MIN_ROWS) & ~more)
+        hit = np.bincount(np.concatenate([*[rows[i] for i in at if labels[i]], np.zeros(0, np.int32)]), minlength=DIM)[some]
+        held, rest = seen[some], n - seen[some]
+        g = 2 * (log(hit, held) + log(held - hit, held) + log(yes - hit, rest) + log(rest - yes + hit, rest) - log(yes, n) - log(n - yes, n))
+        more[some[g > bound]] = True
+    return more
+
+
 def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-3) -> Machine:
     """AdaGrad over single rows, in a fixed order. Rows are the buckets of a text each."""
     place = np.full(DIM, -1, np.int32)
     if not rows:
         return Machine(-30.0, place, np.zeros(0), np.zeros((0, FACTORS)))
-    keep = np.flatnonzero(_tied(rows, labels))
+    tied = _tied(rows, labels)
+    keep = np.flatnonzero(tied | _tied_beside(rows, labels, tied))
     place[keep] = np.arange(len(keep))
     rng = np.random.default_rng(7)
     w, v = np.zeros(len(keep)), rng.normal(0, 0.01, (len(keep), FACTORS))

@@ -53,6 +53,23 @@ def test_pairs_of_terms_are_learned():
     assert pair > 1
 
 
+def test_a_pair_is_learned_of_which_one_term_tells_nothing():
+    """The group's name is in 30 % of all rows, toxic or not; beside the insult it decides."""
+    rng = np.random.default_rng(2)
+    texts, y = [], []
+    for i in range(4000):
+        words = [f"w{rng.integers(300)}" for _ in range(12)]
+        insult, slur = i % 40 == 0, i % 20 == 7
+        group = i % 200 == 0 if insult else rng.random() < 0.3
+        texts.append(" ".join(words + ["zork"] * insult + ["flims"] * group + ["blurgh"] * slur))
+        y.append(slur or insult and group)
+    y, rows = np.array(y, float), [toxicity.terms_of(t) for t in texts]
+    assert not toxicity._tied(rows, y)[toxicity.zlib.crc32(b"flims") % toxicity.DIM]
+    m = toxicity.train(rows, y)
+    raw = {k: m.raw(toxicity.terms_of(k)) for k in ("zork", "flims", "zork flims", "")}
+    assert raw["zork flims"] > 0 > max(raw["zork"], raw["flims"], raw[""]) and raw["zork flims"] - raw["zork"] - raw["flims"] + raw[""] > 1
+
+
 def test_odd_rows(spark, docs):
     df = docs(*ODD).selectExpr("*", "1 as score", "2 as held_out", "3 as y")
     learn = docs(*[(i, f"the words of text number {i} and some more " * 3, "en") for i in range(40)], *[(100 + i, f"der die das und {i} oder ein text " * 3, "de") for i in range(40)])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obolus.llm import license_scan, quality_rules, url_filter
+from obolus.llm import decontaminate, license_scan, quality_rules, spelling, url_filter
 
 LOWER = f"translate({{}}, '{'ABCDEFGHIJKLMNOPQRSTUVWXYZ'}', '{'abcdefghijklmnopqrstuvwxyz'}')"
 
@@ -92,4 +92,39 @@ def _quality() -> str:
     SELECT *, NOT base_failed AND 100 * n_lost_words <= {r.max_lost_percent} * n_words AS kept FROM b"""
 
 
-ORACLES: dict[str, str] = {"op1_url_filter": _url(), "op2_license_scan": _license(), "op4_exact_dedup": EXACT, "op6_quality_rules": _quality()}
+def _spelling() -> str:
+    byte = "list_reduce(list_prepend(c, range(8)::BIGINT[]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)"
+    data = "list_transform(range(octet_length(encode(s))), lambda i: ('0x' || substr(hex(encode(s)), 2 * i + 1, 2))::BIGINT)"
+    crc = f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda a, b: xor(t.crcs[(xor(a, b) & 255) + 1], a >> 8)))"
+    return f"""WITH t AS MATERIALIZED (SELECT list(x ORDER BY c) AS crcs FROM (SELECT c, {byte} AS x FROM range(256) r(c))),
+    runs AS (SELECT doc_id, {LOWER.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+'))")} AS run FROM documents),
+    per AS (SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS s, count(*) AS k FROM runs WHERE length(run) >= {spelling.LENGTH} GROUP BY 1, 2),
+    hashed AS (SELECT run, k, {crc} AS h FROM per, t),
+    told AS (SELECT CASE WHEN h % {spelling.LOSES} = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k FROM hashed),
+    v AS (SELECT word, sum(k)::BIGINT AS n FROM told WHERE length(word) >= {spelling.LENGTH} GROUP BY 1 HAVING sum(k) >= {spelling.TIMES}),
+    less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS blank FROM v, range(1, length(word) + 1) r(i)),
+    near AS (SELECT a.word AS a, b.word AS b, b.n FROM less a JOIN less b ON a.blank = b.blank AND a.word <> b.word
+             UNION SELECT l.word, v.word, v.n FROM less l JOIN v ON v.word = l.rest UNION SELECT v.word, l.word, l.n FROM less l JOIN v ON v.word = l.rest),
+    best AS (SELECT a, count(*) AS n_near, max(n) AS top FROM near GROUP BY 1),
+    chosen AS (SELECT best.a, n_near, top, min(b) AS b FROM best JOIN near ON near.a = best.a AND near.n = top GROUP BY ALL),
+    formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= {spelling.RATIO} * n THEN b END AS form, CASE WHEN top >= {spelling.RATIO} * n THEN top END AS form_n FROM v LEFT JOIN chosen ON a = word),
+    walk AS (SELECT word, word AS here, 0 AS steps FROM formed UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN formed ON formed.word = here WHERE form IS NOT NULL),
+    ends AS (SELECT word, arg_max(here, steps) AS root FROM walk GROUP BY 1)
+    SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)""".replace("WITH t", "WITH RECURSIVE t", 1)
+
+
+def _decontaminate() -> str:
+    words = lambda t: f"regexp_extract_all({LOWER.format(t)}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""WITH item AS (SELECT item_id::VARCHAR AS item, {words("coalesce(text, '')")} AS ws FROM benchmark),
+    win AS (SELECT DISTINCT item, array_to_string(ws[i:i + {decontaminate.SIZE - 1}], ' ') AS win, least(len(ws), {decontaminate.SIZE}) AS n FROM item, range(1, greatest(len(ws) - {decontaminate.SIZE - 2}, 2)) r(i) WHERE len(ws) > 0),
+    d AS (SELECT row_number() OVER () AS k, doc_id, {words("coalesce(text, '')")} AS ws FROM documents),
+    size AS (SELECT DISTINCT n FROM win),
+    hit AS (SELECT k, i, p.n, item FROM (SELECT k, i, n, array_to_string(ws[i:i + n - 1], ' ') AS win FROM d, size, range(1, len(ws) - n + 2) r(i)) p JOIN win USING (win, n)),
+    inside AS (SELECT k, count(DISTINCT i + j) AS n_hit FROM (SELECT DISTINCT k, i, n FROM hit), range(0, n) o(j) GROUP BY 1),
+    items AS (SELECT k, list_sort(list(DISTINCT item) FILTER (item IS NOT NULL)) AS items FROM hit GROUP BY 1)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN inside USING (k) LEFT JOIN items USING (k)"""
+
+
+ORACLES: dict[str, str] = {"op1_url_filter": _url(), "op2_license_scan": _license(), "op4_exact_dedup": EXACT, "op6_quality_rules": _quality(),
+                           "op11_spelling_variants": _spelling(), "op12_decontamination": _decontaminate()}

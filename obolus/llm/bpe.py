@@ -31,6 +31,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from obolus.llm.common import frames
+
 #: Characters of text whose words are encoded together.
 SLICE = 6_000_000
 #: Distinct words that a task remembers between slices.
@@ -192,7 +194,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, and_decode: b
                 out.append(flat[np.repeat(starts[w] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].tobytes())
             rows = pd.DataFrame({"doc_id": part["doc_id"], "ids": out})
             yield rows.assign(data=[back(x) for x in out]) if and_decode else rows
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids binary" + ", data binary" * and_decode)
+    return frames(docs.select("doc_id", "text"), run, "doc_id long, ids binary" + ", data binary" * and_decode, 10_000)
 
 
 def _bytes_of(ranks: dict[bytes, int]):
@@ -207,4 +209,4 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         back = _bytes_of(ranks)
         for batch in batches:
             yield batch.assign(data=[back(x) for x in batch["ids"]])
-    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids binary, data binary")
+    return frames(encoded.select("doc_id", "ids"), run, "doc_id long, ids binary, data binary")

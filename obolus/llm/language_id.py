@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obolus.llm.common import bounded_sample, by_batch, remainder
+from obolus.llm.common import bounded_sample, by_batch, frames, remainder, sampled_texts
 
 DIM = 4096
 #: The bound of the sample that the centroids are fitted on.
@@ -102,12 +102,12 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, k: int = CENTROIDS
                 n += 1
         yield pd.DataFrame({"bucket": np.arange(-1, DIM), "n": np.concatenate([[n], df])})
 
-    found = {r["bucket"]: r["n"] for r in rows.select("text").mapInPandas(frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    found = {r["bucket"]: r["n"] for r in frames(rows.select("text"), frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     n = found.get(-1, 0)
     idf = np.log((1 + n) / (1 + np.array([found.get(i, 0) for i in range(DIM)]))) + 1
 
     picked = bounded_sample(rows.select("doc_id", "lang").distinct(), "lang", sample)
-    vectors = by_batch(rows.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi"), lambda b: pd.DataFrame(
+    vectors = by_batch(sampled_texts(rows, picked, "lang"), lambda b: pd.DataFrame(
         [(i, lang, at.astype(np.int32).tobytes(), v.tobytes()) for i, lang, (at, v) in zip(b["doc_id"], b["lang"], (vector_of(t, idf) for t in b["text"]))],
         columns=["doc_id", "lang", "at", "v"]), "doc_id long, lang string, at binary, v binary").collect()
     of: dict[str, list] = {}

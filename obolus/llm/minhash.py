@@ -2,10 +2,10 @@
 are kept, so ``PERMUTATIONS`` hash evaluations give twice as many signature values, two of nearly
 independent and equal odds (the Jaccard similarity) to agree. Four values make a band.
 
-1. Signatures, and a hash of the whole set, in the tasks. Equal sets become one node: its smallest
-   doc_id; copies are not linked one by one.
+1. Signatures, and a 128-bit hash of the whole set, in the tasks. Equal sets become one node, known by that
+   hash; copies are not linked one by one, and an id on several texts stands for several nodes.
 2. Nodes that share a band are a bucket. Its pivot is the node that meets the most others in all its
-   buckets (then the smallest id), which is in the middle of its family. Every other node is compared
+   buckets (then the greatest hash), which is in the middle of its family. Every other node is compared
    with the pivot only, on full sets: no pairs within the bucket. A pivot with many members gets as
    many tasks as it needs, its set in each.
 3. What the pivot cannot show: a node x below the threshold with pivot p may still be linked to
@@ -19,7 +19,7 @@ independent and equal odds (the Jaccard similarity) to agree. Four values make a
    |b_y|). Rows carry 256-bit maps of a and b: bits of one that the other lacks bound what the two can
    share, within the join, and pairs that pass are counted on the full differences. Members that are
    all linked to their pivot, or that links to pivots have brought together, need none of this.
-4. Connected components of the links (``components``); the smallest doc_id reachable names each.
+4. Connected components of the links (``components``); the smallest doc_id of its sets names each.
 
 A link between nodes that share no band is missed. Of two sets at the threshold 0.85 that happens
 with (1 - 0.85 ** 4) ** 24 = 2e-8, at 0.8 with 3e-6, farther up less.
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obolus.llm.common import by_batch, stored
+from obolus.llm.common import by_batch, frames, stored
 from obolus.llm.components import connected
 
 PERMUTATIONS, BAND = 48, 4
@@ -111,20 +111,20 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def roles(nodes: DataFrame) -> DataFrame:
-    """(doc, set, pivot, chunk, first, many): for each pivot its members, and itself (``first``) once
-    for every chunk of them. ``many``: it has more than one member."""
+    """(node, set, pivot, chunk, first, many): for each pivot (a set) its members, and itself (``first``) once
+    for every chunk of them, with an id that has the set. ``many``: it has more than one member."""
     banded = nodes.select("node", "set", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     met = stored(banded.join(sizes, "band"))
     # the member that meets the most others stands in the middle of its family: the fewest are far from it
-    middle = met.groupBy("node").agg(F.sum("size").alias("meets"))
-    tops = met.select("band", "node").join(middle, "node").groupBy("band").agg(F.max(F.struct("meets", (-F.col("node")).alias("node"))).alias("top"))
-    members = met.join(tops.select("band", (-F.col("top.node")).alias("pivot")), "band").filter("node != pivot").select("pivot", "node", "set").distinct()
+    middle = met.groupBy("set").agg(F.sum("size").alias("meets"))
+    tops = met.select("band", "set").join(middle, "set").groupBy("band").agg(F.max(F.struct("meets", "set")).alias("top"))
+    members = met.join(tops.select("band", F.col("top.set").alias("pivot")), "band").filter(F.col("set") != F.col("pivot")).select("pivot", "node", "set").distinct()
     counts = members.groupBy("pivot").agg(F.count("*").alias("members")).withColumn("chunks", F.ceil(F.col("members") / CHUNK))
-    own = members.join(counts, "pivot").select(F.col("node").alias("doc"), "set", "pivot", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), F.lit(False).alias("first"),
+    own = members.join(counts, "pivot").select("node", "set", "pivot", F.pmod(F.xxhash64("set"), F.col("chunks")).alias("chunk"), F.lit(False).alias("first"),
                                               (F.col("members") > 1).alias("many"))
-    first = counts.join(nodes.select(F.col("node").alias("pivot"), "set"), "pivot").select(
-        F.col("pivot").alias("doc"), "set", "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("first"), (F.col("members") > 1).alias("many"))
+    first = counts.join(nodes.select("node", F.col("set").alias("pivot")), "pivot").select(
+        "node", F.col("pivot").alias("set"), "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("first"), (F.col("members") > 1).alias("many"))
     return own.unionByName(first)
 
 
@@ -137,31 +137,30 @@ def _bitmap(s: np.ndarray | None) -> list[int]:
 
 
 def compare(docs: DataFrame, asked: DataFrame, size: int, percent: int) -> DataFrame:
-    """(pivot, doc, n, n_pivot, linked, added, removed, and their bitmaps): each member against its
-    pivot, on full sets. The differences are there only where a pivot has more than one member."""
-    texts = asked.join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc")
+    """(pivot, doc, n, n_pivot, linked, added, removed, and their bitmaps): each member (``doc``, a set like the
+    pivot) against its pivot, on full sets. The differences are there only where a pivot has more than one member."""
+    texts = asked.join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
     dealt = texts.repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", F.col("first").cast("int").desc())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of, p = None, np.zeros(0, np.uint64)
+        p = np.zeros(0, np.uint64)
         for batch in batches:
             out = []
-            for pivot, doc, digest, first, many, text in zip(batch["pivot"], batch["doc"], batch["set"], batch["first"], batch["many"], batch["text"]):
+            for pivot, doc, first, many, text in zip(batch["pivot"], batch["set"], batch["first"], batch["many"], batch["text"]):
                 s = shingles(text, size)
-                if xxhash.xxh3_128_digest(s.tobytes()) != bytes(digest):  # another text under the same id
+                if xxhash.xxh3_128_digest(s.tobytes()) != doc:  # another text under the same id
                     continue
                 if first:
-                    of, p = pivot, s
+                    p = s
                     continue
-                assert of == pivot
                 shared = len(np.intersect1d(s, p, assume_unique=True))
                 linked = 100 * shared >= percent * (len(s) + len(p) - shared)
                 far = [np.setdiff1d(s, p, True).view(np.int64), np.setdiff1d(p, s, True).view(np.int64)] if many else [None, None]
                 out.append((pivot, doc, len(s), len(p), linked, *far, *[b for x in far for b in _bitmap(x)]))
             if out:
                 yield pd.DataFrame(out, columns=["pivot", "doc", "n", "n_pivot", "linked", "added", "removed", *ADDED_BITS, *REMOVED_BITS])
-    return dealt.select("pivot", "doc", "set", "first", "many", "text").mapInPandas(
-        run, "pivot long, doc long, n long, n_pivot long, linked boolean, added array<long>, removed array<long>, " + ", ".join(f"{b} long" for b in ADDED_BITS + REMOVED_BITS)).dropDuplicates(["pivot", "doc"])
+    return frames(
+        dealt.select("pivot", "set", "first", "many", "text"), run, "pivot binary, doc binary, n long, n_pivot long, linked boolean, added array<long>, removed array<long>, " + ", ".join(f"{b} long" for b in ADDED_BITS + REMOVED_BITS)).dropDuplicates(["pivot", "doc"])
 
 
 def beyond_pivots(compared: DataFrame, percent: int) -> DataFrame:
@@ -217,7 +216,10 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     parts = connected(compared.filter("linked").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
     compared = compared.join(parts.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("part", F.coalesce("root", "doc")).drop("root")
     roots = connected(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(beyond_pivots(compared, percent)))
-    named = nodes.select("set", "node").join(roots, "node", "left").select("set", F.coalesce("root", "node").alias("component_id"))
+    # components are of sets; the smallest id of any of them names each
+    ids = nodes.select("set", "node").join(roots.select(F.col("node").alias("set"), "root"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    names = ids.groupBy("root").agg(F.min("node").alias("component_id"))
+    named = ids.select("set", "root").join(names, "root").select("set", "component_id")
     some = signed.filter("n > 0").select("doc_id", "n", "set").join(named, "set", "left").select("doc_id", "n", "component_id")
     alone = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return some.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -34,6 +34,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from obolus.llm.common import frames
+
 WIDTH = 2048
 #: In padded tokens: what a cut at a sentence's end costs, and one inside a sentence.
 SENTENCE, INSIDE = 4, 48
@@ -286,7 +288,7 @@ def pack(docs: DataFrame, file: str, pattern: str, width: int = WIDTH) -> DataFr
                     yield _frame(rows)
         if rows := list(stream.give(True)):
             yield _frame(rows)
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return frames(docs.select("doc_id", "text"), run, SCHEMA)
 
 
 def slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
@@ -295,7 +297,7 @@ def slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
     texts: list[str] = []
     size = 0
     for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]):
+        for doc_id, text in zip(batch["doc_id"], batch["text"]):
             if size + len(text or "") > 8 * PIECE and texts:
                 yield ids, texts
                 ids, texts, size = [], [], 0

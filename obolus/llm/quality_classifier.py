@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obolus.llm.common import bounded_sample, by_batch, remainder
+from obolus.llm.common import bounded_sample, by_batch, remainder, sampled_texts
 
 #: The bound of the sample of labelled rows.
 SAMPLE = 8000
@@ -128,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     """Trees from the rows of the learning folds: those whose crc32 remainder is not 1."""
     told = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter((remainder(F.col("doc_id"), 3) != 1) & F.col("y").isin(0, 1)).distinct()
     picked = bounded_sample(told, "y", sample)
-    got = by_batch(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), lambda b: pd.DataFrame(
+    got = by_batch(sampled_texts(docs.select("doc_id", "text"), picked, "y"), lambda b: pd.DataFrame(
         {"doc_id": b["doc_id"], "y": b["y"], "x": [statistics_of(t) for t in b["text"]]}), "doc_id long, y int, x array<double>").collect()
     got.sort(key=lambda r: (r["doc_id"], r["y"], r["x"]))
     return train(np.array([r["x"] for r in got]).reshape(len(got), len(NAMES)), np.array([r["y"] for r in got], float))

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from obolus.llm import language_id, quality_classifier, queries, toxicity
+from obolus.llm import common, language_id, quality_classifier, queries, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 ODD = [(1, None, None), (2, "", "en"), (3, "12 + 3", "de"), (4, "x" * 300000, None), (5, "the same words here", "en"), (5, "the same words here", "en"), (None, "words without an id", "en")]
@@ -116,3 +116,36 @@ def test_counts_of_trigrams_do_not_depend_on_the_piece(monkeypatch, text):
     whole = language_id.counts_of(text * 50)
     monkeypatch.setattr(language_id, "PIECE", 7)
     assert (language_id.counts_of(text * 50) == whole).all()
+
+
+BIG = 2 ** 53 + 1
+
+
+def test_great_ids_beside_nulls(spark, docs):
+    rows = docs((BIG, "some words"), (None, "other words"), (BIG + 2, None))
+    some = spark.createDataFrame([(BIG, 1, 1), (BIG + 2, 0, 0)], "doc_id long, quality long, toxic long")
+    for df in (toxicity.score(rows, toxicity.fit(rows, some)), quality_classifier.score(rows, quality_classifier.fit(rows, some)),
+               language_id.identify(rows, language_id.fit(rows, ~language_id.held_out()))):
+        assert {r.doc_id for r in df.collect()} == {BIG, BIG + 2, None}
+
+
+def test_bounded_sample(spark):
+    """The lowest hashes of each label, labels in turn, from a table of which only a share is ranked."""
+    rows = spark.range(40_000).selectExpr("id as doc_id", "case when id % 100 = 0 then 'rare' when id % 3 = 0 then 'some' else 'most' end as y")
+    got = common.bounded_sample(rows, "y", 300).collect()
+    assert len(got) == 300
+    hashes = {r.doc_id: r.h for r in rows.selectExpr("doc_id", "xxhash64(doc_id) as h").collect()}
+    label = {r.doc_id: r.y for r in rows.collect()}
+    for y in ("rare", "some", "most"):
+        first = sorted((h, i) for i, h in hashes.items() if label[i] == y)[:100]
+        assert {r.doc_id for r in got if r.y == y} == {i for _, i in first}
+    assert common.bounded_sample(rows.limit(0), "y", 5).count() == 0
+    plan = common.bounded_sample(rows, "y", 300)._jdf.queryExecution().toString()
+    assert "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_an_id_on_most_rows_brings_one_text(spark, docs):
+    rows = docs(*[(7, f"text {i % 50}") for i in range(500)], (8, "another"))
+    picked = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, y int")
+    got = common.sampled_texts(rows.select("doc_id", "text"), picked, "y").collect()
+    assert sorted((r.doc_id, r.y) for r in got) == [(7, 1), (8, 0)]

@@ -134,3 +134,23 @@ def test_connected(spark):
                     todo += near[x]
     assert got == {n: r for n, r in want.items() if n != r}
     assert components.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_id_on_two_texts(spark, docs):
+    """Components are of texts: an id that stands on two of them does not make them one, nor lose the links of either."""
+    rng = random.Random(9)
+    a, b = (" ".join(f"{x}{rng.randrange(900)}" for _ in range(80)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " zz"), (3, b + " zz"), (4, a + " yy"), (5, b + " yy"), (6, "something else here")]
+    got = sorted((r.doc_id, r.component_id) for r in minhash.groups(docs(*rows), 3, 85).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 6)]
+    far = sorted((r.doc_id, r.component_id) for r in minhash.groups(docs(*[(i + 10, t) if i == 1 and t == b else (i, t) for i, t in rows]), 3, 85).collect())
+    assert far == [(1, 1), (2, 1), (3, 3), (4, 1), (5, 3), (6, 6), (11, 3)]
+
+
+def test_great_ids_beside_nulls(docs):
+    big = 2 ** 53 + 1
+    rows = [(big, "one two three four"), (big + 2, "five six seven eight"), (None, None)]
+    assert {r.doc_id for r in minhash.signatures(docs(*rows), 3).collect()} == {big, big + 2, None}
+    got = minhash.groups(docs(*rows), 3, 85).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(big, big), (big + 2, big + 2), (None, None)}
+    assert {r.doc_id for r in minhash.keep_one(docs(*rows), 3, 85).collect()} == {big, big + 2, None}

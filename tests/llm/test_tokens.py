@@ -136,3 +136,13 @@ def test_pieces_over_blocks(monkeypatch):
         fill[seq] = offset + length
     assert seen == {i: len(d) for i, d in docs.items()} and max(fill.values()) <= 32
     assert sorted(fill) == list(range(5, 5 + len(fill)))
+
+
+def test_great_ids_beside_nulls(docs):
+    big = 2 ** 53 + 1
+    rows = docs((big, "some words"), (None, "other words"), (big + 2, None))
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    assert {r.doc_id for r in bpe.encode(rows, ranks, public_tokenizers.PATTERN).collect()} == {big, big + 2, None}
+    assert {r.doc_id for r in bpe.decode(bpe.encode(rows, ranks, public_tokenizers.PATTERN), ranks).collect()} == {big, big + 2, None}
+    file = packing.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r.doc_id for r in packing.pack(rows, file, public_tokenizers.PATTERN).collect()} == {big, big + 2, None}

@@ -17,6 +17,8 @@ table are carried by ``remove`` and not read else, whatever their names. Texts o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +32,9 @@ BLOCK = 200_000
 NOT_WORD, WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def spaced(text: Column) -> Column:
-    """The words of a text with one space between two."""
-    return F.btrim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD, " "))
-
-
 def words_of(text: Column) -> Column:
     """The words of a text, in their order; of one without words an empty array."""
-    s = spaced(text)
-    return F.when(s == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(s, " "))
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
 def _hash(words: Column) -> Column:
@@ -66,21 +62,24 @@ def _key(doc_id: Column, text: Column) -> Column:
 
 
 def scan(docs: DataFrame, windows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(key, start, n, set): every place of a text where a window of ``windows`` begins, words from 0; of
-    windows of several sizes that begin there, one row each."""
+    """(doc_id, key, start, n_words, n, set): every place of a text where a window of ``windows`` begins, words from
+    0; of windows of several sizes that begin there, one row each. And for each document one row that
+    starts after its last word, with neither n nor set, so that a text's words are counted in the same pass."""
     sizes = sorted(r["n"] for r in windows.select("n").distinct().collect())  # from 1 to the window's size: a fixed number
     blocks = -(-windows.count() // block)
-    texts = keyed(docs).select("key", words_of(F.col("text")).alias("ws")).filter(F.size("ws") >= min(sizes, default=1))
-    places = texts.select("key", "ws", F.posexplode("ws").alias("start", "_w"))
-    found = docs.sparkSession.createDataFrame([], "key string, start int, n int, set string")
+    texts = keyed(docs).select("doc_id", "key", words_of(F.col("text")).alias("ws"))
+    places = texts.select("doc_id", "key", "ws", F.size("ws").alias("n_words"), F.explode(F.sequence(F.lit(0), F.size("ws"))).alias("start"))
+    parts, columns = [], ["doc_id", "key", "start", "n_words", "n", "set"]
     for size in sizes:
-        own = windows.filter(F.col("n") == size).select("h", "words", "set")
-        window = F.slice(F.col("ws"), F.col("start") + 1, size)
+        own = windows.filter(F.col("n") == size).select("h", "words", "set", "n")
+        window = F.slice(F.col("ws"), F.col("start") + 1, size)  # shorter at the end, where it is no window's equal
         for b in range(blocks):
-            part = own if blocks == 1 else own.filter(F.pmod("h", F.lit(blocks)) == b)
-            hits = places.join(F.broadcast(part), (_hash(window) == F.col("h")) & (window == F.col("words")))
-            found = found.unionByName(hits.select("key", "start", F.lit(size).alias("n"), "set"))
-    return found
+            part = F.broadcast(own if blocks == 1 else own.filter(F.pmod("h", F.lit(blocks)) == b))
+            same = (_hash(window) == F.col("h")) & (window == F.col("words"))
+            parts.append((places.join(part, same) if parts else places.join(part, same, "left").filter(F.col("set").isNotNull() | (F.col("start") == F.col("n_words")))).select(*columns))
+    if not parts:
+        return texts.select("doc_id", "key", F.size("ws").alias("start"), F.size("ws").alias("n_words"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("string").alias("set"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def per_text(found: DataFrame, windows: DataFrame) -> DataFrame:
@@ -95,26 +94,26 @@ def per_text(found: DataFrame, windows: DataFrame) -> DataFrame:
     return texts.join(told, "key").select("key", counted["n"].cast("long").alias("n_hit"), "hits", "items")
 
 
-def _found(docs: DataFrame, benchmark: DataFrame, size: int, block: int) -> DataFrame:
+def _scanned(docs: DataFrame, benchmark: DataFrame, size: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n_words) of every document, and what ``per_text`` says of those with hits."""
     windows = stored(item_windows(benchmark, size))
-    return per_text(stored(scan(docs, windows, block)), windows)
+    found = stored(scan(docs, windows, block))
+    return found.filter("set is null").select("doc_id", "key", "n_words"), per_text(found.filter("set is not null"), windows)
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    hit = _found(docs, benchmark, size, block).select("key", "n_hit", "items")
-    counted = once(keyed(docs).select("doc_id", "key", spaced(F.col("text")).alias("_s")), "s", F.col("_s")).select("doc_id", "key", F.when(F.col("s") == "", F.lit(0)).otherwise(
-        F.length("s") - F.length(F.translate("s", " ", "")) + 1).cast("long").alias("n_words"))
+    rows, hit = _scanned(docs, benchmark, size, block)
     items = F.coalesce("items", F.expr("cast(array() as array<string>)"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return counted.join(hit, "key", "left").select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-                                                   F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return rows.join(hit, "key", "left").select("doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+                                                F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = True, size: int = SIZE, block: int = BLOCK) -> DataFrame:
     """``docs`` with their columns and without what benchmark windows hit: with ``spans`` these words of a
     text, each with the characters up to the next word; else the documents that have any."""
-    hit = _found(docs, benchmark, size, block).select(F.col("key").alias("_key"), "hits")
+    hit = _scanned(docs, benchmark, size, block)[1].select(F.col("key").alias("_key"), "hits")
     row = docs.select(F.struct("*").alias("_row"), _key(F.col("doc_id"), F.coalesce("text", F.lit(""))).alias("_key"))
     if not spans:
         return row.join(hit, "_key", "left_anti").select("_row.*")

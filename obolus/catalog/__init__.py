@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ("functions", "classify", "views", "reports", "relational", "landing", "dedupe", "streams", "documents", "allocations", "readers", "grants")
+SECTIONS = ("functions", "classify", "views", "reports", "relational", "landing", "dedupe", "streams", "documents", "allocations", "readers", "grants", "dispatch")
 
 
 def load() -> None:

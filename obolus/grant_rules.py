@@ -125,7 +125,11 @@ def family_of(subject: Column, kind: Column, home: str = "", others: tuple[str,
     """Family of a decision by the kind of its issuer: the fund and the region have their own sets and
     nothing else; other kinds try their own set first, and only the administration and the
     ministry (any other kind) fall back on the ministry's."""
-    s = fold(subject)
+    return family_of_folded(fold(subject), kind, home, others)
+
+
+def family_of_folded(s: Column, kind: Column, home: str = "", others: tuple[str, ...] = FOUNDATION_OTHERS) -> Column:
+    """``family_of`` of a subject that is folded already, and computed once."""
     ministry = first_match(s, FAMILIES, "other")
     out = F.when(kind == "region_fund", first_match(s, FUND_FAMILIES, "other")).when(kind == "region", first_match(s, REGION_FAMILIES, "other"))
     for name, rules in {**KIND_FAMILIES, "foundation": foundation_families(home, others)}.items():
@@ -143,7 +147,11 @@ def refine_region(family: Column, text: Column, fund_id: str | None = None) -> C
     """What a region's document says of its family. A payment order's purpose: a utility bill is a sale
     of the home body's, a payment under a programme agreement counts as one. A credit transferred
     to the development fund (by name, or its id ``fund_id``) is counted where the fund pays."""
-    flat = flat_fold(text)
+    return refine_region_flat(family, flat_fold(text), fund_id)
+
+
+def refine_region_flat(family: Column, flat: Column, fund_id: str | None = None) -> Column:
+    """``refine_region`` of a text that is folded already."""
     purpose, to = F.regexp_extract(flat, REGION_PURPOSE, 1), F.regexp_extract(flat, TRANSFERRED_TO, 1)
     fund = DEVELOPMENT_FUND + (f"|{fund_id}" if fund_id else "")
     return (F.when((family == "region_payment") & purpose.rlike(UTILITY), F.lit("region_utility_payment"))

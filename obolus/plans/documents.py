@@ -354,45 +354,103 @@ def stated_lines(docs: DataFrame, ours: str) -> DataFrame:
 
 # ---- one amount per document, by configuration ------------------------------------------------------------------
 def extract_validated_amounts(docs: DataFrame, config: dict) -> DataFrame:
-    """(doc_id, amount, net, words, status, validation) of documents of one kind.
-
-    ``config`` is data: ``anchor`` (the operative part starts after its last match), ``payee`` (a
-    pattern whose group is the payee's id), ``payee_name`` (accepted instead of the id), ``ids``
-    (ours), ``amount`` (words in group 1, figures in group 2), ``figures`` (figures alone),
-    ``total``, ``gross_withheld_net`` (three groups), ``net``, ``withheld``, ``share`` (total, part,
-    number), ``repeated`` (accept a figure the text states that often).
+    """(doc_id, amount, net, words, status, validation) of documents of one kind."""
+    flat = once(docs.select("doc_id", "text", F.lit("").alias("kind")), "flat", flat_fold(c("text")))
+    return amounts_by_kind(flat, {"": config}).select("doc_id", "amount", "net", "words", "status", "validation")
+
+
+def amounts_by_kind(d: DataFrame, configs: dict[str, dict], kind: str = "kind") -> DataFrame:
+    """Adds (amount, net, words, status, validation) to rows of documents (kind, flat: the folded text), each
+    by the configuration of its kind, in one pass; rows of other kinds get nulls.
+
+    A configuration is data: ``anchor`` (the operative part starts after its last match) or ``first`` (at its
+    first match) or ``last`` (at its last), ``payee`` (a pattern whose group is the payee's id), ``payee_name`` (accepted instead
+    of the id; with ``payee_required`` an id must be printed all the same), ``ids`` (ours), ``present``
+    (a pattern without which the document is not ours), ``amount`` (words in group 1, figures in
+    group 2), ``figures`` (figures alone), ``total``, ``gross_withheld_net`` (three groups), ``net``,
+    ``withheld``, ``net_printed`` (what is paid, where printed), ``share`` (total, part, number),
+    ``repeated`` (accept a figure the text states that often), ``subject`` (accept figures that the column
+    ``subject`` states, too), ``read_empty`` (ours without an amount is read all the same),
+    ``absent_unless`` (without a payee, a text that lacks this id is not ours).
     Validators in order: words = figures; share x number = total; gross - withheld = net;
-    figures = stated total; stated often enough. None: no validation."""
-    get = lambda name, i=1: F.nullif(F.regexp_extract("body", config[name], i), F.lit("")) if config.get(name) else F.lit(None).cast("string")
-    flat = once(docs.select("doc_id", "text"), "flat", flat_fold(c("text")))
-    anchor = config.get("anchor")
-    body = F.regexp_replace("flat", rf"^.*(?:{anchor})", "") if anchor else c("flat")
-    d = once(flat, "body", body)
-    payee = get("payee")
-    by_id = payee.isin(*config.get("ids", ("",)))
-    by_name = c("body").rlike(config["payee_name"]) if config.get("payee_name") else F.lit(False)
-    ours = F.lit(True) if not config.get("payee") else F.coalesce(by_id, F.lit(False)) | by_name
-    three = config.get("gross_withheld_net")
-    share = config.get("share")
-    figures = F.coalesce(cents_eu(get("share", 2)) if share else F.lit(None).cast("bigint"), cents_eu(get("gross_withheld_net", 1)) if three else F.lit(None).cast("bigint"),
-                         cents_eu(get("amount", 2)), cents_eu(get("figures")))
-    d = d.withColumns({"_payee": payee, "ours": ours, "amount": figures})
-    phrase = get("words") if config.get("words") else get("amount")
-    for short, full in config.get("abbreviations", {}).items():
-        phrase = F.regexp_replace(phrase, short, full)
-    d = once(d, "words", words_to_cents_lenient(phrase, folded=True))
-    total, withheld, net = cents_eu(get("total")), F.coalesce(cents_eu(get("withheld")), F.lit(0)), cents_eu(get("net"))
-    printed = F.size(F.split(c("flat"), F.concat(F.lit(r"\Q"), format_amount_eu(c("amount")), F.lit(r"\E")), -1)) - 1
-    adds = cents_eu(get("gross_withheld_net", 1)) - cents_eu(get("gross_withheld_net", 2)) == cents_eu(get("gross_withheld_net", 3)) if three else F.lit(True)
-    spelled = F.coalesce((c("words") == c("amount")) & adds, F.lit(False))
-    parts = F.coalesce(cents_eu(get("share", 2)) * get("share", 3).try_cast("bigint") == cents_eu(get("share", 1)), F.lit(False)) if share else F.lit(False)
-    often = (printed >= config["repeated"]) if config.get("repeated") else F.lit(False)
-    validation = (F.when(spelled, F.lit("words_and_figures")).when(parts, F.lit("stated_amount"))
-                  .when(F.coalesce(total == c("amount"), F.lit(False)) & F.lit(not three), F.lit("stated_amount")).when(F.lit(not share) & often, F.lit("stated_amount")))
-    paid = (cents_eu(get("gross_withheld_net", 3)) if three else
-            F.when(F.lit(bool(config.get("net"))), F.when(c("amount") - withheld == net, net)).otherwise(c("amount")))
-    status = F.when(F.lit(bool(config.get("payee"))) & c("_payee").isNull() & ~c("ours"), F.lit("not_found")).when(~c("ours"), F.lit("absent")) \
-        .when(c("amount").isNull(), F.lit("not_found")).otherwise(F.lit("read"))
-    read = status == "read"
-    return d.select("doc_id", F.when(read, c("amount")).alias("amount"), F.when(read, paid).alias("net"), F.when(read, c("words")).alias("words"), status.alias("status"),
-                    F.when(read, validation).alias("validation"))
+    figures = stated total; stated often enough; the subject's figures. None: no validation."""
+    def by(of, kind_of: str) -> Column:
+        out = None
+        for k, config in configs.items():
+            value = of(config)
+            if value is not None:
+                out = (F.when if out is None else out.when)(c(kind) == k, value)
+        return F.lit(None).cast(kind_of) if out is None else out.cast(kind_of)
+
+    def get(config: dict, name: str, i: int = 1) -> Column:
+        return F.nullif(F.regexp_extract("body", config[name], i), F.lit("")) if config.get(name) else F.lit(None).cast("string")
+
+    def body(config: dict) -> Column:
+        if config.get("anchor"):
+            return F.regexp_replace("flat", rf"^.*(?:{config['anchor']})", "")
+        if config.get("first"):
+            return F.regexp_replace("flat", rf"^.*?(?={config['first']})", "")
+        return F.regexp_replace("flat", rf"^.*(?={config['last']})", "") if config.get("last") else c("flat")
+
+    def ours(config: dict) -> Column:
+        if config.get("present"):
+            return c("flat").rlike(config["present"])
+        if not config.get("payee"):
+            return F.lit(True)
+        by_name = c("body").rlike(config["payee_name"]) if config.get("payee_name") else F.lit(False)
+        return F.coalesce(c("_payee").isin(*config.get("ids", ("",))), F.lit(False)) | by_name
+
+    def figures(config: dict) -> Column:
+        return F.coalesce(*[cents_eu(get(config, n, i)) for n, i in (("share", 2), ("gross_withheld_net", 1), ("amount", 2), ("figures", 1))])
+
+    def phrase(config: dict) -> Column:
+        out = get(config, "words") if config.get("words") else get(config, "amount")
+        for short, full in config.get("abbreviations", {}).items():
+            out = F.regexp_replace(out, short, full)
+        return out
+
+    def validation(config: dict) -> Column:
+        three, share = config.get("gross_withheld_net"), config.get("share")
+        adds = cents_eu(get(config, "gross_withheld_net", 1)) - cents_eu(get(config, "gross_withheld_net", 2)) == cents_eu(get(config, "gross_withheld_net", 3)) if three else F.lit(True)
+        out = F.when(F.coalesce((c("words") == c("amount")) & adds, F.lit(False)), F.lit("words_and_figures"))
+        stated = F.lit("stated_amount")
+        if share:
+            return out.when(F.coalesce(cents_eu(get(config, "share", 2)) * get(config, "share", 3).try_cast("bigint") == cents_eu(get(config, "share", 1)), F.lit(False)), stated)
+        if not three:
+            out = out.when(F.coalesce(cents_eu(get(config, "total")) == c("amount"), F.lit(False)), stated)
+        if config.get("repeated"):
+            out = out.when(times_printed(c("flat"), c("amount")) >= config["repeated"], stated)
+        return out.when(F.contains(fold(c("subject")), format_amount_eu(c("amount"))), stated) if config.get("subject") else out
+
+    def paid(config: dict) -> Column:
+        if config.get("gross_withheld_net"):
+            return cents_eu(get(config, "gross_withheld_net", 3))
+        if config.get("net"):
+            net = cents_eu(get(config, "net"))
+            return F.when(c("amount") - F.coalesce(cents_eu(get(config, "withheld")), F.lit(0)) == net, net)
+        return F.coalesce(cents_eu(get(config, "net_printed")), c("amount"))
+
+    def status(config: dict) -> Column:
+        missing, found = F.lit("not_found"), F.lit("read")
+        out = None
+        if config.get("payee"):
+            unnamed = c("_payee").isNull() if config.get("payee_required") else c("_payee").isNull() & ~c("ours")
+            out = F.when(unnamed, F.when(F.contains("flat", F.lit(config["absent_unless"])), missing).otherwise(F.lit("absent")) if config.get("absent_unless") else missing)
+        elif config.get("present"):
+            out = F.when(~c("ours"), F.lit("absent"))
+        if not config.get("read_empty"):
+            out = (F.when if out is None else out.when)(c("amount").isNull(), missing)
+        return (F.when if out is None else out.when)(~c("ours"), F.lit("absent")).otherwise(found)
+
+    d = once(d, "body", by(body, "string"))
+    d = d.withColumn("_payee", by(lambda x: get(x, "payee") if x.get("payee") else None, "string"))
+    d = d.withColumns({"ours": by(ours, "boolean"), "amount": by(figures, "bigint")})
+    d = once(d, "words", words_to_cents_lenient(by(phrase, "string"), folded=True))
+    d = d.withColumns({"status": by(status, "string"), "validation": by(validation, "string"), "net": by(paid, "bigint")})
+    read = F.coalesce(c("status") == "read", F.lit(False))
+    return d.withColumns({name: F.when(read, c(name)) for name in ("amount", "net", "words", "validation")}).drop("body", "_payee", "ours")
+
+
+def times_printed(flat: Column, cents: Column) -> Column:
+    """How often a text prints an amount."""
+    return F.size(F.split(flat, F.concat(F.lit(r"\Q"), format_amount_eu(cents), F.lit(r"\E")), -1)) - 1

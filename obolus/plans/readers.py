@@ -6,8 +6,6 @@ genitive and its tax id) is a parameter."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from obolus.functions.money import cents_eu, number_cents, unshift_words, words_
 from obolus.functions.text import flat_fold, fold
 from obolus.operators.rules import first_match
 from obolus.operators.shape import once
-from obolus.plans.documents import extract_validated_amounts
+from obolus.plans.documents import amounts_by_kind, times_printed
 
 c = F.col
 A = fv.AMOUNT_EU
@@ -34,17 +32,17 @@ def configurations(home: str, home_id: str, former_ids: tuple[str, ...] = ()) ->
                                figures=rf"ΕΝΤΟΛΗ ΠΛΗΡΩΜΗΣ ΕΥΡΩ:\s*#\s*({A})\s*#", words=rf"ΕΝΤΟΛΗ ΠΛΗΡΩΜΗΣ ΕΥΡΩ:\s*#\s*{A}\s*#.{{0,160}}?\(([^()]{{3,200}})\)",
                                net=rf"ΕΝΤΕΛΛΟΜΕΝΟ ΠΟΣΟ ΣΤΟ ΔΙΚΑΙΟΥΧΟ:\s*({A})", withheld=rf"ΣΥΝΟΛΟ ΚΡΑΤΗΣΕΩΝ:\s*({A})"),
         # a fund's approval (words) and its payment order (total = voucher)
-        "fund_approval": dict(payee=rf"(?:ΚΑΤΑΒΛΗΘΕΙ|ΑΠΟΔΟΘΕΙ) ΣΤΟ[ΝΙ]? ΔΗΜΟ {home}[^.]{{0,40}}?(\d{{9}})", ids=ids,
+        "fund_approval": dict(absent_unless=home_id, payee=rf"(?:ΚΑΤΑΒΛΗΘΕΙ|ΑΠΟΔΟΘΕΙ) ΣΤΟ[ΝΙ]? ΔΗΜΟ {home}[^.]{{0,40}}?(\d{{9}})", ids=ids,
                               amount=rf"ΕΓΚΡΙΣΗ ΔΑΠΑΝΗΣ (?:ΤΟΥ )?ΠΟΣΟΥ (?:ΤΩΝ )?([^()#\d]{{3,300}}?)\s*\(\s*({A})\s*€?\s*\)"),
-        "fund_order": dict(payee=rf"ΔΙΚΑΙΟΥΧΟΥ/ΩΝ: ΔΗΜΟΣ {home} \(ΑΦΜ: (\d{{9}})", ids=ids, figures=rf"ΣΥΝΟΛΙΚΟΥ ΠΟΣΟΥ\s+({A})\s*ΕΥΡΩ",
+        "fund_order": dict(absent_unless=home_id, payee=rf"ΔΙΚΑΙΟΥΧΟΥ/ΩΝ: ΔΗΜΟΣ {home} \(ΑΦΜ: (\d{{9}})", ids=ids, figures=rf"ΣΥΝΟΛΙΚΟΥ ΠΟΣΟΥ\s+({A})\s*ΕΥΡΩ",
                            total=rf"ΣΥΝΟΛΙΚΗ ΑΞΙΑ ΠΑΡΑΣΤΑΤΙΚΟΥ\s+({A})"),
         # a union's payment order, and its board's grants: an equal share, or a figure stated again
         "union_payment": dict(payee=rf"ΔΙΚΑΙΟΥΧΟΣ\W*.{{0,80}}?{ID9}", ids=ids, amount=rf"###\s*([^()#]{{3,200}}?)\s*\(\s*({A})\s*\)\s*ΕΥΡΩ\s*###",
-                              total=rf"ΣΥΝΟΛΟ\s*:\s*({A})", abbreviations={r"ΧΙΛ\.": "ΧΙΛΙΑΔΕΣ"}),
+                              total=rf"ΣΥΝΟΛΟ\s*:\s*({A})", net_printed=rf"ΚΑΘΑΡ\.?\s*ΔΙΚΑΙΟΥΧ[\p{{L}}\p{{N}}_]*\s*:\s*({A})", abbreviations={r"ΧΙΛ\.": "ΧΙΛΙΑΔΕΣ"}),
         "union_share": dict(anchor="Α ?Π ?Ο ?Φ ?Α ?Σ ?Ι ?Ζ ?Ε ?Ι", share=rf"({A})\s*(?:€|ΕΥΡΩ)?\s*\(\s*({A})\s*(?:€|ΕΥΡΩ)?\s*[ΧX×]\s*(\d+)"),
         "union_grant": dict(anchor="Α ?Π ?Ο ?Φ ?Α ?Σ ?Ι ?Ζ ?Ε ?Ι", figures=rf"ΠΟΣΟ[\p{{L}}\p{{N}}_]*\s+(?:ΤΩΝ\s+|ΤΟΥ\s+)?({A})", repeated=2),
         # an environmental fund's payment: payee by id, else by name
-        "green_payment": dict(payee=rf"ΔΙΚΑΙΟΥΧ[\p{{L}}\p{{N}}_]*.{{0,160}}?{ID9}", ids=ids, amount=WORDS_FIG,
+        "green_payment": dict(first="ΕΓΚΡΙΝΟΥΜΕ", payee_required=True, read_empty=True, subject=True, payee=rf"ΔΙΚΑΙΟΥΧ[\p{{L}}\p{{N}}_]*.{{0,160}}?{ID9}", ids=ids, amount=WORDS_FIG,
                               payee_name=rf"ΔΙΚΑΙΟΥΧΟ[\p{{L}}\p{{N}}_]*\s+(?:ΤΟ[ΝΥ]?\s+|ΤΗΝ\s+)?ΔΗΜΟ[\p{{L}}\p{{N}}_]? {home}(?![\p{{L}}\p{{N}}_])"),
         # a transfer to the account the home body manages
         "shipping_transfer": dict(payee=rf"(?:ΥΠΟΛΟΓΟ[\p{{L}}\p{{N}}_]* ΔΙΑΧΕΙΡΙΣΤ[\p{{L}}\p{{N}}_]*|ΦΟΡΕΑΣ ΥΛΟΠΟΙΗΣΗΣ).{{0,60}}?ΔΗΜΟ[\p{{L}}\p{{N}}_]* {home}.{{0,40}}?(\d{{9}})",
@@ -60,11 +58,11 @@ OUT = ("doc_id", "amount", "net", "status", "validation")
 
 def read_by_kind(docs: DataFrame, configs: dict[str, dict], kind: str = "kind") -> DataFrame:
     """Amounts of documents (doc_id, kind, text) by their kind's configuration; other kinds are
-    'listed'. The filters are disjoint, so each text is read once."""
-    parts = [extract_validated_amounts(docs.filter(c(kind) == k).select("doc_id", "text"), conf).select(*OUT) for k, conf in configs.items()]
-    rest = docs.filter(~F.coalesce(c(kind).isin(*configs), F.lit(False))).select("doc_id", F.lit(None).cast("bigint").alias("amount"), F.lit(None).cast("bigint").alias("net"),
-                                                                                F.lit("listed").alias("status"), F.lit(None).cast("string").alias("validation"))
-    return reduce(DataFrame.unionByName, parts, rest)
+    'listed'. One scan: what a row is asked for is chosen by its kind."""
+    subject = c("subject") if "subject" in docs.columns else F.lit(None).cast("string")
+    known = F.coalesce(c(kind).isin(*configs), F.lit(False))
+    flat = once(docs.select("doc_id", c(kind).alias("kind"), "text", subject.alias("subject")), "flat", F.when(known, flat_fold(c("text"))))
+    return amounts_by_kind(flat, configs).withColumn("status", F.coalesce("status", F.lit("listed"))).select(*OUT)
 
 
 # ---- programme agreements a payment's sub-project is named in ----------------------------------------------------
@@ -92,24 +90,35 @@ ITEM_FIGURE = r"\d{1,3}(?:\.\d{3})+(?:,\d{2})?|\d+,\d{2}|\d{3,6}"
 STATUTORY = "ΤΑΚΤΙΚ|ΘΕΣΜΟΘΕΤ|ΝΟΜΟΘΕΤ|10%|ΕΙΣΦΟΡ|ΗΑΚΗΙΚ|ΘΕΖΜΟΘΕΗ"
 
 
-def decision_items(docs: DataFrame, bodies: tuple[tuple[str, str], ...], home: str, home_uid: str) -> DataFrame:
-    """(doc_id, item, recipient, amount, validation, statutory): the operative part of each document split at
-    its item marks; an item's recipient is the body it names, its words check its figures (also
-    as a letter-shifting font prints them), figures alone are marked as such."""
-    flat = once(docs.select("doc_id", "text"), "flat", F.replace(F.replace(flat_fold(c("text")), F.lit("€ΥΡΩ"), F.lit("ΕΥΡΩ")), F.lit("€ΥΠΩ"), F.lit("ΕΥΡΩ")))
-    body = once(flat, "body", F.regexp_replace("flat", f"^.*?(?:{DECIDES})", ""))
-    marked = F.split("body", f"(?={ITEM})", -1)
-    items = F.when(c("body").rlike(ITEM), F.filter(marked, lambda x: x.rlike(f"^(?:{ITEM})"))).otherwise(F.array("body"))
-    rows = body.select("doc_id", F.posexplode(items).alias("item", "t"))
-    recipient = F.coalesce(first_match(c("t"), bodies), F.when(c("t").rlike(rf"ΔΗΜΟ[\p{{L}}\p{{N}}_]? {home}"), F.lit(home_uid)))
+def items_of(flat: Column, bodies: tuple[tuple[str, str], ...], home: str, home_uid: str) -> Column:
+    """array<struct<item,sum,recipient,amount,validation,statutory>>: the operative part of a folded text split at
+    its item marks; ``sum`` tells that an item states a sum at all, an item's recipient is the body
+    it names, its words check its figures (also as a letter-shifting font prints them), figures
+    alone are marked as such."""
+    plain = F.replace(F.replace(flat, F.lit("€ΥΡΩ"), F.lit("ΕΥΡΩ")), F.lit("€ΥΠΩ"), F.lit("ΕΥΡΩ"))
+    body = F.regexp_replace(plain, f"^.*?(?:{DECIDES})", "")
+    items = F.when(body.rlike(ITEM), F.filter(F.split(body, f"(?={ITEM})", -1), lambda x: x.rlike(f"^(?:{ITEM})"))).otherwise(F.array(body))
     pattern = rf"{SUM_WORD}(.{{0,400}}?)\(?\s*({ITEM_FIGURE})(?![\d%.,/])"
-    rows = rows.withColumns({"recipient": recipient, "figures": F.regexp_extract("t", pattern, 2), "phrase": F.trim(F.regexp_replace(F.regexp_extract("t", pattern, 1), r"[(]", " "))})
-    amount = F.when(c("figures").contains(","), cents_eu(c("figures"))).otherwise(number_cents(c("figures")))
-    rows = once(rows.filter(c("recipient").isNotNull() & (c("figures") != "")), "amount", amount)
-    plain = once(rows, "plain", words_to_cents_lenient(c("phrase"), folded=True))
-    spelled = F.coalesce((c("plain") == c("amount")) | (words_to_cents_lenient(unshift_words(c("phrase")), folded=True) == c("amount")), F.lit(False))
-    return plain.select("doc_id", "item", "recipient", "amount", F.when(spelled, F.lit("words_and_figures")).otherwise(F.lit("figures_only")).alias("validation"),
-                        c("t").rlike(STATUTORY).alias("statutory"))
+
+    def one(t: Column, i: Column) -> Column:
+        figures = F.regexp_extract(t, pattern, 2)
+        return F.struct(i.alias("item"), t.rlike(SUM_WORD).alias("sum"),
+                        F.coalesce(first_match(t, bodies), F.when(t.rlike(rf"ΔΗΜΟ[\p{{L}}\p{{N}}_]? {home}"), F.lit(home_uid))).alias("recipient"),
+                        F.when(figures.contains(","), cents_eu(figures)).otherwise(number_cents(F.nullif(figures, F.lit("")))).alias("amount"),
+                        F.trim(F.regexp_replace(F.regexp_extract(t, pattern, 1), r"[(]", " ")).alias("phrase"), t.rlike(STATUTORY).alias("statutory"))
+
+    def checked(x: Column) -> Column:
+        spelled = F.coalesce((words_to_cents_lenient(x["phrase"], folded=True) == x["amount"]) | (words_to_cents_lenient(unshift_words(x["phrase"]), folded=True) == x["amount"]), F.lit(False))
+        return F.struct(x["item"].alias("item"), x["sum"].alias("sum"), x["recipient"].alias("recipient"), x["amount"].alias("amount"),
+                        F.when(spelled, F.lit("words_and_figures")).otherwise(F.lit("figures_only")).alias("validation"), x["statutory"].alias("statutory"))
+    return F.transform(F.transform(items, one), checked)
+
+
+def decision_items(docs: DataFrame, bodies: tuple[tuple[str, str], ...], home: str, home_uid: str) -> DataFrame:
+    """(doc_id, item, recipient, amount, validation, statutory): the items of each document that pay one of our bodies."""
+    flat = once(docs.select("doc_id", "text"), "flat", flat_fold(c("text")))
+    rows = flat.select("doc_id", F.explode(items_of(c("flat"), bodies, home, home_uid)).alias("x"))
+    return rows.filter("x.recipient is not null and x.amount is not null").select("doc_id", "x.item", "x.recipient", "x.amount", "x.validation", "x.statutory")
 
 
 def statutory_decisions(items: DataFrame, home_uid: str) -> DataFrame:
@@ -118,26 +127,27 @@ def statutory_decisions(items: DataFrame, home_uid: str) -> DataFrame:
 
 
 # ---- escrow releases and deposits -------------------------------------------------------------------------------------
-def escrow_amounts(docs: DataFrame, home: str) -> DataFrame:
-    """(doc_id, method, amount, validation): releases from escrow and deposits in the home body's favour. An
+def escrow_of(flat: Column, home: str) -> Column:
+    """array<struct<method,amount,validation>>: releases from escrow and deposits in the home body's favour. An
     amount counts when it is stated twice, or when all together are a budget the text states."""
     release = rf"ΝΑ ΕΚΤΑΜΙΕΥΣΕΙ .{{0,160}}?ΤΟ ΠΟΣΟ ΤΩΝ €?\s*({A})"
     deposit = rf"ΠΑΡΑΚΑΤΑΘΗΚΗΣ ΥΠΕΡ (?:ΤΟΥ )?ΔΗΜΟΥ {home} ΠΟΣΟΥ (?:ΥΨΟΥΣ )?({A})"
     budget = rf"ΠΡΟΥΠΟΛΟΓΙΣΜΟΥ\s+({A})"
-    d = once(docs.select("doc_id", "text"), "flat", flat_fold(c("text")))
-    d = once(d, "body", F.regexp_replace("flat", "^.*(?=ΑΠΟΦΑΣΙΖΟΥΝ)", ""))
-    found = lambda p, col="body": F.regexp_extract_all(col, F.lit(p), 1)
-    times = lambda f: F.size(F.split("flat", F.concat(F.lit(r"\Q"), f, F.lit(r"\E")), -1)) - 1
-    d = once(d, "deposits", found(deposit))
+    found = lambda p, text: F.regexp_extract_all(text, F.lit(p), 1)
+    body = F.regexp_replace(flat, "^.*(?=ΑΠΟΦΑΣΙΖΟΥΝ)", "")
+    deposits = found(deposit, body)
     one = lambda m, f, n: F.struct(F.lit(m).alias("method"), cents_eu(f).alias("amount"), n.alias("n"))
-    rows = F.concat(F.transform(found(release), lambda f: one("escrow_release", f, times(f))),
-                    F.transform(F.array_distinct("deposits"), lambda f: one("escrow_deposit", f, F.size(F.filter("deposits", lambda x: x == f)))))
-    d = once(d, "rows", rows)
+    rows = F.concat(F.transform(found(release, body), lambda f: one("escrow_release", f, times_printed(flat, cents_eu(f)))),
+                    F.transform(F.array_distinct(deposits), lambda f: one("escrow_deposit", f, F.size(F.filter(deposits, lambda x: x == f)))))
     zero = F.lit(0).cast("bigint")
-    whole = F.array_contains(F.transform(found(budget, "flat"), cents_eu), F.aggregate("rows", zero, lambda a, x: a + x["amount"]))
-    d = once(d, "whole", F.coalesce(whole, F.lit(False)))
-    out = d.select("doc_id", "whole", F.explode("rows").alias("r"))
-    return out.select("doc_id", "r.method", "r.amount", F.when((c("r.n") >= 2) | c("whole"), F.lit("stated_amount")).alias("validation"))
+    whole = F.coalesce(F.array_contains(F.transform(found(budget, flat), cents_eu), F.aggregate(rows, zero, lambda a, x: a + x["amount"])), F.lit(False))
+    return F.transform(rows, lambda r: F.struct(r["method"].alias("method"), r["amount"].alias("amount"), F.when((r["n"] >= 2) | whole, F.lit("stated_amount")).alias("validation")))
+
+
+def escrow_amounts(docs: DataFrame, home: str) -> DataFrame:
+    """(doc_id, method, amount, validation) of each document's escrow releases and deposits."""
+    flat = once(docs.select("doc_id", "text"), "flat", flat_fold(c("text")))
+    return flat.select("doc_id", F.explode(escrow_of(c("flat"), home)).alias("r")).select("doc_id", "r.*")
 
 
 def split_two_purpose(lines: DataFrame, tables: DataFrame, docs: DataFrame, code: str, family: str) -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +44,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     elif spark.sparkContext.getCheckpointDir() is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; on one machine a local one where the session names none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="obolus-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: what several readers need is computed once, a lost executor
+    costs a re-read, and each reader takes the columns that it needs. Whoever clears the
+    checkpoint folder clears it."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,6 +12,7 @@ from obolus.functions.money import MONEY
 from obolus.functions.text import civil_date, record_type, utc_ts
 from obolus.operators.classify import is_natural_person, is_reversal, mask_person
 from obolus.operators.shape import once
+from obolus.session import written
 from obolus.sources.documents import KAE_LINE, PARTY, SPONSOR
 
 c = F.col
@@ -51,13 +52,15 @@ def act_rows(docs: DataFrame) -> DataFrame:
 
 
 def route_by_type(docs: DataFrame) -> dict[str, DataFrame]:
-    """Documents of each measure, published or revoked; the pending ones counted by type."""
+    """Documents of each measure, published or revoked; the pending ones counted by type. The documents are
+    parsed once, into a table with a folder for each route, and a route reads its own."""
     t, status = c("doc.decisionTypeId"), c("doc.status")
-    kept = docs.filter(status.isin(*fv.MEASURE_STATUSES))
-    measures = fv.PAYMENT_TYPES + fv.COMMITMENT_TYPES + fv.AWARD_TYPES
-    pending = docs.filter(~F.coalesce(status.isin(*fv.MEASURE_STATUSES), F.lit(False)) & t.isin(*measures))
-    return {"payment": kept.filter(t.isin(*fv.PAYMENT_TYPES)), "commitment": kept.filter(t.isin(*fv.COMMITMENT_TYPES)),
-            "award": kept.filter(t.isin(*fv.AWARD_TYPES)), "excluded_pending": pending.groupBy(t.alias("type")).agg(F.count("*").alias("n"))}
+    measured = F.coalesce(status.isin(*fv.MEASURE_STATUSES), F.lit(False))
+    measure = F.when(t.isin(*fv.PAYMENT_TYPES), F.lit("payment")).when(t.isin(*fv.COMMITMENT_TYPES), F.lit("commitment")).when(t.isin(*fv.AWARD_TYPES), F.lit("award"))
+    routed = docs.withColumn("route", F.when(~measured & measure.isNotNull(), F.lit("excluded_pending")).otherwise(measure)).filter(c("route").isNotNull())
+    table = written(routed, "route")
+    out = {name: table.filter(c("route") == name).drop("route") for name in ("payment", "commitment", "award")}
+    return out | {"excluded_pending": table.filter(c("route") == "excluded_pending").groupBy(t.alias("type")).agg(F.count("*").alias("n"))}
 
 
 def payment_lines(docs: DataFrame) -> DataFrame:

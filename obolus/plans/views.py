@@ -196,10 +196,12 @@ def v_payment_coverage(r: Release) -> DataFrame:
 
 
 def v_kae_reconciliation(r: Release) -> DataFrame:
-    years = v_budget_year(r).select(*EY, "statement_ada").distinct()
-    stmt = (r.budget_line.filter(c("side") == "spending").select("statement_ada", "kae", "collected_or_paid")
-            .join(years, "statement_ada").groupBy(*EY, "kae").agg(F.sum("collected_or_paid").alias("paid_per_statement")))
-    pub = (_published_by_code(r).join(years.select(*EY).distinct(), EY, "left_semi")
+    picked = _year_end_lines(r).select("entity", c("period_year").alias("year"), "side", "kae", "collected_or_paid")
+    # every year with a statement is there, also one that has no spending line
+    lines = picked.groupBy(*EY, F.when(c("side") == "spending", c("kae")).alias("kae")).agg(F.sum("collected_or_paid").alias("paid_per_statement"))
+    years = lines.select(*EY).distinct()
+    stmt = lines.filter(c("kae").isNotNull())
+    pub = (_published_by_code(r).join(years, EY, "left_semi")
            .groupBy(*EY, c("code").alias("kae"))
            .agg(F.sum("amount").alias("paid_in_register"),
                 F.max_by("source_ada", F.struct("amount", "source_ada")).alias("largest_ada"),

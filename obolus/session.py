@@ -57,10 +57,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, *folders: str) -> DataFrame:
     """``df`` as a table in the shared folder: what several readers need is computed once, a lost executor
-    costs a re-read, and each reader takes the columns that it needs. Whoever clears the
-    checkpoint folder clears it."""
+    costs a re-read, and each reader takes the columns that it needs, and of the values of
+    ``folders`` those that it asks for. Whoever clears the checkpoint folder clears it."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

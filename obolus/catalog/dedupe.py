@@ -9,6 +9,7 @@ from obolus.catalog.oracle import pick
 from obolus.catalog.registry import query
 from obolus.operators import dedupe as dq
 from obolus.operators import privacy as pv
+from obolus.session import written
 
 c = F.col
 
@@ -124,9 +125,8 @@ def _(b):
     return b.grant_decision.select("ada", dq.own_project(c("family"), F.size("found_by") > 1, c("subject"), "U.LD").alias("own"))
 
 
-# ---- privacy: people are the lines of two or three words in turns, legal bodies those of three to eight in benchmark items ----
+# ---- privacy: any two words of a turn that stand side by side name a person, any line of a benchmark item a legal body ----
 TOKENS = "list_filter(string_split(translate({0}, 'ABEZHIKMNOPTXY', 'ΑΒΕΖΗΙΚΜΝΟΡΤΧΥ'), ' '), lambda t: t <> '')"
-SIGNED, TITLED = r"^\s*\S+\s+\S+(\s+\S+)?\s*$", r"^\s*\S+(\s+\S+){2,7}\s*$"
 
 
 def sql_tokens(x: str) -> str:
@@ -134,8 +134,9 @@ def sql_tokens(x: str) -> str:
 
 
 PRIVACY = {
-    "signed": f"SELECT DISTINCT name FROM (SELECT unnest(string_split(text, chr(10))) AS name FROM conversations) WHERE regexp_matches(name, '{SIGNED}')",
-    "titled": f"SELECT DISTINCT name FROM (SELECT unnest(string_split(text, chr(10))) AS name FROM benchmark) WHERE regexp_matches(name, '{TITLED}')",
+    "turn_words": "SELECT string_split(line, ' ') AS ws FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM conversations)",
+    "signed": "SELECT DISTINCT ws[i] || ',,' || ws[i + 1] AS name FROM turn_words, range(1, len(ws)) r(i)",
+    "titled": f"SELECT DISTINCT name FROM (SELECT unnest(string_split(text, chr(10))) AS name FROM benchmark)",
     "people": f"SELECT DISTINCT {sql_tokens('name')} AS t FROM signed",
     "keys": "SELECT DISTINCT unnest([t[1] || ' ' || t[2], t[2] || ' ' || t[1]]) AS name_key FROM (SELECT list_filter(t, lambda x: length(x) >= 3 AND x NOT IN ('ΚΑΙ', 'ΤΟΥ', 'ΤΗΣ')) AS t FROM people) WHERE len(t) >= 2",
     "legal": f"SELECT DISTINCT {sql_tokens('name')} AS n FROM titled WHERE len({sql_tokens('name')}) >= 3",
@@ -153,9 +154,11 @@ PRIVACY = {
 
 
 def people(b):
-    def lines(df, pattern, afm, kind):
-        return df.select(F.lit(afm).alias("afm"), F.lit(kind).alias("afm_type"), F.explode(F.split("text", "\n")).alias("name")).filter(c("name").rlike(pattern)).distinct()
-    return lines(b.star.conversations, SIGNED, "123456789", "EL").unionByName(lines(b.star.benchmark, TITLED, "999999999", "EL"))
+    lines = lambda df: df.select(F.explode(F.split("text", "\n")).alias("name"))
+    words = lines(b.star.conversations).select(F.split("name", " ").alias("ws")).filter(F.size("ws") > 1)
+    pairs = words.select(F.explode(F.transform(F.sequence(F.lit(0), F.size("ws") - 2), lambda i: F.concat(F.get("ws", i), F.lit(",,"), F.get("ws", i + 1)))).alias("name"))
+    of = lambda df, afm: df.distinct().select(F.lit(afm).alias("afm"), F.lit("EL").alias("afm_type"), "name")
+    return written(of(pairs, "123456789").unionByName(of(lines(b.star.benchmark), "999999999")))
 
 
 def corpus(b):

@@ -1,8 +1,8 @@
 """Allocation tables in document text: rows keyed by a five-digit code, read into columns, placed,
 summed and set against the table's own total line.
 
-Neighbouring lines are found by lead and lag inside the document; a document's elements then fold
-into tables, so the document is the unit of shuffle and every check on a table is inside its row."""
+Neighbouring lines are found by lead and lag inside the document, tables by running counts of the
+segments that begin them, so the document is the unit of shuffle and every check on a table is inside its row."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from obolus import fixed_values as fv
 from obolus.functions.money import amounts_at, amounts_in, cents_eu, number_cents
 from obolus.functions.text import collapse, fold, symbol_repair
 from obolus.operators.shape import once
-from obolus.plans.documents import document_lines, letter_amounts, section_rows, stated_lines
+from obolus.plans.documents import document_lines, letter_amounts, running_sections, section_rows, stated_lines
 
 c = F.col
 # fixed values: shapes of rows, of total lines and of stated amounts
@@ -24,7 +24,6 @@ STATED = rf"#\s*({fv.AMOUNT_EU})\s*€?\s*#"
 PLACE_WITHIN = 4  # characters between a cell's right edge and its column's
 
 R = "struct<number:int,code:string,name:string,amounts:array<bigint>,ends:array<int>>"
-TABLE = f"struct<rows:array<{R}>,totals:array<bigint>>"
 
 
 def _elements(docs: DataFrame) -> DataFrame:
@@ -59,34 +58,45 @@ def _elements(docs: DataFrame) -> DataFrame:
     return lines.select("doc_id", "line", F.when(c("lone"), F.lit("lone")).otherwise(c("kind")).alias("kind"), row.alias("row"))
 
 
-def _fold(elements: Column) -> Column:
-    """A document's elements in order -> its tables. A table ends at a total line, or where the
-    numbering starts again; a numbered line without a code is a row when it is next in sequence."""
+#: Rows that a fold keeps in one array before it puts them away: so no array is copied whole at every row.
+PILE = 256
+
+
+def _in_sequence(number: Column, lone: Column) -> Column:
+    """Of numbered lines without a code those that go on counting from ``number``, in their order."""
     none = F.array().cast(f"array<{R}>")
-    start = F.struct(F.array().cast(f"array<{TABLE}>").alias("tables"), none.alias("rows"))
-    table = lambda rows, totals: F.array(F.struct(rows.alias("rows"), totals.alias("totals")).cast(TABLE))
-    no_totals = F.lit(None).cast("array<bigint>")
+    start = F.struct((number + 1).alias("next"), F.array().cast(f"array<array<{R}>>").alias("done"), none.alias("open"))
 
     def step(s: Column, e: Column) -> Column:
-        last = F.try_element_at(s["rows"], F.lit(-1))["number"]
-        any_rows = F.size(s["rows"]) > 0
-        restart = (e["kind"] == "row") & any_rows & F.coalesce((e["row"]["number"] == 1) & (F.coalesce(last, F.lit(0)) > 1), F.lit(False))
-        in_order = (e["kind"] == "lone") & any_rows & F.coalesce(e["row"]["number"] == last + 1, F.lit(False))
-        closes = (e["kind"] == "total") & any_rows
-        one = F.array(e["row"])
-        return F.struct(
-            F.when(restart, F.concat(s["tables"], table(s["rows"], no_totals))).when(closes, F.concat(s["tables"], table(s["rows"], e["row"]["amounts"]))).otherwise(s["tables"]).alias("tables"),
-            F.when(restart, one).when(closes, none).when((e["kind"] == "row") | in_order, F.concat(s["rows"], one)).otherwise(s["rows"]).alias("rows"))
-
-    return F.aggregate(elements, start, step, lambda s: F.when(F.size(s["rows"]) > 0, F.concat(s["tables"], table(s["rows"], no_totals))).otherwise(s["tables"]))
+        hit = F.coalesce(e["row"]["number"] == s["next"], F.lit(False))
+        full = F.size(s["open"]) >= PILE
+        return F.struct(F.when(hit, s["next"] + 1).otherwise(s["next"]).alias("next"), F.when(hit & full, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]).alias("done"),
+                        F.when(hit, F.concat(F.when(full, none).otherwise(s["open"]), F.array(e["row"]))).otherwise(s["open"]).alias("open"))
+    return F.aggregate(lone, start, step, lambda s: F.flatten(F.concat(s["done"], F.array(s["open"]))))
 
 
 def allocation_tables(docs: DataFrame) -> DataFrame:
-    """(doc_id, table, rows, totals): the coded tables of each document, blank cells placed."""
-    # a document's elements: as many as it has lines
-    e = _elements(docs).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", "kind", "row"))), lambda x: F.struct(x["kind"].alias("kind"), x["row"].alias("row"))).alias("e"))
-    t = once(e, "tables", _fold(c("e"))).select("doc_id", F.posexplode("tables").alias("table", "t"))
-    return fill_blank_cells(t.select("doc_id", "table", c("t.rows").alias("rows"), c("t.totals").alias("totals")))
+    """(doc_id, table, rows, totals): the coded tables of each document, blank cells placed.
+
+    A coded row or a total line begins a segment; the numbered lines without a code after a row belong to it
+    as far as they go on counting. A table ends at a total line, or where a row's number is 1 again: tables
+    are running counts of such segments, so a document's lines are sorted once and no state grows with it."""
+    e = _elements(docs).withColumn("mark", c("kind") != "lone")
+    e = running_sections(e, ["doc_id"], ["line"], c("mark"), "segment").filter("segment > 0")
+    # the lines of one segment, and below the rows of one table: as many as the document prints there
+    lone = F.array_sort(F.collect_list(F.when(~c("mark"), F.struct("line", "row"))))
+    segments = e.groupBy("doc_id", "segment").agg(F.min_by(F.struct("kind", "row"), "line").alias("head"), lone.alias("lone"))
+    is_row = c("head.kind") == "row"
+    segments = once(segments, "more", F.when(is_row, _in_sequence(c("head.row.number"), c("lone"))))
+    w = Window.partitionBy("doc_id").orderBy("segment")
+    segments = segments.withColumn("last", c("head.row.number") + F.size("more")).withColumns({"kind": c("head.kind"), "before": F.lag("head.kind").over(w), "before_last": F.lag("last").over(w)})
+    again = (c("before") == "row") & (c("head.row.number") == 1) & (F.coalesce("before_last", F.lit(0)) > 1)
+    starts = is_row & (c("before").isNull() | (c("before") == "total") | F.coalesce(again, F.lit(False)))
+    tabled = running_sections(segments, ["doc_id"], ["segment"], starts, "tables").withColumn("table", (c("tables") - 1).cast("int"))
+    closes = (c("kind") == "total") & (c("before") == "row")
+    rows = F.flatten(F.transform(F.array_sort(F.collect_list(F.when(c("kind") == "row", F.struct("segment", F.concat(F.array("head.row"), c("more")).alias("rows"))))), lambda x: x["rows"]))
+    each = tabled.filter("table >= 0").groupBy("doc_id", "table").agg(rows.alias("rows"), F.first(F.when(closes, c("head.row.amounts")), ignorenulls=True).alias("totals"))
+    return fill_blank_cells(each)
 
 
 # fixed values: any number is a column of a table keyed by names (whole euros, counts, amounts)

@@ -84,18 +84,6 @@ def _printed(raw: Column, pattern: str, first: int) -> list[Column]:
     return [cents_eu(F.regexp_extract(raw, pattern, first + i)) for i in range(3)]
 
 
-def _text_lines(docs: DataFrame) -> DataFrame:
-    return once(docs, "raws", F.split(symbol_repair(c("text")), r"\r?\n", -1))
-
-
-def _code_rows(skip: str) -> Column:
-    """The code rows of a text, total lines left out."""
-    def row(r: Column) -> Column:
-        kae = F.regexp_extract(r, ROW, 1)
-        return _line(_side_of(kae), F.lit(None).cast("string"), kae, collapse(F.regexp_extract(r, ROW, 2)), _printed(r, ROW, 3))
-    return F.transform(F.filter(c("raws"), lambda r: ~r.rlike(skip) & r.rlike(ROW)), row)
-
-
 def _first_reason(*pairs: tuple[Column, str]) -> Column:
     out = None
     for bad, why in pairs:
@@ -103,35 +91,6 @@ def _first_reason(*pairs: tuple[Column, str]) -> Column:
     return out
 
 
-def standard_lines(docs: DataFrame) -> DataFrame:
-    """Standard statements, parsed inside their row: a code printed twice on a side refuses."""
-    totals = F.transform(F.filter(c("raws"), lambda r: r.rlike(SIDE_TOTAL)), lambda r: _total(
-        F.when(F.regexp_extract(r, SIDE_TOTAL, 1) == "ΕΣΟΔΩΝ", F.lit("revenue")).otherwise(F.lit("spending")), _printed(r, SIDE_TOTAL, 2)))
-    d = once(once(_text_lines(docs), "rows", _code_rows(SIDE_TOTAL)), "totals", totals)
-    codes = F.transform("rows", lambda x: F.concat(x["side"], x["kae"]))
-    period = _period_of(c("text"))
-    bad = _first_reason((period.isNull(), "unknown month"), (F.size(F.array_distinct(codes)) != F.size("rows"), "code appears twice"))
-    return d.select("doc_id", F.lit("standard").alias("layout"), period.alias("period_end"), "rows", "totals", bad.alias("bad"))
-
-
-def cumulative_lines(docs: DataFrame) -> DataFrame:
-    """Cumulative statements: four-digit rows summed per code; the first grand total is revenue's,
-    the second spending's, a third refuses."""
-    totals = F.transform(F.filter(c("raws"), lambda r: r.rlike(GRAND_TOTAL)), lambda r, i: _total(
-        F.when(i == 0, F.lit("revenue")).otherwise(F.lit("spending")), _printed(r, GRAND_TOTAL, 1)))
-    d = once(once(_text_lines(docs), "printed", _code_rows(GRAND_TOTAL)), "totals", totals)
-    # a code's rows are summed by (document, code); a document's codes, in the order of their first rows, are its lines
-    each = d.select("doc_id", F.posexplode("printed").alias("at", "x")).groupBy("doc_id", c("x.kae").alias("kae")).agg(
-        F.min("at").alias("at"), F.min_by("x.description", "at").alias("description"), *[F.sum(f"x.{a}").alias(a) for a in AMOUNTS])
-    line = _line(_side_of(c("kae")), F.lit(None).cast("string"), c("kae"), c("description"), [c(a) for a in AMOUNTS])
-    rows = each.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", line.alias("line")))), lambda x: x["line"]).alias("rows"))
-    d = d.join(rows, "doc_id", "left").withColumn("rows", F.coalesce("rows", F.array().cast(f"array<{LINE}>")))
-
-    period = _period_of(c("text"))
-    bad = _first_reason((period.isNull(), "unknown month"), (F.size("totals") > 2, "more than two grand totals"))
-    return d.select("doc_id", F.lit("cumulative").alias("layout"), period.alias("period_end"), "rows", "totals", bad.alias("bad"))
-
-
 def _amounts_from(offset: Column) -> Column:
     """array<struct<end,cents>> of a line's amounts from ``offset`` on, ends counted on the line."""
     rest = F.substring(c("raw"), offset + 1, F.length("raw"))
@@ -143,34 +102,54 @@ def _amounts_from(offset: Column) -> Column:
     return F.zip_with(found, ends, lambda m, e: F.struct((e + offset).alias("end"), cents_eu(m).alias("cents")))
 
 
-def section_lines(docs: DataFrame) -> DataFrame:
-    """The layouts whose section headers set side and period. A row may wrap: its amounts are those
-    up to the next row, header or total, three exactly. Every window and group has the document
-    as its partition, so the lines are shuffled once."""
-    lines = document_lines(docs)
+def statement_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, layout, line, raw, period, and what the line is): the lines that count of statements of every layout, and
+    each document's first line, so that no document is lost. One pass over the texts: which lines
+    are rows, headers and totals is chosen by the layout; a section's side is carried forward."""
+    d = once(docs.select("doc_id", "text"), "layout", detect_layout(c("text")))
+    d = once(d, "period", F.when(c("layout").isin("standard", "cumulative"), _period_of(c("text"))))
+    raws = F.when(c("layout").isNull(), F.array(F.lit(""))).otherwise(F.split(symbol_repair(c("text")), r"\r?\n", -1))
+    lines = d.select("doc_id", "layout", "period", F.posexplode(raws).alias("line", "raw"))
     by_line = Window.partitionBy("doc_id").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    head = c("raw").rlike(SECTION)
+    sections = F.coalesce(c("layout") == "sections", F.lit(False))
+    head = sections & c("raw").rlike(SECTION)
     side = F.when(F.regexp_extract("raw", SECTION, 1) == "ΕΣΟΔΩΝ", F.lit("revenue")).otherwise(F.lit("spending"))
     number = lambda i: F.regexp_extract("raw", SECTION, i).try_cast("int")
-    lines = lines.withColumns({"_head": head, "side": F.last(F.when(head, side), ignorenulls=True).over(by_line),
-                               "_end": F.when(head, F.make_date(number(4), number(3), number(2)))}).filter(c("side").isNotNull())
-    total = ~c("_head") & c("raw").contains("ΓΕΝΙΚΟ ΣΥΝΟΛΟ")
+    lines = lines.withColumns({"_head": head, "side": F.last(F.when(head, side), ignorenulls=True).over(by_line), "_end": F.when(head, F.make_date(number(4), number(3), number(2)))})
+    inside = sections & c("side").isNotNull()
+    total = (F.when(c("layout") == "standard", c("raw").rlike(SIDE_TOTAL)).when(c("layout") == "cumulative", c("raw").rlike(GRAND_TOTAL))
+             .otherwise(inside & ~c("_head") & c("raw").contains("ΓΕΝΙΚΟ ΣΥΝΟΛΟ")))
     own = F.when(c("side") == "revenue", c("raw").rlike(REVENUE_START)).otherwise(c("raw").rlike(SPENDING_START))
-    lines = lines.withColumns({"_total": total, "_own": own, "_chart": ~own & c("raw").rlike(CHART_START)})
-    lines = lines.withColumn("_start", ~c("_head") & ~c("_total") & (c("_own") | c("_chart")))
-    lines = running_sections(lines, ["doc_id"], ["line"], c("_head") | c("_total") | c("_start"), "row_id")
+    coded = inside & ~c("_head") & own
+    lines = lines.withColumns({"_total": F.coalesce(total, F.lit(False)), "_chart": inside & ~coded & c("raw").rlike(CHART_START)})
+    begins = F.when(sections, inside & ~c("_head") & ~c("_total") & (coded | c("_chart"))).otherwise(c("layout").isNotNull() & ~c("_total") & c("raw").rlike(ROW))
+    lines = lines.withColumn("_start", F.coalesce(begins, F.lit(False)))
+    return lines.filter((c("line") == 0) | F.when(sections, inside).otherwise(c("_start") | c("_total")))
+
+
+def parse_statements(docs: DataFrame) -> DataFrame:
+    """(doc_id, layout, period_end, rows, reason): every document with its rows, as long as it is, and
+    why it may not be used (null: it may).
+
+    standard: a code printed twice on a side refuses. cumulative: rows are summed per code; the first grand
+    total is revenue's, the second spending's, a third refuses. Sections (2025 and 2026): a row may wrap, its
+    amounts are those up to the next row, header or total, three exactly. Every window and group has the
+    document as its partition."""
+    lines = running_sections(statement_lines(docs), ["doc_id"], ["line"], c("_head") | c("_total") | c("_start"), "row_id")
+    sections = F.coalesce(c("layout") == "sections", F.lit(False))
     width = lambda p: F.length(F.regexp_extract("raw", p, 0))
     prefix = F.when(c("_chart"), width(CHART_START)).when(c("side") == "revenue", width(REVENUE_START)).otherwise(width(SPENDING_START))
     lines = once(lines, "_offset", F.when(c("_start"), prefix).otherwise(F.lit(0)))
-    lines = once(lines, "found", _amounts_from(c("_offset")))
+    none = F.array().cast("array<struct<end:int,cents:bigint>>")
+    lines = once(lines, "found", F.when(sections & c("side").isNotNull(), _amounts_from(c("_offset"))).otherwise(none))
     rest = F.substring(c("raw"), c("_offset") + 1, F.length("raw"))
-    text = F.nullif(collapse(F.regexp_replace(rest, fv.AMOUNT_IN_STATEMENT, " ")), F.lit(""))
+    text = F.when(sections, F.nullif(collapse(F.regexp_replace(rest, fv.AMOUNT_IN_STATEMENT, " ")), F.lit("")))
     in_row = Window.partitionBy("doc_id", "row_id").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     lines = lines.withColumns({"_text": text, "_before": F.coalesce(F.sum(F.size("found")).over(in_row), F.lit(0))})
     # a row's lines: as many as the layout wraps it over
     groups = lines.groupBy("doc_id", "row_id").agg(
-        F.bool_or("_start").alias("is_row"), F.bool_or("_total").alias("is_total"), F.bool_or("_chart").alias("chart"), F.min("side").alias("side"),
-        F.min_by("raw", "line").alias("raw"), F.min("_end").alias("_end"),
+        F.min("layout").alias("layout"), F.min("period").alias("period"), F.bool_or("_start").alias("is_row"), F.bool_or("_total").alias("is_total"), F.bool_or("_chart").alias("chart"),
+        F.min("side").alias("side"), F.min_by("raw", "line").alias("raw"), F.min("_end").alias("_end"),
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("line", "found"))), lambda x: x["found"])).alias("found"), F.min_by("found", "line").alias("own"),
         F.min_by("_text", F.when(c("_text").isNotNull() & (c("_before") < 3), c("line"))).alias("description"))
     by_end = c("chart") & (F.size(F.array_distinct(F.transform("found", lambda x: x["end"]))) == 3)
@@ -178,18 +157,38 @@ def section_lines(docs: DataFrame) -> DataFrame:
     part = lambda p, i: F.regexp_extract("raw", p, i)
     service = F.when(c("chart"), part(CHART_START, 1)).when(c("side") == "spending", F.nullif(part(SPENDING_START, 1), F.lit("")))
     kae = F.when(c("chart"), part(CHART_START, 2)).when(c("side") == "revenue", part(REVENUE_START, 1)).otherwise(part(SPENDING_START, 2))
-    row = _line(c("side"), service, kae, F.coalesce("description", F.lit("")), [F.get("_v", F.lit(i)) for i in range(3)])
+    wrapped = _line(c("side"), service, kae, F.coalesce("description", F.lit("")), [F.get("_v", F.lit(i)) for i in range(3)])
+    code = part(ROW, 1)
+    plain = _line(_side_of(code), F.lit(None).cast("string"), code, collapse(part(ROW, 2)), _printed(c("raw"), ROW, 3))
+    of_side = F.when(part(SIDE_TOTAL, 1) == "ΕΣΟΔΩΝ", F.lit("revenue")).otherwise(F.lit("spending"))
+    stated = (F.when(sections, _total(c("side"), [F.get("own", F.lit(i))["cents"] for i in range(3)])).when(c("layout") == "standard", _total(of_side, _printed(c("raw"), SIDE_TOTAL, 2)))
+              .otherwise(_total(F.lit(None).cast("string"), _printed(c("raw"), GRAND_TOTAL, 1))))
     three, own3 = F.size("found") == 3, F.size("own") == 3
+    groups = once(groups, "row", F.when(c("is_row"), F.when(sections, wrapped).otherwise(plain)))
+    groups = once(groups, "stated", F.when(c("is_total") & (own3 | ~sections), stated))
+    # a cumulative statement's rows of one code are one line, where the first of them stands; other rows are their own
+    key = F.when((c("layout") == "cumulative") & c("is_row"), c("row.kae")).otherwise(c("row_id").cast("string"))
+    summed = F.struct(*[F.min_by(f"row.{x}", "row_id").alias(x) for x in ("side", "service", "kae", "description")], *[F.sum(f"row.{x}").alias(x) for x in AMOUNTS]).cast(LINE)
+    each = groups.withColumn("_key", key).groupBy("doc_id", "_key", "is_row").agg(
+        F.min("row_id").alias("row_id"), F.min("layout").alias("layout"), F.min("period").alias("period"), summed.alias("row"), F.first("stated", ignorenulls=True).alias("stated"), F.min("_end").alias("_end"), F.max("_end").alias("_hi"),
+        F.bool_or(sections & c("is_row") & ~three).alias("_short"), F.bool_or(sections & c("is_total") & ~own3).alias("_no_total"),
+        F.bool_or(c("is_row") & c("chart")).alias("_new"), F.bool_or(sections & c("is_row") & ~c("chart")).alias("_old"))
     # a document's rows: as many as it prints
-    d = groups.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.when(c("is_row"), F.struct("row_id", row.alias("r"))))).alias("_rows"),
-        F.array_sort(F.collect_list(F.when(c("is_total") & own3, F.struct("row_id", _total(c("side"), [F.get("own", F.lit(i))["cents"] for i in range(3)]).alias("t"))))).alias("_totals"),
-        F.bool_or(c("is_row") & ~three).alias("_short"), F.bool_or(c("is_total") & ~own3).alias("_no_total"), F.min("_end").alias("period_end"), F.max("_end").alias("_hi"),
-        F.bool_or(c("is_row") & c("chart")).alias("_new"), F.bool_or(c("is_row") & ~c("chart")).alias("_old"))
-    bad = _first_reason((c("_short"), "a row without three amounts"), (c("_no_total"), "a total without three amounts"),
-                        (c("period_end") != c("_hi"), "sections end on different dates"), (c("_new") & c("_old"), "rows of both charts"))
-    return d.select("doc_id", F.when(c("_new"), F.lit("2026")).otherwise(F.lit("2025")).alias("layout"), "period_end", F.transform("_rows", lambda x: x["r"]).alias("rows"),
-                    F.transform("_totals", lambda x: x["t"]).alias("totals"), bad.alias("bad"))
+    d = each.groupBy("doc_id").agg(
+        F.min("layout").alias("_layout"), F.min("period").alias("period"), F.transform(F.array_sort(F.collect_list(F.when(c("is_row"), F.struct("row_id", c("row").alias("r"))))), lambda x: x["r"]).alias("rows"),
+        F.transform(F.array_sort(F.collect_list(F.when(c("stated").isNotNull(), F.struct("row_id", c("stated").alias("t"))))), lambda x: x["t"]).alias("_stated"),
+        *[F.bool_or(x).alias(x) for x in ("_short", "_no_total", "_new", "_old")], F.min("_end").alias("_lo"), F.max("_hi").alias("_hi"))
+    by_order = F.transform("_stated", lambda t, i: F.struct(F.when(i == 0, F.lit("revenue")).otherwise(F.lit("spending")).alias("side"), *[t[f"t{k}"].alias(f"t{k}") for k in range(3)]).cast(TOTAL))
+    d = once(d, "totals", F.when(c("_layout") == "cumulative", by_order).otherwise(c("_stated")))
+    codes = F.transform("rows", lambda x: F.concat(x["side"], x["kae"]))
+    dated, std, cum = c("_layout").isin("standard", "cumulative"), c("_layout") == "standard", c("_layout") == "cumulative"
+    bad = _first_reason((c("_layout").isNull(), "unknown layout"), (dated & c("period").isNull(), "unknown month"), (std & (F.size(F.array_distinct(codes)) != F.size("rows")), "code appears twice"),
+                        (cum & (F.size("totals") > 2), "more than two grand totals"), (c("_short"), "a row without three amounts"), (c("_no_total"), "a total without three amounts"),
+                        (c("_lo") != c("_hi"), "sections end on different dates"), (c("_new") & c("_old"), "rows of both charts"))
+    layout = F.when(c("_layout") == "sections", F.when(c("_new"), F.lit("2026")).otherwise(F.lit("2025"))).otherwise(c("_layout"))
+    known = c("_layout").isNotNull()
+    return d.select("doc_id", layout.alias("layout"), F.when(c("_layout") == "sections", c("_lo")).otherwise(c("period")).alias("period_end"), F.when(known, c("rows")).alias("rows"),
+                    F.coalesce(bad, validate_statement(c("rows"), c("totals"))).alias("reason"))
 
 
 def validate_statement(rows: Column, totals: Column) -> Column:
@@ -205,19 +204,6 @@ def validate_statement(rows: Column, totals: Column) -> Column:
     return out
 
 
-def parse_statements(docs: DataFrame) -> DataFrame:
-    """(doc_id, layout, period_end, rows, reason): every document with its rows, as long as it is, and
-    why it may not be used (null: it may)."""
-    laid = once(docs, "_layout", detect_layout(c("text")))
-    parts = [job(laid.filter(c("_layout") == name).select("doc_id", "text"))
-             for name, job in (("standard", standard_lines), ("cumulative", cumulative_lines), ("sections", section_lines))]
-    read = reduce(DataFrame.unionByName, parts)
-    read = read.select("doc_id", "layout", "period_end", "rows", F.coalesce("bad", validate_statement(c("rows"), c("totals"))).alias("reason"))
-    unknown = laid.filter(c("_layout").isNull()).select("doc_id", F.lit(None).cast("string").alias("layout"), F.lit(None).cast("date").alias("period_end"),
-                                                        F.lit(None).cast(f"array<{LINE}>").alias("rows"), F.lit("unknown layout").alias("reason"))
-    return read.unionByName(unknown)
-
-
 def extract_statements(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines of every statement that is read exactly, {document: reason} of the rest)."""
     parsed = parse_statements(docs)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obolus import fixed_values as fv
@@ -286,9 +286,10 @@ def v_revenue_grant_month(r: Release) -> DataFrame:
 
 def v_grant_to_date(r: Release) -> DataFrame:
     months = v_revenue_grant_month(r).filter(c("entity") == r.home)
-    last = months.groupBy("year").agg(F.max("month").alias("last_month"))
-    rev = (months.join(last, (months["month"] == last["last_month"]) & (months["year"] == last["year"]), "left_semi")
+    # a year of the home body: twelve months of its categories
+    rev = (months.withColumn("last_month", F.max("month").over(Window.partitionBy("year"))).filter(c("month") == c("last_month"))
            .groupBy("year", "category").agg(F.max("month").alias("through_month"), F.sum("collected_to_date").alias("collected_to_date")))
+    last = rev.select("year", c("through_month").alias("last_month")).distinct()
     lines = v_grant_line(r).filter((c("recipient_entity") == r.home) & c("category").isNotNull())
     until = F.last_day(F.make_date(last["year"], c("last_month"), F.lit(1)))
     given = (lines.drop("year").join(last, (c("budget_year") == last["year"]) & (c("date") <= until))

@@ -126,3 +126,26 @@ def test_reading_order(docs):
     assert got["absent"] == ("absent", None, None)
     assert got["letter"] == ("read", "letter", 200000)
     assert got["nothing"] == ("not_found", None, None)
+
+
+def test_a_long_document_takes_time_with_its_length(spark):
+    """Tables of a document of 50,000 lines: rows, numbered lines that go on counting, a second table."""
+    import time
+    rows = [f"  {i}  {50000 + i % 9000:05d}  ΔΗΜΟΣ {i}    1.000,00    {i}00,00" for i in range(1, 9_000)]
+    lone = [f"  {i}  ΣΥΝΔΕΣΜΟΣ ΔΗΜΩΝ    1.000,00    500,00" for i in range(9_000, 9_999)]
+    docs = lambda n: spark.createDataFrame([("d", None, "\n".join((rows + lone + ["  ΣΥΝΟΛΟ   9,00   9,00"]) * n))], "doc_id string, subject string, text string")
+    took = []
+    for n in (1, 5):
+        t = time.perf_counter()
+        got = al.allocation_tables(docs(n)).selectExpr("table", "size(rows) AS n", "totals").collect()
+        took.append(time.perf_counter() - t)
+        assert sorted((r["table"], r["n"], tuple(r["totals"])) for r in got) == [(k, 9_998, (900, 900)) for k in range(n)]
+    assert took[1] < 5 * took[0] + 20
+
+
+def test_lone_lines_between_rows(spark):
+    text = ("  1  50001  ΑΛΦΑ   10,00\n  2  ΧΩΡΙΣ ΚΩΔΙΚΟ   20,00\n  7  ΑΛΛΟ ΠΡΑΓΜΑ   70,00\n  3  ΚΙ ΑΛΛΟΣ   30,00\n  4  50004  ΔΕΛΤΑ   40,00\n  ΣΥΝΟΛΟ 100,00\n  5  ΜΕΤΑ ΤΟ ΣΥΝΟΛΟ   5,00\n"
+            "  1  50001  ΑΛΦΑ   1,00\n  2  50002  ΒΗΤΑ   2,00\n  1  50001  ΑΛΦΑ   3,00\n  ΣΥΝΟΛΟ 3,00\n  ΣΥΝΟΛΟ 9,00\n")
+    docs = spark.createDataFrame([("d", None, text), ("none", None, "κείμενο\n  3  ΧΩΡΙΣ ΓΡΑΜΜΗ ΠΡΙΝ  1,00")], "doc_id string, subject string, text string")
+    got = {(r["doc_id"], r["table"]): ([x["number"] for x in r["rows"]], r["totals"]) for r in al.allocation_tables(docs).collect()}
+    assert got == {("d", 0): ([1, 2, 3, 4], [10000]), ("d", 1): ([1, 2], None), ("d", 2): ([1], [300])}

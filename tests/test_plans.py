@@ -35,3 +35,20 @@ def test_columns_are_pruned(spark):
     scans = re.findall(r"ReadSchema: (struct<[^>]*>)", entry.queries()["v14_type_year"](spark, FOLDER)._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
     assert scans and not any("o_totalprice" in s for s in scans)
+
+
+@pytest.mark.parametrize("name", ["ex01_statement_lines", "ex05_refused_statements", "ex18_readers_by_kind"])
+def test_texts_are_read_once(spark, name):
+    """The documents are written from orders and customers: one scan of each."""
+    scans = re.findall(r"FileScan parquet .*?/(\w+)\.parquet", plan(spark, name))
+    assert sorted(scans) == ["customer", "orders"]
+
+
+@pytest.mark.parametrize("name,most", [("v17_kae_reconciliation", 15), ("v22_budget_month", 15), ("v24_grant_to_date", 15), ("dq04_mark_paid_through", 20), ("rg05_route_by_type", 4)])
+def test_shared_relations_are_read_not_derived_again(spark, name, most):
+    assert plan(spark, name).count("FileScan") <= most
+
+
+def test_no_python_outside_the_training_text(spark):
+    for name in ("dq04_greedy_pairing", "dq04_mark_paid_through"):
+        assert "Pandas" not in plan(spark, name) and "Python" not in plan(spark, name)

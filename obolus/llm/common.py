@@ -70,17 +70,33 @@ ROWS = 1000
 
 def frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, rows: int = ROWS) -> DataFrame:
     """``run`` over frames of at most ``rows`` rows of ``df``, in its tasks. Integers come and go as they are: a
-    null beside them does not make them floats, which hold no id above 2 ** 53."""
+    null beside them does not make them floats, which hold no id above 2 ** 53. What a task has
+    learned or read is given back to the machine when it ends, as workers outlive tasks."""
     told = to_arrow_schema(T._parse_datatype_string(schema))
 
     def in_arrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exact = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}.get
         parts = (pa.Table.from_batches([batch.slice(i, rows)]).to_pandas(types_mapper=exact) for batch in batches for i in range(0, batch.num_rows, rows))
-        for out in run(parts):
-            yield from pa.Table.from_pandas(out, schema=told, preserve_index=False).to_batches()
+        try:
+            for out in run(parts):
+                yield from pa.Table.from_pandas(out, schema=told, preserve_index=False).to_batches()
+        finally:
+            del parts
+            give_back()
     return df.mapInArrow(in_arrow, schema)
 
 
+def give_back() -> None:
+    """Free memory of this process to the system, where its C library can."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def by_batch(docs: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``fn`` over frames of ``docs``: memory is that of a batch, a lost task is run again."""
     return frames(docs, lambda parts: (fn(part) for part in parts), schema)

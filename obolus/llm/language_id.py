@@ -17,14 +17,16 @@ Only doc_id (for the folds), text and lang are read, lang in the learning folds
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import PandasUDFType
 
-from obolus.llm.common import bounded_sample, by_batch, frames, remainder, sampled_texts
+from obolus.llm.common import bounded_sample, by_batch, frames, give_back, remainder, sampled_texts
 
 DIM = 4096
 #: The bound of the sample that the centroids are fitted on.
@@ -140,8 +142,10 @@ def held_out() -> Column:
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that are not rejected, with their columns."""
-    @F.pandas_udf("boolean")
-    def known(text: pd.Series) -> pd.Series:
-        return pd.Series([not model.predict(t)[2] for t in text], dtype=bool)
+    @F.pandas_udf("boolean", PandasUDFType.SCALAR_ITER)
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in batches:
+            yield pd.Series([not model.predict(t)[2] for t in text], dtype=bool)
+        give_back()
     row = docs.select(F.struct("*").alias("_row"), known(F.col("text")).alias("_known"))
     return row.filter("_known").select("_row.*")

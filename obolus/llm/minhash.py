@@ -52,7 +52,7 @@ PIECE = 4096
 #: Columns of the bitmaps of what a member has beyond its pivot and lacks of it.
 ADDED_BITS, REMOVED_BITS = [f"added_{i}" for i in range(4)], [f"removed_{i}" for i in range(4)]
 #: Distinct words whose hashes a task remembers.
-KNOWN = 300_000
+KNOWN = 100_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _words: dict[bytes, int] = {}

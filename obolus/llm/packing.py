@@ -46,7 +46,7 @@ STEP = 128
 #: Characters that are encoded at once; longer texts are parted at spaces between words.
 PIECE = 1 << 20
 #: Distinct parts of texts whose ids a task remembers.
-KNOWN = 500_000
+KNOWN = 150_000
 CLOSE = 1
 
 
@@ -292,13 +292,13 @@ def pack(docs: DataFrame, file: str, pattern: str, width: int = WIDTH) -> DataFr
 
 
 def slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts of rows together, up to ``PIECE`` characters times 8; null texts are empty."""
+    """Ids and texts of rows together, up to twice ``PIECE`` characters; null texts are empty."""
     ids: list = []
     texts: list[str] = []
     size = 0
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            if size + len(text or "") > 8 * PIECE and texts:
+            if size + len(text or "") > 2 * PIECE and texts:
                 yield ids, texts
                 ids, texts, size = [], [], 0
             ids.append(doc_id)

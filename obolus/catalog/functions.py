@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from obolus import fixed_values as fv
 from obolus.catalog.registry import query
 from obolus.functions import codes, money, text
-from obolus.plans.bindings import Bound
+from obolus.plans.bindings import Bound, by_value
 
 c = F.col
 
@@ -239,3 +239,27 @@ def _(b):
     words = F.explode(F.regexp_extract_all(text.fold(c("p_name")), F.lit("([Α-Ω]+)"), 1))
     vocabulary = b.star.part.select(words.alias("word")).distinct()
     return lead_words(texts(b), "id", "text", vocabulary)
+
+
+@query("fn28_name_vocabulary", """SELECT word, count(*) AS n FROM (SELECT DISTINCT p_partkey % 50 AS k, chr(CAST(913 + p_partkey % 17 AS INTEGER)) || 'ΝΝ' || s.e AS word
+        FROM part, (VALUES (0, 'ΟΣ'), (0, 'ΟΥ'), (0, 'Ο'), (1, 'ΗΣ'), (1, 'Η'), (2, 'Α'), (2, 'ΑΣ'), (3, '')) s(d, e) WHERE s.d = p_size % 4) GROUP BY 1""")
+def _(b):
+    """Names of three declensions and whole forms, counted by the tens of parts that carry them."""
+    from obolus.operators.privacy import name_vocabulary
+    stem = F.concat(F.substring(F.lit("ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡ"), (c("p_partkey") % 17 + 1).cast("int"), F.lit(1)), F.lit("ΝΝ"))
+    kinds = F.element_at(F.array(F.lit("os"), F.lit("is"), F.lit("a"), F.lit("whole")), (c("p_size") % 4 + 1).cast("int"))
+    stems = b.star.part.select((c("p_partkey") % 50).alias("k"), stem.alias("stem"), kinds.alias("declension")).distinct()
+    words = name_vocabulary(stems)
+    held = stems.select("k", F.col("stem"), F.explode(F.when(c("declension") == "os", F.array(*map(F.lit, ("ΟΣ", "ΟΥ", "Ο")))).when(c("declension") == "is", F.array(*map(F.lit, ("ΗΣ", "Η")))).when(c("declension") == "a", F.array(*map(F.lit, ("Α", "ΑΣ")))).otherwise(F.array(F.lit("")))).alias("e"))
+    return held.select("k", F.concat("stem", "e").alias("word")).distinct().join(words, "word").groupBy("word").agg(F.count("*").alias("n"))
+
+
+SHIFTED = {"1-URGENT": ("ηεζζάπων χιλιάδων ευπώ", "ΤΕΣΣΑΡΩΝ ΧΙΛΙΑΔΩΝ ΕΥΡΩ"), "2-HIGH": ("δύο χιλιάδων", "ΔΥΟ ΧΙΛΙΑΔΩΝ"), "3-MEDIUM": ("είκοζι", "ΕΙΚΟΣΙ"), "4-NOT SPECIFIED": ("λέξη & ηπία", "ΛΕΞΗ & ΤΡΙΑ"), "5-LOW": ("", "")}
+
+
+@query("fn05_unshift_words", "SELECT ada, CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN '{v[1]}'" for k, v in SHIFTED.items()) + " END || ' ' || c_mktsegment AS words FROM decisions")
+def _(b):
+    """Number words as a letter-shifting font prints them, and words that are none."""
+    printed = F.concat(by_value(c("o_orderpriority"), {k: v[0] for k, v in SHIFTED.items()}), F.lit(" "), c("c_mktsegment"))
+    words = money.unshift_words(text.upper_plain(printed))
+    return b.decisions.select("ada", F.when(c("o_orderpriority") == "5-LOW", F.concat(F.lit(" "), words)).otherwise(words).alias("words"))

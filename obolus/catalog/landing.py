@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+import uuid
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from obolus import fixed_values as fv
 from obolus.catalog.oracle import pick
 from obolus.catalog.registry import query
+from obolus.catalog.views import NUMBERED, SQL as VIEWS
 from obolus.functions.codes import valid_key
 from obolus.operators import flatten as fl
 from obolus.operators import gates as g
 from obolus.operators.shape import canonical_digest, group_digest, set_digest
 from obolus.plans.bindings import ACT_STATUS, ACT_TYPE, ENDPOINT, by_value
 from obolus.sources import documents as docs
+from obolus.session import shared_folder
 from obolus.sources import landing as ld
+from obolus.sources import registry
 
 c = F.col
 
@@ -487,16 +490,90 @@ ROWS = """SELECT 'act' AS "table", count(*) AS n FROM act UNION ALL SELECT 'paym
     UNION ALL SELECT 'grant_line', count(*) FROM grant_line UNION ALL SELECT 'acceptance', count(*) FROM acceptance"""
 
 
-@query("src13_register_release", ROWS)
+VIEW_ROWS = " UNION ALL ".join(f"SELECT '{v}', count(*) FROM {'act' if v == 'v_act' else v}" for v in NUMBERED)
+
+
+@query("src13_register_release", f"{ROWS} UNION ALL {VIEW_ROWS}", VIEWS)
 def _(b):
-    return ld.register_release(b.spark, b.release, prefix="bound_")
+    return ld.register_release(b.spark, ld.stored_release(b.release), prefix="bound_")
+
+
+SETTINGS = {"payment_amount_suspect_above": fv.SUSPECT_ABOVE, "nearby_days": fv.NEARBY_DAYS, "dates": fv.CIVIL_ZONE, "counterparty_resolution": "exact id"}
+COUNTED = ("v_yearly", "v_budget_month", "v_payment_combined")
+SOURCE_LANES = " || ':' || ".join(f"CAST(sum(CAST('0x' || substr(sha256(ada), {8 * i + 1}, 8) AS BIGINT)) AS VARCHAR)" for i in range(8))
 
 
 @query("src14_build_manifest", f"""SELECT 'rows' AS metric, "table" AS key, CAST(n AS VARCHAR) AS value FROM ({ROWS}) UNION ALL SELECT 'payment.payee_class' AS metric, payee_class AS key, CAST(count(*) AS VARCHAR) AS value FROM payment GROUP BY 2 UNION ALL SELECT 'payment.payroll_kind', coalesce(payroll_kind, 'none'), CAST(count(*) AS VARCHAR) FROM payment GROUP BY 2
     UNION ALL SELECT 'grant_line.validation', coalesce(validation, 'none'), CAST(count(*) AS VARCHAR) FROM grant_line GROUP BY 2 UNION ALL SELECT 'grant_decision.read_status', read_status, CAST(count(*) AS VARCHAR) FROM grant_decision GROUP BY 2
-    UNION ALL SELECT 'procurement.endpoint', endpoint, CAST(count(*) AS VARCHAR) FROM procurement GROUP BY 2 UNION ALL SELECT 'procurement_party.role', role, CAST(count(*) AS VARCHAR) FROM procurement_party GROUP BY 2""")
-def _(b):
-    return ld.build_manifest(b.release)
+    UNION ALL SELECT 'procurement.endpoint', endpoint, CAST(count(*) AS VARCHAR) FROM procurement GROUP BY 2 UNION ALL SELECT 'procurement_party.role', role, CAST(count(*) AS VARCHAR) FROM procurement_party GROUP BY 2
+    UNION ALL SELECT 'excluded_pending', type, CAST(count(*) AS VARCHAR) FROM act WHERE status = 'PENDING_REVOCATION' AND type <> 'Β.3' GROUP BY 2
+    UNION ALL SELECT 'sources', 'count', CAST(count(*) AS VARCHAR) FROM decisions UNION ALL SELECT 'sources', 'digest', sha256(CAST(count(DISTINCT ada) AS VARCHAR) || ':' || {SOURCE_LANES}) FROM decisions
+    UNION ALL SELECT 'refused', CASE WHEN o_orderstatus = 'F' THEN 'unknown month' ELSE 'spending does not add up' END, CAST(count(*) AS VARCHAR) FROM decisions WHERE o_orderpriority = '5-LOW' GROUP BY 2
+    UNION ALL SELECT 'setting', k, v FROM (VALUES {', '.join(f"('{k}', '{v}')" for k, v in SETTINGS.items())}) t(k, v)
+    {' '.join(f"UNION ALL SELECT 'view_rows', '{v}', CAST(count(*) AS VARCHAR) FROM {v}" for v in COUNTED)}""", VIEWS)
+def _(b):
+    pending = b.act.filter((c("status") == "PENDING_REVOCATION") & (c("type") != "Β.3")).groupBy("type").agg(F.count("*").alias("n"))
+    refused = b.decisions.filter(prio() == "5-LOW").select(c("ada").alias("doc_id"), F.when(c("o_orderstatus") == "F", F.lit("unknown month")).otherwise(F.lit("spending does not add up")).alias("reason"))
+    return ld.build_manifest(ld.stored_release(b.release), pending, b.decisions.select(F.sha2("ada", 256).alias("sha256")), refused, SETTINGS, COUNTED)
+
+
+@query("src03_decisions_first_capture", "SELECT ada, entity AS issuer, 'Απόδοση ' || ada AS subject, true AS hashed FROM decisions WHERE o_orderstatus <> 'P'")
+def _(b):
+    """A kept decision per order; the revoked orders' files are later captures."""
+    text = F.to_json(record(c("ada"), c("entity"), F.lit(None).cast("boolean")))
+    name = F.when(c("o_orderstatus") == "P", q(c("ada"), ".0123456789ab")).otherwise(c("ada"))
+    files = b.decisions.select(q("/decisions/", c("entity"), "/", name, ".json").alias("path"), F.encode(text, "UTF-8").alias("content"))
+    return docs.scan_decisions_first_capture(files).select(c("doc.ada").alias("ada"), "issuer", c("doc.subject").alias("subject"), (F.length("sha256") == 64).alias("hashed"))
+
+
+@query("src05_load_registry", """SELECT d.entity AS uid, n_name AS name, n_regionkey < 3 AS in_scope, CASE WHEN n_regionkey < 3 THEN lpad(CAST(n_nationkey AS VARCHAR), 9, '0') END AS term, CASE WHEN n_regionkey = 4 THEN 'g4' END AS grantor_group,
+    CASE WHEN n_regionkey = 4 THEN 'tinos_body' END AS keep, count(*) AS n FROM decisions d JOIN nation ON CAST(n_nationkey AS VARCHAR) = d.entity GROUP BY ALL""".replace("'tinos_body'", "'" + "|".join(fv.KEEP_RULES[:1]) + "'"))
+def _(b):
+    """The nations as the hand-kept registry of bodies, grantors and anchors, against the acts posted by them."""
+    rows = b.star.nation.collect()  # 25 bodies: a registry is a list we keep ourselves
+    body = lambda r: {"uid": r["n_nationkey"], "name": r["n_name"], "afm": f"{r['n_nationkey']:09d}"}
+    doc = {"in_scope": [body(r) for r in rows if r["n_regionkey"] < 3], "out_of_scope": [body(r) | {"reason": "far"} for r in rows if r["n_regionkey"] >= 3],
+           "grantors": [{"uid": r["n_nationkey"], "name": r["n_name"], "keep": list(fv.KEEP_RULES[:1]), "group": "g4"} for r in rows if r["n_regionkey"] == 4]}
+    reg = registry.registry(b.spark, doc)
+    acts = b.decisions.groupBy(c("entity").alias("uid")).agg(F.count("*").alias("n"))
+    grantors = reg["grantor"].select("uid", "grantor_group", F.array_join("keep", "|").alias("keep"))
+    return acts.join(reg["entity"].select("uid", "name", "in_scope"), "uid").join(reg["anchor"], "uid", "left").join(grantors, "uid", "left").select("uid", "name", "in_scope", "term", "grantor_group", "keep", "n")
+
+
+@query("src06_load_corrections", """SELECT ada, CAST(CASE WHEN n.k % 3 = 0 THEN n.k + 0.25 END AS DOUBLE) AS corr_amount, CASE WHEN n.k % 3 <> 2 THEN '6' || n.k END AS corr_kae, CASE WHEN n.k % 2 = 0 THEN 'A1' END AS duplicate_of
+    FROM decisions JOIN (SELECT n_nationkey AS k FROM nation) n ON ada = 'A' || (n.k * 10)""")
+def _(b):
+    """Corrections kept by hand, several for one document, against the acts they are about."""
+    rows = [r["n_nationkey"] for r in b.star.nation.select("n_nationkey").collect()]  # a short list
+    mismatch = [{"ada": f"A{k * 10}", "metadata_amount": 1, "kae": "0"} for k in rows] + [{"ada": f"A{k * 10}", "metadata_amount": f"{k}.25" if k % 3 == 0 else None, "kae": f"6{k}" if k % 3 != 2 else None} for k in rows]
+    duplicate = [{"ada": f"A{k * 10}", "duplicate_of": x} for k in rows if k % 2 == 0 for x in ("A0", "A1")]
+    fixed = registry.corrections(b.spark, {"mismatch": mismatch, "duplicate": duplicate})
+    d = b.decisions.select("ada").join(fixed["mismatch"].withColumnRenamed("doc", "ada"), "ada").join(fixed["duplicate"].withColumnRenamed("doc", "ada"), "ada", "left")
+    return d.select("ada", "corr_amount", "corr_kae", "duplicate_of")
+
+
+@query("src11_audit_log", "SELECT entity, CAST(2 * count(*) AS BIGINT) AS runs, CAST(2 * sum(year) AS BIGINT) AS years, true AS stamped FROM decisions GROUP BY 1")
+def _(b):
+    """A run record for each act, appended twice; the log holds both, each with its time."""
+    path = f"{shared_folder(b.spark)}/audit-{uuid.uuid4().hex}"
+    records = b.decisions.select("entity", "ada", "year")
+    for _ in range(2):
+        ld.append_audit(records, path)
+    log = ld.read_audit(b.spark, path, "entity string, ada string, year int")
+    return log.groupBy("entity").agg(F.count("*").alias("runs"), F.sum("year").alias("years"), F.bool_and(c("ts").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00$")).alias("stamped"))
+
+
+@query("src12_write_curated", "SELECT entity, year, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS eur, true AS sorted FROM payment GROUP BY 1, 2")
+def _(b):
+    """Payments in their declared columns, sorted by their keys and in folders by year, read back: the rows, and
+    that each file holds them in order."""
+    path = f"{shared_folder(b.spark)}/curated-{uuid.uuid4().hex}"
+    ld.write_curated(b.payment, path, ("entity", "date", "source_ada"), ("entity", "date", "source_ada", "amount", "year"), partition_by=("year",))
+    back = b.spark.read.schema("entity string, date date, source_ada string, amount decimal(18,2), year int").parquet(path)
+    key = F.concat_ws("/", "entity", c("date").cast("string"), "source_ada")
+    by_file = back.select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
+    order = by_file.withColumn("before", F.lag(key).over(Window.partitionBy("file").orderBy("row"))).withColumn("ok", F.coalesce(c("before") <= key, F.lit(True)))
+    return order.groupBy("entity", "year").agg(F.count("*").alias("n"), F.sum("amount").alias("eur"), F.bool_and("ok").alias("sorted"))
 
 
 @query("src15_set_digest", "SELECT ada, sha256(array_to_string(list_sort(list_distinct([sha256(entity), sha256(c_mktsegment), sha256(entity)])), chr(10))) AS digest FROM decisions")

@@ -50,7 +50,7 @@ def _(b):
     e = stream(b, "events").select(c("user_id").cast("string").alias("key"), F.sha2("event_type", 256).alias("digest"), c("event_id").alias("seq"))
     for run in ("cp1", "cp2"):  # the second run sees everything again and lands nothing
         st.land_stream(e, f"{base}/landed", f"{base}/{run}").start().awaitTermination()
-    return b.spark.read.schema("key string, digest string, seq bigint").parquet(f"{base}/landed")
+    return b.spark.read.schema("key string, digest string, seq bigint, bucket int").parquet(f"{base}/landed").select("key", "digest", "seq")
 
 
 @query("st02_dedupe_stream", "SELECT count(DISTINCT user_id || '/' || event_type || '/' || CAST(ts AS DATE)) AS n FROM events")

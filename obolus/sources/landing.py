@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obolus.functions.codes import valid_key
+from obolus.operators.shape import group_digest
+from obolus.session import written
 
 c = F.col
 
@@ -91,7 +93,8 @@ def write_curated(df: DataFrame, path: str, keys: Iterable[str], columns: Sequen
     groups then carry narrow key ranges, so later filters on the keys skip most of the file."""
     keys = [k for k in keys if k in df.columns]
     out = df.select(*columns) if columns else df
-    out = out.repartitionByRange(*[c(k) for k in keys]).sortWithinPartitions(*keys) if keys else out
+    # the folders' columns come first: the writer would sort by them again and lose the order of the keys
+    out = out.repartitionByRange(*[c(k) for k in keys]).sortWithinPartitions(*partition_by, *keys) if keys else out
     writer = out.write.mode(mode).option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
@@ -101,35 +104,64 @@ def stamp_lineage(df: DataFrame, derived_at: Column, version: str) -> DataFrame:
     return df.withColumns({"derived_at": derived_at, "pipeline_version": F.lit(version)})
 
 
+def stored_release(release):
+    """The release with each of its tables written to the shared folder when a view first asks for it: what
+    several views, counts or a manifest read is derived once."""
+    from obolus.plans.views import Release
+    held: dict[str, DataFrame] = {}
+
+    def table(name: str) -> DataFrame:
+        if name not in held:
+            held[name] = written(getattr(release, name))
+        return held[name]
+    return Release(table, home=release.home)
+
+
 def register_release(spark: SparkSession, release, meta: DataFrame | None = None, prefix: str = "") -> DataFrame:
-    """Temp views for the 12 tables and the 29 views (and ``meta``); returns the row counts of the
-    tables as one frame, one aggregate per table."""
+    """Temp views for the 12 tables and the 29 views (and ``meta``); returns the row counts of all of
+    them as one frame (table, n), one aggregate each. Give it a ``stored_release`` where tables are derived."""
     from obolus.plans.views import TABLES, VIEWS
     counts = None
-    for t in TABLES:
-        df = getattr(release, t)
-        df.createOrReplaceTempView(prefix + t)
-        one = df.agg(F.count("*").alias("n")).select(F.lit(t).alias("table"), "n")
+    for name in (*TABLES, *VIEWS):
+        df = getattr(release, name) if name in TABLES else release.view(name)
+        df.createOrReplaceTempView(prefix + name)
+        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
         counts = one if counts is None else counts.unionByName(one)
-    for name in VIEWS:
-        release.view(name).createOrReplaceTempView(prefix + name)
     if meta is not None:
         meta.createOrReplaceTempView(prefix + "meta")
     return counts
 
 
-def build_manifest(release, excluded_pending: DataFrame | None = None) -> DataFrame:
-    """(metric, key, value): rows per table, lines by class, validation, endpoint and role."""
+#: What a manifest counts by: table and column.
+TALLIES = {"payment": ("payee_class", "payroll_kind"), "grant_line": ("validation",), "grant_decision": ("read_status",), "procurement": ("endpoint",), "procurement_party": ("role",)}
+
+
+def build_manifest(release, excluded_pending: DataFrame | None = None, sources: DataFrame | None = None, refused: DataFrame | None = None, settings: dict[str, object] | None = None,
+                   views: tuple[str, ...] = ()) -> DataFrame:
+    """(metric, key, value): rows per table, lines by class, validation, endpoint and role, all counts of a table
+    from one pass over it; and where given: acts left out as pending (type, n), the number and set digest of
+    the source documents (sha256), refused documents by reason (doc_id, reason), the rules' settings,
+    and rows per view."""
     from obolus.plans.views import TABLES
-    text = lambda df: df.select("metric", c("key").cast("string").alias("key"), c("value").cast("string").alias("value"))
-    out = None
+    spark = release.act.sparkSession
+    told = lambda metric, key, value: F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"), value.cast("bigint").alias("value"))
+    one = F.lit(1)
+    counts = spark.createDataFrame([("rows", t, 0) for t in TABLES], "metric string, key string, value bigint")  # a table without rows has its count, too
     for t in TABLES:
-        one = text(getattr(release, t).agg(F.count("*").alias("value")).select(F.lit("rows").alias("metric"), F.lit(t).alias("key"), "value"))
-        out = one if out is None else out.unionByName(one)
-    for t, col in (("payment", "payee_class"), ("payment", "payroll_kind"), ("grant_line", "validation"), ("grant_decision", "read_status"),
-                   ("procurement", "endpoint"), ("procurement_party", "role")):
-        tally = getattr(release, t).groupBy(c(col).alias("key")).agg(F.count("*").alias("value"))
-        out = out.unionByName(text(tally.select(F.lit(f"{t}.{col}").alias("metric"), F.coalesce("key", F.lit("none")).alias("key"), "value")))
+        each = [told("rows", F.lit(t), one), *[told(f"{t}.{col}", F.coalesce(c(col), F.lit("none")), one) for col in TALLIES.get(t, ())]]
+        counts = counts.unionByName(getattr(release, t).select(F.explode(F.array(*each)).alias("x")).select("x.*"))
     if excluded_pending is not None:
-        out = out.unionByName(text(excluded_pending.select(F.lit("excluded_pending").alias("metric"), c("type").alias("key"), c("n").alias("value"))))
+        counts = counts.unionByName(excluded_pending.select(told("excluded_pending", c("type"), c("n")).alias("x")).select("x.*"))
+    if refused is not None:
+        counts = counts.unionByName(refused.select(told("refused", c("reason"), one).alias("x")).select("x.*"))
+    if sources is not None:
+        counts = counts.unionByName(sources.select(told("sources", F.lit("count"), one).alias("x")).select("x.*"))
+    for name in views:
+        counts = counts.unionByName(release.view(name).select(told("view_rows", F.lit(name), one).alias("x")).select("x.*"))
+    out = counts.groupBy("metric", "key").agg(F.sum("value").cast("string").alias("value"))
+    if sources is not None:
+        digest = group_digest(sources.select(F.lit("digest").alias("key"), "sha256"), ["key"], "sha256", "value")
+        out = out.unionByName(digest.select(F.lit("sources").alias("metric"), "key", "value"))
+    if settings:
+        out = out.unionByName(spark.createDataFrame([("setting", k, str(v)) for k, v in settings.items()], "metric string, key string, value string"))
     return out

@@ -22,24 +22,32 @@ from obolus.sources.landing import land_versioned
 c = F.col
 
 
-def land_stream(incoming: DataFrame, table: str, checkpoint: str, kind: str | None = None) -> DataStreamWriter:
+#: Folders of a landed table by the hash of the key: a batch reads those that its keys fall into.
+BUCKETS = 256
+
+
+def land_stream(incoming: DataFrame, table: str, checkpoint: str, kind: str | None = None, buckets: int = BUCKETS) -> DataStreamWriter:
     """Land (key, digest, seq, ...) append-only below ``table``: each micro-batch is compared with
-    what is landed by digest, so a replayed batch appends nothing."""
+    what is landed by digest, so a replayed batch appends nothing, also from a new checkpoint.
+
+    The table lies in folders by a bucket of the key. A batch reads key and digest of the buckets that its
+    own keys fall into and no others; more buckets for a table that outgrows them."""
     def batch(df: DataFrame, _: int) -> None:
         spark = df.sparkSession
-        df = df.persist()
+        df = df.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")).persist()
         try:
-            rows = land_versioned(df, _landed(spark, table, df), kind)
-            rows.drop("outcome").write.mode("append").option("compression", "zstd").parquet(table)
+            touched = [r["bucket"] for r in df.select("bucket").distinct().collect()]  # as many as there are buckets
+            rows = land_versioned(df, _landed(spark, table, df, touched), kind)
+            rows.drop("outcome").write.mode("append").option("compression", "zstd").partitionBy("bucket").parquet(table)
         finally:
             df.unpersist()
     return incoming.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
-def _landed(spark, table: str, like: DataFrame) -> DataFrame:
-    """Keys and digests that are landed; none before the first batch."""
+def _landed(spark, table: str, like: DataFrame, buckets: list[int]) -> DataFrame:
+    """Keys and digests that are landed in some buckets; none before the first batch."""
     try:
-        return spark.read.schema(like.schema).parquet(table).select("key", "digest")
+        return spark.read.schema(like.schema).parquet(table).filter(c("bucket").isin(*buckets)).select("key", "digest")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -299,3 +299,31 @@ def test_letter_words_are_the_check(spark):
     docs = spark.createDataFrame([("a", "ποσό των δύο χιλιάδων εκατόν ευρώ (2.100,00€). Διαχειριστής ο Δήμος Νησίδος"), ("b", "ποσό των δύο χιλιάδων ευρώ (2.100,00€)")], "doc_id string, text string")
     got = dx.letter_amounts(docs, r"ΔΙΑΧΕΙΡΙΣΤ[^.]{0,80}ΝΗΣΙΔΟΣ").orderBy("doc_id").collect()
     assert [(r["amount"], r["ours"], r["validation"]) for r in got] == [(210000, True, "words_and_figures"), (210000, False, None)]
+
+
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    from obolus.streaming import streams as st
+    rows = spark.range(400).selectExpr("cast(id % 100 as string) AS key, concat('d', id % 3) AS digest, id AS seq")
+    rows.filter("seq < 300").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    for run in "ab":  # from a new checkpoint everything is seen again
+        st.land_stream(stream, f"{tmp_path}/out", f"{tmp_path}/{run}", buckets=16).start().awaitTermination()
+    landed = spark.read.parquet(f"{tmp_path}/out")
+    assert landed.count() == rows.filter("seq < 300").select("key", "digest").distinct().count() == 300
+    some = st._landed(spark, f"{tmp_path}/out", landed, [3])
+    assert "PartitionFilters: [isnotnull" in (p := some._jdf.queryExecution().executedPlan().toString()) or "PartitionFilters: [(bucket" in p
+    assert {r["bucket"] for r in landed.select("bucket").distinct().collect()} == set(range(16))
+
+
+def test_curated_files_keep_the_order_of_their_keys(spark, tmp_path):
+    from obolus.sources import landing as ld
+    rows = spark.range(2000).selectExpr("concat('e', id % 7) AS entity", "cast(id * 7919 % 2000 as int) AS n", "cast(id % 3 as int) AS year")
+    ld.write_curated(rows, f"{tmp_path}/t", ("entity", "n"), partition_by=("year",))
+    import glob
+
+    import pyarrow.parquet as pq
+    files = glob.glob(f"{tmp_path}/t/year=*/*.parquet")
+    assert len({f.split("/year=")[1][0] for f in files}) == 3
+    for f in files:
+        t = pq.ParquetFile(f).read().to_pylist()
+        assert t == sorted(t, key=lambda r: (r["entity"], r["n"]))

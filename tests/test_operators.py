@@ -303,7 +303,7 @@ def test_letter_words_are_the_check(spark):
 
 def test_a_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
     from obolus.streaming import streams as st
-    rows = spark.range(400).selectExpr("cast(id % 100 as string) AS key, concat('d', id % 3) AS digest, id AS seq")
+    rows = spark.range(400).selectExpr("cast(id % 100 as string) AS key", "concat('d', id % 3) AS digest", "id AS seq")
     rows.filter("seq < 300").write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
     for run in "ab":  # from a new checkpoint everything is seen again

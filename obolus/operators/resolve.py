@@ -60,9 +60,9 @@ def counterparty_sources(payments: DataFrame) -> DataFrame:
 def counterparties(payments: DataFrame) -> DataFrame:
     """One row per tax id over non-payroll lines; names are never merged by likeness.
 
-    One pass: each line gives a row per facet (class, entity, name), counted per (id, facet,
-    value) with map-side combine, and the modal values are chosen among the counts, ties by first
-    line. The variants and documents of an id may be many, so they stay in long form
+    One pass: lines are summed per id, class, entity and name; each such row gives one per facet
+    (class, entity, name), counted per (id, facet, value), and the modal values are chosen among the
+    counts, ties by first line. The variants and documents of an id may be many, so they stay in long form
     (``counterparty_names``, ``counterparty_sources``); their number and digest are here. The only
     array is ``entities``, at most as long as the registry."""
     c = F.col
@@ -72,19 +72,22 @@ def counterparties(payments: DataFrame) -> DataFrame:
     name = F.when(F.length("counterparty_name_raw") > 0, c("counterparty_name_raw"))
     lines = _identified(payments).select(
         c("counterparty_afm").alias("afm"), c("counterparty_afm_type").alias("t"), F.struct("date", "source_ada", "line_no").alias("line"),
-        counted.alias("ok"), (c("act_status") != "PUBLISHED").alias("revoked"), c("amount_suspect").alias("suspect"), "is_remittance",
-        amount.alias("amount"), (c("payee_class") == "supplier").alias("supplier"),
-        F.explode(F.array(facet("class", c("payee_class")), facet("entity", c("entity")), facet("name", name))).alias("f"))
-    main = c("f.k") == "class"  # money and dates are taken from one facet only
+        counted.alias("ok"), (c("act_status") != "PUBLISHED").alias("revoked"), c("amount_suspect").alias("suspect"), "is_remittance", amount.alias("amount"),
+        c("payee_class").alias("class"), "entity", name.alias("name"))
     zero = F.lit(0).cast(MONEY)
-    cells = lines.filter(c("f.v").isNotNull() | main).groupBy("afm", c("f.k").alias("k"), c("f.v").alias("v")).agg(
-        F.count("*").alias("n"), F.min("line").alias("first"), F.max("line.date").alias("last_date"), F.min("t").alias("t"),
-        F.min(F.struct("line", "t")).alias("first_line"),
-        F.min(F.when(main & c("ok"), F.struct((-c("amount")).alias("a"), c("line.date").alias("d"), c("line.source_ada").alias("ada")))).alias("largest"),
-        F.sum(F.when(main & c("ok"), c("amount")).otherwise(zero)).alias("eur"),
-        F.sum(F.when(main & c("ok") & c("supplier"), c("amount")).otherwise(zero)).alias("supplier_eur"),
-        F.count_if(main & c("ok")).alias("n_ok"), F.count_if(main & c("revoked")).alias("n_revoked"),
-        F.count_if(main & c("suspect")).alias("n_suspect"), F.bool_and("is_remittance").alias("remittance"))
+    # lines of one id, class, entity and name are one row before a row becomes three
+    kinds = lines.groupBy("afm", "class", "entity", "name").agg(
+        F.count("*").alias("n"), F.min("line").alias("first"), F.max("line.date").alias("last_date"), F.min("t").alias("t"), F.min(F.struct("line", "t")).alias("first_line"),
+        F.min(F.when(c("ok"), F.struct((-c("amount")).alias("a"), c("line.date").alias("d"), c("line.source_ada").alias("ada")))).alias("largest"),
+        F.sum(F.when(c("ok"), c("amount")).otherwise(zero)).alias("eur"), F.count_if("ok").alias("n_ok"), F.count_if("revoked").alias("n_revoked"), F.count_if("suspect").alias("n_suspect"),
+        F.bool_and("is_remittance").alias("remittance"))
+    facets = kinds.withColumn("f", F.explode(F.array(facet("class", c("class")), facet("entity", c("entity")), facet("name", c("name")))))
+    main = c("f.k") == "class"  # money and dates are taken from one facet only
+    cells = facets.filter(c("f.v").isNotNull() | main).groupBy("afm", c("f.k").alias("k"), c("f.v").alias("v")).agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last_date").alias("last_date"), F.min("t").alias("t"), F.min("first_line").alias("first_line"),
+        F.min(F.when(main, c("largest"))).alias("largest"), F.sum(F.when(main, c("eur")).otherwise(zero)).alias("eur"),
+        F.sum(F.when(main & (c("class") == "supplier"), c("eur")).otherwise(zero)).alias("supplier_eur"),
+        *[F.sum(F.when(main, c(x)).otherwise(F.lit(0).cast("bigint"))).alias(x) for x in ("n_ok", "n_revoked", "n_suspect")], F.bool_and("remittance").alias("remittance"))
     is_name = c("k") == "name"
     cells = cells.withColumns({
         "norm": F.when(is_name, normalise_name(c("v"))),

@@ -24,9 +24,10 @@ def _url() -> str:
     hrefs AS (SELECT url, CASE WHEN regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?canonical\\b') THEN regexp_extract(tag, '(?i)\\bhref{value}', 1)
             WHEN regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b') THEN regexp_extract(tag, '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)
             WHEN regexp_matches(tag, '(?i)\\bproperty\\s*=\\s*["'']?og:url\\b') THEN regexp_extract(tag, '(?i)\\bcontent{value}', 1) END AS h FROM tags),
+    hrefs_plain AS (SELECT url, regexp_replace(h, '(?i)&(?:amp|#0*38|#x0*26);', '&', 'g') AS h FROM hrefs),
     full_href AS (SELECT url, CASE WHEN contains(h, '://') THEN h WHEN starts_with(h, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || h
             WHEN starts_with(h, '/') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || {host('url')} || h
-            ELSE regexp_replace(regexp_extract(url, '(?s)^([^?#]*?://[^/?#]*[^?#]*/|[^?#]*://[^/?#]*)', 1), '/$', '') || '/' || h END AS u FROM hrefs WHERE h <> ''),
+            ELSE regexp_replace(regexp_extract(url, '(?s)^([^?#]*?://[^/?#]*[^?#]*/|[^?#]*://[^/?#]*)', 1), '/$', '') || '/' || h END AS u FROM hrefs_plain WHERE h <> ''),
     edges AS (SELECT DISTINCT {address('url')} AS a, {address('u')} AS b, {host('u')} AS host, {path('u')} AS path FROM full_href),
     nodes AS (SELECT address, host, path FROM mine WHERE address IS NOT NULL UNION SELECT b, host, path FROM edges WHERE a <> b),
     ruled AS (SELECT address, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
@@ -42,6 +43,7 @@ def _url() -> str:
 def _license() -> str:
     rows = [(t.label, len(t.words), t.need, w) for t in license_scan.templates_of() for w in t.words]
     ids = [i for i, t in enumerate(license_scan.templates_of()) for _ in t.words]
+    width = max(len(t.split()) for t, _ in license_scan.TEMPLATES)
     values = ", ".join(f"({i}, {_quoted(a)}, {b}, {c}, {_quoted(d)})" for i, (a, b, c, d) in zip(ids, rows))
     words = lambda t: f"regexp_extract_all({LOWER.format(t)}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     at = " UNION ALL ".join(
@@ -51,11 +53,16 @@ def _license() -> str:
     w AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, {words("coalesce(text, '')")} AS ws FROM documents),
     hits AS ({at}),
     base AS (SELECT k, count(*) AS n, min(i) AS lo, max(i) AS hi, list_sort(list(DISTINCT label)) AS labels FROM hits GROUP BY 1),
-    line AS (SELECT k, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS b FROM w),
-    token AS (SELECT DISTINCT k, b, unnest({words('line')}) AS word FROM line),
-    shared AS (SELECT k, b, t, label, size, need, count(*) AS n FROM token JOIN tpl USING (word) GROUP BY ALL HAVING count(*) >= need),
-    top AS (SELECT k, b, max(struct_pack(c := n / size, s := size, l := label)) AS m FROM shared GROUP BY 1, 2),
-    more AS (SELECT k, list(DISTINCT m.l) AS labels, max(m.c) AS best FROM top GROUP BY 1)
+    token AS (SELECT k, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM w),
+    place AS (SELECT k, t, label, size, need, i, word FROM token JOIN tpl USING (word)),
+    inside AS (SELECT p.k, p.t, p.label, p.size, p.need, p.i AS start, p.word AS first, q.word, q.i FROM place p JOIN place q ON p.k = q.k AND p.t = q.t AND q.i >= p.i AND q.i < p.i + {width}),
+    firsts AS (SELECT k, t, label, size, need, start, first, word, min(i) AS i FROM inside GROUP BY ALL),
+    block AS (SELECT k, t, label, size, start, first, list(word) AS shared, list(i) AS spots, max(i) AS last FROM firsts GROUP BY ALL HAVING count(*) >= any_value(need)),
+    matched AS (SELECT k, start, label, size, len(shared) / size AS c, shared, spots FROM block b
+                WHERE NOT EXISTS (SELECT 1 FROM place p WHERE p.k = b.k AND p.t = b.t AND p.word = b.first AND p.i > b.start AND p.i < b.last)),
+    kept AS (SELECT k, label, c FROM matched a WHERE NOT EXISTS (SELECT 1 FROM matched b WHERE b.k = a.k AND abs(b.start - a.start) < {width} AND (b.c, b.size, b.label) > (a.c, a.size, a.label)
+                AND 2 * len(list_filter(a.spots, lambda x: NOT list_contains(b.spots, x))) < len(a.spots) AND list_has_all(b.shared, a.shared))),
+    more AS (SELECT k, list(DISTINCT label) AS labels, max(c) AS best FROM kept GROUP BY 1)
     SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
         coalesce(array_to_string(base.labels, ','), '') AS base_labels,
         array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,

@@ -12,7 +12,8 @@ address are aliases; a block decision on one holds for all, an explicit allow st
 Only DataFrame functions are used. Pages of one address are reduced to one node before any
 shuffle of nodes; nothing is collected. Defined results: a null url, or one without `://`, has an
 empty host and path, no rule and no alias, verdict `allow`. Of two rules of the same length that
-fit, the allowing one wins. Repeated rows get the same result each. Null or broken html: no edges.
+fit, the allowing one wins. Repeated rows get the same result each. Null or broken html: no edges. An
+ampersand written as an entity in a link is one. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 #: Query parameters that tell where a visitor came from, not what the page is.
 CAMPAIGN = r"(?<=[?&])(utm_[a-z]+|gclid|fbclid|ref)=[^&]*&?"
 
+#: How html writes an ampersand inside an attribute.
+ENTITY = r"(?i)&(?:amp|#0*38|#x0*26);"
 #: An attribute's value, in quotes or bare.
 _VALUE = r"""\s*=\s*["']?([^"'\s>]+)"""
 
@@ -72,7 +75,7 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     target = (F.when(F.col("tag").rlike(r"""(?i)\brel\s*=\s*["']?canonical\b"""), F.regexp_extract("tag", r"(?i)\bhref" + _VALUE, 1))
               .when(F.col("tag").rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""), F.regexp_extract("tag", r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
               .when(F.col("tag").rlike(r"""(?i)\bproperty\s*=\s*["']?og:url\b"""), F.regexp_extract("tag", r"(?i)\bcontent" + _VALUE, 1)))
-    df = df.select("url", target.alias("to")).filter(F.col("to") != "")
+    df = df.select("url", F.regexp_replace(target, ENTITY, "&").alias("to")).filter(F.col("to") != "")
     scheme = F.regexp_extract("url", "(?s)^(.*?)://", 1)
     base = F.regexp_extract("url", r"(?s)^([^?#]*?://[^/?#]*[^?#]*/|[^?#]*://[^/?#]*)", 1)
     full = (F.when(F.contains("to", F.lit("://")), F.col("to")).when(F.startswith("to", F.lit("//")), F.concat(scheme, F.lit(":"), "to"))

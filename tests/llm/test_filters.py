@@ -25,7 +25,8 @@ def folder(spark, tmp_path_factory):
     pages = [(1, "https://a.net/x", None), (2, None, "x"), (3, "no scheme", "<link"), (4, "http://Example.NET/en/1?utm_source=f&b=2#top", ""), (5, "https://www.example.com/de/5", can.format("https://copy.org/p")),
              (6, "https://copy.org/p", "<p>"), (7, "http://copy.org/p#z", can.format("/q?ref=x")), (8, "https://copy.org/q", can.format("//far.io/z")), (9, "https://far.io/z", "<meta http-equiv='refresh' content='0; url=https://b.org/fr/1'>"),
              (10, "https://b.org/fr/1", ""), (11, "https://solo.io/a", '<meta property="og:url" content="https://evil.net/">'), (11, "https://solo.io/a", '<meta property="og:url" content="https://evil.net/">'), (12, "https://net/", ""),
-             (13, "https://x.net", ""), (14, "ftp://q.example.net/en", ""), (15, "https://rel.io/d/e", can.format("f")), (16, "https://rel.io/d/f", ""), (17, "https://rel.io/d/f?x", "<link rel='canonical' href=''>"), (None, "https://x.net/?q=://y.org/fr/", "")]
+             (13, "https://x.net", ""), (14, "ftp://q.example.net/en", ""), (15, "https://rel.io/d/e", can.format("f")), (16, "https://rel.io/d/f", ""), (17, "https://rel.io/d/f?x", "<link rel='canonical' href=''>"), (None, "https://x.net/?q=://y.org/fr/", ""),
+             (18, "https://two.io/s?a=1&b=2", ""), (19, "https://two.io/print", "<link rel='canonical' href='/s?a=1&amp;b=2'>"), (20, "https://two.io/mail", "<link rel='canonical' href='/s?utm_source=m&#38;a=1&#x26;b=2'>")]
     spark.createDataFrame([(*p, "extra") for p in pages], "page_id long, url string, html string, host string").write.parquet(f"{at}/pages.parquet")
     return str(at)
 
@@ -43,20 +44,20 @@ def both(spark, folder, name):
     return key([[r[c] for c in cols] for r in df.collect()]), key([[r[names.index(c)] for c in cols] for r in cur.fetchall()])
 
 
-@pytest.mark.parametrize("name", sorted(sql.ORACLES))
+@pytest.mark.parametrize("name", sorted(set(sql.ORACLES) - {"op12_decontamination"}))  # that one has its own rows
 def test_odd_rows_match_sql(spark, folder, name):
     mine, theirs = both(spark, folder, name)
-    assert len(mine) >= 19 and mine == theirs
+    assert len(mine) >= (10 if name.startswith("op11") else 19) and mine == theirs
 
 
-@pytest.mark.parametrize("name", sorted(sql.ORACLES))
+@pytest.mark.parametrize("name", sorted(set(sql.ORACLES) - {"op12_decontamination"}))
 def test_empty_tables(spark, folder, tmp_path, name):
     for t in ("documents", "pages"):
         spark.read.parquet(f"{folder}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
 
 
-@pytest.mark.parametrize("name", sorted(sql.ORACLES))
+@pytest.mark.parametrize("name", ["op1_url_filter", "op2_license_scan", "op4_exact_dedup", "op6_quality_rules"])
 def test_no_python(spark, folder, name):
     plan = queries.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"))
@@ -68,6 +69,7 @@ def test_aliases_take_over_blocks_but_for_allowed_ones(spark, folder):
     assert got[5] == ("example.com/de/", "block", "b.org/fr/1") and got[6][:2] == (None, "allow") and got[10] == ("org/fr/", "allow", "b.org/fr/1")
     assert got[11][:2] == (None, "block") and got[4][:2] == ("example.net/en/", "allow") and got[13] == (None, "allow", None) and got[2] == (None, "allow", None)
     assert got[15][2] == got[16][2] == "rel.io/d/e"
+    assert got[18][2] == got[19][2] == got[20][2] is not None  # entities in links
 
 
 def test_labels_of_blocks(spark, folder):
@@ -126,3 +128,41 @@ def test_rules_of_any_number(spark):
     rules = url_filter.rules_table(spark, [("block", f"h{i}.io/") for i in range(0, 50, 2)] + [("allow", "h4.io/p/"), ("block", "h4.io/p/"), ("allow", "")])
     got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect()}
     assert got[2] == ("h2.io/", "block") and got[3] == (None, "allow") and got[4] == ("h4.io/p/", "allow")
+
+
+def test_licences_in_windows_as_sql_tells(spark, tmp_path):
+    """Texts whose windows and lines tell different labels, several templates in one place, words that come again."""
+    import random
+    rng = random.Random(6)
+    words = sorted({w for t, _ in license_scan.TEMPLATES for w in t.split()})
+    rows = [(i, " ".join(rng.choice(words) if rng.random() < 0.8 else f"x{rng.randrange(9)}" for _ in range(rng.randrange(1, 90)))) for i in range(150)]
+    for i in range(150, 300):  # notices cut, turned and broken over lines
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            ws = rng.choice(license_scan.TEMPLATES)[0].split()
+            for _ in range(rng.randrange(3)):
+                ws[rng.randrange(len(ws))] = rng.choice(words + ["y"] * 20)
+            parts.append(rng.choice([" ", "\n", ", "]).join(ws[:rng.randrange(len(ws) // 2, len(ws)) + 1]))
+        rows.append((i, rng.choice([" ", "\n", " und "]).join(parts)))
+    rows += [(300, None), (301, ""), (302, rows[200][1]), (302, rows[200][1])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    told = con.execute(sql.ORACLES["op2_license_scan"])
+    names = [d[0] for d in told.description]
+    want = sorted(tuple(r[names.index(x)] for x in ("doc_id", "n_words", "n_base", "labels", "score")) for r in told.fetchall())
+    got = sorted((r.doc_id, r.n_words, r.n_base, r.labels, r.score) for r in license_scan.scan(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect())
+    assert got == want and len({r[3] for r in got}) > 20
+
+
+def test_a_text_dense_in_template_words(spark, docs):
+    """Time grows with the text: 100,000 template words."""
+    import time
+    one = "licensed under the apache license version 2 0 released under the mit license this work is free software "
+    took = []
+    for n in (300, 5_800):
+        t = time.perf_counter()
+        row = license_scan.scan(docs((1, one * n))).first()
+        took.append(time.perf_counter() - t)
+        assert row.n_words == 18 * n and row.labels == "apache-2.0,mit"
+    assert took[1] < 60

@@ -34,6 +34,8 @@ SAMPLE = 4000
 CENTROIDS = 4
 #: Share of the sample's first percentile below which a cosine means another language or no text.
 FLOOR = 1 / 3
+#: Rows for each centroid from which a language tells its own floor; with fewer the lowest of the others' holds.
+FEW = 5
 #: Bytes of text looked at at once, so that a very long text needs no more memory than a short one.
 PIECE = 1 << 20
 
@@ -123,7 +125,10 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, k: int = CENTROIDS
         c = _clusters(x, k)
         languages += [lang] * len(c)
         centroids.append(c)
-        floors += [FLOOR * float(np.quantile((x @ c.T).max(1), 0.01))] * len(c)
+        floors += [(FLOOR * float(np.quantile((x @ c.T).max(1), 0.01)), len(x))] * len(c)
+    # where there are few rows, they are their own centroids and say nothing of how far others lie
+    told = min((f for f, n in floors if n >= FEW * k), default=0.0)
+    floors = [f if n >= FEW * k else min(f, told) for f, n in floors]
     return Model(languages, np.concatenate(centroids) if centroids else np.zeros((0, DIM), np.float32), np.array(floors), idf)
 
 

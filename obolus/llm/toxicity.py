@@ -4,10 +4,14 @@ sums of term weights cannot express.
 
 A text is the set of its hashed words and of their first ``STEM`` bytes, read to its end. The machine
 is fitted on the driver with AdaGrad over at most ``SAMPLE`` labelled rows of the learning folds
-(labels in turn); what the driver holds of a row is its buckets, at most ``DIM`` numbers. Only terms
-that the sample ties to the label (chi-squared of ``TIED``, in ``MIN_ROWS`` rows or more), or ties to it in
-the rows that hold such a term, get weights: the rare words of a few toxic texts would else be learned
-with them. A pair of terms neither of which is tied by itself is not learned.
+(labels in turn); what the driver holds of a row is its buckets, at most ``DIM`` numbers. Every term in
+a share ``FREQUENT`` of the sample's rows or more gets a weight and a vector, so that pairs of terms that
+each tell nothing alone are learned; a rarer one only if the sample ties it to the label (chi-squared of
+``TIED``, in ``MIN_ROWS`` rows or more), or ties it in the rows that hold such a term: the rare words of a
+few toxic texts would else be learned with them. Terms that are not tied are held back by ``DECAY``.
+
+Scores are set so that ``OPERATING`` lies where machines fitted on two thirds of the sample leave all but a
+share ``SPARED`` of the other third's rows without the label below.
 
 Defined results: null and empty texts have no terms; their score is the machine's bias. Labels that
 are null teach nothing. With no labelled row, every score is 0. Repeated rows get equal scores.
@@ -36,6 +40,10 @@ STEM = 4
 #: Chi-squared with one degree of freedom that chance exceeds in one term of a thousand.
 TIED = 10.83
 TIED_CHANCE = 0.001
+#: Of the sample's rows: terms in so many get weights, tied or not; and how strongly those that are not are held back.
+FREQUENT, DECAY = 0.03, 0.3
+#: The score from which a text counts as toxic, and the share of others that may lie above it.
+OPERATING, SPARED, PARTS = 0.7, 0.0005, 3
 EPOCHS = 12
 #: How much more a toxic row weighs than another: a missed one costs more than one too many.
 HEAVY = 3.0
@@ -117,7 +125,10 @@ def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate
     if not rows:
         return Machine(-30.0, place, np.zeros(0), np.zeros((0, FACTORS)))
     tied = _tied(rows, labels)
-    keep = np.flatnonzero(tied | _tied_beside(rows, labels, tied))
+    tied |= _tied_beside(rows, labels, tied)
+    often = np.bincount(np.concatenate(rows), minlength=DIM) >= max(MIN_ROWS, FREQUENT * len(rows))
+    keep = np.flatnonzero(tied | often)
+    held = np.where(tied[keep], decay, DECAY)
     place[keep] = np.arange(len(keep))
     rng = np.random.default_rng(7)
     w, v = np.zeros(len(keep)), rng.normal(0, 0.01, (len(keep), FACTORS))
@@ -132,10 +143,10 @@ def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate
             s = vi.sum(0)
             z = bias + w[at].sum() + 0.5 * ((s * s).sum() - (vi * vi).sum())
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[i]) * (HEAVY if labels[i] else 1.0)
-            d = g + decay * w[at]
+            d = g + held[at] * w[at]
             gw[at] += d * d
             w[at] -= rate * d / np.sqrt(gw[at])
-            d2 = g * (s - vi) + decay * vi
+            d2 = g * (s - vi) + held[at, None] * vi
             gv[at] += d2 * d2
             v[at] -= 0.3 * rate * d2 / np.sqrt(gv[at])
             gb += g * g
@@ -143,6 +154,21 @@ def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate
     return Machine(bias, place, w.astype(np.float32), v.astype(np.float32))
 
 
+def calibrated(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
+    """A machine whose scores pass ``OPERATING`` where rows that it has not seen say so. With few rows of
+    either label it is as trained."""
+    machine = train(rows, labels)
+    if min(labels.sum(), len(labels) - labels.sum()) < 10 * PARTS:
+        return machine
+    part = np.arange(len(rows)) % PARTS
+    unseen = np.zeros(len(rows))
+    for k in range(PARTS):
+        other = train([r for r, p in zip(rows, part) if p != k], labels[part != k])
+        unseen[part == k] = [other.raw(r) for r, p in zip(rows, part) if p == k]
+    machine.bias += float(np.log(OPERATING / (1 - OPERATING)) - np.quantile(unseen[labels == 0], 1 - SPARED))
+    return machine
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Machine:
     """A machine from the rows of the learning folds: those whose crc32 remainder is not 1."""
     told = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter((remainder(F.col("doc_id"), 3) != 1) & F.col("y").isin(0, 1)).distinct()
@@ -150,10 +176,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     got = by_batch(sampled_texts(docs.select("doc_id", "text"), picked, "y"), lambda b: pd.DataFrame(
         {"doc_id": b["doc_id"], "y": b["y"], "terms": [terms_of(t).tobytes() for t in b["text"]]}), "doc_id long, y int, terms binary").collect()
     got.sort(key=lambda r: (r["doc_id"], r["y"], r["terms"]))
-    return train([np.frombuffer(r["terms"], np.int32) for r in got], np.array([r["y"] for r in got], float))
+    return calibrated([np.frombuffer(r["terms"], np.int32) for r in got], np.array([r["y"] for r in got], float))
 
 
-def score(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
+def score(docs: DataFrame, machine: Machine, threshold: float = OPERATING) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     def run(b: pd.DataFrame) -> pd.DataFrame:
         s = np.array([machine.score(t) for t in b["text"]])

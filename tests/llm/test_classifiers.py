@@ -149,3 +149,63 @@ def test_an_id_on_most_rows_brings_one_text(spark, docs):
     picked = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, y int")
     got = common.sampled_texts(rows.select("doc_id", "text"), picked, "y").collect()
     assert sorted((r.doc_id, r.y) for r in got) == [(7, 1), (8, 0)]
+
+
+def test_pairs_of_terms_that_tell_nothing_alone():
+    """Nine in ten texts with both terms are toxic, none with one of them, and of the others so many that either
+    term alone is as often in toxic texts as in others."""
+    import random
+    rng = random.Random(3)
+    words = [f"word{i}" for i in range(500)]
+    rows, labels, both, one = [], [], [], []
+    for i in range(4000):
+        a, b = i % 10 < 3, i // 10 % 10 < 3
+        t = toxicity.terms_of(" ".join([*rng.sample(words, 25), *["insultword"] * a, *["groupname"] * b]))
+        rows.append(t)
+        labels.append(float(rng.random() < (0.9 if a and b else 0.0 if a or b else 0.9 * 0.3 / 0.7)))
+        (both if a and b else one if a != b else []).append(t)
+    labels = np.array(labels)
+    at = [toxicity.terms_of(x)[0] for x in ("insultword", "groupname")]
+    assert not toxicity._tied(rows, labels)[at].any()
+    machine = toxicity.train(rows, labels)
+    assert np.mean([machine.raw(t) > 0 for t in both]) > 0.95 and np.mean([machine.raw(t) > 0 for t in one]) < 0.05
+
+
+def test_margin_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(5)
+    place = np.full(toxicity.DIM, -1, np.int32)
+    place[:6] = np.arange(6)
+    m = toxicity.Machine(0.5, place, rng.normal(size=6), rng.normal(size=(6, toxicity.FACTORS)))
+    terms = np.array([0, 2, 3, 5, 9])
+    plain = 0.5 + sum(m.weight[i] for i in (0, 2, 3, 5)) + sum(m.factor[i] @ m.factor[j] for i in (0, 2, 3, 5) for j in (0, 2, 3, 5) if i < j)
+    assert abs(m.raw(terms) - plain) < 1e-9
+
+
+def test_languages_by_the_nearest_centroid(spark, docs):
+    """Each text against all centroids, one by one."""
+    rows = docs(*[(i, t, lang) for lang, ts in {"en": ["the cat sat on the mat and the dog", "this is the house that they built"], "de": ["der hund und die katze sind im haus", "das ist nicht der weg zum haus"]}.items()
+                  for i, t in enumerate(ts * 10, 0 if lang == "en" else 100)])
+    model = language_id.fit(rows, ~language_id.held_out())
+    for text in ("the dog and the house", "die katze im haus", "mat", "zum weg", "qqq xxx"):
+        at, v = language_id.vector_of(text, model.idf)
+        dense = np.zeros(language_id.DIM)
+        dense[at] = v
+        cos = [float(dense @ c) for c in model.centroids]
+        best = int(np.argmax(cos))
+        lang, score, rejected = model.predict(text)
+        assert lang == model.languages[best] and abs(score - min(1, max(0, cos[best]))) < 1e-5 and rejected == (cos[best] < model.floors[best])
+
+
+def test_tree_gains_as_tried_one_by_one():
+    """The first cut of the first tree is the best of all cuts at the histogram's edges."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 1] + 0.1 * rng.normal(size=400) > 0.3).astype(float)
+    trees = quality_classifier.train(np.pad(x, ((0, 0), (0, len(quality_classifier.NAMES) - 3))), y)
+    share = y.mean()
+    g, h = y - share, np.full(400, share * (1 - share))
+    gain = lambda low: g[low].sum() ** 2 / (h[low].sum() + quality_classifier.L2) + g[~low].sum() ** 2 / (h[~low].sum() + quality_classifier.L2)
+    f, limit = trees.feature[trees.root[0]], trees.limit[trees.root[0]]
+    assert f == 1
+    edges = np.unique(np.quantile(x[:, 1], np.linspace(0, 1, quality_classifier.BINS + 1)))
+    assert gain(x[:, 1] <= limit) >= 0.98 * max(gain(x[:, 1] <= e) for e in edges[1:-1])

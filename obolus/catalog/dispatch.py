@@ -12,7 +12,7 @@ from obolus.operators.shape import once
 from obolus.plans import dispatch as dp
 
 c = F.col
-HOME = dp.Home("ΝΗΣΙΔΟΣ", "1", "999000111", ("888000111",), (("2", "ΣΧΟΛΙΚ[Α-Ω]* ΕΠΙΤΡΟΠ"),), fund_id="090111222")
+HOME = dp.Home("ΝΗΣΙΔΟΣ", "1", "999000111", ("888000111",), (("2", "ΣΧΟΛΙΚ[Α-Ω]* ΕΠΙΤΡΟΠ"),), fund_id="090111222", code="58000")
 SHORE = "προστασία ακτής νότιας"
 
 
@@ -35,7 +35,7 @@ def decisions(b):
         ("2-HIGH", "AUTOMOBILE"): ("region_fund", F.lit("Εντολή πληρωμής"), q("συνολικού ποσού ", eu(x), " ευρώ ΣΥΝΟΛΙΚΗ ΑΞΙΑ ΠΑΡΑΣΤΑΤΙΚΟΥ ", eu(x + off), f" ΤΙΤΛΟΣ ΥΠΟΕΡΓΟΥ: {SHORE} ΚΩΔΙΚΟΣ ΝΟΜΙΚΗΣ δέσμευσης Δικαιούχου/ων: ΔΗΜΟΣ ΝΗΣΙΔΟΣ (ΑΦΜ: 999000111)")),
         ("2-HIGH", "BUILDING"): ("region_fund", F.lit("Εντολή πληρωμής"), q("Την έγκριση δαπάνης ποσού ", pick("εξήντα", "εξήντα μίας"), " χιλιάδων ευρώ (60.000,00 €) του υποέργου «ένα άλλο έργο μόνο». Θα καταβληθεί στο δήμο Νησίδος (ΑΦΜ:999000111)")),
         ("2-HIGH", "FURNITURE"): ("region_fund", F.lit("Εντολή πληρωμής"), q("Την έγκριση δαπάνης ποσού εξήντα χιλιάδων ευρώ (60.000,00 €) του υποέργου «ΠΣ μεταξύ του Δήμου και άλλων». Θα καταβληθεί ", pick("στο δήμο Νησίδος (ΑΦΜ:999000111)", "στον ανάδοχο"))),
-        ("2-HIGH", "MACHINERY"): ("interior", F.lit("Κατανομή από ΚΑΠ έτους 2016"), F.lit("χωρίς πίνακα")),
+        ("2-HIGH", "MACHINERY"): ("interior", F.lit("Κατανομή από ΚΑΠ έτους 2016"), q("  1  50100  ΑΛΦΑΣ   ", F.lpad(eu(x), 18, " "), "\n  2  58000  ΝΗΣΙΔΟΣ ", F.lpad(eu(x + 5), 18, " "), "\n     ΣΥΝΟΛΟ       ", F.lpad(eu(x + x + 5 + off * 100), 18, " "), "\n")),
         ("2-HIGH", "HOUSEHOLD"): ("interior", F.lit("Επιχορήγηση για ληξιπρόθεσμες οφειλές"), pick("με Εντολές Εξόφλησης", "προς τους δήμους")),
         ("3-MEDIUM", "AUTOMOBILE"): ("union", F.lit("Αίτημα χρηματοδότησης"), board("Εγκρίνει ", eu(x * 4 + off), " ευρώ (", eu(x), " ευρώ χ 4 Δήμοι) οικ. έτους 2022.")),
         ("3-MEDIUM", "BUILDING"): ("union", F.lit("Αίτημα χρηματοδότησης"), board("Εγκρίνει ποσό ", pick("11.000,00", "11.000,01"), " ως εξής: Α. Πέντε χιλιάδες ευρώ (5.000,00€) για τη μία Β. Έξι χιλιάδες ευρώ (6.000,00€) για την άλλη.")),
@@ -75,7 +75,7 @@ SAID = {
     ("2-HIGH", "BUILDING"): ("'region_fund_payment'", "'investment_programmes'", "year", "'read'", "[6000000]", "[6000000]", "[CASE WHEN NOT bad THEN 'words_and_figures' END]"),
     ("2-HIGH", "FURNITURE"): ("CASE WHEN bad THEN 'region_fund_payment' ELSE 'region_fund_agreement_payment' END", "CASE WHEN bad THEN 'investment_programmes' ELSE 'programme_agreements' END", "year", "CASE WHEN bad THEN 'absent' ELSE 'read' END",
                               "CASE WHEN bad THEN [] ELSE [6000000] END", "CASE WHEN bad THEN [] ELSE [6000000] END", "CASE WHEN bad THEN [] ELSE ['words_and_figures'] END"),
-    ("2-HIGH", "MACHINERY"): ("'kap_general'", "'kap_general'", "2016", "'not_found'", *NONE),
+    ("2-HIGH", "MACHINERY"): ("'kap_general'", "'kap_general'", "2016", "'read'", "[x + 5]", "[x + 5]", "[CASE WHEN NOT bad THEN 'column_totals' END]"),
     ("2-HIGH", "HOUSEHOLD"): ("CASE WHEN bad THEN 'arrears' ELSE 'arrears_ceiling' END", "CASE WHEN bad THEN 'state_grants' END", "year", "'not_found'", *NONE),
     ("3-MEDIUM", "AUTOMOBILE"): ("'ped_grant'", "'state_grants'", "2022", "'read'", "[x]", "[x]", "[CASE WHEN NOT bad THEN 'stated_amount' END]"),
     ("3-MEDIUM", "BUILDING"): ("'ped_grant'", "'state_grants'", "year", "'read'", "[CASE WHEN bad THEN 1100001 ELSE 1100000 END]", "[CASE WHEN bad THEN 1100001 ELSE 1100000 END]", "[CASE WHEN NOT bad THEN 'words_and_figures' END]"),

@@ -2,8 +2,8 @@
 says of it and its lines, each by the reader that its issuer's kind and its family call for.
 
 A text is folded once; which reader a row is for is a column, every value is chosen by it, and a row
-pays for its own reader alone. Tables that spread over lines (allocations, transfers) are other
-jobs, over lines; their results come in as ``tables``. What decides after reading (a credit of the
+pays for its own reader alone. Tables that spread over lines (allocations, transfers) are jobs over
+lines, on the texts of the decisions that need them (``table_lines``). What decides after reading (a credit of the
 region's own, the budget year of the operative part, the category) follows in the same rows.
 
 Patterns are fixed values on folded text; what names the home body is ``Home``."""
@@ -21,8 +21,10 @@ from obolus.functions.codes import budget_year
 from obolus.functions.money import amounts_in, cents_eu, words_to_cents, words_to_cents_lenient
 from obolus.functions.text import flat_fold, fold
 from obolus.operators.shape import once
+from obolus.plans.allocations import read_decisions
 from obolus.plans.documents import amounts_by_kind, times_printed
 from obolus.plans.readers import A, WORDS_FIG, configurations, escrow_of, items_of, under_agreement
+from obolus.plans.transfers import Payee, other_grants, read_transfers
 from obolus.session import written
 
 c = F.col
@@ -44,8 +46,11 @@ COMMITMENT = rf"ΕΓΚΡΙΝΟΥΜΕ ΤΗ ΔΕΣΜΕΥΣΗ ΠΙΣΤΩΣΗΣ .{{0
 SUB_PROJECT = r"ΤΙΤΛΟΣ ΥΠΟΕΡΓΟΥ:\s*(.{3,200}?)\s*ΚΩΔΙΚΟΣ ΝΟΜΙΚΗΣ|ΥΠΟΕΡΓΟ[ΥΝ]? [«\"]([^»\"]{3,200})[»\"]"
 AGREEMENT = rf"ΠΡΟΓΡΑΜΜΑΤΙΚ|{fv.W}Π\.?Σ\.? (?:ΜΕΤΑΞΥ|ΠΝΑ)"
 FUND_APPROVAL = r"ΕΓΚΡΙΣΗ ΔΑΠΑΝΗΣ (?:ΤΟΥ )?ΠΟΣΟΥ "
-#: Families whose documents other jobs read, table by table.
-BY_TABLE = ("pde_financing", "rrf_payment", "election_costs", "school_books", "culture_grant", "tourism_grant")
+#: Families of other issuers whose documents state an amount, and those of transfers to a project's account.
+OTHER_GRANTS = ("election_costs", "school_books", "pde_financing", "culture_grant", "tourism_grant")
+TRANSFERS = ("pde_financing", "espa_financing", "pde_authorisation", "rrf_payment")
+#: Readers that are jobs over lines.
+BY_LINES = ("allocation", "transfers", "other_grant")
 SHIPPING = {"pde_authorisation": "ΠΑΡΑΚΑΛΟΥΜΕ", "shipping_payment": "ΑΠΟΦΑΣΙΖΟΥΜΕ", "shipping_grant": "ΑΠΟΦΑΣΙΖΟΥΜΕ"}
 
 LINE = "struct<recipient:string,amount:bigint,net:bigint,method:string,validation:string>"
@@ -63,6 +68,9 @@ class Home:
     bodies: tuple[tuple[str, str], ...] = ()
     others: tuple[str, ...] = gr.FOUNDATION_OTHERS
     fund_id: str | None = None
+    #: The code of its row in allocation tables, and its bodies as payees of transfer tables; without a code tables are not read.
+    code: str | None = None
+    payees: tuple[Payee, ...] = ()
 
 
 def _configs(home: Home) -> dict[str, dict]:
@@ -79,9 +87,10 @@ METHODS = {"region_payment": "payment_order", "fund_approval": "fund_approval",
 
 
 def _reader(kind: Column, family: Column, flat: Column, home: Home) -> Column:
-    """The reader of a decision that has a document: a configuration's name, one of the readers below, 'tables', or 'listed'."""
+    """The reader of a decision that has a document: a configuration's name, one of the readers below, one of
+    ``BY_LINES``, or 'listed'."""
     at = lambda k, *families: (kind == k) & family.isin(*families)
-    return (F.when(at("region", "region_payment"), F.lit("region_payment")).when(at("region", "region_credit"), F.lit("credit"))
+    return (F.when(family == "rrf_payment", F.lit("transfers")).when(at("region", "region_payment"), F.lit("region_payment")).when(at("region", "region_credit"), F.lit("credit"))
             .when(at("region", "region_agreement"), F.when(flat.rlike(COMMITMENT) & flat.rlike(f"ΔΗΜΟ[ΣΥ]? {home.name}"), F.lit("commitment")).otherwise(F.lit("listed")))
             .when(at("region_fund", "region_fund_payment"), F.when(flat.rlike(FUND_APPROVAL), F.lit("fund_approval")).otherwise(F.lit("fund_order")))
             .when(at("union", "ped_payment"), F.lit("union_payment")).when(at("union", "ped_grant"), F.lit("union_grant"))
@@ -89,8 +98,9 @@ def _reader(kind: Column, family: Column, flat: Column, home: Home) -> Column:
             .when(at("shipping", *SHIPPING), family).when(at("tourism_organisation", "eot_payment"), F.lit("organisation_payment"))
             .when(at("foundation", "foundation_statutory_grant", "foundation_grant"), F.lit("foundation"))
             .when(kind.isin("region", "region_fund", "union", "green_fund", "shipping", "tourism_organisation", "foundation"), F.lit("listed"))
-            .when(kind.isin("administration", "education", "culture", "tourism"), F.when(family.isin(*BY_TABLE), F.lit("tables")).otherwise(F.lit("listed")))
-            .otherwise(F.lit("tables")))
+            .when(kind.isin("economy", "infrastructure", "digital"), F.when(family.isin(*TRANSFERS), F.lit("transfers")).otherwise(F.lit("listed")))
+            .when(kind.isin("administration", "education", "culture", "tourism"), F.when(family.isin(*OTHER_GRANTS), F.lit("other_grant")).otherwise(F.lit("listed")))
+            .otherwise(F.lit("allocation")))
 
 
 def _read(status: Column | str, family: Column | None = None, lines: Column | None = None) -> Column:
@@ -203,27 +213,46 @@ def dispatch(docs: DataFrame, home: Home) -> DataFrame:
                     (c("flat").isNotNull() & (c("first_family") == "arrears") & F.coalesce(c("flat").rlike(gr.ARREARS_CEILING), F.lit(False))).alias("ceiling"))
 
 
+def table_lines(docs: DataFrame, read: DataFrame, home: Home) -> DataFrame:
+    """(doc_id, status, lines) of the decisions that jobs over lines read: allocation tables, transfer tables and
+    letters, other grantors' decisions. Of ``docs`` only their texts are taken, once."""
+    texts = written(docs.select("doc_id", "subject", "text").join(read.filter(c("reader").isin(*BY_LINES)).select("doc_id", "reader"), "doc_id"))
+    of = lambda name: texts.filter(c("reader") == name).select("doc_id", "subject", "text")
+    manager = rf"(?:ΥΠΟΛΟΓΟ{_X}.{{0,3}})?ΔΙΑΧΕΙΡΙΣΤ{_X}.{{0,80}}?ΔΗΜΟ{_X} {home.name}"
+    none = F.lit(None).cast("string")
+    rows = read_decisions(of("allocation"), home.code, manager, f"ΔΗΜΟ[ΣΥ]? {home.name}").withColumn("recipient", none)
+    payees = home.payees or (Payee(home.uid, home.tax_id, f"ΔΗΜΟ[ΣΥ]? {home.name}", (home.code,)),)
+    rows = rows.unionByName(read_transfers(of("transfers"), payees, manager).withColumn("net", c("amount")))
+    ids = {home.tax_id: home.uid} | {p.tax_id: p.uid for p in home.payees}
+    rows = rows.unionByName(other_grants(of("other_grant"), home.bodies, ids, home.name, home.uid).drop("how").withColumn("net", c("amount")))
+    line = _line(c("amount"), c("net"), c("method"), c("validation"), c("recipient"))
+    # the lines of one document
+    return rows.groupBy("doc_id").agg(F.max_by("status", c("status") == "read").alias("status"), F.array_sort(F.collect_list(F.when(c("amount").isNotNull(), line))).alias("lines"))
+
+
 def grant_rows(docs: DataFrame, home: Home, tables: DataFrame | None = None) -> DataFrame:
     """One row per decision of ``docs`` (doc_id, kind, subject, date, text, anchored; the last: found by one of our
     ids): kind, family, category, budget_year, read_status, n_amounts, n_validated, lines (recipient,
     amount, net, method, validation, category).
 
-    ``tables``: (doc_id, status, lines) of the decisions whose tables other jobs read, at most one row
-    each; those it lacks are 'not_found'. Payments of the development fund whose sub-project one of
+    ``tables``: (doc_id, status, lines) of the decisions that jobs over lines read, at most one row each, where
+    they were read before; else they are read here if the home body has a code (``table_lines``); those
+    without a row are 'not_found'. Payments of the development fund whose sub-project one of
     the region's agreements in ``docs`` names are payments under it: a lookup of names, not of texts."""
     read = written(dispatch(docs, home))
     agreements = read.filter((c("kind") == "region") & (c("first_family") == "region_agreement")).select("subject")
     paid = read.filter((c("reader").isin("fund_approval", "fund_order")) & (c("sub") != "")).select("doc_id", c("sub").alias("sub_project"))
     named = under_agreement(paid, agreements).select("doc_id", F.lit(True).alias("named"))
     d = read.join(named, "doc_id", "left")
-    by_table = tables if tables is not None else read.sparkSession.createDataFrame([], f"doc_id string, status string, lines {LINES}")
-    d = d.join(by_table.select("doc_id", c("status").alias("t_status"), c("lines").alias("t_lines")), "doc_id", "left")
-    tabled = c("reader") == "tables"
+    if tables is None:
+        tables = table_lines(docs, read, home) if home.code else read.select("doc_id", F.lit(None).cast("string").alias("status"), F.lit(None).cast(LINES).alias("lines")).limit(0)
+    d = d.join(tables.select("doc_id", c("status").alias("t_status"), c("lines").alias("t_lines")), "doc_id", "left")
+    tabled = c("reader").isin(*BY_LINES)
     status = F.when(tabled, F.coalesce("t_status", F.lit("not_found"))).otherwise(c("said.status"))
     lines = F.when(tabled, F.coalesce("t_lines", F.array().cast(LINES))).otherwise(c("said.lines"))
     subject = fold(c("subject"))
     under = c("reader").isin("fund_approval", "fund_order") & c("said.status").isin("read", "not_found") & (F.concat("sub", F.lit(" "), subject).rlike(AGREEMENT) | F.coalesce("named", F.lit(False)))
-    family = F.coalesce(F.when(F.coalesce(under, F.lit(False)), F.lit("region_fund_agreement_payment")), F.when(c("ceiling") & tabled, F.lit("arrears_ceiling")), "said.family", "first_family")
+    family = F.coalesce(F.when(F.coalesce(under, F.lit(False)), F.lit("region_fund_agreement_payment")), F.when(c("ceiling") & (c("reader") == "allocation"), F.lit("arrears_ceiling")), "said.family", "first_family")
     own = (c("first_family") == "region_credit") & ~(F.coalesce("anchored", F.lit(False)) | subject.rlike(rf"{home.name}"))
     d = d.withColumns({"_status": status, "_lines": lines, "_family": family, "_own": own})
     last = gr.own_credit(c("first_family"), c("_own"), c("_family"), c("reader") != "no_pdf")

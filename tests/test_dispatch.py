@@ -109,3 +109,26 @@ def test_one_scan_of_the_texts(spark, tmp_path):
 def test_lines_of_decisions(spark, got):
     rows = dp.grant_lines(dp.grant_rows(rows_of(spark, {k: CASES[k] for k in ("foundation", "order_none")}), HOME)).collect()
     assert [(r["doc_id"], r["line_no"], r["recipient"], r["category"]) for r in rows] == [("foundation", 0, "1", "foundation_contribution"), ("foundation", 1, "2", "foundation_contribution")]
+
+
+WITH_TABLES = dp.Home("ΝΗΣΙΔΟΣ", "1", "999000111", bodies=(("2", "ΣΧΟΛΙΚ[Α-Ω]* ΕΠΙΤΡΟΠ"),), code="58000")
+LINES_CASES = {
+    "allocation": (("interior", "Κατανομή από ΚΑΠ έτους 2020", "  1  50100  ΑΛΦΑΣ    100,00\n  2  58000  ΝΗΣΙΔΟΣ    250,00\n     ΣΥΝΟΛΟ    350,00\n", False), ("kap_general", "kap_general", 2020, "read", [("1", 25000, 25000, "column_totals")])),
+    "allocation_others": (("interior", "Κατανομή από ΚΑΠ", "  1  50100  ΑΛΦΑΣ    100,00\n  2  50200  ΒΗΤΑΣ    250,00\n     ΣΥΝΟΛΟ    350,00\n", False), ("kap_general", "kap_general", 2021, "absent", [])),
+    "letter": (("economy", "Κατανομή χρηματοδότησης", "μεταφορά ποσού εξήντα χιλιάδων ευρώ (60.000,00 €) με υπόλογο διαχειριστή το Δήμο Νησίδος, ΑΦΜ 999000111", False),
+               ("pde_financing", "investment_programmes", 2021, "read", [("1", 6000000, 6000000, "words_and_figures")])),
+    "transfer_table": (("digital", "Εκκαθάριση - εντολή πληρωμής", "  1  έργο ΔΗΜΟΣ ΝΗΣΙΔΟΣ          100,00\n  2  άλλο έργο          50,00\n     ΣΥΝΟΛΟ                       150,00", False), None),
+    "culture": (("culture", "Επιχορήγηση εκδήλωσης", "αποφασίζουμε την επιχορήγηση ύψους εξήντα χιλιάδων ευρώ (60.000,00 €) στη Σχολική Επιτροπή", False), ("culture_grant", None, 2021, "read", [("2", 6000000, 6000000, "words_and_figures")])),
+    "order": CASES["order"],
+}
+
+
+def test_tables_are_read_beside(spark):
+    got = {r["doc_id"]: r for r in dp.grant_rows(rows_of(spark, LINES_CASES), WITH_TABLES).collect()}
+    for name, (_, want) in LINES_CASES.items():
+        r = got[name]
+        lines = [(x["recipient"], x["amount"], x["net"], x["validation"]) for x in r["lines"]]
+        if want is None:
+            assert r["family"] == "rrf_payment" and r["read_status"] in ("read", "not_found")
+        else:
+            assert (r["family"], r["category"], r["budget_year"], r["read_status"], lines) == want, name

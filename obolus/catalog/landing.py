@@ -527,7 +527,7 @@ def _(b):
 
 
 @query("src05_load_registry", """SELECT d.entity AS uid, n_name AS name, n_regionkey < 3 AS in_scope, CASE WHEN n_regionkey < 3 THEN lpad(CAST(n_nationkey AS VARCHAR), 9, '0') END AS term, CASE WHEN n_regionkey = 4 THEN 'g4' END AS grantor_group,
-    CASE WHEN n_regionkey = 4 THEN 'tinos_body' END AS keep, count(*) AS n FROM decisions d JOIN nation ON CAST(n_nationkey AS VARCHAR) = d.entity GROUP BY ALL""".replace("'tinos_body'", "'" + "|".join(fv.KEEP_RULES[:1]) + "'"))
+    CASE WHEN n_regionkey = 4 THEN '%s' END AS keep, count(*) AS n FROM decisions d JOIN nation ON CAST(n_nationkey AS VARCHAR) = d.entity GROUP BY ALL""" % fv.KEEP_RULES[0])
 def _(b):
     """The nations as the hand-kept registry of bodies, grantors and anchors, against the acts posted by them."""
     rows = b.star.nation.collect()  # 25 bodies: a registry is a list we keep ourselves

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from obolus.functions.money import MONEY, format_amount_eu
 from obolus.plans.views import Release
-from obolus.session import written
 
 c = F.col
 
@@ -109,7 +108,7 @@ class Bound:
 
     @cached_property
     def release(self) -> Release:
-        return Release(lambda name: getattr(self, name), home=HOME)
+        return Release(lambda name: getattr(self, name), home=HOME, derived=True)
 
     @cached_property
     def customer(self) -> DataFrame:
@@ -228,8 +227,7 @@ class Bound:
 
     @cached_property
     def budget_line(self) -> DataFrame:
-        """Monthly cumulative statements by brand; December's is posted a second time, corrected. A release has
-        them as a table; so they are one here, derived once however often a view reads them."""
+        """Monthly cumulative statements by brand; December's is posted a second time, corrected."""
         side = F.when(c("l_returnflag") == "A", F.lit("revenue")).otherwise(F.lit("spending"))
         keys = ["entity", "side", "year", "kae"]
         n = c("brand_no")
@@ -247,13 +245,13 @@ class Bound:
         again = F.when(c("month") == 12, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
         posted = cum.select("*", F.explode(again).alias("corrected"))
         late, one = c("corrected"), F.when(c("corrected"), F.lit(1)).otherwise(F.lit(0))
-        return written(posted.select(
+        return posted.select(
             F.when(late, F.concat(sid, F.lit("b"))).otherwise(sid).alias("statement_ada"), "entity", F.date_add(end, F.when(late, 25).otherwise(15)).alias("statement_date"), end.alias("period_end"),
             c("year").alias("period_year"), c("month").alias("period_month"), (c("month") == 12).alias("is_year_end"), "side", "kae",
             F.substring("kae", 1, 2).alias("kae_group"),
             F.concat(F.lit("Γραμμή "), n.cast("string"), F.lit(" τρίμηνο "), F.quarter(end).cast("string")).alias("description"),
             F.when(c("side") == "revenue", cat).alias("grant_category"), (c("b") + one).alias("budgeted"), c("a").alias("assessed_or_warranted"),
-            c("p").alias("collected_or_paid")))
+            c("p").alias("collected_or_paid"))
 
     @cached_property
     def grant_decision(self) -> DataFrame:

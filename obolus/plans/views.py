@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from obolus import fixed_values as fv
 from obolus.functions.codes import four_digit_code
 from obolus.operators.shape import latest_per_key, lookup_left, once, top_share, without_nearby
+from obolus.session import written
 
 TABLES = ("act", "payment", "commitment", "award", "counterparty", "entity", "budget_line", "procurement",
           "procurement_party", "grant_decision", "grant_line", "acceptance")
@@ -37,11 +38,14 @@ def total(amount: str, when: Column | None = None) -> Column:
 
 class Release:
     """The tables of one release (attribute access) and the views over them (``view(name)``).
-    ``table`` gives a table by name when a view first asks for it."""
+    ``table`` gives a table by name when a view first asks for it. ``derived``: what it gives is not a
+    table but work, so the statements that a view reads several times are written first."""
 
-    def __init__(self, table: Callable[[str], DataFrame], home: str = "1"):
+    def __init__(self, table: Callable[[str], DataFrame], home: str = "1", derived: bool = False):
         self._table = table
         self.home = home  # uid of the body whose revenue the grants are set against
+        self._derived = derived
+        self._statements: dict[str | None, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
@@ -51,6 +55,13 @@ class Release:
     def view(self, name: str) -> DataFrame:
         return VIEWS[name](self)
 
+    def statements(self, entity: str | None = None) -> DataFrame:
+        """The budget lines of all bodies or of one."""
+        if entity not in self._statements:
+            lines = self.budget_line if entity is None else self.budget_line.filter(c("entity") == entity)
+            self._statements[entity] = written(lines) if self._derived else lines
+        return self._statements[entity]
+
     @cached_property
     def counted(self) -> DataFrame:
         """Published, non-suspect payment lines."""
@@ -162,15 +173,15 @@ def v_type_year(r: Release) -> DataFrame:
     return r.act.groupBy("year", "type", "status").agg(F.count("*").alias("n"))
 
 
-def year_end_statements(r: Release) -> DataFrame:
+def year_end_statements(r: Release, entity: str | None = None) -> DataFrame:
     """(entity, statement_ada): the latest year-end statement of each entity and period."""
-    s = r.budget_line.filter(c("is_year_end")).select("entity", "statement_ada", "period_end", "statement_date").distinct()
+    s = r.statements(entity).filter(c("is_year_end")).select("entity", "statement_ada", "period_end", "statement_date").distinct()
     order = F.struct(-F.unix_date("statement_date"), "statement_ada")
     return latest_per_key(s, ["entity", "period_end"], order, largest=False).select("entity", "statement_ada")
 
 
-def _year_end_lines(r: Release) -> DataFrame:
-    return r.budget_line.join(year_end_statements(r), ["entity", "statement_ada"], "left_semi")
+def _year_end_lines(r: Release, entity: str | None = None) -> DataFrame:
+    return r.statements(entity).join(year_end_statements(r, entity), ["entity", "statement_ada"], "left_semi")
 
 
 def v_budget_year(r: Release) -> DataFrame:
@@ -232,8 +243,8 @@ def v_grant_year(r: Release) -> DataFrame:
                                       F.sum("a").alias("allocated"), F.sum("p").alias("net_paid"))
 
 
-def v_revenue_grant_year(r: Release) -> DataFrame:
-    return (_year_end_lines(r).filter((c("side") == "revenue") & c("grant_category").isNotNull())
+def v_revenue_grant_year(r: Release, entity: str | None = None) -> DataFrame:
+    return (_year_end_lines(r, entity).filter((c("side") == "revenue") & c("grant_category").isNotNull())
             .groupBy("entity", c("period_year").alias("year"), c("grant_category").alias("category"))
             # the codes of one statement: as many as the chart of accounts has, no more
             .agg(F.min("statement_ada").alias("statement_ada"),
@@ -242,11 +253,11 @@ def v_revenue_grant_year(r: Release) -> DataFrame:
                  F.sum("collected_or_paid").alias("collected")))
 
 
-def v_budget_month(r: Release) -> DataFrame:
+def v_budget_month(r: Release, entity: str | None = None) -> DataFrame:
     """What each line moved in each month, from cumulative figures. A line a later statement of
     the year no longer prints stands at zero there (``absent``)."""
     keys = ["entity", "side", "year"]
-    m = (r.budget_line.withColumns({"year": c("period_year"), "month": c("period_month")})
+    m = (r.statements(entity).withColumns({"year": c("period_year"), "month": c("period_month")})
          .groupBy(*keys, "month", "kae")
          .agg(F.min("description").alias("description"), F.min("statement_ada").alias("statement_ada"),
               F.sum("assessed_or_warranted").alias("assessed_to_date"), F.sum("collected_or_paid").alias("collected_to_date")))
@@ -274,10 +285,10 @@ def v_budget_month(r: Release) -> DataFrame:
         *keys, "r.month", "kae", "r.description", "r.statement_ada", "r.assessed_to_date", "r.collected_to_date", "r.collected_in_period", "r.months", "r.absent")
 
 
-def v_revenue_grant_month(r: Release) -> DataFrame:
-    cats = (r.budget_line.filter((c("side") == "revenue") & c("grant_category").isNotNull())
+def v_revenue_grant_month(r: Release, entity: str | None = None) -> DataFrame:
+    cats = (r.statements(entity).filter((c("side") == "revenue") & c("grant_category").isNotNull())
             .groupBy("entity", c("period_year").alias("year"), "kae").agg(F.min("grant_category").alias("category")))
-    return (v_budget_month(r).filter(c("side") == "revenue").join(cats, [*EY, "kae"])
+    return (v_budget_month(r, entity).filter(c("side") == "revenue").join(cats, [*EY, "kae"])
             .groupBy(*EY, "month", "category")
             .agg(F.max("months").alias("months"),
                  F.array_join(F.array_sort(F.collect_set("kae")), ", ").alias("kae_lines"),  # a chart's codes at most
@@ -285,7 +296,7 @@ def v_revenue_grant_month(r: Release) -> DataFrame:
 
 
 def v_grant_to_date(r: Release) -> DataFrame:
-    months = v_revenue_grant_month(r).filter(c("entity") == r.home)
+    months = v_revenue_grant_month(r, r.home)
     # a year of the home body: twelve months of its categories
     rev = (months.withColumn("last_month", F.max("month").over(Window.partitionBy("year"))).filter(c("month") == c("last_month"))
            .groupBy("year", "category").agg(F.max("month").alias("through_month"), F.sum("collected_to_date").alias("collected_to_date")))
@@ -307,7 +318,7 @@ def v_grant_to_date(r: Release) -> DataFrame:
 def v_grant_reconciliation(r: Release) -> DataFrame:
     given = (v_grant_year(r).filter(c("recipient_entity") == r.home).groupBy("year", "category")
              .agg(F.sum("n_decisions").alias("n_decisions"), F.sum("allocated").alias("allocated"), F.sum("net_paid").alias("net_paid")))
-    booked = v_revenue_grant_year(r).filter(c("entity") == r.home)
+    booked = v_revenue_grant_year(r, r.home)
     g, b = given.alias("g"), booked.alias("b")
     zero = F.lit(0)
     allocated, assessed = F.coalesce("g.allocated", zero), F.coalesce("b.assessed", zero)

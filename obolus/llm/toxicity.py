@@ -41,7 +41,7 @@ STEM = 4
 TIED = 10.83
 TIED_CHANCE = 0.001
 #: Of the sample's rows: terms in so many get weights, tied or not; and how strongly those that are not are held back.
-FREQUENT, DECAY = 0.03, 0.3
+FREQUENT, DECAY = 0.05, 0.3
 #: The score from which a text counts as toxic, and the share of others that may lie above it.
 OPERATING, SPARED, PARTS = 0.7, 0.0005, 3
 EPOCHS = 12

@@ -93,3 +93,22 @@ def test_table_cell(spark):
 
 def test_euros(spark):
     assert one(spark, money.euros(F.col("x")), 123456, "bigint") == Decimal("1234.56")
+
+
+def test_one_pass_folds_as_three(spark):
+    """Every code point alone and inside a Greek word: the table of common characters gives what accents off, upper
+    case and look-alikes give one after the other; a text with one other character is folded the long way."""
+    from obolus.functions import text as tx
+    col = F.col("t")
+    rows = spark.range(1, 0x110000).filter((F.col("id") < 0xD800) | (F.col("id") > 0xDFFF)).select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("ch")) \
+        .select(F.explode(F.array("ch", F.concat(F.lit("Έργο "), "ch", F.lit("ab")))).alias("t"))
+    edges = spark.createDataFrame([("",), (None,), ("∆ήµος ΢ύρου Ω €",), ("Straße Δήμος",)], "t string")
+    rows = rows.unionByName(edges)
+    repaired = F.translate(F.translate(col, *tx.SYMBOLS), *tx.SHIFTED_SIGMA)
+    upper = lambda x: F.upper(tx.strip_accents(x))
+    folded = lambda x: tx.collapse(F.translate(upper(x), *tx.LOOKALIKES))
+    pairs = [(tx.upper_plain(col), upper(col)), (tx.fold(col), folded(col)), (tx.flat_fold(col), folded(repaired)), (tx.symbol_repair(col), repaired),
+             (tx.fold_in_place(col), F.translate(upper(col), *tx.LOOKALIKES)),
+             (tx.name_tokens(col), F.filter(F.split(F.translate(tx.normalise_name(col), *tx.LOOKALIKES), " "), lambda t: t != ""))]
+    off = [F.sum(F.when(a.eqNullSafe(b), 0).otherwise(1)).alias(f"off{i}") for i, (a, b) in enumerate(pairs)]
+    assert list(rows.agg(*off).first()) == [0] * len(pairs)

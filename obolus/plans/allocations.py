@@ -14,6 +14,7 @@ from obolus.functions.money import amounts_at, amounts_in, cents_eu, number_cent
 from obolus.functions.text import collapse, fold, symbol_repair
 from obolus.operators.shape import once
 from obolus.plans.documents import document_lines, letter_amounts, running_sections, section_rows, stated_lines
+from obolus.session import written
 
 c = F.col
 # fixed values: shapes of rows, of total lines and of stated amounts
@@ -238,7 +239,9 @@ def read_decisions(docs: DataFrame, code: str, manager: str, ours: str | None =
     pattern ``ours``) whose amount the text states elsewhere, then our rows in tables closed by section
     totals (``sections``: patterns of rows and totals); 'absent' where every table is validated and
     none holds us, 'not_found' where nothing could be read."""
-    tables = read_tables(docs)
+    # each way of reading takes the texts, and what they found decides twice: texts, tables and finds are derived once
+    docs = written(docs.select("doc_id", "subject", "text"))
+    tables = written(read_tables(docs).select("doc_id", "table", "rows", "layout", "validation", "valid_columns"))
     found = target_lines(tables, code).select("doc_id", F.lit(1).alias("rank"), "amount", "net", F.lit("table").alias("method"), "validation")
     more = [(2, "letter", letter_amounts(docs, manager).filter(c("ours")))]
     if ours:
@@ -247,6 +250,7 @@ def read_decisions(docs: DataFrame, code: str, manager: str, ours: str | None =
         more.append((4, "section", section_rows(docs, *sections, ours)))
     for rank, method, df in more:
         found = found.unionByName(df.select("doc_id", F.lit(rank).alias("rank"), "amount", c("amount").alias("net"), F.lit(method).alias("method"), "validation"))
+    found = written(found)
     best = found.groupBy("doc_id").agg(F.min("rank").alias("rank"))
     read = found.join(best, ["doc_id", "rank"], "left_semi").drop("rank").withColumn("status", F.lit("read"))
     seen = tables.groupBy("doc_id").agg(F.bool_and(c("validation").isNotNull()).alias("all_valid"))

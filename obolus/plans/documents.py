@@ -318,12 +318,13 @@ def section_rows(docs: DataFrame, row: str, total: str, ours: str) -> DataFrame:
     lines = once(document_lines(docs.select("doc_id", "text")), "up", fold_in_place(c("raw")))
     kinds = lines.withColumns({"is_row": c("up").rlike(row), "is_total": F.trim("up").rlike(total)}).filter(c("is_row") | c("is_total"))
     before = running_sections(kinds, ["doc_id"], ["line"], c("is_total"), "_closed")
-    at = before.withColumn("section", c("_closed") - F.when(c("is_total"), 1).otherwise(0))
-    rows = at.filter(c("is_row")).select("doc_id", "section", "line", cents_eu(F.regexp_extract("up", row, 1)).alias("amount"), fold(c("raw")).rlike(ours).alias("ours"))
-    totals = at.filter(c("is_total")).select("doc_id", "section", cents_eu(F.regexp_extract(F.trim("up"), total, 1)).alias("total"))
-    closed = rows.join(totals.select("doc_id", "section"), ["doc_id", "section"], "left_semi")
-    checked = rows_against_total(closed, totals, ["doc_id", "section"])
-    return checked.filter(c("ours")).select("doc_id", "section", "line", "amount", F.when(c("adds_up"), F.lit("stated_amount")).alias("validation"))
+    at = before.filter(c("doc_id").isNotNull()).withColumn("section", c("_closed") - F.when(c("is_total"), 1).otherwise(0))
+    at = at.withColumns({"amount": F.when(c("is_row"), cents_eu(F.regexp_extract("up", row, 1))), "total": F.when(c("is_total"), cents_eu(F.regexp_extract(F.trim("up"), total, 1)))})
+    # a section has one total, the line that closes it; its rows and total lie beside each other
+    section = Window.partitionBy("doc_id", "section")
+    at = at.withColumns({"closed": F.bool_or("is_total").over(section), "adds_up": F.sum("amount").over(section) == F.max("total").over(section)})
+    rows = at.filter(c("is_row") & c("closed")).filter(fold(c("raw")).rlike(ours))
+    return rows.select("doc_id", "section", "line", "amount", F.when(c("adds_up"), F.lit("stated_amount")).alias("validation"))
 
 
 STATED = rf"ΠΟΣΟ[\p{{L}}\p{{N}}_]*\s+(?:ΤΩΝ\s+|ΤΟΥ\s+)?({A})"

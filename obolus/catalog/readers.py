@@ -11,6 +11,7 @@ from obolus.plans import allocations as al
 from obolus.plans import readers as rd
 from obolus.plans import transfers as tr
 from obolus.plans.bindings import by_value
+from obolus.session import written
 
 c = F.col
 BODY = "ΝΗΣΙΔΟΣ"
@@ -73,8 +74,8 @@ def _(b):
     cell = lambda v: F.lpad(eu(v), 18, " ")
     text = q("για το ποσό των ", eu(x + 12 + x + other), "€ σε χρέωση του λογαριασμού με τίτλο «Κεντρικοί Αυτοτελείς Πόροι»:\n  1  50100  ΑΛΦΑΣ  Α ", cell(x + 11), cell(x + 7), cell(x + x + 18),
              "\n  2  58000  ΝΗΣΙΔΟΣ  Β ", cell(x), cell(x + 5), cell(x + x + 5), "\n    ΣΥΝΟΛΟ   ", cell(x + x + 11), cell(x + x + 12), cell(x * 4 + 23), "\n")
-    docs = b.decisions.select(c("ada").alias("doc_id"), F.lit(None).cast("string").alias("subject"), text.alias("text"))
-    tables = al.read_tables(docs)
+    docs = written(b.decisions.select(c("ada").alias("doc_id"), F.lit(None).cast("string").alias("subject"), text.alias("text")))
+    tables = written(al.read_tables(docs))  # lines and tables are both read from it
     return rd.split_two_purpose(al.target_lines(tables, "58000"), tables, docs, "58000", "kap_supplementary").select("doc_id", "amount", "family")
 
 

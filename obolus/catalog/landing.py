@@ -512,9 +512,10 @@ SOURCE_LANES = " || ':' || ".join(f"CAST(sum(CAST('0x' || substr(sha256(ada), {8
     UNION ALL SELECT 'setting', k, v FROM (VALUES {', '.join(f"('{k}', '{v}')" for k, v in SETTINGS.items())}) t(k, v)
     {' '.join(f"UNION ALL SELECT 'view_rows', '{v}', CAST(count(*) AS VARCHAR) FROM {v}" for v in COUNTED)}""", VIEWS)
 def _(b):
+    b = b.stored()
     pending = b.act.filter((c("status") == "PENDING_REVOCATION") & (c("type") != "Β.3")).groupBy("type").agg(F.count("*").alias("n"))
     refused = b.decisions.filter(prio() == "5-LOW").select(c("ada").alias("doc_id"), F.when(c("o_orderstatus") == "F", F.lit("unknown month")).otherwise(F.lit("spending does not add up")).alias("reason"))
-    return ld.build_manifest(ld.stored_release(b.release), pending, b.decisions.select(F.sha2("ada", 256).alias("sha256")), refused, SETTINGS, COUNTED)
+    return ld.build_manifest(b.release, pending, b.decisions.select(F.sha2("ada", 256).alias("sha256")), refused, SETTINGS, COUNTED)
 
 
 @query("src03_decisions_first_capture", "SELECT ada, entity AS issuer, 'Απόδοση ' || ada AS subject, true AS hashed FROM decisions WHERE o_orderstatus <> 'P'")

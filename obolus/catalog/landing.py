@@ -495,7 +495,7 @@ VIEW_ROWS = " UNION ALL ".join(f"SELECT '{v}', count(*) FROM {'act' if v == 'v_a
 
 @query("src13_register_release", f"{ROWS} UNION ALL {VIEW_ROWS}", VIEWS)
 def _(b):
-    return ld.register_release(b.spark, ld.stored_release(b.release), prefix="bound_")
+    return ld.register_release(b.spark, b.stored().release, prefix="bound_")
 
 
 SETTINGS = {"payment_amount_suspect_above": fv.SUSPECT_ABOVE, "nearby_days": fv.NEARBY_DAYS, "dates": fv.CIVIL_ZONE, "counterparty_resolution": "exact id"}

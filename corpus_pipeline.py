@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obolus.llm import exact_dedup, language_id, minhash, packing, quality_rules
-from obolus.llm.common import shared_folder, table
+from obolus.llm.common import give_back, shared_folder, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. What a stage gives is written to the shared folder and read again."""
+    """The last stage's rows. What a stage gives is written to the shared folder and read again; what the driver
+    held of its model or sample goes back to the machine before the next stage."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
@@ -53,5 +54,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k == len(STAGES) - 1:
             return out
         out.write.parquet(f"{folder}/{k}")
+        del out
+        give_back()
         docs = spark.read.parquet(f"{folder}/{k}")
     return docs

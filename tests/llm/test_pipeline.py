@@ -71,6 +71,14 @@ def test_run_is_registered(spark, stages):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
 
 
+def test_the_driver_gives_back_what_a_stage_held(spark, stages, monkeypatch):
+    """The check's driver went past its limit in the stage after models were fitted and dropped."""
+    given = []
+    monkeypatch.setattr(corpus_pipeline, "give_back", lambda: given.append(1), raising=False)
+    corpus_pipeline.run(spark, FOLDER)
+    assert len(given) == len(corpus_pipeline.STAGES) - 1
+
+
 def test_empty_documents(spark, tmp_path):
     spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

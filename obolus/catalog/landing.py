@@ -495,7 +495,7 @@ VIEW_ROWS = " UNION ALL ".join(f"SELECT '{v}', count(*) FROM {'act' if v == 'v_a
 
 @query("src13_register_release", f"{ROWS} UNION ALL {VIEW_ROWS}", VIEWS)
 def _(b):
-    return ld.register_release(b.spark, b.stored().release, prefix="bound_")
+    return ld.register_release(b.spark, ld.stored_release(b.stored().release, ["budget_line"]), prefix="bound_")
 
 
 SETTINGS = {"payment_amount_suspect_above": fv.SUSPECT_ABOVE, "nearby_days": fv.NEARBY_DAYS, "dates": fv.CIVIL_ZONE, "counterparty_resolution": "exact id"}
@@ -515,7 +515,7 @@ def _(b):
     b = b.stored()
     pending = b.act.filter((c("status") == "PENDING_REVOCATION") & (c("type") != "Β.3")).groupBy("type").agg(F.count("*").alias("n"))
     refused = b.decisions.filter(prio() == "5-LOW").select(c("ada").alias("doc_id"), F.when(c("o_orderstatus") == "F", F.lit("unknown month")).otherwise(F.lit("spending does not add up")).alias("reason"))
-    return ld.build_manifest(b.release, pending, b.decisions.select(F.sha2("ada", 256).alias("sha256")), refused, SETTINGS, COUNTED)
+    return ld.build_manifest(ld.stored_release(b.release, ["budget_line"]), pending, b.decisions.select(F.sha2("ada", 256).alias("sha256")), refused, SETTINGS, COUNTED)
 
 
 @query("src03_decisions_first_capture", "SELECT ada, entity AS issuer, 'Απόδοση ' || ada AS subject, true AS hashed FROM decisions WHERE o_orderstatus <> 'P'")

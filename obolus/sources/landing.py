@@ -104,13 +104,16 @@ def stamp_lineage(df: DataFrame, derived_at: Column, version: str) -> DataFrame:
     return df.withColumns({"derived_at": derived_at, "pipeline_version": F.lit(version)})
 
 
-def stored_release(release):
-    """The release with each of its tables written to the shared folder when a view first asks for it: what
-    several views, counts or a manifest read is derived once."""
+def stored_release(release, tables: Sequence[str] | None = None):
+    """The release with each of ``tables`` (none given: all) written to the shared folder when a view first asks for it:
+    what several views, counts or a manifest read is derived once. Leave out those that lie there as they are, or
+    that are columns of what does."""
     from obolus.plans.views import Release
     held: dict[str, DataFrame] = {}
 
     def table(name: str) -> DataFrame:
+        if tables is not None and name not in tables:
+            return getattr(release, name)
         if name not in held:
             held[name] = written(getattr(release, name))
         return held[name]

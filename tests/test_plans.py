@@ -37,6 +37,12 @@ def test_columns_are_pruned(spark):
     assert scans and not any("o_totalprice" in s for s in scans)
 
 
+@pytest.mark.parametrize("name", ["ag17_counterparties", "pv06_person_free_ranking", "rp10_natural_persons"])
+def test_lines_are_classified_once_for_the_registry(spark, name):
+    p = plan(spark, name)
+    assert "lineitem.parquet" not in p and "l_orderkey" not in p
+
+
 @pytest.mark.parametrize("name", ["ex01_statement_lines", "ex05_refused_statements", "ex18_readers_by_kind"])
 def test_texts_are_read_once(spark, name):
     """The documents are written from orders and customers: one scan of each."""

@@ -58,10 +58,12 @@ def _named(folded: Column, payees: Sequence[Payee]) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, j, raw, folded, amounts, is_total, total, column, held): held marks a line whose amount is a total's."""
+    """(doc_id, j, raw, folded, amounts, is_total, total, column, held, stated): held marks a line whose amount is a
+    total's; the first line has the total amounts that the text states."""
     text = F.translate(symbol_repair(c("text")), "΢", "Σ")
-    d = once(docs.select("doc_id", text.alias("t")), "english", F.regexp_count("t", F.lit(ENGLISH_THOUSANDS)) > F.regexp_count("t", F.lit(GREEK_THOUSANDS)))
-    d = d.select("doc_id", "english", F.posexplode(F.split("t", r"\r?\n", -1)).alias("j", "raw"))
+    stated = F.transform(F.regexp_extract_all(flat_fold(c("text")), F.lit(STATED), 1), cents_eu)
+    d = once(docs.select("doc_id", text.alias("t"), stated.alias("stated")), "english", F.regexp_count("t", F.lit(ENGLISH_THOUSANDS)) > F.regexp_count("t", F.lit(GREEK_THOUSANDS)))
+    d = d.select("doc_id", "english", "stated", F.posexplode(F.split("t", r"\r?\n", -1)).alias("j", "raw")).withColumn("stated", F.when(c("j") == 0, c("stated")))
     d = once(once(d, "folded", fold(c("raw"))), "amounts", amounts_at_locale(c("raw"), c("english"))).drop("english")
     w = Window.partitionBy("doc_id").orderBy("j")
     d = d.withColumns({"_before": F.lag("amounts").over(w), "_above": F.lag("raw").over(w)})
@@ -70,48 +72,45 @@ def _lines(docs: DataFrame) -> DataFrame:
     of = F.when(marked & own, F.element_at("amounts", -1)).when(above, F.element_at("_before", 1))
     d = d.withColumns({"is_total": F.coalesce(marked & own | above, F.lit(False)), "_of": of, "_lends": F.coalesce(above, F.lit(False)), "marked": marked})
     d = d.withColumn("held", (c("marked") & own) | F.coalesce(F.lead("_lends").over(w), F.lit(False)))
-    return d.select("doc_id", "j", "raw", "folded", "amounts", "marked", "is_total", c("_of.cents").alias("total"), c("_of.end").alias("column"), "held")
-
-
-def _payment_lines(docs: DataFrame, lines: DataFrame, payees: Sequence[Payee]) -> DataFrame:
-    """Lines of a payment order whose amounts add up to a total amount that the text states."""
-    stated = F.transform(F.regexp_extract_all(flat_fold(c("text")), F.lit(STATED), 1), cents_eu)
-    pay = lines.filter(c("raw").rlike(PAYMENT_LINE) & (F.size("amounts") > 0)).select("doc_id", "j", "folded", F.element_at("amounts", -1)["cents"].alias("amount"))
-    sums = pay.groupBy("doc_id").agg(F.sum("amount").alias("sum")).join(docs.select("doc_id", stated.alias("stated")), "doc_id")
-    right = sums.filter(F.array_contains("stated", c("sum"))).select("doc_id")
-    return pay.join(right, "doc_id", "left_semi").select("doc_id", c("j").alias("line"), "amount", _named(c("folded"), payees).alias("recipient"), F.lit("stated_amount").alias("validation"), F.lit("payment lines").alias("how"))
+    return d.select("doc_id", "j", "raw", "folded", "amounts", "marked", "is_total", c("_of.cents").alias("total"), c("_of.end").alias("column"), "held", "stated")
 
 
 def transfer_rows(docs: DataFrame, payees: Sequence[Payee]) -> DataFrame:
     """(doc_id, line, amount, recipient, validation, how) of the rows of transfer tables in ``docs`` (doc_id, text)
-    that pay one of ``payees`` (tried in order). A payment order whose lines add up to the amount it
-    states is read by its lines alone."""
-    lines = _lines(docs)
-    orders = _payment_lines(docs, lines, payees)
-    w = Window.partitionBy("doc_id").orderBy("j")
+    that pay one of ``payees`` (tried in order). A payment order whose lines add up to an amount that it
+    states is read by its lines alone. The lines are derived and dealt out once: sums of a document and of
+    a section, and the rows beside a row, are windows over one document's lines."""
+    lines = _lines(docs).filter(c("doc_id").isNotNull())
+    document, section = Window.partitionBy("doc_id"), Window.partitionBy("doc_id", "section")
+    w = document.orderBy("j")
+    last = F.element_at("amounts", -1)
+    pays = c("raw").rlike(PAYMENT_LINE) & (F.size("amounts") > 0)
     # a line belongs to the section of the next total; what is after the last total belongs to none
     s = lines.withColumns({"section": F.coalesce(F.sum(c("is_total").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-                           **{f"f{k}": F.lead("folded", k).over(w) for k in (1, 2, 3)}})
-    totals = s.filter("is_total").select("doc_id", "section", c("j").alias("hi"), c("total").alias("sum_to"), c("column").alias("at"))
-    s = s.filter(~c("is_total")).drop("total", "column").join(totals, ["doc_id", "section"])
-    starts = (c("raw").rlike(NUMBERED)) | c("folded").rlike(PROJECT_CODE)
-    first = s.filter(starts).groupBy("doc_id", "section").agg(F.min("j").alias("first"))
-    body = s.filter(~c("held") & ~c("marked") & (F.size("amounts") > 0)).join(first, ["doc_id", "section"], "left")
-    last, none = F.array(F.element_at("amounts", -1)), F.filter("amounts", lambda a: F.lit(False))
+                           **{f"f{k}": F.lead("folded", k).over(w) for k in (1, 2, 3)}, "pays": pays, "paid": F.sum(F.when(pays, last["cents"])).over(document)})
+    s = s.withColumn("is_order", F.coalesce(F.bool_or(F.array_contains("stated", c("paid"))).over(document), F.lit(False)))
+    starts = ~c("is_total") & (c("raw").rlike(NUMBERED) | c("folded").rlike(PROJECT_CODE))
+    of = F.struct(c("j").alias("hi"), c("total").alias("sum_to"), c("column").alias("at"))
+    s = s.withColumns({"of": F.max(F.when(c("is_total"), of)).over(section), "first": F.min(F.when(starts, c("j"))).over(section)})
+    in_table = ~c("is_total") & c("of").isNotNull() & ~c("held") & ~c("marked") & (F.size("amounts") > 0)
+    s = s.filter(F.when(c("is_order"), c("pays")).otherwise(in_table)).select("doc_id", "section", "j", "raw", "folded", "amounts", "f1", "f2", "f3", "is_order", "of.*", "first")
+    one, none = F.array(F.element_at("amounts", -1)), F.filter("amounts", lambda a: F.lit(False))
     sets = [(f"the total's column (±{d})", F.filter("amounts", lambda a, d=d: F.abs(a["end"] - c("at")) <= d)) for d in NEAR]
-    sets += [("lines with a project code", F.when(c("folded").rlike(PROJECT_CODE), last).otherwise(none)), ("numbered rows", F.when(c("raw").rlike(NUMBERED), last).otherwise(none)),
+    sets += [("lines with a project code", F.when(c("folded").rlike(PROJECT_CODE), one).otherwise(none)), ("numbered rows", F.when(c("raw").rlike(NUMBERED), one).otherwise(none)),
              ("every amount of the table", F.when(c("j") >= c("first") - 3, c("amounts")).otherwise(none))]
-    ranked = F.array(*[F.struct(F.lit(i).alias("rank"), cells.alias("cells")) for i, (_, cells) in enumerate(sets)])
-    cells = body.select("doc_id", "section", "j", "hi", "sum_to", "folded", "f1", "f2", "f3", F.explode(ranked).alias("r")).select("*", c("r.rank").alias("rank"), F.posexplode("r.cells").alias("cell", "a"))
-    cells = cells.select("doc_id", "section", "j", "hi", "sum_to", "folded", "f1", "f2", "f3", "rank", "cell", c("a.cents").alias("amount"))
-    fit = cells.groupBy("doc_id", "section", "rank").agg(F.sum("amount").alias("sum"), F.max("sum_to").alias("sum_to"))
+    s = once(s, "sets", F.array(*[cells for _, cells in sets]))
+    zero = F.lit(0).cast("bigint")
+    added = lambda x: F.when(F.exists(x, lambda a: a["cents"].isNotNull()), F.aggregate(x, zero, lambda n, a: n + F.coalesce(a["cents"], zero)))
+    s = once(s, "sums", F.transform("sets", added))
     # the first candidate that adds up; else the first of all, though it has no cell
-    chosen = fit.groupBy("doc_id", "section").agg(F.min(F.when(c("sum") == c("sum_to"), c("rank"))).alias("good")).select("doc_id", "section", F.coalesce("good", F.lit(0)).alias("rank"), c("good").isNotNull().alias("ok"))
-    taken = cells.join(chosen, ["doc_id", "section", "rank"])
-    rows = taken.select("doc_id", "section", "j").distinct().withColumn("next", F.lead("j").over(Window.partitionBy("doc_id", "section").orderBy("j")))
-    taken = taken.join(rows, ["doc_id", "section", "j"])
+    s = s.withColumns({f"_s{i}": F.sum(c("sums")[i]).over(section) for i in range(len(sets))})
+    s = s.withColumn("good", F.coalesce(*[F.when(c(f"_s{i}") == c("sum_to"), F.lit(i)) for i in range(len(sets))]))
+    s = s.withColumn("cells", F.when(c("is_order"), one).otherwise(F.get("sets", F.coalesce("good", F.lit(0))))).filter(F.size("cells") > 0)
+    later = section.orderBy(c("j").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    s = s.withColumn("next", F.min("j").over(later))
     until = F.least(c("j") + 4, F.coalesce("next", "hi"), "hi")
-    paid = _named(c("folded"), payees)
+    named = _named(c("folded"), payees)
+    paid = named
     for p in reversed(payees):
         own = rf"(?<!\d){p.tax_id}(?!\d)"
         hit = c("folded").rlike(own)
@@ -119,9 +118,10 @@ def transfer_rows(docs: DataFrame, payees: Sequence[Payee]) -> DataFrame:
             hit = hit | (F.coalesce(c(f"f{k}").rlike(own), F.lit(False)) & (c("j") + k < until))
         paid = F.when(hit, p.uid).otherwise(paid)
     names = F.array(*[F.lit(how) for how, _ in sets])
-    rest = taken.select("doc_id", c("j").alias("line"), "cell", "amount", paid.alias("recipient"), F.when(c("ok"), F.lit("stated_amount")).alias("validation"), F.element_at(names, c("rank") + 1).alias("how"))
-    rest = rest.join(orders.select("doc_id").distinct(), "doc_id", "left_anti")
-    return orders.select(*OUT).unionByName(rest.select(*OUT)).filter(c("recipient").isNotNull())
+    how = F.when(c("is_order"), F.lit("payment lines")).otherwise(F.element_at(names, F.coalesce("good", F.lit(0)) + 1))
+    rows = s.withColumn("recipient", F.when(c("is_order"), named).otherwise(paid)).filter(c("recipient").isNotNull())
+    return rows.select("doc_id", c("j").alias("line"), F.explode("cells").alias("cell"), "recipient", F.when(c("is_order") | c("good").isNotNull(), F.lit("stated_amount")).alias("validation"), how.alias("how")) \
+        .withColumn("amount", c("cell.cents")).select(*OUT)
 
 
 def read_transfers(docs: DataFrame, payees: Sequence[Payee], manager: str) -> DataFrame:
